@@ -45,8 +45,12 @@ def infer_types(
     sample_size: int | None = None,
     order_by: list | None = None,
     by: list[str] | None = None,
+    empty_as: str | None = "string",
 ) -> DataFrame:
-    """``(position, column, type)`` per column (and per ``by`` group)."""
+    """``(position, column, type)`` per column (and per ``by`` group).
+
+    A column with no non-blank value is ``empty_as`` (string; ``None`` keeps
+    it null so that ``merge_types`` lets it yield to other groups)."""
     cols = _columns(df, columns)
     src = _sampled(df, sample_size, order_by)
     aggs = []
@@ -62,7 +66,8 @@ def infer_types(
         for cand in CANDIDATES:
             cond = F.coalesce(F.col(f"_t{i}_{cand}"), F.lit(False))
             t = F.when(cond, F.lit(cand)) if t is None else t.when(cond, F.lit(cand))
-        t = t.otherwise(F.lit("string"))
+        seen = F.col(f"_t{i}_{CANDIDATES[0]}").isNotNull()
+        t = F.when(~seen, F.lit(empty_as).cast("string")).otherwise(t.otherwise(F.lit("string")))
         entries.append(F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"), t.alias("type")))
     keep = [F.col(b) for b in (by or [])]
     return grouped.select(*keep, F.explode(F.array(*entries)).alias("e")).select(*keep, "e.position", "e.column", "e.type")
