@@ -19,10 +19,14 @@ INT_TEXT = r"^[+-]?[0-9]+$"
 DECIMAL_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 TIMESTAMP_TEXT = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,9})?\s*$"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-# Special floating literals: Spark takes these in any case, the JVM parser
-# takes only the exact spellings of the second pattern.
-SPECIAL_FLOAT_ANY_CASE = r"^[+-]?(nan|inf|infinity)$"
-SPECIAL_FLOAT_JVM = r"^[+-]?(NaN|Infinity)$"
+# The JVM floating-point literal: optional blanks and sign, then NaN,
+# Infinity, a decimal or a hexadecimal (binary exponent) number with an
+# optional f/F/d/D suffix.  Spark's cast also takes nan / inf / infinity in
+# any case; this pattern does not.
+JVM_FLOAT_TEXT = (
+    r"^\s*[+-]?(NaN|Infinity|(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)[fFdD]?)\s*$"
+)
 BOOLEAN_WORDS = ("true", "false")
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -51,9 +55,9 @@ def parses_as(v: Column | str, dtype: T.DataType, date_format: str | None = None
     if isinstance(dtype, _INTEGRAL):
         return v.rlike(INT_TEXT) & v.try_cast(dtype).isNotNull()
     if isinstance(dtype, _FLOATING):
-        t = F.trim(v)
-        spark_only = F.lower(t).rlike(SPECIAL_FLOAT_ANY_CASE) & ~t.rlike(SPECIAL_FLOAT_JVM)
-        return v.try_cast(T.DoubleType()).isNotNull() & ~spark_only
+        # The pattern is the whole test: every JVM literal parses (overflow
+        # gives an infinity), and no text reaches a failing cast.
+        return v.rlike(JVM_FLOAT_TEXT)
     if isinstance(dtype, T.BooleanType):
         return F.lower(v).isin(*BOOLEAN_WORDS)
     if isinstance(dtype, T.DecimalType):

@@ -1,12 +1,17 @@
 """Schema inference from string values in one aggregate pass.
 
-For every column and candidate type (integer, long, double, timestamp,
-boolean) a ``bool_and`` tells whether all non-blank values parse; the column's
-type is the first candidate that holds, else string, and a column with no
-non-blank value is string.  ``bool_and`` has partial and final aggregation, so
-the pass is map-side combined and the answer does not depend on how rows are
-partitioned or ordered.  Only the small (column, type) table reaches the
-driver, and only when a ``StructType`` is asked for.
+Each non-blank value gets the class of the first candidate it parses as:
+0 integer, 1 long, 2 double, 3 timestamp, 4 boolean, 5 none (one CASE that
+stops at the first hit).  Integer, long and double form a chain (every
+integer text is a long text is a double text) and the other classes are
+disjoint, so "the first candidate every value passes" is: the largest
+class when all values are numeric; timestamp when all values are
+timestamps; boolean when all are booleans; string otherwise; and string
+(or ``empty_as``) when no value is seen.  Per column that is ``min`` and
+``max`` of the class -- algebraic aggregates with partial aggregation, so
+the pass is map-side combined and the answer does not depend on how rows
+are partitioned or ordered.  Only the small (column, type) table reaches
+the driver, and only when a ``StructType`` is asked for.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ from pyspark.sql import types as T
 from tessera.functions.casting import parses_as
 from tessera.functions.typenames import CANDIDATES, NUMERIC_PRECEDENCE, spark_type
 
+_NONE = len(CANDIDATES)
+
 
 def _columns(df: DataFrame, columns) -> list[tuple[str, Column]]:
     if columns is None:
@@ -38,6 +45,40 @@ def _sampled(df: DataFrame, sample_size: int | None, order_by) -> DataFrame:
     return df.orderBy(*order_by).limit(sample_size)
 
 
+def value_class(v: Column, date_format: str | None = None) -> Column:
+    """Class of one value (null when blank): index of the first candidate it parses as."""
+    out = F.when(v.isNull() | (v == F.lit("")), F.lit(None).cast("int"))
+    for i, cand in enumerate(CANDIDATES):
+        out = out.when(parses_as(v, spark_type(cand), date_format if cand == "timestamp" else None), F.lit(i))
+    return out.otherwise(F.lit(_NONE))
+
+
+def class_aggs(v: Column, prefix: str, date_format: str | None = None) -> list[Column]:
+    cls = value_class(v, date_format)
+    aggs = [F.min(cls).alias(f"{prefix}_lo"), F.max(cls).alias(f"{prefix}_hi")]
+    if date_format:
+        # A pattern may also accept numeric texts, so "all timestamps" is its own test.
+        ts = parses_as(v, spark_type("timestamp"), date_format)
+        aggs.append(F.bool_and(F.when(v.isNotNull() & (v != F.lit("")), ts)).alias(f"{prefix}_ts"))
+    return aggs
+
+
+def type_of_classes(prefix: str, date_format: str | None = None, empty_as: str | None = "string") -> Column:
+    lo, hi = F.col(f"{prefix}_lo"), F.col(f"{prefix}_hi")
+    numeric = None
+    for i in range(3):
+        numeric = F.when(hi == F.lit(i), F.lit(CANDIDATES[i])) if numeric is None else numeric.when(
+            hi == F.lit(i), F.lit(CANDIDATES[i]))
+    all_ts = F.coalesce(F.col(f"{prefix}_ts"), F.lit(False)) if date_format else (lo == F.lit(3)) & (hi == F.lit(3))
+    return (
+        F.when(hi.isNull(), F.lit(empty_as).cast("string"))
+        .when(hi <= F.lit(2), numeric)
+        .when(all_ts, F.lit("timestamp"))
+        .when((lo == F.lit(4)) & (hi == F.lit(4)), F.lit("boolean"))
+        .otherwise(F.lit("string"))
+    )
+
+
 def infer_types(
     df: DataFrame,
     columns=None,
@@ -53,26 +94,41 @@ def infer_types(
     it null so that ``merge_types`` lets it yield to other groups)."""
     cols = _columns(df, columns)
     src = _sampled(df, sample_size, order_by)
-    aggs = []
-    for i, (_, c) in enumerate(cols):
-        non_blank = c.isNotNull() & (c != F.lit(""))
-        for cand in CANDIDATES:
-            ok = parses_as(c, spark_type(cand), date_format if cand == "timestamp" else None)
-            aggs.append(F.bool_and(F.when(non_blank, ok)).alias(f"_t{i}_{cand}"))
-    grouped = src.groupBy(*by).agg(*aggs) if by else src.agg(*aggs)
-    entries = []
-    for i, (name, _) in enumerate(cols):
-        t = None
-        for cand in CANDIDATES:
-            cond = F.coalesce(F.col(f"_t{i}_{cand}"), F.lit(False))
-            t = F.when(cond, F.lit(cand)) if t is None else t.when(cond, F.lit(cand))
-        seen = F.col(f"_t{i}_{CANDIDATES[0]}").isNotNull()
-        t = F.when(~seen, F.lit(empty_as).cast("string")).otherwise(t.otherwise(F.lit("string")))
-        entries.append(F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"), t.alias("type")))
+    # Each value is computed once in a projection, then classified.
     keep = [F.col(b) for b in (by or [])]
+    values = src.select(*keep, *[c.alias(f"_v{i}") for i, (_, c) in enumerate(cols)])
+    aggs = []
+    for i in range(len(cols)):
+        aggs += class_aggs(F.col(f"_v{i}"), f"_c{i}", date_format)
+    grouped = values.groupBy(*by).agg(*aggs) if by else values.agg(*aggs)
+    entries = [
+        F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"),
+                 type_of_classes(f"_c{i}", date_format, empty_as).alias("type"))
+        for i, (name, _) in enumerate(cols)
+    ]
     return grouped.select(*keep, F.explode(F.array(*entries)).alias("e")).select(*keep, "e.position", "e.column", "e.type")
 
 
+def infer_record_types(df: DataFrame, rec: str = "rec", date_format: str | None = None,
+                       empty_as: str | None = "string") -> DataFrame:
+    """Header and types of string-map records in one pass:
+    ``(position, column, type)`` for every key seen, keys in sorted order.
+
+    The records are exploded to (key, value) and grouped by key with partial
+    aggregation, so each map task sends one row per key; a key absent from
+    a record counts as blank there."""
+    kv = df.select(F.explode(F.col(rec)).alias("k", "v"))
+    per_key = kv.groupBy("k").agg(*class_aggs(F.col("v"), "_c", date_format))
+    from pyspark.sql.window import Window
+
+    # One row per distinct key: bounded by the schema width.
+    return per_key.select(
+        (F.row_number().over(Window.orderBy("k")) - 1).cast("int").alias("position"),
+        F.col("k").alias("column"),
+        type_of_classes("_c", date_format, empty_as).alias("type"),
+    )
+
+
 def infer_schema(
     df: DataFrame,
     columns=None,

@@ -52,9 +52,14 @@ def rank_rows(
     rank_col: str = "rank",
     total_col: str | None = None,
     ranges: int | None = None,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """``df`` plus a 0-based global rank by ``order_by`` (ties broken by the
-    other columns, so equal inputs give equal ranks as a bag)."""
+    other columns, so equal inputs give equal ranks as a bag).
+
+    ``total_col`` adds the row count; ``totals`` adds, per name, the sum of an
+    expression over all rows, computed in the same per-range aggregate."""
+    totals = totals or {}
     n = ranges or _default_ranges(df)
     named = {c for c in order_by if isinstance(c, str)}
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
@@ -65,12 +70,17 @@ def rank_rows(
     placed = ranged.withColumn(_PART, F.spark_partition_id()).withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PART).cast("long"), 33)
     )
-    counts = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))
+    counts = placed.groupBy(_PART).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(e).alias(f"_m_{k}") for k, e in totals.items()]
+    )
+    # Windows over one row per range: the range count bounds their size.
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
     offsets = counts.select(
         _PART,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFF),
-        F.sum("_n").over(Window.partitionBy()).alias(_TOTAL),
+        F.sum("_n").over(every).alias(_TOTAL),
+        *[F.sum(f"_m_{k}").over(every).alias(k) for k in totals],
     )
     out = placed.join(F.broadcast(offsets), _PART).withColumn(rank_col, (F.col(_OFF) + F.col(_POS)).cast("long"))
     if total_col:

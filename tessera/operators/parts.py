@@ -77,13 +77,12 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
     cols = columns or df.columns
     line = csv_line(df, cols)
     lines = df.select(*[F.col(k) for k in order_by], line.alias("line"))
-    size = lines.agg(F.sum(line_bytes("line")).alias("bytes"))
-    parts = part_count(F.col("bytes"), max_bytes)
-    ranked = rank_rows(lines, order_by, "pos", total_col="_rows")
-    # ``size`` is one row, so this join is a broadcast of one row.
-    with_n = ranked.crossJoin(F.broadcast(size.select(parts.alias("_parts"))))
-    return with_n.select(
-        (F.floor(F.col("pos") * F.col("_parts") / F.col("_rows")) + F.lit(1)).cast("long").alias("part_number"),
+    # Row count and encoded bytes come out of the rank's own per-range
+    # aggregate, so the size costs no extra pass.
+    ranked = rank_rows(lines, order_by, "pos", total_col="_rows", totals={"_bytes": line_bytes("line")})
+    parts = part_count(F.col("_bytes"), max_bytes)
+    return ranked.select(
+        (F.floor(F.col("pos") * parts / F.col("_rows")) + F.lit(1)).cast("long").alias("part_number"),
         "pos",
         "line",
     )

@@ -64,16 +64,19 @@ def type_map_table(spark: SparkSession, user: str | dict | None = None) -> DataF
 
 
 def _stats(df: DataFrame) -> DataFrame:
-    """One row per column: max text length, nulls, integer and fraction digits."""
+    """One row per column: max text length, nulls, integer and fraction digits.
+
+    Each value's text is computed once in a projection (an expensive
+    expression used three times is not inlined into the aggregate)."""
     numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-    aggs, entries = [], []
+    texts, aggs, entries = [], [], []
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f.name)
-        s = c.cast("string")
-        aggs += [F.max(F.length(s)).alias(f"_l{i}"), F.count_if(c.isNull()).alias(f"_n{i}")]
+        texts.append(F.col(f.name).cast("string").alias(f"_s{i}"))
+        s = F.col(f"_s{i}")
+        aggs += [F.max(F.length(s)).alias(f"_l{i}"), F.count_if(s.isNull()).alias(f"_n{i}")]
         if isinstance(f.dataType, numeric):
-            whole = F.regexp_replace(F.split_part(s, F.lit("."), F.lit(1)), "^-", "")
-            frac = F.regexp_replace(F.split_part(s, F.lit("."), F.lit(2)), "0+$", "")
+            whole = F.ltrim(F.split_part(s, F.lit("."), F.lit(1)), F.lit("-"))
+            frac = F.rtrim(F.split_part(s, F.lit("."), F.lit(2)), F.lit("0"))
             aggs += [F.max(F.length(whole)).alias(f"_w{i}"), F.max(F.length(frac)).alias(f"_f{i}")]
             w, fr = F.col(f"_w{i}"), F.col(f"_f{i}")
         else:
@@ -87,13 +90,12 @@ def _stats(df: DataFrame) -> DataFrame:
                 fr.cast("long").alias("frac_digits"),
             )
         )
-    return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return df.select(*texts).agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def field_profile(df: DataFrame, dataset: str, type_map: str | dict | None = None) -> DataFrame:
-    """Per column: declared mapping (dataset type, precision, scale, format,
-    default, truncation flag) and data facts (max length, nulls, digits) with
-    ``fits`` = the integer digits fit ``precision - scale``."""
+def declared_fields(df: DataFrame, dataset: str, type_map: str | dict | None = None) -> DataFrame:
+    """Per column, the declared mapping only (from the schema and the type
+    map; no pass over the data)."""
     spark = df.sparkSession
     fields = spark.createDataFrame(
         [(i, f.name, f"{dataset}.{f.name}", type_key(f.dataType)) for i, f in enumerate(df.schema.fields)],
@@ -102,7 +104,7 @@ def field_profile(df: DataFrame, dataset: str, type_map: str | dict | None = Non
     tmap = type_map_table(spark, type_map)
     declared = fields.join(F.broadcast(tmap), "type_name", "left")
     has_precision = F.col("precision").isNotNull()
-    declared = declared.select(
+    return declared.select(
         "position",
         "column",
         "full_name",
@@ -114,6 +116,13 @@ def field_profile(df: DataFrame, dataset: str, type_map: str | dict | None = Non
         "format",
         "can_truncate",
     )
+
+
+def field_profile(df: DataFrame, dataset: str, type_map: str | dict | None = None) -> DataFrame:
+    """Per column: declared mapping (dataset type, precision, scale, format,
+    default, truncation flag) and data facts (max length, nulls, digits) with
+    ``fits`` = the integer digits fit ``precision - scale``."""
+    declared = declared_fields(df, dataset, type_map)
     prof = declared.join(_stats(df), "column")
     fits = F.when(
         F.col("wave_type") == F.lit("Numeric"),

@@ -7,7 +7,7 @@ and types are aligned with the Spark results.
 from __future__ import annotations
 
 from tessera.catalog import ACCOUNT_CHANGES_SQL, SAVED_QUERIES_SQL, STATUS_SQL
-from tessera.functions.casting import INT_TEXT, SPECIAL_FLOAT_ANY_CASE, SPECIAL_FLOAT_JVM, TIMESTAMP_TEXT
+from tessera.functions.casting import INT_TEXT, JVM_FLOAT_TEXT, TIMESTAMP_TEXT
 from tessera.functions.typenames import CANDIDATES, NUMERIC_PRECEDENCE
 
 
@@ -48,11 +48,7 @@ def _test(v: str, cand: str) -> str:
     if cand == "long":
         return f"(regexp_full_match({v}, '{INT_TEXT}') and try_cast({v} as bigint) is not null)"
     if cand == "double":
-        t = f"trim({v})"
-        return (
-            f"(try_cast({v} as double) is not null and not (regexp_full_match(lower({t}), '{SPECIAL_FLOAT_ANY_CASE}') "
-            f"and not regexp_full_match({t}, '{SPECIAL_FLOAT_JVM}')))"
-        )
+        return f"regexp_full_match({v}, '{JVM_FLOAT_TEXT}')"
     if cand == "timestamp":
         return f"(regexp_full_match({v}, '{TIMESTAMP_TEXT}') and try_cast({v} as timestamp) is not null)"
     if cand == "boolean":

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.objects import upsert as keyed_upsert
 from tessera.operators.parts import MAX_PART_BYTES, size_plan
-from tessera.operators.profile import check_profile, field_profile, read_metadata
+from tessera.operators.profile import check_profile, declared_fields, read_metadata
 
 MANIFEST = T.StructType(
     [
@@ -108,7 +108,7 @@ def publish(
     if metadata_path:
         read_metadata(spark, metadata_path).first()  # fails early on a bad document
     else:
-        check_profile(field_profile(df, name, type_map))
+        check_profile(declared_fields(df, name, type_map))
     manifest = read_manifest(spark, path)
     if _committed_epoch(manifest, epoch):
         return manifest.where(F.col("epoch") == F.lit(epoch))

@@ -48,8 +48,11 @@ def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int
     # The acknowledgement is what landed: CSV records per batch as parsed
     # back, and the bytes of the batch files.
     records = _csv_reader(spark, -1).csv(path).groupBy("batch_id", "result").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = spark.read.text(path).groupBy("batch_id", "result").agg(
-        F.sum(line_bytes("value")).cast("long").alias("bytes")
+    # File sizes from the listing (the binary-file source skips the content
+    # when it is not selected).
+    sizes = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+        .groupBy("batch_id", "result").agg(F.sum("length").cast("long").alias("bytes"))
     )
     manifest = records.join(sizes, ["batch_id", "result"]).select(
         F.lit(job_id).alias("job_id"), F.col("batch_id").cast("long"), F.col("result").cast("int"),
