@@ -115,24 +115,29 @@ def publish(
     version = _next_version(manifest)
 
     data = df
-    if operation == "Upsert":
-        key = unique_ids[0]
-        if manifest is not None:
-            current = read_dataset(spark, path)
-            data = keyed_upsert(current, df, key, blanks="overwrite")
-        else:
-            data = df
-    plan = size_plan(data, max_bytes).first()
-    parts = int(plan["parts"])
+    if operation == "Upsert" and manifest is not None:
+        current = read_dataset(spark, path)
+        data = keyed_upsert(current, df, unique_ids[0], blanks="overwrite")
+        # Size bound without running the merge twice: what the visible
+        # versions held (from the commit log) plus the change set.
+        held = _visible_versions(manifest).join(manifest, "version").agg(F.sum("bytes")).first()[0] or 0
+        size = int(held) + int(size_plan(df, max_bytes).first()["bytes"])
+    else:
+        size = int(size_plan(data, max_bytes).first()["bytes"])
+    parts = 1 if size <= max_bytes else size // max_bytes + 1
+    # A retried publish rewrites only its own version folder: files left by a
+    # failed attempt are replaced, never added to.
     (
         data.repartition(parts)
         .withColumn("version", F.lit(version).cast("long"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("version")
         .parquet(f"{path}/data")
     )
+    rows = spark.read.parquet(f"{path}/data").where(F.col("version") == F.lit(version)).count()
     commit = spark.createDataFrame(
-        [(version, operation, "Completed", int(plan["rows"]), parts, int(plan["bytes"]), epoch,
+        [(version, operation, "Completed", int(rows), parts, size, epoch,
           _dt.datetime.now(_dt.timezone.utc).isoformat())],
         MANIFEST,
     )

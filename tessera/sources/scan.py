@@ -29,7 +29,8 @@ def object_scan(
     out = df
     if deleted is not None and not query_all:
         d = F.col(deleted) if isinstance(deleted, str) else deleted
-        out = out.where(~F.coalesce(d, F.lit(False)))
+        # Written without coalesce so the predicate reaches the file reader.
+        out = out.where(d.isNull() | ~d)
     if where is not None:
         out = out.where(where)
     for c in not_null or []:
