@@ -178,8 +178,12 @@ def q_limit_rows(spark, d):
 
 
 def q_multi_load(spark, d):
-    events = read_records(event_records(spark, d), infer=True)
-    accounts = read_records(to_records(table(spark, d, "customer")), infer=True)
+    def events():
+        return read_records(event_records(spark, d), infer=True)
+
+    def accounts():
+        return read_records(to_records(table(spark, d, "customer")), infer=True)
+
     q = query.last_assignment([("q", events), ("r", events), ("q", accounts)], "q")
     return query.dataset_query(q, by=["c_mktsegment"])
 
@@ -202,6 +206,27 @@ def q_infer_types(spark, d):
     return infer_types(event_strings(spark, d), EVENT_STRING_COLUMNS)
 
 
+def q_infer_sample(spark, d):
+    """Inference over the first 1000 records in event order (the sample size)."""
+    return infer_types(event_strings(spark, d), EVENT_STRING_COLUMNS, sample_size=1000,
+                       order_by=[F.col("event_id").cast("long")])
+
+
+ORDER_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
+
+
+def q_infer_pattern(spark, d):
+    """Inference with a timestamp pattern (orders as text, dates in the pattern)."""
+    o = table(spark, d, "orders")
+    text = o.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.date_format("o_orderdate", ORDER_PATTERN).alias("o_orderdate"),
+        F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        "o_orderpriority",
+    )
+    return infer_types(text, date_format=ORDER_PATTERN)
+
+
 def q_merge_types(spark, d):
     per_group = infer_types(event_strings(spark, d), EVENT_STRING_COLUMNS, by=["event_type"], empty_as=None)
     return merge_types(per_group, by=["column"])
@@ -215,6 +240,17 @@ def q_cast_numeric(spark, d):
     return cast_columns(text, schema)
 
 
+def q_cast_narrow(spark, d):
+    li = table(spark, d, "lineitem")
+    ln, qty = F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("string")
+    return li.select(
+        "l_orderkey", "l_partkey", "l_suppkey",
+        cast_value(ln, T.ByteType(), name="ln_byte").alias("ln_byte"),
+        cast_value(ln, T.ShortType(), name="ln_short").alias("ln_short"),
+        cast_value(qty, T.FloatType(), name="qty").alias("qty"),
+    )
+
+
 def q_cast_decimal(spark, d):
     o = table(spark, d, "orders")
     text = o.select("o_orderkey", F.format_number("o_totalprice", 2).alias("price"))
@@ -320,6 +356,20 @@ def q_bulk_newlines(spark, d):
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
 
 
+def q_bulk_infer(spark, d):
+    """Batches read with the CSV reader's own type inference."""
+    _, path, manifest = _documents_batches(spark, d, "conversations", ("conv_id", "turn"))
+    return bulk.read_batches(spark, path, manifest, infer=True, max_chars=-1)
+
+
+def q_bulk_last(spark, d):
+    """Each batch split over two result files; only the last result is read."""
+    src = table(spark, d, "conversations")
+    path = scratch_path(spark, "bulk-last")
+    manifest = bulk.write_batches(src, path, ["conv_id", "turn"], max_bytes=500_000, results_per_batch=2)
+    return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1, results="last")
+
+
 def q_bulk_guard(spark, d):
     src, path, manifest = _documents_batches(spark, d)
     rows = bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1, newline=None)
@@ -445,7 +495,10 @@ QUERIES: dict[str, Query] = {
     "header_widest": q_header_widest,
     "infer_types": q_infer_types,
     "merge_types": q_merge_types,
+    "infer_sample": q_infer_sample,
+    "infer_pattern": q_infer_pattern,
     "cast_numeric": q_cast_numeric,
+    "cast_narrow": q_cast_narrow,
     "cast_decimal": q_cast_decimal,
     "cast_boolean": q_cast_boolean,
     "cast_timestamp": q_cast_timestamp,
@@ -460,6 +513,8 @@ QUERIES: dict[str, Query] = {
     "name_resolution": q_name_resolution,
     "bulk_read": q_bulk_read,
     "bulk_newlines": q_bulk_newlines,
+    "bulk_infer": q_bulk_infer,
+    "bulk_last": q_bulk_last,
     "bulk_guard": q_bulk_guard,
     "encoded_size": q_encoded_size,
     "size_partitions": q_size_partitions,

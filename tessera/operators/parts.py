@@ -71,9 +71,13 @@ def number_parts(df: DataFrame, order_by: list[str], parts: int | Column, part_c
 
 
 def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                 columns: list[str] | None = None) -> DataFrame:
+                 columns: list[str] | None = None, subparts: int = 1) -> DataFrame:
     """``(part_number, pos, line)``: encoded lines with their part and their
-    global position, the part count derived from the exact encoded size."""
+    global position, the part count derived from the exact encoded size.
+
+    With ``subparts > 1`` a ``subpart`` column (1..subparts) splits every part
+    into consecutive pieces: ``floor(x * k) mod k + 1`` for the same
+    ``x = pos * parts / rows`` whose floor gives the part."""
     cols = columns or df.columns
     line = csv_line(df, cols)
     lines = df.select(*[F.col(k) for k in order_by], line.alias("line"))
@@ -81,11 +85,11 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
     # aggregate, so the size costs no extra pass.
     ranked = rank_rows(lines, order_by, "pos", total_col="_rows", totals={"_bytes": line_bytes("line")})
     parts = part_count(F.col("_bytes"), max_bytes)
-    return ranked.select(
-        (F.floor(F.col("pos") * parts / F.col("_rows")) + F.lit(1)).cast("long").alias("part_number"),
-        "pos",
-        "line",
-    )
+    x = F.col("pos") * parts / F.col("_rows")
+    extra = []
+    if subparts > 1:
+        extra = [(F.pmod(F.floor(x * F.lit(subparts)), F.lit(subparts)) + F.lit(1)).cast("int").alias("subpart")]
+    return ranked.select((F.floor(x) + F.lit(1)).cast("long").alias("part_number"), "pos", "line", *extra)
 
 
 def part_manifest(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,

@@ -7,6 +7,8 @@ There is no query language here: each clause is a DataFrame call.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,12 +49,15 @@ def dataset_query(
     return out
 
 
-def last_assignment(assignments: list[tuple[str, DataFrame]], var: str) -> DataFrame:
-    """Several loads in one script: the last assignment to ``var`` wins."""
+def last_assignment(assignments: list[tuple[str, DataFrame | Callable[[], DataFrame]]], var: str) -> DataFrame:
+    """Several loads in one script: the last assignment to ``var`` wins.
+
+    An assignment may be a thunk; only the winning one is built, so a load
+    that a later one replaces costs nothing (not even schema inference)."""
     found = None
     for name, frame in assignments:
         if name == var:
             found = frame
     if found is None:
         raise KeyError(f"no assignment to {var!r}")
-    return found
+    return found() if callable(found) else found

@@ -42,7 +42,7 @@ s as (
 EVENT_STRING_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props", "coupon", "flag", "blank", "mixed"]
 
 
-def _test(v: str, cand: str) -> str:
+def _test(v: str, cand: str, ts_format: str | None = None) -> str:
     if cand == "integer":
         return f"(regexp_full_match({v}, '{INT_TEXT}') and try_cast({v} as integer) is not null)"
     if cand == "long":
@@ -50,25 +50,39 @@ def _test(v: str, cand: str) -> str:
     if cand == "double":
         return f"regexp_full_match({v}, '{JVM_FLOAT_TEXT}')"
     if cand == "timestamp":
+        if ts_format:
+            return f"(try_strptime({v}, '{ts_format}') is not null)"
         return f"(regexp_full_match({v}, '{TIMESTAMP_TEXT}') and try_cast({v} as timestamp) is not null)"
     if cand == "boolean":
         return f"(lower({v}) in ('true', 'false'))"
     raise ValueError(cand)
 
 
-def _type_case(v: str, empty: str) -> str:
+def _type_case(v: str, empty: str, ts_format: str | None = None) -> str:
     nb = f"({v} is not null and {v} <> '')"
-    checks = {c: f"bool_and(case when {nb} then {_test(v, c)} end)" for c in CANDIDATES}
+    checks = {c: f"bool_and(case when {nb} then {_test(v, c, ts_format)} end)" for c in CANDIDATES}
     whens = " ".join(f"when {checks[c]} then '{c}'" for c in CANDIDATES)
     return f"(case when {checks[CANDIDATES[0]]} is null then {empty} {whens} else 'string' end)"
 
 
-def _infer_sql() -> str:
+def _infer_sql(source: str = "s", extra: str = "") -> str:
     parts = [
-        f"select cast({i} as integer) as \"position\", '{c}' as \"column\", {_type_case(c, chr(39) + 'string' + chr(39))} as type from s"
+        f"select cast({i} as integer) as \"position\", '{c}' as \"column\", {_type_case(c, chr(39) + 'string' + chr(39))} as type from {source}"
         for i, c in enumerate(EVENT_STRING_COLUMNS)
     ]
-    return f"with {EVENT_STRINGS_SQL} " + " union all ".join(parts)
+    return f"with {EVENT_STRINGS_SQL}{extra} " + " union all ".join(parts)
+
+
+def _infer_pattern_sql() -> str:
+    cols = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority"]
+    src = """with t as (select cast(o_orderkey as varchar) as o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as o_orderdate,
+        cast(o_totalprice as varchar) as o_totalprice, o_orderpriority from orders) """
+    parts = [
+        f"select cast({i} as integer) as \"position\", '{c}' as \"column\", "
+        f"{_type_case(c, chr(39) + 'string' + chr(39), '%Y-%m-%dT%H:%M:%S')} as type from t"
+        for i, c in enumerate(cols)
+    ]
+    return src + " union all ".join(parts)
 
 
 def _merge_sql() -> str:
@@ -157,8 +171,12 @@ ORACLE: dict[str, str] = {
         select cast(generate_subscripts(k, 1) - 1 as integer) as "position", unnest(k) as name from best""",
     "infer_types": _infer_sql(),
     "merge_types": _merge_sql(),
+    "infer_sample": _infer_sql("s1000", ", s1000 as (select * from s order by cast(event_id as bigint) limit 1000)"),
+    "infer_pattern": _infer_pattern_sql(),
     "cast_numeric": """select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
         l_discount, l_tax from lineitem""",
+    "cast_narrow": """select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as tinyint) as ln_byte,
+        cast(l_linenumber as smallint) as ln_short, cast(l_quantity as float) as qty from lineitem""",
     "cast_decimal": "select o_orderkey, cast(o_totalprice as decimal(12, 2)) as price from orders",
     "cast_boolean": """select event_id, case when lower(w) in ('true', 'false') then lower(w) = 'true' end as flag
         from (select event_id, case event_type when 'click' then 'TRUE' when 'view' then 'false'
@@ -193,6 +211,16 @@ ORACLE: dict[str, str] = {
     "bulk_read": f"""select doc_id, {_newlines('text')} as text, {_newlines('lang')} as lang,
         {_newlines('source')} as source, n_chars from documents""",
     "bulk_newlines": f"select conv_id, turn, {_newlines('role')} as role, {_newlines('text')} as text from conversations",
+    "bulk_infer": f"""select cast(conv_id as integer) as conv_id, cast(turn as integer) as turn, {_newlines('role')} as role,
+        {_newlines('text')} as text from conversations""",
+    "bulk_last": f"""with l as (select *, row_number() over (order by conv_id, turn) - 1 as rn,
+            count(*) over () as n from conversations),
+        sz as (select sum(strlen({_line(["conv_id", "turn", "role", "text"])}) + 1) as bytes from conversations),
+        p as (select case when bytes <= 500000 then 1 else bytes // 500000 + 1 end as parts from sz),
+        b as (select l.*, (rn * parts) // n + 1 as batch_id, ((rn * parts * 2) // n) % 2 + 1 as result from l, p),
+        last as (select batch_id, max(result) as result from b group by batch_id)
+        select conv_id, turn, {_newlines('role')} as role, {_newlines('text')} as text
+        from b join last using (batch_id, result)""",
     "bulk_guard": """select doc_id, 'text' as "column", cast(length(text) as bigint) as length from documents
         where length(text) > 4096""",
     "encoded_size": f"""select count(*) as rows, cast(coalesce(sum(strlen(line) + 1), 0) as bigint) as bytes

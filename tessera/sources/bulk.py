@@ -24,17 +24,23 @@ MANIFEST_SCHEMA = "job_id string, batch_id long, result int, state string, rows
 
 
 def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                  columns: list[str] | None = None, job_id: str = "job") -> DataFrame:
-    """Write ``df`` as CSV batches of about ``max_bytes`` each, every batch
-    led by the header line, plus the manifest; returns the manifest."""
+                  columns: list[str] | None = None, job_id: str = "job", results_per_batch: int = 1) -> DataFrame:
+    """Write ``df`` as CSV batches of about ``max_bytes`` each, every result
+    file led by the header line, plus the manifest; returns the manifest.
+    A batch's rows may be split over ``results_per_batch`` result files."""
     cols = columns or df.columns
-    lines = parted_lines(df, order_by, max_bytes, cols).withColumnRenamed("part_number", "batch_id")
-    header = lines.select("batch_id").distinct().select(
-        "batch_id", F.lit(-1).cast("long").alias("pos"), F.lit(csv_header(cols)).alias("line")
+    lines = parted_lines(df, order_by, max_bytes, cols, subparts=results_per_batch).withColumnRenamed(
+        "part_number", "batch_id"
+    )
+    if results_per_batch > 1:
+        lines = lines.withColumnRenamed("subpart", "result")
+    else:
+        lines = lines.withColumn("result", F.lit(1))
+    header = lines.select("batch_id", "result").distinct().select(
+        "batch_id", "result", F.lit(-1).cast("long").alias("pos"), F.lit(csv_header(cols)).alias("line")
     )
     (
         lines.unionByName(header)
-        .withColumn("result", F.lit(1))
         .repartition("batch_id")
         # The writer needs rows ordered by its partition columns; keeping them
         # as the sort prefix stops it from re-sorting away the line order.
