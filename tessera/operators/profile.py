@@ -63,34 +63,68 @@ def type_map_table(spark: SparkSession, user: str | dict | None = None) -> DataF
     return spark.createDataFrame(rows, _MAP_SCHEMA)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _digits(v) -> F.Column:
+    """Decimal digits of a non-negative integral value (null stays null)."""
+    return F.length(v.cast("string"))
+
+
 def _stats(df: DataFrame) -> DataFrame:
     """One row per column: max text length, nulls, integer and fraction digits.
 
-    Each value's text is computed once in a projection (an expensive
-    expression used three times is not inlined into the aggregate)."""
-    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+    Integral columns need only ``min`` and ``max``: text length and digit count
+    grow with the magnitude, so the extremes give them without turning every
+    value into text.  Other columns turn each value into text once (a
+    projection the aggregate reads)."""
     texts, aggs, entries = [], [], []
     for i, f in enumerate(df.schema.fields):
-        texts.append(F.col(f.name).cast("string").alias(f"_s{i}"))
-        s = F.col(f"_s{i}")
-        aggs += [F.max(F.length(s)).alias(f"_l{i}"), F.count_if(s.isNull()).alias(f"_n{i}")]
-        if isinstance(f.dataType, numeric):
-            whole = F.ltrim(F.split_part(s, F.lit("."), F.lit(1)), F.lit("-"))
-            frac = F.rtrim(F.split_part(s, F.lit("."), F.lit(2)), F.lit("0"))
-            aggs += [F.max(F.length(whole)).alias(f"_w{i}"), F.max(F.length(frac)).alias(f"_f{i}")]
-            w, fr = F.col(f"_w{i}"), F.col(f"_f{i}")
+        c = F.col(f.name)
+        aggs.append(F.count_if(c.isNull()).alias(f"_n{i}"))
+        if isinstance(f.dataType, _INTEGRAL):
+            texts.append(c.cast("long").alias(f"_s{i}"))
+            v = F.col(f"_s{i}")
+            aggs += [F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}")]
+            lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+            length = F.greatest(F.length(lo.cast("string")), F.length(hi.cast("string")))
+            whole = F.greatest(F.length(F.ltrim(lo.cast("string"), F.lit("-"))),
+                               F.length(F.ltrim(hi.cast("string"), F.lit("-"))))
+            frac = F.when(hi.isNotNull(), F.lit(0))
         else:
-            w = fr = F.lit(None).cast("int")
+            texts.append(c.cast("string").alias(f"_s{i}"))
+            v = F.col(f"_s{i}")
+            aggs.append(F.max(F.length(v)).alias(f"_l{i}"))
+            length = F.col(f"_l{i}")
+            whole = frac = F.lit(None).cast("int")
+            if isinstance(f.dataType, _FRACTIONAL):
+                texts.append(F.abs(c).alias(f"_a{i}"))
+                # Plain decimal text (no exponent) of the shortest representation.
+                texts.append(c.try_cast(T.DecimalType(38, 18)).cast("string").alias(f"_p{i}"))
+                plain = F.col(f"_p{i}")
+                aggs += [
+                    F.max(F.col(f"_a{i}")).alias(f"_m{i}"),
+                    F.max(F.length(F.rtrim(F.split_part(plain, F.lit("."), F.lit(2)), F.lit("0")))).alias(f"_f{i}"),
+                ]
+                whole = _digits(F.floor(F.col(f"_m{i}")).try_cast(T.DecimalType(38, 0)))
+                frac = F.col(f"_f{i}")
         entries.append(
             F.struct(
                 F.lit(f.name).alias("column"),
-                F.col(f"_l{i}").cast("long").alias("max_length"),
+                length.cast("long").alias("max_length"),
                 F.col(f"_n{i}").cast("long").alias("null_count"),
-                w.cast("long").alias("int_digits"),
-                fr.cast("long").alias("frac_digits"),
+                whole.cast("long").alias("int_digits"),
+                frac.cast("long").alias("frac_digits"),
             )
         )
-    return df.select(*texts).agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    nulls_src = [F.col(f.name) for f in df.schema.fields]
+    return (
+        df.select(*nulls_src, *texts)
+        .agg(*aggs)
+        .select(F.explode(F.array(*entries)).alias("e"))
+        .select("e.*")
+    )
 
 
 def declared_fields(df: DataFrame, dataset: str, type_map: str | dict | None = None) -> DataFrame:

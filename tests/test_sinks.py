@@ -126,3 +126,14 @@ def test_bulk_batches(spark):
 def test_newline_rule(spark):
     df = spark.createDataFrame([("a\r\nb\rc\nd", 1)], "s string, n int")
     assert normalize_newlines(df).first()["s"] == "a b c d"
+
+
+def test_profile_digits_exponent_values(spark):
+    df = spark.createDataFrame([(1.0e10, -123, 1.0e-4), (2.5, 7, 0.125), (None, None, None)],
+                               "a double, b long, c double")
+    prof = {r["column"]: r for r in field_profile(df, "ds").collect()}
+    assert (prof["a"]["int_digits"], prof["a"]["frac_digits"], prof["a"]["null_count"]) == (11, 1, 1)
+    assert (prof["b"]["int_digits"], prof["b"]["frac_digits"], prof["b"]["max_length"]) == (3, 0, 4)
+    assert (prof["c"]["int_digits"], prof["c"]["frac_digits"]) == (1, 4)
+    assert prof["a"]["fits"] is False and prof["c"]["fits"] is True  # 11 digits > precision 14 - scale 4
+    assert prof["c"]["max_length"] == len("1.0E-4")
