@@ -86,10 +86,15 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
     ranked = rank_rows(lines, order_by, "pos", total_col="_rows", totals={"_bytes": line_bytes("line")})
     parts = part_count(F.col("_bytes"), max_bytes)
     x = F.col("pos") * parts / F.col("_rows")
+    x_before = (F.col("pos") - F.lit(1)) * parts / F.col("_rows")
+    k = F.lit(subparts)
+    # First row of its (sub)part: the piece index changes between pos-1 and pos.
+    first = (F.col("pos") == F.lit(0)) | (F.floor(x * k) != F.floor(x_before * k))
     extra = []
     if subparts > 1:
-        extra = [(F.pmod(F.floor(x * F.lit(subparts)), F.lit(subparts)) + F.lit(1)).cast("int").alias("subpart")]
-    return ranked.select((F.floor(x) + F.lit(1)).cast("long").alias("part_number"), "pos", "line", *extra)
+        extra = [(F.pmod(F.floor(x * k), k) + F.lit(1)).cast("int").alias("subpart")]
+    return ranked.select((F.floor(x) + F.lit(1)).cast("long").alias("part_number"), "pos", "line", *extra,
+                         first.alias("first"))
 
 
 def part_manifest(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,

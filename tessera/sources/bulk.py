@@ -36,12 +36,13 @@ def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int
         lines = lines.withColumnRenamed("subpart", "result")
     else:
         lines = lines.withColumn("result", F.lit(1))
-    header = lines.select("batch_id", "result").distinct().select(
-        "batch_id", "result", F.lit(-1).cast("long").alias("pos"), F.lit(csv_header(cols)).alias("line")
+    # The header leads the first line of every result file (no second pass
+    # over the data to list the batches).
+    led = lines.withColumn(
+        "line", F.when(F.col("first"), F.concat(F.lit(csv_header(cols) + "\n"), F.col("line"))).otherwise(F.col("line"))
     )
     (
-        lines.unionByName(header)
-        .repartition("batch_id")
+        led.repartition("batch_id")
         # The writer needs rows ordered by its partition columns; keeping them
         # as the sort prefix stops it from re-sorting away the line order.
         .sortWithinPartitions("batch_id", "result", "pos")
