@@ -35,11 +35,15 @@ def dedupe_last(src: DataFrame, key: str, order_by: str) -> DataFrame:
 
 
 def key_problems(src: DataFrame, key: str) -> DataFrame:
-    """``(null_keys, duplicate_keys)`` of a change set in one aggregate pass."""
-    per_key = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    dups = per_key.agg(F.count_if(F.col("_n") > 1).alias("duplicate_keys"))
-    nulls = src.agg(F.count_if(F.col(key).isNull()).alias("null_keys"))
-    return nulls.crossJoin(dups)  # one row each: a 1 x 1 product
+    """``(null_keys, duplicate_keys)`` of a change set in one grouped pass
+    (the null key is one more group; partial aggregation combines a hot key
+    map-side)."""
+    per_key = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    k = F.col(key)
+    return per_key.agg(
+        F.coalesce(F.sum(F.when(k.isNull(), F.col("_n"))), F.lit(0)).alias("null_keys"),
+        F.count_if(k.isNotNull() & (F.col("_n") > 1)).alias("duplicate_keys"),
+    )
 
 
 def check_keys(src: DataFrame, key: str, allow_null: bool) -> None:
@@ -53,9 +57,7 @@ def check_keys(src: DataFrame, key: str, allow_null: bool) -> None:
 def _prepare(src: DataFrame, key: str, order_by: str | None, validate: bool, allow_null: bool) -> DataFrame:
     if order_by:
         nulls = src.where(F.col(key).isNull())
-        src = dedupe_last(src.where(F.col(key).isNotNull()), key, order_by).unionByName(
-            nulls.drop(order_by) if order_by not in src.columns else nulls, allowMissingColumns=True
-        )
+        src = dedupe_last(src.where(F.col(key).isNotNull()), key, order_by).unionByName(nulls)
     if validate:
         check_keys(src, key, allow_null)
     return src

@@ -72,6 +72,15 @@ def _digits(v) -> F.Column:
     return F.length(v.cast("string"))
 
 
+def _fraction_digits(text) -> F.Column:
+    """Digits after the point of a number's shortest text, exponent included:
+    ``1.25E-4`` has 6 (``0.000125``), ``1.5E10`` has 0."""
+    mantissa = F.split_part(text, F.lit("E"), F.lit(1))
+    digits = F.length(F.rtrim(F.split_part(mantissa, F.lit("."), F.lit(2)), F.lit("0")))
+    exponent = F.when(text.contains("E"), F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")).otherwise(F.lit(0))
+    return F.greatest(digits - exponent, F.lit(0))
+
+
 def _stats(df: DataFrame) -> DataFrame:
     """One row per column: max text length, nulls, integer and fraction digits.
 
@@ -100,13 +109,7 @@ def _stats(df: DataFrame) -> DataFrame:
             whole = frac = F.lit(None).cast("int")
             if isinstance(f.dataType, _FRACTIONAL):
                 texts.append(F.abs(c).alias(f"_a{i}"))
-                # Plain decimal text (no exponent) of the shortest representation.
-                texts.append(c.try_cast(T.DecimalType(38, 18)).cast("string").alias(f"_p{i}"))
-                plain = F.col(f"_p{i}")
-                aggs += [
-                    F.max(F.col(f"_a{i}")).alias(f"_m{i}"),
-                    F.max(F.length(F.rtrim(F.split_part(plain, F.lit("."), F.lit(2)), F.lit("0")))).alias(f"_f{i}"),
-                ]
+                aggs += [F.max(F.col(f"_a{i}")).alias(f"_m{i}"), F.max(_fraction_digits(v)).alias(f"_f{i}")]
                 whole = _digits(F.floor(F.col(f"_m{i}")).try_cast(T.DecimalType(38, 0)))
                 frac = F.col(f"_f{i}")
         entries.append(
@@ -170,6 +173,18 @@ def scale_violations(profile: DataFrame) -> DataFrame:
     return profile.where(F.col("scale") > F.lit(MAX_SCALE)).select("column", "scale")
 
 
+def check_declared(schema: T.StructType, type_map: str | dict | None = None) -> None:
+    """The same checks as ``check_profile`` from the schema and type map alone
+    (metadata only, no Spark job)."""
+    m = merged_type_map(type_map)
+    entries = [m.get(type_key(f.dataType), {"wave_type": FALLBACK_TYPE}) for f in schema.fields]
+    for e in entries:
+        if e.get("precision") is not None and int(e.get("scale") or 0) > MAX_SCALE:
+            raise ValueError(f"scale beyond {MAX_SCALE} is not supported; re-run with scale <= {MAX_SCALE}")
+    if not any(e.get("wave_type") == FALLBACK_TYPE for e in entries):
+        raise ValueError("a dataset needs at least one Text column")
+
+
 def check_profile(profile: DataFrame) -> None:
     """Raise on a scale above the maximum, or when no column is Text."""
     row = profile.agg(

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.objects import upsert as keyed_upsert
 from tessera.operators.parts import MAX_PART_BYTES, size_plan
-from tessera.operators.profile import check_profile, declared_fields, read_metadata
+from tessera.operators.profile import check_declared, read_metadata
 
 MANIFEST = T.StructType(
     [
@@ -60,28 +60,31 @@ def _visible_versions(manifest: DataFrame) -> DataFrame:
     return done.crossJoin(base).where(F.col("version") >= F.coalesce(F.col("_base"), F.lit(0))).select("version")
 
 
-def read_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """Current content: the last base version plus later appends, committed only."""
+def _commit_log(spark: SparkSession, path: str) -> list:
+    """The commit log on the driver: one small row per commit."""
     manifest = read_manifest(spark, path)
-    if manifest is None:
-        raise FileNotFoundError(f"no committed dataset at {path}")
-    # The commit log is one row per commit: small, read once on the driver.
-    versions = sorted(r["version"] for r in _visible_versions(manifest).collect())
-    data = spark.read.parquet(f"{path}/data")
-    return data.where(F.col("version").isin(versions)).drop("version")
+    return [] if manifest is None else manifest.collect()
 
 
-def _next_version(manifest: DataFrame | None) -> int:
-    if manifest is None:
-        return 1
-    v = manifest.agg(F.max("version")).first()[0]
-    return int(v or 0) + 1
+def _visible(log: list) -> list:
+    done = [r for r in log if r["state"] == "Completed"]
+    bases = [r["version"] for r in done if r["operation"] in ("Overwrite", "Upsert")]
+    base = max(bases) if bases else 0
+    return [r for r in done if r["version"] >= base]
 
 
-def _committed_epoch(manifest: DataFrame | None, epoch: int | None) -> bool:
-    if manifest is None or epoch is None:
-        return False
-    return manifest.where((F.col("epoch") == F.lit(epoch)) & (F.col("state") == F.lit("Completed"))).limit(1).count() > 0
+def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """Current content: the last base version plus later appends, committed only."""
+    log = _commit_log(spark, path)
+    if not log:
+        raise FileNotFoundError(f"no committed dataset at {path}")
+    return _read_versions(spark, path, sorted(r["version"] for r in _visible(log)))
+
+
+def _read_versions(spark: SparkSession, path: str, versions: list[int]) -> DataFrame:
+    # A filter on the partition column: only these version folders are listed and read.
+    data = spark.read.parquet(f"{path}/data")
+    return data.where(F.col("version").isin(versions)).drop("version")
 
 
 def publish(
@@ -104,26 +107,29 @@ def publish(
     operation = dataset_operation(mode, upsert)
     if operation == "Upsert" and not unique_ids:
         raise ValueError("upsert needs the unique-id fields (unique_ids)")
-    name = dataset or path.rstrip("/").rsplit("/", 1)[-1]
     if metadata_path:
         read_metadata(spark, metadata_path).first()  # fails early on a bad document
     else:
-        check_profile(declared_fields(df, name, type_map))
-    manifest = read_manifest(spark, path)
-    if _committed_epoch(manifest, epoch):
-        return manifest.where(F.col("epoch") == F.lit(epoch))
-    version = _next_version(manifest)
+        check_declared(df.schema, type_map)
+    log = _commit_log(spark, path)
+    if epoch is not None:
+        done = [r for r in log if r["epoch"] == epoch and r["state"] == "Completed"]
+        if done:
+            return spark.createDataFrame(done, MANIFEST)
+    version = max([r["version"] for r in log], default=0) + 1
 
     data = df
-    if operation == "Upsert" and manifest is not None:
-        current = read_dataset(spark, path)
+    if operation == "Upsert" and log:
+        visible = _visible(log)
+        current = _read_versions(spark, path, sorted(r["version"] for r in visible))
         data = keyed_upsert(current, df, unique_ids[0], blanks="overwrite")
         # Size bound without running the merge twice: what the visible
         # versions held (from the commit log) plus the change set.
-        held = _visible_versions(manifest).join(manifest, "version").agg(F.sum("bytes")).first()[0] or 0
-        size = int(held) + int(size_plan(df, max_bytes).first()["bytes"])
+        size = sum(int(r["bytes"] or 0) for r in visible) + int(size_plan(df, max_bytes).first()["bytes"])
+        rows = None
     else:
-        size = int(size_plan(data, max_bytes).first()["bytes"])
+        plan = size_plan(data, max_bytes).first()
+        size, rows = int(plan["bytes"]), int(plan["rows"])
     parts = 1 if size <= max_bytes else size // max_bytes + 1
     # A retried publish rewrites only its own version folder: files left by a
     # failed attempt are replaced, never added to.
@@ -135,7 +141,9 @@ def publish(
         .partitionBy("version")
         .parquet(f"{path}/data")
     )
-    rows = spark.read.parquet(f"{path}/data").where(F.col("version") == F.lit(version)).count()
+    if rows is None:
+        # Rows of a merge are known once written (a count from Parquet footers).
+        rows = spark.read.parquet(f"{path}/data").where(F.col("version") == F.lit(version)).count()
     commit = spark.createDataFrame(
         [(version, operation, "Completed", int(rows), parts, size, epoch,
           _dt.datetime.now(_dt.timezone.utc).isoformat())],
