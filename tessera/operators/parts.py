@@ -126,17 +126,27 @@ def part_payloads(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_
 def write_parts(df: DataFrame, path: str, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                 columns: list[str] | None = None) -> DataFrame:
     """Write the encoded lines as one text folder per part (``part_number=k``)
-    and return the part manifest.  Spark's output commit makes the write
-    all-or-nothing."""
+    and return the part manifest ``(part_number, rows, bytes)`` of what landed:
+    records as the CSV reader parses them back, bytes from the file listing.
+    Spark's output commit makes the write all-or-nothing."""
     lines = parted_lines(df, order_by, max_bytes, columns)
     (
         lines.repartition("part_number")
+        # Partition column first, so the writer keeps the line order.
         .sortWithinPartitions("part_number", "pos")
         .select("part_number", "line")
         .write.mode("overwrite")
         .partitionBy("part_number")
         .text(path)
     )
-    return lines.groupBy("part_number").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(line_bytes("line")).cast("long").alias("bytes")
+    spark = df.sparkSession
+    records = (
+        spark.read.option("multiLine", "true").option("escape", '"').option("maxCharsPerColumn", "-1").csv(path)
+        .groupBy("part_number").agg(F.count(F.lit(1)).alias("rows"))
+    )
+    sizes = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+        .groupBy("part_number").agg(F.sum("length").cast("long").alias("bytes"))
     )
+    return records.join(sizes, "part_number").select(F.col("part_number").cast("long"), F.col("rows").cast("long"),
+                                                     "bytes")

@@ -47,3 +47,12 @@ def test_write_parts_round_trip(spark):
     man = write_parts(o, path, ["o_orderkey"], max_bytes=300_000)
     back = spark.read.text(path)
     assert back.count() == 15000 == man.agg(F.sum("rows")).first()[0]
+
+
+def test_write_parts_counts_records_with_newlines(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    path = scratch_path(spark, "parts-docs")
+    man = write_parts(docs, path, ["doc_id"], max_bytes=400_000)
+    assert man.agg(F.sum("rows")).first()[0] == 1000
+    exact = size_plan(docs).first()["bytes"]
+    assert man.agg(F.sum("bytes")).first()[0] == exact
