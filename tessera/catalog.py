@@ -404,6 +404,11 @@ def q_upsert(spark, d):
     return objects.upsert(table(spark, d, "customer"), account_changes(spark, d), "c_custkey")
 
 
+def q_upsert_full_outer(spark, d):
+    """The same upsert as one full outer join (the plan for large change sets)."""
+    return objects.upsert(table(spark, d, "customer"), account_changes(spark, d), "c_custkey", plan="full_outer")
+
+
 def q_write_outcomes(spark, d):
     out = objects.write_outcomes(table(spark, d, "customer"), account_changes(spark, d), "c_custkey", "update")
     return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
@@ -523,6 +528,7 @@ QUERIES: dict[str, Query] = {
     "insert": q_insert,
     "update": q_update,
     "upsert": q_upsert,
+    "upsert_full_outer": q_upsert_full_outer,
     "write_outcomes": q_write_outcomes,
     "publish_overwrite": q_publish_overwrite,
     "publish_append": q_publish_append,

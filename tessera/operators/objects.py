@@ -102,10 +102,20 @@ def update(target: DataFrame, src: DataFrame, key: str, blanks: str = "keep",
 
 
 def upsert(target: DataFrame, src: DataFrame, key: str, blanks: str = "keep",
-           order_by: str | None = None, validate: bool = True) -> DataFrame:
+           order_by: str | None = None, validate: bool = True, plan: str = "build_source") -> DataFrame:
     """Update where the key exists, insert otherwise; target columns the
-    source lacks are kept.  A null key is a plain insert."""
+    source lacks are kept.  A null key is a plain insert.
+
+    ``plan="build_source"`` (default) keeps the change set on the build side
+    of every join, so a small change set never shuffles the target.
+    ``plan="full_outer"`` is one full outer join on the key: one shuffle per
+    side (none when both sides are bucketed by the key), the better plan
+    when the change set is itself large."""
     src = _prepare(src, key, order_by, validate, allow_null=True)
+    if plan == "full_outer":
+        return _upsert_full_outer(target, src, key, blanks)
+    if plan != "build_source":
+        raise ValueError("plan must be 'build_source' or 'full_outer'")
     updated = _apply(target, src, key, blanks)
     keyed = src.where(F.col(key).isNotNull())
     # Keys of the source that the target holds: target keys (one pruned
@@ -116,6 +126,34 @@ def upsert(target: DataFrame, src: DataFrame, key: str, blanks: str = "keep",
     return updated.unionByName(fresh, allowMissingColumns=True).unionByName(null_keyed, allowMissingColumns=True)
 
 
+def _upsert_full_outer(target: DataFrame, src: DataFrame, key: str, blanks: str) -> DataFrame:
+    if blanks not in ("keep", "overwrite"):
+        raise ValueError("blanks must be 'keep' or 'overwrite'")
+    s_types = {f.name: f.dataType for f in src.schema.fields}
+    s_cols = [c for c in src.columns if c != key]
+    renamed = src.where(F.col(key).isNotNull()).select(
+        F.col(key), *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.lit(True).alias(_MATCH)
+    )
+    in_target = "_tessera_in_target"
+    joined = target.withColumn(in_target, F.lit(True)).join(renamed, key, "full")
+    matched = F.coalesce(F.col(_MATCH), F.lit(False))
+    only_src = F.col(in_target).isNull()
+    out = [F.col(key)]
+    for c in target.columns:
+        if c == key:
+            continue
+        if c not in s_types:
+            out.append(F.col(c))
+            continue
+        s = F.col(f"_s_{c}")
+        take = matched & ~_blank(s, s_types[c]) if blanks == "keep" else matched
+        out.append(F.when(only_src, s).when(take, s).otherwise(F.col(c)).alias(c))
+    out += [F.col(f"_s_{c}").alias(c) for c in s_cols if c not in target.columns]
+    merged = joined.select(*out).select(*target.columns, *[c for c in s_cols if c not in target.columns])
+    null_keyed = src.where(F.col(key).isNull())
+    return merged.unionByName(null_keyed, allowMissingColumns=True)
+
+
 def write_outcomes(target: DataFrame, src: DataFrame, key: str, operation: str) -> DataFrame:
     """Per source row, what the keyed write does with it:
     ``updated``, ``inserted``, ``not_found`` (update of a missing key),

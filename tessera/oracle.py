@@ -297,3 +297,5 @@ ORACLE: dict[str, str] = {
     "example_rows": """select cast(o_orderkey as varchar) as c1, cast(o_orderkey + 1 as varchar) as c2,
         cast(o_orderkey + 2 as varchar) as c3, cast(o_orderkey + 3 as varchar) as c4 from orders""",
 }
+
+ORACLE["upsert_full_outer"] = ORACLE["upsert"]

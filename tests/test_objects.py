@@ -63,3 +63,17 @@ def test_new_source_column_added(spark):
     t, s = frames(spark, [(1, "A", "x")], "id long, name string, extra string")
     got = as_dict(upsert(t, s, "id"))
     assert got[1]["extra"] == "x" and got[2]["extra"] is None
+
+
+def test_upsert_plans_agree(spark):
+    from tests.conftest import SF
+    from tessera import catalog as C
+
+    target = C.table(spark, SF, "customer")
+    src = C.account_changes(spark, SF).unionByName(
+        spark.createDataFrame([(None, "nobody", 1.0)], "c_custkey long, c_name string, c_acctbal double"))
+    for blanks in ("keep", "overwrite"):
+        a = upsert(target, src, "c_custkey", blanks=blanks)
+        b = upsert(target, src, "c_custkey", blanks=blanks, plan="full_outer")
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
