@@ -351,6 +351,14 @@ def q_bulk_read(spark, d):
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
 
 
+def q_bulk_read_range(spark, d):
+    """Batches cut at sampled key ranges (one range shuffle), read back whole."""
+    src = table(spark, d, "documents")
+    path = scratch_path(spark, "bulk-range")
+    manifest = bulk.write_batches(src, path, ["doc_id"], max_bytes=500_000, split="range")
+    return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
+
+
 def q_bulk_newlines(spark, d):
     src, path, manifest = _documents_batches(spark, d, "conversations", ("conv_id", "turn"))
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
@@ -517,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "query_all": q_query_all,
     "name_resolution": q_name_resolution,
     "bulk_read": q_bulk_read,
+    "bulk_read_range": q_bulk_read_range,
     "bulk_newlines": q_bulk_newlines,
     "bulk_infer": q_bulk_infer,
     "bulk_last": q_bulk_last,

@@ -46,6 +46,23 @@ def _default_ranges(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def place_in_ranges(df: DataFrame, order_by: list[str | Column], ranges: int,
+                    range_col: str = "range_id", pos_col: str = "pos_in_range") -> DataFrame:
+    """Range-partition ``df`` into ``ranges`` ordered partitions (steps 1-3
+    above): ``range_col`` is the partition (0-based, in order) and
+    ``pos_col`` the row's 0-based position inside it.  A hot key value and a
+    group of identical copies are split over ranges."""
+    named = {c for c in order_by if isinstance(c, str)}
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    ties = [F.col(f.name) for f in df.schema.fields if f.name not in named and _orderable(f.dataType)]
+    keys = order + ties
+    numbered = df.sortWithinPartitions(*keys).withColumn(_COPY, F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(ranges, *keys, F.col(_COPY)).sortWithinPartitions(*keys, F.col(_COPY))
+    return ranged.withColumn(range_col, F.spark_partition_id()).withColumn(
+        pos_col, F.monotonically_increasing_id() - F.shiftleft(F.col(range_col).cast("long"), 33)
+    ).drop(_COPY)
+
+
 def rank_rows(
     df: DataFrame,
     order_by: list[str | Column],
@@ -60,16 +77,7 @@ def rank_rows(
     ``total_col`` adds the row count; ``totals`` adds, per name, the sum of an
     expression over all rows, computed in the same per-range aggregate."""
     totals = totals or {}
-    n = ranges or _default_ranges(df)
-    named = {c for c in order_by if isinstance(c, str)}
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ties = [F.col(f.name) for f in df.schema.fields if f.name not in named and _orderable(f.dataType)]
-    keys = order + ties
-    numbered = df.sortWithinPartitions(*keys).withColumn(_COPY, F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(n, *keys, F.col(_COPY)).sortWithinPartitions(*keys, F.col(_COPY))
-    placed = ranged.withColumn(_PART, F.spark_partition_id()).withColumn(
-        _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PART).cast("long"), 33)
-    )
+    placed = place_in_ranges(df, order_by, ranges or _default_ranges(df), _PART, _POS)
     counts = placed.groupBy(_PART).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(e).alias(f"_m_{k}") for k, e in totals.items()]
     )
@@ -85,7 +93,7 @@ def rank_rows(
     out = placed.join(F.broadcast(offsets), _PART).withColumn(rank_col, (F.col(_OFF) + F.col(_POS)).cast("long"))
     if total_col:
         out = out.withColumn(total_col, F.col(_TOTAL).cast("long"))
-    return out.drop(_COPY, _PART, _POS, _OFF, _TOTAL)
+    return out.drop(_PART, _POS, _OFF, _TOTAL)
 
 
 def assign_pages(df: DataFrame, order_by: list[str | Column], page_size: int = 1000,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.encode import csv_header, csv_line, line_bytes
-from tessera.operators.paging import rank_rows
+from tessera.operators.paging import place_in_ranges, rank_rows
 
 # Payload target per part, and the row count the estimate samples.
 MAX_PART_BYTES = 10 * 1024 * 1024
@@ -97,6 +97,20 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
                          first.alias("first"))
 
 
+def range_parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
+                       columns: list[str] | None = None) -> DataFrame:
+    """``(part_number, pos, line)`` with parts taken as Spark's sampled key
+    ranges: one exact size pass (an aggregate, no shuffle) fixes the part
+    count, then one range shuffle places the rows; ``pos`` is the position
+    inside the part.  Parts are about, not exactly, equal; each part is one
+    task, in order."""
+    cols = columns or df.columns
+    parts = int(encoded_size(df, cols).select(part_count(F.col("bytes"), max_bytes)).first()[0])
+    lines = df.select(*[F.col(k) for k in order_by], csv_line(df, cols).alias("line"))
+    placed = place_in_ranges(lines, order_by, parts, "_range", "pos")
+    return placed.select((F.col("_range") + F.lit(1)).cast("long").alias("part_number"), "pos", "line")
+
+
 def part_manifest(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                   columns: list[str] | None = None) -> DataFrame:
     """Per part: rows and payload bytes (each line plus its newline)."""
@@ -124,14 +138,22 @@ def part_payloads(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_
 
 
 def write_parts(df: DataFrame, path: str, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                columns: list[str] | None = None) -> DataFrame:
+                columns: list[str] | None = None, split: str = "exact") -> DataFrame:
     """Write the encoded lines as one text folder per part (``part_number=k``)
     and return the part manifest ``(part_number, rows, bytes)`` of what landed:
     records as the CSV reader parses them back, bytes from the file listing.
-    Spark's output commit makes the write all-or-nothing."""
-    lines = parted_lines(df, order_by, max_bytes, columns)
+    Spark's output commit makes the write all-or-nothing.
+
+    ``split="exact"``: equal row shares by rank, then a hash shuffle by part.
+    ``split="range"``: parts are sampled key ranges; one range shuffle only."""
+    if split == "exact":
+        lines = parted_lines(df, order_by, max_bytes, columns).repartition("part_number")
+    elif split == "range":
+        lines = range_parted_lines(df, order_by, max_bytes, columns)
+    else:
+        raise ValueError("split must be 'exact' or 'range'")
     (
-        lines.repartition("part_number")
+        lines
         # Partition column first, so the writer keeps the line order.
         .sortWithinPartitions("part_number", "pos")
         .select("part_number", "line")

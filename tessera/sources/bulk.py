@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.encode import csv_header, line_bytes
-from tessera.operators.parts import MAX_PART_BYTES, parted_lines
+from tessera.functions.encode import csv_header
+from tessera.operators.parts import MAX_PART_BYTES, parted_lines, range_parted_lines
 
 # Fixed value: default longest field the bulk parser accepts.
 DEFAULT_MAX_CHARS = 4096
@@ -24,11 +24,23 @@ MANIFEST_SCHEMA = "job_id string, batch_id long, result int, state string, rows
 
 
 def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                  columns: list[str] | None = None, job_id: str = "job", results_per_batch: int = 1) -> DataFrame:
+                  columns: list[str] | None = None, job_id: str = "job", results_per_batch: int = 1,
+                  split: str = "exact") -> DataFrame:
     """Write ``df`` as CSV batches of about ``max_bytes`` each, every result
     file led by the header line, plus the manifest; returns the manifest.
-    A batch's rows may be split over ``results_per_batch`` result files."""
+    A batch's rows may be split over ``results_per_batch`` result files.
+
+    ``split="exact"``: batch ``k`` holds exactly the ``k``-th equal share of
+    the rows in key order (a rank, then one hash shuffle by batch).
+    ``split="range"``: the batches are Spark's sampled key ranges (one exact
+    size pass without a shuffle, then one range shuffle; each range is one
+    batch file), so batch sizes are only about equal."""
     cols = columns or df.columns
+    if split == "range":
+        _write_range_batches(df, path, order_by, max_bytes, cols)
+        return _manifest(df.sparkSession, path, job_id)
+    if split != "exact":
+        raise ValueError("split must be 'exact' or 'range'")
     lines = parted_lines(df, order_by, max_bytes, cols, subparts=results_per_batch).withColumnRenamed(
         "part_number", "batch_id"
     )
@@ -51,7 +63,31 @@ def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int
         .partitionBy("batch_id", "result")
         .text(path)
     )
-    spark = df.sparkSession
+    return _manifest(df.sparkSession, path, job_id)
+
+
+def _write_range_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int, cols: list[str]) -> None:
+    placed = range_parted_lines(df, order_by, max_bytes, cols)
+    led = placed.select(
+        F.col("part_number").alias("batch_id"),
+        F.lit(1).alias("result"),
+        "pos",
+        F.when(F.col("pos") == F.lit(0), F.concat(F.lit(csv_header(cols) + "\n"), F.col("line")))
+        .otherwise(F.col("line")).alias("line"),
+    )
+    # Each range is already one task holding one batch in order: no further
+    # shuffle.  The explicit local sort (on rows already in that order) is
+    # the ordering the partitioned writer asks for, so it adds none of its own.
+    (
+        led.sortWithinPartitions("batch_id", "result", "pos")
+        .select("batch_id", "result", "line")
+        .write.mode("overwrite")
+        .partitionBy("batch_id", "result")
+        .text(path)
+    )
+
+
+def _manifest(spark: SparkSession, path: str, job_id: str) -> DataFrame:
     # The acknowledgement is what landed: CSV records per batch as parsed
     # back, and the bytes of the batch files.
     records = _csv_reader(spark, -1).csv(path).groupBy("batch_id", "result").agg(F.count(F.lit(1)).alias("rows"))

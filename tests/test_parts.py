@@ -56,3 +56,11 @@ def test_write_parts_counts_records_with_newlines(spark):
     assert man.agg(F.sum("rows")).first()[0] == 1000
     exact = size_plan(docs).first()["bytes"]
     assert man.agg(F.sum("bytes")).first()[0] == exact
+
+
+def test_write_parts_range_split(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    path = scratch_path(spark, "parts-range")
+    man = write_parts(docs, path, ["doc_id"], max_bytes=400_000, split="range")
+    assert man.agg(F.sum("rows")).first()[0] == 1000
+    assert man.agg(F.sum("bytes")).first()[0] == size_plan(docs).first()["bytes"]

@@ -137,3 +137,13 @@ def test_profile_digits_exponent_values(spark):
     assert (prof["c"]["int_digits"], prof["c"]["frac_digits"]) == (1, 4)
     assert prof["a"]["fits"] is False and prof["c"]["fits"] is True  # 11 digits > precision 14 - scale 4
     assert prof["c"]["max_length"] == len("1.0E-4")
+
+
+def test_bulk_batches_range_split(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    path = scratch_path(spark, "bulk-range")
+    manifest = write_batches(docs, path, ["doc_id"], max_bytes=400_000, split="range")
+    rows = manifest.agg(F.sum("rows"), F.count(F.lit(1)), F.max("bytes")).first()
+    assert rows[0] == 1000 and rows[1] >= 5 and rows[2] < 3 * 400_000
+    back = read_batches(spark, path, manifest, schema=docs.schema, max_chars=-1, newline=None)
+    assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
