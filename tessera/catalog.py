@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.casting import cast_columns, cast_value
+from tessera.functions.casting import cast_columns, cast_value, url_encode_fields
 from tessera.functions.encode import csv_lines
 from tessera.operators import jobs, objects, paging, parts, profile, query
 from tessera.operators.infer import infer_types, merge_types
@@ -303,8 +303,8 @@ def q_blank_to_null(spark, d):
 
 
 def q_url_encode(spark, d):
-    p = table(spark, d, "pages")
-    return p.select("page_id", F.url_encode("url").alias("url"), F.url_encode("html").alias("html"))
+    """``encodeFields="url,html"``: listed string fields URL-encoded, others kept."""
+    return url_encode_fields(table(spark, d, "pages"), "url,html")
 
 
 def q_csv_lines(spark, d):

@@ -235,10 +235,30 @@ def write_metadata(profile: DataFrame, dataset: str, path: str) -> None:
     metadata_document(profile, dataset).coalesce(1).write.mode("overwrite").text(path)
 
 
+_FIELD_DOC = T.StructType(
+    [T.StructField(n, T.StringType()) for n in
+     ("fullyQualifiedName", "label", "name", "description", "type", "precision", "scale", "defaultValue", "format",
+      "canTruncateValue")]
+    + [T.StructField(n, T.BooleanType()) for n in ("isSystemField", "isUniqueId", "isMultiValue")]
+)
+METADATA_DOC = T.StructType(
+    [
+        T.StructField("fileFormat", T.StructType([
+            T.StructField("charsetName", T.StringType()), T.StructField("fieldsDelimitedBy", T.StringType()),
+            T.StructField("numberOfLinesToIgnore", T.LongType())])),
+        T.StructField("objects", T.ArrayType(T.StructType([
+            T.StructField("fullyQualifiedName", T.StringType()), T.StructField("label", T.StringType()),
+            T.StructField("name", T.StringType()), T.StructField("fields", T.ArrayType(_FIELD_DOC))]))),
+    ]
+)
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """A metadata document given whole, as a field table
-    ``(object, position, name, type, precision, scale, format, default_value)``."""
-    doc = spark.read.option("multiLine", "true").json(path)
+    ``(object, position, name, type, precision, scale, format, default_value)``.
+    Read with a fixed document schema, so absent keys are nulls and numbers
+    may be written bare or quoted."""
+    doc = spark.read.schema(METADATA_DOC).option("multiLine", "true").json(path)
     obj = doc.select(F.explode("objects").alias("o"))
     return obj.select(F.col("o.name").alias("object"), F.posexplode("o.fields").alias("position", "f")).select(
         "object",

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.objects import upsert as keyed_upsert
 from tessera.operators.parts import MAX_PART_BYTES, size_plan
-from tessera.operators.profile import check_declared, read_metadata
+from tessera.operators.profile import check_declared, declared_fields, metadata_document, read_metadata
 
 MANIFEST = T.StructType(
     [
@@ -81,6 +81,15 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return _read_versions(spark, path, sorted(r["version"] for r in _visible(log)))
 
 
+def read_dataset_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """Field table of the metadata published with the latest visible version."""
+    log = _commit_log(spark, path)
+    if not log:
+        raise FileNotFoundError(f"no committed dataset at {path}")
+    latest = max(r["version"] for r in _visible(log))
+    return read_metadata(spark, f"{path}/_metadata/version={latest}")
+
+
 def _read_versions(spark: SparkSession, path: str, versions: list[int]) -> DataFrame:
     # A filter on the partition column: only these version folders are listed and read.
     data = spark.read.parquet(f"{path}/data")
@@ -107,6 +116,7 @@ def publish(
     operation = dataset_operation(mode, upsert)
     if operation == "Upsert" and not unique_ids:
         raise ValueError("upsert needs the unique-id fields (unique_ids)")
+    name = dataset or path.rstrip("/").rsplit("/", 1)[-1]
     if metadata_path:
         read_metadata(spark, metadata_path).first()  # fails early on a bad document
     else:
@@ -117,6 +127,13 @@ def publish(
         if done:
             return spark.createDataFrame(done, MANIFEST)
     version = max([r["version"] for r in log], default=0) + 1
+    # Metadata first: the supplied document as given, else the one derived
+    # from the schema and the type map (one small JSON file per version).
+    if metadata_path:
+        doc = spark.read.text(metadata_path, wholetext=True)
+    else:
+        doc = metadata_document(declared_fields(df, name, type_map), name).withColumnRenamed("json", "value")
+    doc.coalesce(1).write.mode("overwrite").text(f"{path}/_metadata/version={version}")
 
     data = df
     if operation == "Upsert" and log:

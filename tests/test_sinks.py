@@ -147,3 +147,19 @@ def test_bulk_batches_range_split(spark):
     assert rows[0] == 1000 and rows[1] >= 5 and rows[2] < 3 * 400_000
     back = read_batches(spark, path, manifest, schema=docs.schema, max_chars=-1, newline=None)
     assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
+
+
+def test_publish_writes_metadata(spark):
+    from tessera.plans.publish import read_dataset_metadata
+
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    path = scratch_path(spark, "pub-meta")
+    publish(n, path, mode="overwrite", dataset="nations")
+    fields = {r["name"]: r for r in read_dataset_metadata(spark, path).collect()}
+    assert set(fields) == {"n_nationkey", "n_name", "n_regionkey"}
+    assert fields["n_name"]["type"] == "Text" and fields["n_nationkey"]["precision"] == 10
+    # A supplied document replaces the derived one.
+    other = scratch_path(spark, "meta-src")
+    write_metadata(field_profile(n, "given", {"integer": {"wave_type": "Text"}}), "given", other)
+    publish(n, path, mode="append", metadata_path=other)
+    assert {r["type"] for r in read_dataset_metadata(spark, path).collect()} == {"Text"}
