@@ -43,7 +43,10 @@ def _orderable(dtype: T.DataType) -> bool:
 
 
 def _default_ranges(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """One range per input partition: the input splits are already sized from
+    the data (``spark.sql.files.maxPartitionBytes``), so each range holds
+    about one split's worth of rows at any scale."""
+    return max(1, df.rdd.getNumPartitions())
 
 
 def place_in_ranges(df: DataFrame, order_by: list[str | Column], ranges: int,
