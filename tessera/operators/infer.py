@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.casting import parses_as
+from tessera.functions.casting import INT_TEXT, parses_as
 from tessera.functions.typenames import CANDIDATES, NUMERIC_PRECEDENCE, spark_type
 
 _NONE = len(CANDIDATES)
@@ -46,11 +46,24 @@ def _sampled(df: DataFrame, sample_size: int | None, order_by) -> DataFrame:
 
 
 def value_class(v: Column, date_format: str | None = None) -> Column:
-    """Class of one value (null when blank): index of the first candidate it parses as."""
-    out = F.when(v.isNull() | (v == F.lit("")), F.lit(None).cast("int"))
-    for i, cand in enumerate(CANDIDATES):
-        out = out.when(parses_as(v, spark_type(cand), date_format if cand == "timestamp" else None), F.lit(i))
-    return out.otherwise(F.lit(_NONE))
+    """Class of one value (null when blank): index of the first candidate it parses as.
+
+    The integer text pattern is tested once: a text that has it is an
+    integer, else a long, else (out of long range) still a double, since
+    every integer text is a JVM floating literal."""
+    integral = (
+        F.when(parses_as(v, spark_type("integer")), F.lit(0))
+        .when(v.try_cast(T.LongType()).isNotNull(), F.lit(1))
+        .otherwise(F.lit(2))
+    )
+    return (
+        F.when(v.isNull() | (v == F.lit("")), F.lit(None).cast("int"))
+        .when(v.rlike(INT_TEXT), integral)
+        .when(parses_as(v, spark_type("double")), F.lit(2))
+        .when(parses_as(v, spark_type("timestamp"), date_format), F.lit(3))
+        .when(parses_as(v, spark_type("boolean")), F.lit(4))
+        .otherwise(F.lit(_NONE))
+    )
 
 
 def class_aggs(v: Column, prefix: str, date_format: str | None = None) -> list[Column]:
