@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.infer import infer_schema, infer_types, merge_types
