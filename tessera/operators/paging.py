@@ -99,6 +99,12 @@ def rank_rows(
     return out.drop(_PART, _POS, _OFF, _TOTAL)
 
 
+def int_div(a: Column, b: int) -> Column:
+    """``floor(a / b)`` for non-negative longs below 2^53, exactly: the
+    remainder is removed first, so the division has no fraction to round."""
+    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("long")
+
+
 def assign_pages(df: DataFrame, order_by: list[str | Column], page_size: int = 1000,
                  page_col: str = "page", ranges: int | None = None) -> DataFrame:
     """Page number (0-based) of every row when the result is fetched
@@ -107,7 +113,7 @@ def assign_pages(df: DataFrame, order_by: list[str | Column], page_size: int = 1
     if page_size <= 0:
         raise ValueError("page_size must be positive")
     ranked = rank_rows(df, order_by, "_tessera_rank", ranges=ranges)
-    return ranked.withColumn(page_col, F.floor(F.col("_tessera_rank") / F.lit(page_size)).cast("long")).drop(
+    return ranked.withColumn(page_col, int_div(F.col("_tessera_rank"), page_size)).drop(
         "_tessera_rank"
     )
 
@@ -137,7 +143,7 @@ def pk_chunks(df: DataFrame, key: str | list[str], chunk_size: int = DEFAULT_CHU
         raise ValueError(f"chunk_size must be in 1..{MAX_CHUNK_SIZE}")
     keys = [key] if isinstance(key, str) else list(key)
     ranked = rank_rows(df, keys, "_tessera_rank", ranges=ranges)
-    return ranked.withColumn(chunk_col, F.floor(F.col("_tessera_rank") / F.lit(chunk_size)).cast("long")).drop(
+    return ranked.withColumn(chunk_col, int_div(F.col("_tessera_rank"), chunk_size)).drop(
         "_tessera_rank"
     )
 

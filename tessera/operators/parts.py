@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.encode import csv_header, csv_line, line_bytes
 from tessera.operators.paging import place_in_ranges, rank_rows
@@ -22,9 +23,9 @@ SAMPLE_ROWS = 10
 
 def part_count(size: Column, max_bytes: int = MAX_PART_BYTES) -> Column:
     """1 part up to ``max_bytes``, else ``floor(size / max_bytes) + 1``."""
-    return F.when(size <= F.lit(max_bytes), F.lit(1)).otherwise(
-        F.floor(size / F.lit(max_bytes)) + F.lit(1)
-    ).cast("long")
+    size = size.cast("long")
+    whole = (size - F.pmod(size, F.lit(max_bytes))) / F.lit(max_bytes)  # exact: no remainder left
+    return F.when(size <= F.lit(max_bytes), F.lit(1)).otherwise(whole + F.lit(1)).cast("long")
 
 
 def encoded_size(df: DataFrame, columns: list[str] | None = None, timestamp_style: str = "spark") -> DataFrame:
@@ -61,12 +62,22 @@ def size_partitions(df: DataFrame, max_bytes: int = MAX_PART_BYTES) -> DataFrame
     return df
 
 
+def share(pos: Column, pieces: Column, rows: Column) -> Column:
+    """``floor(pos * pieces / rows)`` exactly, as an integer (non-negative
+    inputs).  The product is taken in ``decimal(38,0)`` (a long product can
+    pass 2^63, a double loses digits past 2^53), and the remainder is removed
+    before dividing, so the division is exact and nothing is rounded."""
+    wide = pos.cast(T.DecimalType(38, 0)) * pieces.cast(T.DecimalType(38, 0))
+    n = rows.cast(T.DecimalType(38, 0))
+    return ((wide - F.pmod(wide, n)) / n).cast("long")
+
+
 def number_parts(df: DataFrame, order_by: list[str], parts: int | Column, part_col: str = "part_number") -> DataFrame:
     """Part number 1..parts of every row: ``floor(rank * parts / rows) + 1``."""
     ranked = rank_rows(df, order_by, "_tessera_rank", total_col="_tessera_rows")
     p = F.lit(parts) if isinstance(parts, int) else parts
     return ranked.withColumn(
-        part_col, (F.floor(F.col("_tessera_rank") * p / F.col("_tessera_rows")) + F.lit(1)).cast("long")
+        part_col, share(F.col("_tessera_rank"), p, F.col("_tessera_rows")) + F.lit(1)
     ).drop("_tessera_rank", "_tessera_rows")
 
 
@@ -76,8 +87,9 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
     global position, the part count derived from the exact encoded size.
 
     With ``subparts > 1`` a ``subpart`` column (1..subparts) splits every part
-    into consecutive pieces: ``floor(x * k) mod k + 1`` for the same
-    ``x = pos * parts / rows`` whose floor gives the part."""
+    into consecutive pieces: piece ``floor(pos * parts * k / rows)`` gives
+    the part (``div k``) and the subpart (``mod k``), since
+    ``floor(floor(y) / k) = floor(y / k)``."""
     cols = columns or df.columns
     line = csv_line(df, cols)
     lines = df.select(*[F.col(k) for k in order_by], line.alias("line"))
@@ -85,16 +97,16 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
     # aggregate, so the size costs no extra pass.
     ranked = rank_rows(lines, order_by, "pos", total_col="_rows", totals={"_bytes": line_bytes("line")})
     parts = part_count(F.col("_bytes"), max_bytes)
-    x = F.col("pos") * parts / F.col("_rows")
-    x_before = (F.col("pos") - F.lit(1)) * parts / F.col("_rows")
-    k = F.lit(subparts)
+    k = F.lit(subparts).cast("long")
+    pieces = parts * k
+    piece = share(F.col("pos"), pieces, F.col("_rows"))
     # First row of its (sub)part: the piece index changes between pos-1 and pos.
-    first = (F.col("pos") == F.lit(0)) | (F.floor(x * k) != F.floor(x_before * k))
+    first = (F.col("pos") == F.lit(0)) | (piece != share(F.col("pos") - F.lit(1), pieces, F.col("_rows")))
     extra = []
     if subparts > 1:
-        extra = [(F.pmod(F.floor(x * k), k) + F.lit(1)).cast("int").alias("subpart")]
-    return ranked.select((F.floor(x) + F.lit(1)).cast("long").alias("part_number"), "pos", "line", *extra,
-                         first.alias("first"))
+        extra = [(F.pmod(piece, k) + F.lit(1)).cast("int").alias("subpart")]
+    part = ((piece - F.pmod(piece, k)) / k + F.lit(1)).cast("long")
+    return ranked.select(part.alias("part_number"), "pos", "line", *extra, first.alias("first"))
 
 
 def range_parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,

@@ -64,3 +64,14 @@ def test_write_parts_range_split(spark):
     man = write_parts(docs, path, ["doc_id"], max_bytes=400_000, split="range")
     assert man.agg(F.sum("rows")).first()[0] == 1000
     assert man.agg(F.sum("bytes")).first()[0] == size_plan(docs).first()["bytes"]
+
+
+def test_share_is_exact_at_scale(spark):
+    from tessera.operators.parts import share
+
+    rows = 10**12 + 7
+    hard = ((rows - 1) * pow(7, -1, rows)) % rows  # pos * 7 leaves remainder rows - 1
+    cases = [(hard, 7), (hard - 1, 7), (10**12, 10**7), (123_456_789_012, 7_777_777), (0, 3)]
+    df = spark.createDataFrame(cases, "pos long, parts long").withColumn("rows", F.lit(rows).cast("long"))
+    got = df.select("pos", "parts", share(F.col("pos"), F.col("parts"), F.col("rows")).alias("s")).collect()
+    assert all(r["s"] == r["pos"] * r["parts"] // rows for r in got)
