@@ -25,3 +25,24 @@ def test_streaming_publish(spark):
     q = publish_stream(stream, path, scratch_path(spark, "stream-ckpt"), mode="append", trigger={"availableNow": True})
     q.awaitTermination(120)
     assert read_dataset(spark, path).count() == 25
+
+
+def test_stream_batches(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.session import scratch_path
+    from tessera.sources.bulk import write_batches
+    from tessera.streaming.source import stream_batches
+
+    conv = spark.read.parquet(f"{SF}/conversations.parquet")
+    path = scratch_path(spark, "stream-batches")
+    manifest = write_batches(conv, path, ["conv_id", "turn"], max_bytes=100_000)
+    failed = manifest.withColumn("state", F.when(F.col("batch_id") == 1, F.lit("Failed")).otherwise(F.col("state")))
+    skipped = manifest.where("batch_id = 1").first()["rows"]
+    got = []
+    q = (stream_batches(spark, path, conv.schema, failed, max_chars=-1, max_files_per_trigger=1)
+         .writeStream.foreachBatch(lambda df, epoch: got.append(df.count()))
+         .option("checkpointLocation", scratch_path(spark, "stream-batches-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    assert sum(got) == conv.count() - skipped and len(got) > 1
