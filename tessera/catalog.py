@@ -359,6 +359,22 @@ def q_bulk_read_range(spark, d):
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
 
 
+def q_stream_batches(spark, d):
+    """Batch result files consumed as a stream (completed batches only) into
+    an epoch-partitioned table, read back whole."""
+    from tessera.streaming.sink import append_stream
+    from tessera.streaming.source import stream_batches
+
+    src, path, manifest = _documents_batches(spark, d)
+    out = scratch_path(spark, "stream-out")
+    q = append_stream(stream_batches(spark, path, src.schema, manifest, max_chars=-1, max_files_per_trigger=4),
+                      out, scratch_path(spark, "stream-ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out).drop("epoch")
+
+
 def q_bulk_newlines(spark, d):
     src, path, manifest = _documents_batches(spark, d, "conversations", ("conv_id", "turn"))
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
@@ -526,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "name_resolution": q_name_resolution,
     "bulk_read": q_bulk_read,
     "bulk_read_range": q_bulk_read_range,
+    "stream_batches": q_stream_batches,
     "bulk_newlines": q_bulk_newlines,
     "bulk_infer": q_bulk_infer,
     "bulk_last": q_bulk_last,

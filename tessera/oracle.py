@@ -300,3 +300,4 @@ ORACLE: dict[str, str] = {
 
 ORACLE["upsert_full_outer"] = ORACLE["upsert"]
 ORACLE["bulk_read_range"] = ORACLE["bulk_read"]
+ORACLE["stream_batches"] = ORACLE["bulk_read"]

@@ -8,6 +8,7 @@ micro-batch replayed after a failure is not written twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.plans.publish import publish
@@ -31,3 +32,24 @@ def publish_stream(
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def append_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append every micro-batch to a Parquet table under ``path``, one
+    ``epoch=<id>`` folder per micro-batch.  A micro-batch replayed after a
+    failure overwrites its own folder (dynamic partition overwrite), so each
+    epoch lands exactly once."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        (
+            batch.withColumn("epoch", F.lit(int(epoch)).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("epoch")
+            .parquet(path)
+        )
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
