@@ -425,7 +425,7 @@ def q_update(spark, d):
 
 
 def q_upsert(spark, d):
-    return objects.upsert(table(spark, d, "customer"), account_changes(spark, d), "c_custkey")
+    return objects.upsert(table(spark, d, "customer"), account_changes(spark, d), "c_custkey", plan="build_source")
 
 
 def q_upsert_full_outer(spark, d):

@@ -43,24 +43,72 @@ def key_problems(src: DataFrame, key: str) -> DataFrame:
     return per_key.agg(
         F.coalesce(F.sum(F.when(k.isNull(), F.col("_n"))), F.lit(0)).alias("null_keys"),
         F.count_if(k.isNotNull() & (F.col("_n") > 1)).alias("duplicate_keys"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
     )
 
 
-def check_keys(src: DataFrame, key: str, allow_null: bool) -> None:
+def check_keys(src: DataFrame, key: str, allow_null: bool) -> int:
+    """Raise on duplicate keys (and on null keys unless allowed); returns the row count."""
     row = key_problems(src, key).first()
     if row["duplicate_keys"]:
         raise ValueError(f"{row['duplicate_keys']} keys of {key!r} repeat in the source; pass order_by to keep the last")
     if row["null_keys"] and not allow_null:
         raise ValueError(f"{row['null_keys']} source rows have a null {key!r}")
+    return int(row["rows"])
 
 
-def _prepare(src: DataFrame, key: str, order_by: str | None, validate: bool, allow_null: bool) -> DataFrame:
+def _prepare(src: DataFrame, key: str, order_by: str | None, validate: bool,
+             allow_null: bool) -> tuple[DataFrame, int | None]:
     if order_by:
         nulls = src.where(F.col(key).isNull())
         src = dedupe_last(src.where(F.col(key).isNotNull()), key, order_by).unionByName(nulls)
-    if validate:
-        check_keys(src, key, allow_null)
-    return src
+    rows = check_keys(src, key, allow_null) if validate else None
+    return src, rows
+
+
+def _broadcast_threshold(spark) -> int:
+    conf = spark.conf
+    value = conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) or conf.get(
+        "spark.sql.autoBroadcastJoinThreshold", "10485760")
+    v = str(value).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if v.endswith(suffix):
+            return int(float(v[: -len(suffix)]) * units[suffix])
+    return int(v)
+
+
+# Spark's default size in bytes per column type (used by its
+# own size estimates when no statistics exist).
+_DEFAULT_SIZE = {
+    T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4, T.DoubleType: 8,
+    T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8, T.StringType: 20,
+    T.BinaryType: 100,
+}
+
+
+def _default_size(dtype: T.DataType) -> int:
+    if isinstance(dtype, T.DecimalType):
+        return 8 if dtype.precision <= 18 else 16
+    if isinstance(dtype, T.ArrayType):
+        return _default_size(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _default_size(dtype.keyType) + _default_size(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return sum(_default_size(f.dataType) for f in dtype.fields)
+    return _DEFAULT_SIZE.get(type(dtype), 20)
+
+
+def choose_plan(src: DataFrame, rows: int | None) -> str:
+    """``build_source`` when the change set is estimated to fit the broadcast
+    threshold (rows times Spark's default size of each column type), else
+    ``full_outer``.  Unknown row count keeps ``build_source``; AQE still makes
+    the broadcast decision from measured sizes either way."""
+    if rows is None:
+        return "build_source"
+    width = sum(_default_size(f.dataType) for f in src.schema.fields)
+    threshold = _broadcast_threshold(src.sparkSession)
+    return "build_source" if threshold > 0 and rows * width <= threshold else "full_outer"
 
 
 def _blank(c, dtype: T.DataType):
@@ -97,12 +145,12 @@ def update(target: DataFrame, src: DataFrame, key: str, blanks: str = "keep",
            order_by: str | None = None, validate: bool = True) -> DataFrame:
     """Overwrite-mode write: matching keys are updated; source keys not in the
     target change nothing (see ``write_outcomes``).  Null keys raise."""
-    src = _prepare(src, key, order_by, validate, allow_null=False)
+    src, _ = _prepare(src, key, order_by, validate, allow_null=False)
     return _apply(target, src, key, blanks)
 
 
 def upsert(target: DataFrame, src: DataFrame, key: str, blanks: str = "keep",
-           order_by: str | None = None, validate: bool = True, plan: str = "build_source") -> DataFrame:
+           order_by: str | None = None, validate: bool = True, plan: str = "auto") -> DataFrame:
     """Update where the key exists, insert otherwise; target columns the
     source lacks are kept.  A null key is a plain insert.
 
@@ -110,12 +158,15 @@ def upsert(target: DataFrame, src: DataFrame, key: str, blanks: str = "keep",
     of every join, so a small change set never shuffles the target.
     ``plan="full_outer"`` is one full outer join on the key: one shuffle per
     side (none when both sides are bucketed by the key), the better plan
-    when the change set is itself large."""
-    src = _prepare(src, key, order_by, validate, allow_null=True)
+    when the change set is itself large.  ``plan="auto"`` picks one from
+    the change set's estimated size (``choose_plan``)."""
+    src, rows = _prepare(src, key, order_by, validate, allow_null=True)
+    if plan == "auto":
+        plan = choose_plan(src, rows)
     if plan == "full_outer":
         return _upsert_full_outer(target, src, key, blanks)
     if plan != "build_source":
-        raise ValueError("plan must be 'build_source' or 'full_outer'")
+        raise ValueError("plan must be 'auto', 'build_source' or 'full_outer'")
     updated = _apply(target, src, key, blanks)
     keyed = src.where(F.col(key).isNotNull())
     # Keys of the source that the target holds: target keys (one pruned

@@ -76,3 +76,12 @@ def test_upsert_plans_agree(spark):
         b = upsert(target, src, "c_custkey", blanks=blanks, plan="full_outer")
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_auto_plan_choice(spark):
+    from tessera.operators.objects import choose_plan
+
+    src = spark.createDataFrame([(1, "a")], "id long, name string")
+    assert choose_plan(src, 10) == "build_source"
+    assert choose_plan(src, 10**9) == "full_outer"
+    assert choose_plan(src, None) == "build_source"
