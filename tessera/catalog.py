@@ -486,7 +486,7 @@ def q_type_map_override(spark, d):
 def q_metadata_table(spark, d):
     path = scratch_path(spark, "metadata")
     prof = profile.field_profile(table(spark, d, "lineitem"), "lineitem")
-    profile.write_metadata(prof, "lineitem", path)
+    profile.write_metadata(prof, "lineitem", path, unique_ids=["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
     return profile.read_metadata(spark, path)
 
 

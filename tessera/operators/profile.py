@@ -197,15 +197,16 @@ def check_profile(profile: DataFrame) -> None:
         raise ValueError("a dataset needs at least one Text column")
 
 
-def metadata_document(profile: DataFrame, dataset: str) -> DataFrame:
+def metadata_document(profile: DataFrame, dataset: str, unique_ids: list[str] | None = None) -> DataFrame:
     """The metadata JSON document of a dataset as one row ``(json)``; the
-    field list is bounded by the schema width."""
+    field list is bounded by the schema width.  Fields named in
+    ``unique_ids`` are marked ``isUniqueId``."""
     field = F.struct(
         F.col("full_name").alias("fullyQualifiedName"),
         F.col("column").alias("label"),
         F.col("column").alias("name"),
         F.lit(False).alias("isSystemField"),
-        F.lit(False).alias("isUniqueId"),
+        F.col("column").isin(*(unique_ids or [])).alias("isUniqueId"),
         F.lit(False).alias("isMultiValue"),
         F.col("wave_type").alias("type"),
         F.col("precision").alias("precision"),
@@ -230,9 +231,9 @@ def metadata_document(profile: DataFrame, dataset: str) -> DataFrame:
     return fields.select(F.to_json(doc).alias("json"))
 
 
-def write_metadata(profile: DataFrame, dataset: str, path: str) -> None:
+def write_metadata(profile: DataFrame, dataset: str, path: str, unique_ids: list[str] | None = None) -> None:
     """Write the metadata document (one small JSON file)."""
-    metadata_document(profile, dataset).coalesce(1).write.mode("overwrite").text(path)
+    metadata_document(profile, dataset, unique_ids).coalesce(1).write.mode("overwrite").text(path)
 
 
 _FIELD_DOC = T.StructType(
@@ -269,4 +270,5 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
         F.col("f.scale").cast("int").alias("scale"),
         F.col("f.format").alias("format"),
         F.col("f.defaultValue").cast("string").alias("default_value"),
+        F.coalesce(F.col("f.isUniqueId"), F.lit(False)).alias("is_unique_id"),
     )

@@ -285,7 +285,8 @@ ORACLE: dict[str, str] = {
         select 'lineitem' as object, cast(pos as integer) as "position", column_name as name,
                coalesce(tm.wave_type, 'Text') as type, cast(tm."precision" as integer) as "precision",
                cast(case when tm."precision" is not null then coalesce(tm.scale, 0) end as integer) as scale,
-               tm.format, case when tm."precision" is not null then '0' end as default_value
+               tm.format, case when tm."precision" is not null then '0' end as default_value,
+               column_name in ('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber') as is_unique_id
         from cols left join tm using (column_type)""",
     "scale_limit": """select column_name as "column", 8 as scale from (describe orders) where column_type = 'DOUBLE'""",
     "job_outcomes": f"""with s as (select o_orderkey as job_id, {STATUS_SQL} as status from orders),

@@ -132,7 +132,7 @@ def publish(
     if metadata_path:
         doc = spark.read.text(metadata_path, wholetext=True)
     else:
-        doc = metadata_document(declared_fields(df, name, type_map), name).withColumnRenamed("json", "value")
+        doc = metadata_document(declared_fields(df, name, type_map), name, unique_ids).withColumnRenamed("json", "value")
     doc.coalesce(1).write.mode("overwrite").text(f"{path}/_metadata/version={version}")
 
     data = df

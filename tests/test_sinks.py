@@ -163,3 +163,14 @@ def test_publish_writes_metadata(spark):
     write_metadata(field_profile(n, "given", {"integer": {"wave_type": "Text"}}), "given", other)
     publish(n, path, mode="append", metadata_path=other)
     assert {r["type"] for r in read_dataset_metadata(spark, path).collect()} == {"Text"}
+
+
+def test_metadata_marks_unique_ids(spark):
+    from tessera.plans.publish import read_dataset_metadata
+
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    path = scratch_path(spark, "pub-unique")
+    publish(n, path, mode="overwrite")
+    publish(n, path, upsert=True, unique_ids=["n_nationkey"])
+    marks = {r["name"]: r["is_unique_id"] for r in read_dataset_metadata(spark, path).collect()}
+    assert marks == {"n_nationkey": True, "n_name": False, "n_regionkey": False}
