@@ -28,22 +28,30 @@ def value_text(c: Column | str, dtype: T.DataType | None = None, timestamp_style
     return c.cast("string")
 
 
-def quote_text(s: Column) -> Column:
-    """Apply the CSV value rule to a string column."""
+def quote_text(s: Column, quote_cr: bool = False) -> Column:
+    """Apply the CSV value rule to a string column.
+
+    ``quote_cr`` also quotes a value holding a ``\r``: the payload rule does
+    not, but a CSV reader that splits records on ``\r`` needs it, so files
+    this library writes and parses back set it."""
     doubled = F.replace(s, F.lit('"'), F.lit('""'))
     needs = s.contains('"') | s.contains("\n") | s.contains(",")
+    if quote_cr:
+        needs = needs | s.contains("\r")
     return F.coalesce(F.when(needs, F.concat(F.lit('"'), doubled, F.lit('"'))).otherwise(s), F.lit(""))
 
 
-def csv_value(c: Column | str, dtype: T.DataType | None = None, timestamp_style: str = "spark") -> Column:
-    return quote_text(value_text(c, dtype, timestamp_style))
+def csv_value(c: Column | str, dtype: T.DataType | None = None, timestamp_style: str = "spark",
+              quote_cr: bool = False) -> Column:
+    return quote_text(value_text(c, dtype, timestamp_style), quote_cr)
 
 
-def csv_line(df: DataFrame, columns: list[str] | None = None, timestamp_style: str = "spark") -> Column:
+def csv_line(df: DataFrame, columns: list[str] | None = None, timestamp_style: str = "spark",
+             quote_cr: bool = False) -> Column:
     """One CSV record: encoded values joined by commas."""
     cols = columns or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    return F.concat_ws(",", *[csv_value(F.col(c), types[c], timestamp_style) for c in cols])
+    return F.concat_ws(",", *[csv_value(F.col(c), types[c], timestamp_style, quote_cr) for c in cols])
 
 
 def csv_header(columns: list[str]) -> str:
@@ -57,10 +65,10 @@ def csv_header(columns: list[str]) -> str:
 
 
 def csv_lines(df: DataFrame, columns: list[str] | None = None, keep: list[str] | None = None,
-              timestamp_style: str = "spark") -> DataFrame:
+              timestamp_style: str = "spark", quote_cr: bool = False) -> DataFrame:
     """``line`` per row (plus the ``keep`` columns, e.g. keys for ordering)."""
     keep = keep or []
-    return df.select(*[F.col(k) for k in keep], csv_line(df, columns, timestamp_style).alias("line"))
+    return df.select(*[F.col(k) for k in keep], csv_line(df, columns, timestamp_style, quote_cr).alias("line"))
 
 
 def line_bytes(line: Column | str) -> Column:

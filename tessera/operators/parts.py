@@ -82,7 +82,7 @@ def number_parts(df: DataFrame, order_by: list[str], parts: int | Column, part_c
 
 
 def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                 columns: list[str] | None = None, subparts: int = 1) -> DataFrame:
+                 columns: list[str] | None = None, subparts: int = 1, quote_cr: bool = False) -> DataFrame:
     """``(part_number, pos, line)``: encoded lines with their part and their
     global position, the part count derived from the exact encoded size.
 
@@ -91,7 +91,7 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
     the part (``div k``) and the subpart (``mod k``), since
     ``floor(floor(y) / k) = floor(y / k)``."""
     cols = columns or df.columns
-    line = csv_line(df, cols)
+    line = csv_line(df, cols, quote_cr=quote_cr)
     lines = df.select(*[F.col(k) for k in order_by], line.alias("line"))
     # Row count and encoded bytes come out of the rank's own per-range
     # aggregate, so the size costs no extra pass.
@@ -110,15 +110,17 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
 
 
 def range_parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                       columns: list[str] | None = None) -> DataFrame:
+                       columns: list[str] | None = None, quote_cr: bool = False) -> DataFrame:
     """``(part_number, pos, line)`` with parts taken as Spark's sampled key
     ranges: one exact size pass (an aggregate, no shuffle) fixes the part
     count, then one range shuffle places the rows; ``pos`` is the position
     inside the part.  Parts are about, not exactly, equal; each part is one
     task, in order."""
     cols = columns or df.columns
-    parts = int(encoded_size(df, cols).select(part_count(F.col("bytes"), max_bytes)).first()[0])
-    lines = df.select(*[F.col(k) for k in order_by], csv_line(df, cols).alias("line"))
+    line = csv_line(df, cols, quote_cr=quote_cr)
+    size = df.agg(F.coalesce(F.sum(line_bytes(line)), F.lit(0)).alias("bytes"))
+    parts = int(size.select(part_count(F.col("bytes"), max_bytes)).first()[0])
+    lines = df.select(*[F.col(k) for k in order_by], line.alias("line"))
     placed = place_in_ranges(lines, order_by, parts, "_range", "pos")
     return placed.select((F.col("_range") + F.lit(1)).cast("long").alias("part_number"), "pos", "line")
 
@@ -158,10 +160,11 @@ def write_parts(df: DataFrame, path: str, order_by: list[str], max_bytes: int =
 
     ``split="exact"``: equal row shares by rank, then a hash shuffle by part.
     ``split="range"``: parts are sampled key ranges; one range shuffle only."""
+    # Files this library parses back: a \r inside a value is quoted too.
     if split == "exact":
-        lines = parted_lines(df, order_by, max_bytes, columns).repartition("part_number")
+        lines = parted_lines(df, order_by, max_bytes, columns, quote_cr=True).repartition("part_number")
     elif split == "range":
-        lines = range_parted_lines(df, order_by, max_bytes, columns)
+        lines = range_parted_lines(df, order_by, max_bytes, columns, quote_cr=True)
     else:
         raise ValueError("split must be 'exact' or 'range'")
     (
@@ -175,7 +178,8 @@ def write_parts(df: DataFrame, path: str, order_by: list[str], max_bytes: int =
     )
     spark = df.sparkSession
     records = (
-        spark.read.option("multiLine", "true").option("escape", '"').option("maxCharsPerColumn", "-1").csv(path)
+        spark.read.option("multiLine", "true").option("lineSep", "\n").option("escape", '"')
+        .option("maxCharsPerColumn", "-1").csv(path)
         .groupBy("part_number").agg(F.count(F.lit(1)).alias("rows"))
     )
     sizes = (

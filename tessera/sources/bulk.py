@@ -41,7 +41,8 @@ def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int
         return _manifest(df.sparkSession, path, job_id)
     if split != "exact":
         raise ValueError("split must be 'exact' or 'range'")
-    lines = parted_lines(df, order_by, max_bytes, cols, subparts=results_per_batch).withColumnRenamed(
+    # Batch files are parsed back by a CSV reader: a \r inside a value is quoted too.
+    lines = parted_lines(df, order_by, max_bytes, cols, subparts=results_per_batch, quote_cr=True).withColumnRenamed(
         "part_number", "batch_id"
     )
     if results_per_batch > 1:
@@ -67,7 +68,7 @@ def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int
 
 
 def _write_range_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int, cols: list[str]) -> None:
-    placed = range_parted_lines(df, order_by, max_bytes, cols)
+    placed = range_parted_lines(df, order_by, max_bytes, cols, quote_cr=True)
     led = placed.select(
         F.col("part_number").alias("batch_id"),
         F.lit(1).alias("result"),
@@ -105,10 +106,17 @@ def _manifest(spark: SparkSession, path: str, job_id: str) -> DataFrame:
     return spark.read.parquet(f"{path}/_manifest")
 
 
+# Fixed value: the record separator the writers use.  Set on the reader, it
+# stops the parser from guessing the separator from the first \r it sees
+# (a guess that splits or merges records holding a \r).
+RECORD_SEP = "\n"
+
+
 def _csv_reader(spark: SparkSession, max_chars: int):
     return (
         spark.read.option("header", "true")
         .option("multiLine", "true")
+        .option("lineSep", RECORD_SEP)
         .option("quote", '"')
         .option("escape", '"')
         .option("maxCharsPerColumn", str(max_chars))

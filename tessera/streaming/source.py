@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tessera.sources.bulk import DEFAULT_MAX_CHARS, completed_batches, normalize_newlines, read_manifest
+from tessera.sources.bulk import DEFAULT_MAX_CHARS, RECORD_SEP, completed_batches, normalize_newlines, read_manifest
 
 
 def stream_batches(
@@ -29,6 +29,7 @@ def stream_batches(
         spark.readStream.schema(full)
         .option("header", "true")
         .option("multiLine", "true")
+        .option("lineSep", RECORD_SEP)
         .option("quote", '"')
         .option("escape", '"')
         .option("maxCharsPerColumn", str(max_chars))

@@ -174,3 +174,14 @@ def test_metadata_marks_unique_ids(spark):
     publish(n, path, upsert=True, unique_ids=["n_nationkey"])
     marks = {r["name"]: r["is_unique_id"] for r in read_dataset_metadata(spark, path).collect()}
     assert marks == {"n_nationkey": True, "n_name": False, "n_regionkey": False}
+
+
+def test_bulk_round_trip_keeps_carriage_returns(spark):
+    vals = ["a\rb", "x", "c\r\nd", "p,q", "\r", "e\n\rf", 'q"\r']
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i long, v string")
+    for split in ("exact", "range"):
+        path = scratch_path(spark, f"bulk-cr-{split}")
+        manifest = write_batches(df, path, ["i"], max_bytes=20, split=split)
+        back = read_batches(spark, path, manifest, schema=df.schema, newline=None)
+        assert sorted((r["i"], r["v"]) for r in back.collect()) == list(enumerate(vals))
+        assert manifest.agg(F.sum("rows")).first()[0] == len(vals)
