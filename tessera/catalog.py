@@ -367,7 +367,7 @@ def q_stream_batches(spark, d):
 
     src, path, manifest = _documents_batches(spark, d)
     out = scratch_path(spark, "stream-out")
-    q = append_stream(stream_batches(spark, path, src.schema, manifest, max_chars=-1, max_files_per_trigger=4),
+    q = append_stream(stream_batches(spark, path, src.schema, manifest, max_chars=-1, max_files_per_trigger=16),
                       out, scratch_path(spark, "stream-ckpt"), trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception() is not None:

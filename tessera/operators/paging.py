@@ -46,7 +46,10 @@ def _default_ranges(df: DataFrame) -> int:
     """One range per input partition: the input splits are already sized from
     the data (``spark.sql.files.maxPartitionBytes``), so each range holds
     about one split's worth of rows at any scale."""
-    return max(1, df.rdd.getNumPartitions())
+    try:
+        return max(1, df.rdd.getNumPartitions())
+    except Exception:  # no RDD view (e.g. a Spark Connect session): use the shuffle width
+        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def place_in_ranges(df: DataFrame, order_by: list[str | Column], ranges: int,

@@ -55,9 +55,13 @@ def size_partitions(df: DataFrame, max_bytes: int = MAX_PART_BYTES) -> DataFrame
     """Repartition to the size-derived part count: ``coalesce`` to shrink (no
     shuffle), ``repartition`` to grow."""
     n = int(size_plan(df, max_bytes).first()["parts"])
-    if n < df.rdd.getNumPartitions():
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session)
+        return df.repartition(n)
+    if n < current:
         return df.coalesce(n)
-    if n > df.rdd.getNumPartitions():
+    if n > current:
         return df.repartition(n)
     return df
 

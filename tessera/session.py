@@ -35,14 +35,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a fresh
     folder is created and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context: the setting only
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            # Only a local session without the setting (tests) gets its own folder.
             root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+            spark.conf.set("spark.checkpoint.dir", root) if sc is None else None
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root
 
 
