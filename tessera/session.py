@@ -45,7 +45,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not root:
             # Only a local session without the setting (tests) gets its own folder.
             root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-            spark.conf.set("spark.checkpoint.dir", root) if sc is None else None
         if sc is not None:
             sc.setCheckpointDir(root)
             root = sc.getCheckpointDir() or root
