@@ -185,3 +185,25 @@ def test_bulk_round_trip_keeps_carriage_returns(spark):
         back = read_batches(spark, path, manifest, schema=df.schema, newline=None)
         assert sorted((r["i"], r["v"]) for r in back.collect()) == list(enumerate(vals))
         assert manifest.agg(F.sum("rows")).first()[0] == len(vals)
+
+
+def test_publish_round_trip_bags(spark):
+    from tessera import catalog as C
+    from tessera.operators.objects import upsert as keyed_upsert
+
+    cu = C.table(spark, SF, "customer")
+    path = scratch_path(spark, "pub-bags")
+    publish(cu, path, mode="overwrite")
+    back = read_dataset(spark, path)
+    assert back.exceptAll(cu).count() == 0 and cu.exceptAll(back).count() == 0
+    publish(cu, path, mode="append")
+    both = cu.unionByName(cu)
+    back = read_dataset(spark, path)
+    assert back.exceptAll(both).count() == 0 and both.exceptAll(back).count() == 0
+    publish(cu, path, mode="overwrite")
+    changes = C.account_changes(spark, SF).join(cu.select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey",
+                                                "left").select(*cu.columns)
+    publish(changes, path, upsert=True, unique_ids=["c_custkey"])
+    want = keyed_upsert(cu, changes, "c_custkey", blanks="overwrite")
+    back = read_dataset(spark, path)
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
