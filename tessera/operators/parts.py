@@ -190,5 +190,37 @@ def write_parts(df: DataFrame, path: str, order_by: list[str], max_bytes: int =
         spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
         .groupBy("part_number").agg(F.sum("length").cast("long").alias("bytes"))
     )
-    return records.join(sizes, "part_number").select(F.col("part_number").cast("long"), F.col("rows").cast("long"),
-                                                     "bytes")
+    manifest = records.join(sizes, "part_number").select(
+        F.col("part_number").cast("long"), F.col("rows").cast("long"), "bytes"
+    )
+    return acknowledge(manifest, max_bytes) if split == "exact" else manifest
+
+
+def _ceil_div(a: Column, b: Column) -> Column:
+    """``ceil(a / b)`` exactly for non-negative longs, via ``share``."""
+    return share(a + b - F.lit(1), F.lit(1), b)
+
+
+def acknowledge(manifest: DataFrame, max_bytes: int = MAX_PART_BYTES) -> DataFrame:
+    """Check an exact-split part manifest against what the split promises.
+
+    With ``N`` rows and ``P`` parts (from the total bytes), part ``p`` holds
+    ``ceil(p N / P) - ceil((p - 1) N / P)`` rows.  Adds ``expected_rows`` and
+    ``ok``; the totals are one tiny aggregate over the manifest."""
+    totals = manifest.agg(F.sum("rows").alias("_n"), F.sum("bytes").alias("_b")).select(
+        "_n", part_count(F.col("_b"), max_bytes).alias("_p")
+    )
+    m = manifest.crossJoin(F.broadcast(totals))  # one totals row
+    n, p, k = F.col("_n"), F.col("_p"), F.col("part_number")
+    expected = _ceil_div(k * n, p) - _ceil_div((k - F.lit(1)) * n, p)
+    return m.select("part_number", "rows", "bytes", expected.alias("expected_rows"),
+                    ((F.col("rows") == expected) & (k <= p)).alias("ok"))
+
+
+def parts_ok(acknowledged: DataFrame, max_bytes: int = MAX_PART_BYTES) -> DataFrame:
+    """One row: every part landed whole, and no part is missing."""
+    return acknowledged.agg(
+        (F.coalesce(F.bool_and("ok"), F.lit(False))
+         & (F.count(F.lit(1)) == part_count(F.sum("bytes"), max_bytes))
+         & (F.count(F.lit(1)) == F.max("part_number"))).alias("ok")
+    )

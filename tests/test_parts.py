@@ -75,3 +75,20 @@ def test_share_is_exact_at_scale(spark):
     df = spark.createDataFrame(cases, "pos long, parts long").withColumn("rows", F.lit(rows).cast("long"))
     got = df.select("pos", "parts", share(F.col("pos"), F.col("parts"), F.col("rows")).alias("s")).collect()
     assert all(r["s"] == r["pos"] * r["parts"] // rows for r in got)
+
+
+def test_write_parts_acknowledged(spark):
+    from tessera.operators.parts import acknowledge, parts_ok
+
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    path = scratch_path(spark, "parts-ack")
+    man = write_parts(o, path, ["o_orderkey"], max_bytes=150_000)
+    rows = man.collect()
+    assert all(r["ok"] for r in rows) and sum(r["expected_rows"] for r in rows) == 15000
+    assert parts_ok(man, 150_000).first()["ok"] is True
+    # A part that lost a row, or a missing part, fails the check.
+    broken = man.select("part_number", F.when(F.col("part_number") == 1, F.col("rows") - 1)
+                        .otherwise(F.col("rows")).alias("rows"), "bytes")
+    assert parts_ok(acknowledge(broken, 150_000), 150_000).first()["ok"] is False
+    missing = man.where("part_number <> 2").select("part_number", "rows", "bytes")
+    assert parts_ok(acknowledge(missing, 150_000), 150_000).first()["ok"] is False
