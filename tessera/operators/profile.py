@@ -176,12 +176,11 @@ def scale_violations(profile: DataFrame) -> DataFrame:
 def check_declared(schema: T.StructType, type_map: str | dict | None = None) -> None:
     """The same checks as ``check_profile`` from the schema and type map alone
     (metadata only, no Spark job)."""
-    m = merged_type_map(type_map)
-    entries = [m.get(type_key(f.dataType), {"wave_type": FALLBACK_TYPE}) for f in schema.fields]
+    entries = declared_entries(schema, type_map)
     for e in entries:
-        if e.get("precision") is not None and int(e.get("scale") or 0) > MAX_SCALE:
+        if e["scale"] is not None and e["scale"] > MAX_SCALE:
             raise ValueError(f"scale beyond {MAX_SCALE} is not supported; re-run with scale <= {MAX_SCALE}")
-    if not any(e.get("wave_type") == FALLBACK_TYPE for e in entries):
+    if not any(e["wave_type"] == FALLBACK_TYPE for e in entries):
         raise ValueError("a dataset needs at least one Text column")
 
 
@@ -231,6 +230,45 @@ def metadata_document(profile: DataFrame, dataset: str, unique_ids: list[str] |
     return fields.select(F.to_json(doc).alias("json"))
 
 
+def declared_entries(schema: T.StructType, type_map: str | dict | None = None) -> list[dict]:
+    """The declared mapping per field, on the driver (schema-level metadata)."""
+    m = merged_type_map(type_map)
+    out = []
+    for f in schema.fields:
+        e = m.get(type_key(f.dataType), {"wave_type": FALLBACK_TYPE})
+        has_precision = e.get("precision") is not None
+        out.append({
+            "name": f.name,
+            "wave_type": e.get("wave_type") or FALLBACK_TYPE,
+            "precision": int(e["precision"]) if has_precision else None,
+            "scale": int(e.get("scale") or 0) if has_precision else None,
+            "default_value": (e.get("defaultValue") or "0") if has_precision else None,
+            "format": e.get("format"),
+            "can_truncate": e.get("canTruncateValue"),
+        })
+    return out
+
+
+def metadata_json(schema: T.StructType, dataset: str, type_map: str | dict | None = None,
+                  unique_ids: list[str] | None = None) -> str:
+    """The same document as ``metadata_document`` over ``declared_fields``,
+    built on the driver from the schema and the type map (no Spark job)."""
+    fields = []
+    for e in declared_entries(schema, type_map):
+        f = {
+            "fullyQualifiedName": f"{dataset}.{e['name']}", "label": e["name"], "name": e["name"],
+            "isSystemField": False, "isUniqueId": e["name"] in (unique_ids or []), "isMultiValue": False,
+            "type": e["wave_type"], "precision": e["precision"], "scale": e["scale"],
+            "defaultValue": e["default_value"], "format": e["format"], "canTruncateValue": e["can_truncate"],
+        }
+        fields.append({k: v for k, v in f.items() if v is not None})
+    doc = {
+        "fileFormat": {"charsetName": "UTF-8", "fieldsDelimitedBy": ",", "numberOfLinesToIgnore": 0},
+        "objects": [{"fullyQualifiedName": dataset, "label": dataset, "name": dataset, "fields": fields}],
+    }
+    return json.dumps(doc, separators=(",", ":"))
+
+
 def write_metadata(profile: DataFrame, dataset: str, path: str, unique_ids: list[str] | None = None) -> None:
     """Write the metadata document (one small JSON file)."""
     metadata_document(profile, dataset, unique_ids).coalesce(1).write.mode("overwrite").text(path)

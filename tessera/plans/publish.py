@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.objects import upsert as keyed_upsert
 from tessera.operators.parts import MAX_PART_BYTES, size_plan
-from tessera.operators.profile import check_declared, declared_fields, metadata_document, read_metadata
+from tessera.operators.profile import check_declared, metadata_json, read_metadata
 
 MANIFEST = T.StructType(
     [
@@ -132,7 +132,7 @@ def publish(
     if metadata_path:
         doc = spark.read.text(metadata_path, wholetext=True)
     else:
-        doc = metadata_document(declared_fields(df, name, type_map), name, unique_ids).withColumnRenamed("json", "value")
+        doc = spark.createDataFrame([(metadata_json(df.schema, name, type_map, unique_ids),)], "value string")
     doc.coalesce(1).write.mode("overwrite").text(f"{path}/_metadata/version={version}")
 
     data = df

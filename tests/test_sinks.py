@@ -207,3 +207,15 @@ def test_publish_round_trip_bags(spark):
     want = keyed_upsert(cu, changes, "c_custkey", blanks="overwrite")
     back = read_dataset(spark, path)
     assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
+
+
+def test_metadata_json_matches_document(spark):
+    import json as _json
+
+    from tessera.operators.profile import declared_fields, metadata_document, metadata_json
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    user = {"double": {"wave_type": "Numeric", "precision": "16", "scale": "2", "defaultValue": "7"}}
+    a = _json.loads(metadata_json(li.schema, "li", user, ["l_orderkey"]))
+    b = _json.loads(metadata_document(declared_fields(li, "li", user), "li", ["l_orderkey"]).first()["json"])
+    assert a == b
