@@ -113,7 +113,7 @@ tm as (
     ('DOUBLE', 'double', 'Numeric', 14, 4, null),
     ('VARCHAR', 'string', 'Text', null, null, null),
     ('TIMESTAMP', 'timestamp', 'Date', null, null, 'yyyy-MM-dd''T''HH:mm:ss.SSS''Z''')
-  ) t(column_type, spark_type, wave_type, "precision", scale, format)
+  ) t(column_type, spark_type, dataset_type, "precision", scale, format)
 )"""
 
 
@@ -132,15 +132,15 @@ st as (
   from vals group by column_name
 )
 select cast(c.pos as integer) as "position", c.column_name as "column", '{tbl}.' || c.column_name as full_name,
-       tm.spark_type, coalesce(tm.wave_type, 'Text') as wave_type,
+       tm.spark_type, coalesce(tm.dataset_type, 'Text') as dataset_type,
        cast(tm."precision" as integer) as "precision",
        cast(case when tm."precision" is not null then coalesce(tm.scale, 0) end as integer) as scale,
        case when tm."precision" is not null then '0' end as default_value,
        tm.format, cast(null as varchar) as can_truncate,
        st.max_length, st.null_count,
-       case when tm.wave_type = 'Numeric' then st.int_w end as int_digits,
-       case when tm.wave_type = 'Numeric' then st.frac_w end as frac_digits,
-       case when tm.wave_type = 'Numeric' then coalesce(st.int_w, 0) <= tm."precision" - coalesce(tm.scale, 0) else true end as fits
+       case when tm.dataset_type = 'Numeric' then st.int_w end as int_digits,
+       case when tm.dataset_type = 'Numeric' then st.frac_w end as frac_digits,
+       case when tm.dataset_type = 'Numeric' then coalesce(st.int_w, 0) <= tm."precision" - coalesce(tm.scale, 0) else true end as fits
 from cols c left join tm using (column_type) join st using (column_name)
 """
 
@@ -275,7 +275,7 @@ ORACLE: dict[str, str] = {
     "field_profile": _profile_sql("lineitem"),
     "type_map_override": f"""with {_TYPE_MAP_SQL},
         cols as (select column_name, column_type from (describe orders))
-        select column_name as "column", tm.spark_type, coalesce(tm.wave_type, 'Text') as wave_type,
+        select column_name as "column", tm.spark_type, coalesce(tm.dataset_type, 'Text') as dataset_type,
                cast(tm."precision" as integer) as "precision",
                cast(case when tm."precision" is not null then coalesce(tm.scale, 0) end as integer) as scale,
                case when tm.spark_type = 'timestamp' then 'yyyy/MM/dd''T''HH:mm:ss' else tm.format end as format
@@ -283,7 +283,7 @@ ORACLE: dict[str, str] = {
     "metadata_table": f"""with {_TYPE_MAP_SQL},
         cols as (select column_name, column_type, row_number() over () - 1 as pos from (describe lineitem))
         select 'lineitem' as object, cast(pos as integer) as "position", column_name as name,
-               coalesce(tm.wave_type, 'Text') as type, cast(tm."precision" as integer) as "precision",
+               coalesce(tm.dataset_type, 'Text') as type, cast(tm."precision" as integer) as "precision",
                cast(case when tm."precision" is not null then coalesce(tm.scale, 0) end as integer) as scale,
                tm.format, case when tm."precision" is not null then '0' end as default_value,
                column_name in ('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber') as is_unique_id
