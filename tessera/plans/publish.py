@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,10 +49,13 @@ def dataset_operation(mode: str | None, upsert: bool = False) -> str:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The commit log, or None when nothing was ever committed at ``path``."""
     try:
         return spark.read.schema(MANIFEST).parquet(f"{path}/_manifest")
-    except Exception:  # no commit yet
-        return None
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
 
 
 def _visible_versions(manifest: DataFrame) -> DataFrame:
