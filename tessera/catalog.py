@@ -323,14 +323,14 @@ def q_pk_chunks(spark, d):
 def q_object_query(spark, d):
     return scan.object_scan(
         table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"],
-        not_null=["o_orderpriority"], deleted=F.col("o_orderstatus") == "F",
+        not_null=["o_orderpriority"], deleted="o_orderstatus", deleted_value="F",
     )
 
 
 def q_query_all(spark, d):
     return scan.object_scan(
         table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"],
-        not_null=["o_orderpriority"], deleted=F.col("o_orderstatus") == "F", query_all=True,
+        not_null=["o_orderpriority"], deleted="o_orderstatus", deleted_value="F", query_all=True,
     )
 
 

@@ -23,14 +23,22 @@ def object_scan(
     not_null: list[str] | None = None,
     query_all: bool = False,
     deleted: Column | str | None = None,
+    deleted_value=True,
 ) -> DataFrame:
     """Rows of an object query: projection, filters, and deleted rows left out
-    unless ``query_all`` (deleted / archived rows included)."""
+    unless ``query_all`` (deleted / archived rows included).
+
+    ``deleted`` names the column whose value ``deleted_value`` marks a deleted
+    row (a null marks none); the predicate ``isnull(c) OR c <> value`` is on
+    the column itself, so it reaches the file reader.  A boolean expression
+    may be given instead, but Spark cannot push that one down."""
     out = df
     if deleted is not None and not query_all:
-        d = F.col(deleted) if isinstance(deleted, str) else deleted
-        # Written without coalesce so the predicate reaches the file reader.
-        out = out.where(d.isNull() | ~d)
+        if isinstance(deleted, str):
+            c = F.col(deleted)
+            out = out.where(c.isNull() | (c != F.lit(deleted_value)))
+        else:
+            out = out.where(deleted.isNull() | ~deleted)
     if where is not None:
         out = out.where(where)
     for c in not_null or []:
