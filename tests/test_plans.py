@@ -43,3 +43,26 @@ def test_rank_has_one_range_shuffle(spark):
     final = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("+- Exchange rangepartitioning") == 1  # the reused one is printed as ReusedExchange
     assert "ReusedExchange" in final
+
+
+def test_dataset_read_prunes_versions(spark):
+    from tessera.plans.publish import publish, read_dataset
+    from tessera.session import scratch_path
+
+    n = C.table(spark, SF, "nation")
+    path = scratch_path(spark, "plan-pub")
+    publish(n, path, mode="overwrite")
+    publish(n, path, mode="overwrite")  # version 1 is no longer visible
+    text = plan_text(read_dataset(spark, path))
+    assert "PartitionFilters: [isnotnull(version" in text and ("= 2)" in text or "IN (2)" in text)
+
+
+def test_bulk_read_uses_dynamic_pruning(spark):
+    from tessera.session import scratch_path
+    from tessera.sources.bulk import read_batches, write_batches
+
+    docs = C.table(spark, SF, "documents")
+    path = scratch_path(spark, "plan-bulk")
+    manifest = write_batches(docs, path, ["doc_id"], max_bytes=500_000)
+    text = plan_text(read_batches(spark, path, manifest, schema=docs.schema, max_chars=-1))
+    assert "dynamicpruningexpression" in text.lower()
