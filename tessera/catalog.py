@@ -311,6 +311,11 @@ def q_csv_lines(spark, d):
     return csv_lines(table(spark, d, "documents"), keep=["doc_id"])
 
 
+def q_csv_lines_java(spark, d):
+    """CSV lines with JVM value text: timestamps always carry a fraction."""
+    return csv_lines(table(spark, d, "events"), keep=["event_id"], timestamp_style="java")
+
+
 def q_pages(spark, d):
     return paging.assign_pages(table(spark, d, "orders"), ["o_orderkey"], page_size=1000)
 
@@ -535,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "blank_to_null": q_blank_to_null,
     "url_encode": q_url_encode,
     "csv_lines": q_csv_lines,
+    "csv_lines_java": q_csv_lines_java,
     "pages": q_pages,
     "pk_chunks": q_pk_chunks,
     "object_query": q_object_query,

@@ -302,3 +302,12 @@ ORACLE: dict[str, str] = {
 ORACLE["upsert_full_outer"] = ORACLE["upsert"]
 ORACLE["bulk_read_range"] = ORACLE["bulk_read"]
 ORACLE["stream_batches"] = ORACLE["bulk_read"]
+
+_JAVA_TS = ("(strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || "
+            "coalesce(nullif(rtrim(strftime(ts, '%f'), '0'), ''), '0'))")
+ORACLE["csv_lines_java"] = (
+    "select event_id, "
+    + " || ',' || ".join(_enc(_JAVA_TS if c == "ts" else f"cast({c} as varchar)")
+                          for c in ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    + " as line from events"
+)
