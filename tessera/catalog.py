@@ -194,6 +194,20 @@ def q_dataset_scan(spark, d):
     return rows_from_records(to_records(cu), schema)
 
 
+RAGGED_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("coupon", T.StringType()),
+                              T.StructField("flag", T.BooleanType())])
+
+
+def q_records_missing_blank(spark, d):
+    """Absent keys read as "": blank string, null boolean."""
+    return rows_from_records(event_records(spark, d), RAGGED_SCHEMA, missing="")
+
+
+def q_records_missing_null(spark, d):
+    """Absent keys read as null."""
+    return rows_from_records(event_records(spark, d), RAGGED_SCHEMA, missing=None)
+
+
 def q_header_union(spark, d):
     return discover_header(event_records(spark, d), mode="union")
 
@@ -525,6 +539,8 @@ QUERIES: dict[str, Query] = {
     "limit_rows": q_limit_rows,
     "multi_load": q_multi_load,
     "dataset_scan": q_dataset_scan,
+    "records_missing_blank": q_records_missing_blank,
+    "records_missing_null": q_records_missing_null,
     "header_union": q_header_union,
     "header_widest": q_header_widest,
     "infer_types": q_infer_types,

@@ -311,3 +311,13 @@ ORACLE["csv_lines_java"] = (
                           for c in ["event_id", "ts", "user_id", "event_type", "value", "props"])
     + " as line from events"
 )
+
+_FLAG = "case when value > 50 then true when value <= 10 then false end"
+ORACLE["records_missing_blank"] = (
+    "select event_id, case when event_type = 'purchase' then 'C' || cast(user_id as varchar) else '' end as coupon, "
+    f"{_FLAG} as flag from events"
+)
+ORACLE["records_missing_null"] = (
+    "select event_id, case when event_type = 'purchase' then 'C' || cast(user_id as varchar) end as coupon, "
+    f"{_FLAG} as flag from events"
+)
