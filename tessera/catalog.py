@@ -208,6 +208,11 @@ def q_records_missing_null(spark, d):
     return rows_from_records(event_records(spark, d), RAGGED_SCHEMA, missing=None)
 
 
+def q_read_widest(spark, d):
+    """Read plan with the widest record's header and inferred types."""
+    return read_records(event_records(spark, d), infer=True, header_mode="widest")
+
+
 def q_header_union(spark, d):
     return discover_header(event_records(spark, d), mode="union")
 
@@ -541,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "dataset_scan": q_dataset_scan,
     "records_missing_blank": q_records_missing_blank,
     "records_missing_null": q_records_missing_null,
+    "read_widest": q_read_widest,
     "header_union": q_header_union,
     "header_widest": q_header_widest,
     "infer_types": q_infer_types,

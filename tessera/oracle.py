@@ -321,3 +321,8 @@ ORACLE["records_missing_null"] = (
     "select event_id, case when event_type = 'purchase' then 'C' || cast(user_id as varchar) end as coupon, "
     f"{_FLAG} as flag from events"
 )
+ORACLE["read_widest"] = (
+    "select cast(event_id as integer) as event_id, ts, cast(user_id as integer) as user_id, event_type, value, "
+    "props, case when event_type = 'purchase' then 'C' || cast(user_id as varchar) else '' end as coupon, "
+    f"{_FLAG} as flag from events"
+)
