@@ -92,3 +92,12 @@ def test_write_parts_acknowledged(spark):
     assert parts_ok(acknowledge(broken, 150_000), 150_000).first()["ok"] is False
     missing = man.where("part_number <> 2").select("part_number", "rows", "bytes")
     assert parts_ok(acknowledge(missing, 150_000), 150_000).first()["ok"] is False
+
+
+def test_default_target_gives_two_partitions_for_10_to_20_mb(spark):
+    o = spark.read.parquet("/root/testdata/sf0.1/orders.parquet")
+    twice = o.unionByName(o)  # about 15.8 MB of CSV text
+    plan = size_plan(twice).first()
+    assert 10 * 1024 * 1024 < plan["bytes"] < 20 * 1024 * 1024 and plan["parts"] == 2
+    assert size_partitions(twice).rdd.getNumPartitions() == 2
+    assert size_partitions(o).rdd.getNumPartitions() == 1
