@@ -15,7 +15,8 @@ Rank plan (one range shuffle, no global window over the rows):
    ``monotonically_increasing_id - (partition << 33)``.
 4. Count rows per range (a tiny aggregate over the reused exchange), turn the
    counts into offsets with a window over ``ranges`` rows only, and
-   broadcast them: the broadcast holds exactly ``ranges`` rows.
+   broadcast them: the broadcast holds exactly ``ranges`` rows (by default at
+   most ``MAX_DEFAULT_RANGES``).
 """
 
 from __future__ import annotations
@@ -42,14 +43,20 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
+# Fixed value: most ranges chosen by default.  The offsets broadcast holds one
+# row (about 24 bytes) per range, so it stays under ~5 MB at any input size.
+MAX_DEFAULT_RANGES = 200_000
+
+
 def _default_ranges(df: DataFrame) -> int:
-    """One range per input partition: the input splits are already sized from
-    the data (``spark.sql.files.maxPartitionBytes``), so each range holds
-    about one split's worth of rows at any scale."""
+    """One range per input partition (the input splits are already sized from
+    the data by ``spark.sql.files.maxPartitionBytes``), capped so the offsets
+    broadcast keeps a fixed bound."""
     try:
-        return max(1, df.rdd.getNumPartitions())
+        n = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a Spark Connect session): use the shuffle width
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(n, MAX_DEFAULT_RANGES))
 
 
 def place_in_ranges(df: DataFrame, order_by: list[str | Column], ranges: int,
