@@ -58,46 +58,55 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _visible_versions(manifest: DataFrame) -> DataFrame:
-    done = manifest.where(F.col("state") == F.lit("Completed"))
-    base = done.where(F.col("operation").isin("Overwrite", "Upsert")).agg(F.max("version").alias("_base"))
-    return done.crossJoin(base).where(F.col("version") >= F.coalesce(F.col("_base"), F.lit(0))).select("version")
-
-
-def _commit_log(spark: SparkSession, path: str) -> list:
-    """The commit log on the driver: one small row per commit."""
+def _log_state(spark: SparkSession, path: str, epoch: int | None = None):
+    """What a publish or a read needs from the commit log, as one tiny
+    aggregate (the log is never collected whole, so it may grow with every
+    micro-batch of a stream):
+
+    ``last`` the newest committed version, ``base`` the newest Overwrite /
+    Upsert (readers start there), ``held`` the bytes of the visible versions,
+    ``epoch_done`` whether ``epoch`` is already committed.  Log rows are
+    written only after their data, so versions ``base..last`` are exactly the
+    visible ones; a failed attempt leaves at most version ``last + 1``, which
+    the next publish overwrites."""
     manifest = read_manifest(spark, path)
-    return [] if manifest is None else manifest.collect()
-
-
-def _visible(log: list) -> list:
-    done = [r for r in log if r["state"] == "Completed"]
-    bases = [r["version"] for r in done if r["operation"] in ("Overwrite", "Upsert")]
-    base = max(bases) if bases else 0
-    return [r for r in done if r["version"] >= base]
+    if manifest is None:
+        return None
+    done = manifest.where(F.col("state") == F.lit("Completed"))
+    base = F.max(F.when(F.col("operation").isin("Overwrite", "Upsert"), F.col("version")))
+    first = done.agg(
+        F.max("version").alias("last"),
+        F.coalesce(base, F.lit(0)).alias("base"),
+        F.coalesce(F.max(F.when(F.col("epoch") == F.lit(epoch), F.lit(True))), F.lit(False)).alias("epoch_done"),
+    ).first()
+    if first["last"] is None:
+        return None
+    held = done.where(F.col("version") >= F.lit(first["base"])).agg(F.sum("bytes")).first()[0] or 0
+    return {"last": int(first["last"]), "base": int(first["base"]), "held": int(held),
+            "epoch_done": bool(first["epoch_done"]), "manifest": manifest}
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Current content: the last base version plus later appends, committed only."""
-    log = _commit_log(spark, path)
-    if not log:
+    state = _log_state(spark, path)
+    if state is None:
         raise FileNotFoundError(f"no committed dataset at {path}")
-    return _read_versions(spark, path, sorted(r["version"] for r in _visible(log)))
+    return _read_versions(spark, path, state["base"], state["last"])
 
 
 def read_dataset_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Field table of the metadata published with the latest visible version."""
-    log = _commit_log(spark, path)
-    if not log:
+    state = _log_state(spark, path)
+    if state is None:
         raise FileNotFoundError(f"no committed dataset at {path}")
-    latest = max(r["version"] for r in _visible(log))
-    return read_metadata(spark, f"{path}/_metadata/version={latest}")
+    return read_metadata(spark, f"{path}/_metadata/version={state['last']}")
 
 
-def _read_versions(spark: SparkSession, path: str, versions: list[int]) -> DataFrame:
-    # A filter on the partition column: only these version folders are listed and read.
+def _read_versions(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    # A range on the partition column: only these version folders are listed and read.
     data = spark.read.parquet(f"{path}/data")
-    return data.where(F.col("version").isin(versions)).drop("version")
+    v = F.col("version")
+    return data.where((v >= F.lit(first)) & (v <= F.lit(last))).drop("version")
 
 
 def publish(
@@ -125,12 +134,10 @@ def publish(
         read_metadata(spark, metadata_path).first()  # fails early on a bad document
     else:
         check_declared(df.schema, type_map)
-    log = _commit_log(spark, path)
-    if epoch is not None:
-        done = [r for r in log if r["epoch"] == epoch and r["state"] == "Completed"]
-        if done:
-            return spark.createDataFrame(done, MANIFEST)
-    version = max([r["version"] for r in log], default=0) + 1
+    state = _log_state(spark, path, epoch)
+    if state is not None and epoch is not None and state["epoch_done"]:
+        return state["manifest"].where(F.col("epoch") == F.lit(epoch))
+    version = (state["last"] if state else 0) + 1
     # Metadata first: the supplied document as given, else the one derived
     # from the schema and the type map (one small JSON file per version).
     if metadata_path:
@@ -140,13 +147,12 @@ def publish(
     doc.coalesce(1).write.mode("overwrite").text(f"{path}/_metadata/version={version}")
 
     data = df
-    if operation == "Upsert" and log:
-        visible = _visible(log)
-        current = _read_versions(spark, path, sorted(r["version"] for r in visible))
+    if operation == "Upsert" and state is not None:
+        current = _read_versions(spark, path, state["base"], state["last"])
         data = keyed_upsert(current, df, unique_ids[0], blanks="overwrite")
         # Size bound without running the merge twice: what the visible
         # versions held (from the commit log) plus the change set.
-        size = sum(int(r["bytes"] or 0) for r in visible) + int(size_plan(df, max_bytes).first()["bytes"])
+        size = state["held"] + int(size_plan(df, max_bytes).first()["bytes"])
         rows = None
     else:
         plan = size_plan(data, max_bytes).first()
