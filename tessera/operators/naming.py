@@ -5,10 +5,13 @@ dataset id; unknown names stay; a text may load several datasets, the same
 one more than once.  Only quoted load targets change, and the match is
 literal (no regex built from the name).
 
-Plan: split each text on ``"`` (odd segments are inside quotes), mark the
-segments that follow ``load``, join only those to the registry (AQE picks
-broadcast or sort-merge, and splits a hot name with its skew-join
-handling), and put each text back together from its own segments.
+Plan: split each text on ``"`` (odd segments are inside quotes) and mark the
+segments that follow ``load``; explode only those and join them to the
+registry (AQE picks broadcast or sort-merge and splits a hot name); collect
+each text's substitutions with ``collect_set`` grouped by (key, text), so a
+group holds the loads of one text and identical copies are combined
+map-side; join the substitutions back and rewrite each text with a
+``transform`` over its own segments.  Nothing assumes the key is unique.
 """
 
 from __future__ import annotations
@@ -37,20 +40,25 @@ def resolve_dataset_names(
         target = (i % 2 == 1) & (i < n - 1) & F.coalesce(prev.rlike(LOAD_BEFORE), F.lit(False))
         return F.struct(i.alias("pos"), seg.alias("seg"), target.alias("is_target"))
 
-    segs = queries.select(F.col(key), F.explode(F.transform(parts, mark)).alias("s")).select(key, "s.*")
+    targets = queries.select(
+        F.col(key), F.col(text), F.explode(F.filter(F.transform(parts, mark), lambda m: m["is_target"])).alias("t")
+    ).select(key, text, "t.pos", "t.seg")
     # A name listed twice resolves to its smallest id, so the answer is stable.
     reg = registry.groupBy(F.col(name).alias("seg")).agg(F.min(dataset_id).alias("_id"))
-    targets = segs.where("is_target").join(reg, "seg", "left").select(
-        key, "pos", F.coalesce(F.col("_id"), F.col("seg")).alias("seg")
+    subs = (
+        targets.join(reg, "seg")
+        .groupBy(key, text)
+        .agg(F.map_from_entries(F.collect_set(F.struct(F.col("pos"), F.col("_id")))).alias("_subs"))
     )
-    rest = segs.where(~F.col("is_target")).select(key, "pos", "seg")
-    rebuilt = targets.unionByName(rest).groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "seg"))), lambda x: x["seg"]), '"').alias(
-            "_text"
-        )
+    q, s = queries.alias("_q"), subs.alias("_s")
+    # Null-safe on the key: a text without a key is rewritten too.
+    cond = F.col(f"_q.{key}").eqNullSafe(F.col(f"_s.{key}")) & (F.col(f"_q.{text}") == F.col(f"_s.{text}"))
+    joined = q.join(s, cond, "left")
+    q_parts = F.split(F.col(f"_q.{text}"), '"', -1)
+    rewritten = F.when(F.col("_s._subs").isNull(), F.col(f"_q.{text}")).otherwise(
+        F.array_join(F.transform(q_parts, lambda seg, i: F.coalesce(F.element_at(F.col("_s._subs"), i), seg)), '"')
     )
-    others = [c for c in queries.columns if c != text]
-    return queries.select(*others).join(rebuilt, key).select(*others, F.col("_text").alias(text))
+    return joined.select(*[rewritten.alias(c) if c == text else F.col(f"_q.{c}").alias(c) for c in queries.columns])
 
 
 def load_targets(queries: DataFrame, key: str = "query_id", text: str = "query") -> DataFrame:

@@ -219,3 +219,14 @@ def test_metadata_json_matches_document(spark):
     a = _json.loads(metadata_json(li.schema, "li", user, ["l_orderkey"]))
     b = _json.loads(metadata_document(declared_fields(li, "li", user), "li", ["l_orderkey"]).first()["json"])
     assert a == b
+
+
+def test_name_resolution_without_unique_keys(spark):
+    registry = spark.createDataFrame([("Account", ACCOUNT)], "name string, dataset_id string")
+    rows = [(1, 'q = load "Account";'), (1, 'r = load "Other";'), (None, 'q = load "Account";')] + \
+        [(7, 'q = load "Account"; q = load "Account";')] * 50
+    q = spark.createDataFrame(rows, "query_id long, query string")
+    got = sorted(((r["query_id"], r["query"]) for r in resolve_dataset_names(q, registry).collect()), key=repr)
+    want = sorted([(1, f'q = load "{ACCOUNT}";'), (1, 'r = load "Other";'), (None, f'q = load "{ACCOUNT}";')]
+                  + [(7, f'q = load "{ACCOUNT}"; q = load "{ACCOUNT}";')] * 50, key=repr)
+    assert got == want
