@@ -48,10 +48,9 @@ def discover_header(df: DataFrame, rec: str = "rec", mode: str = "union") -> Dat
             (F.row_number().over(_by_name()) - 1).cast("int").alias("position"), "name"
         )
     if mode == "widest":
-        ks = F.array_sort(F.map_keys(F.col(rec)))
-        best = df.select(ks.alias("k"), F.size(F.col(rec)).alias("n")).agg(
-            F.max_by("k", F.struct("n", "k")).alias("k")
-        )
+        # The largest (key count, sorted keys) pair: one key sort per record.
+        pair = F.struct(F.size(F.col(rec)).alias("n"), F.array_sort(F.map_keys(F.col(rec))).alias("k"))
+        best = df.agg(F.max(pair).alias("best")).select(F.col("best.k").alias("k"))
         return best.select(F.posexplode("k").alias("position", "name")).select(
             F.col("position").cast("int"), "name"
         )
