@@ -130,8 +130,16 @@ def infer_record_types(df: DataFrame, rec: str = "rec", date_format: str | None
     The records are exploded to (key, value) and grouped by key with partial
     aggregation, so each map task sends one row per key; a key absent from
     a record counts as blank there."""
-    kv = df.select(F.explode(F.col(rec)).alias("k", "v"))
-    per_key = kv.groupBy("k").agg(*class_aggs(F.col("v"), "_c", date_format))
+    return _record_key_table(df, rec, date_format, empty_as).drop("widest")
+
+
+def _record_key_table(df: DataFrame, rec: str, date_format: str | None, empty_as: str | None) -> DataFrame:
+    """Per key: position, type, and the widest record holding the key as the
+    pair (key count, sorted keys); the largest pair over all keys is the
+    widest record overall."""
+    pair = F.struct(F.size(F.col(rec)).alias("n"), F.array_sort(F.map_keys(F.col(rec))).alias("k"))
+    kv = df.select(F.explode(F.col(rec)).alias("k", "v"), pair.alias("_w"))
+    per_key = kv.groupBy("k").agg(*class_aggs(F.col("v"), "_c", date_format), F.max("_w").alias("widest"))
     from pyspark.sql.window import Window
 
     # One row per distinct key: bounded by the schema width.
@@ -139,9 +147,28 @@ def infer_record_types(df: DataFrame, rec: str = "rec", date_format: str | None
         (F.row_number().over(Window.orderBy("k")) - 1).cast("int").alias("position"),
         F.col("k").alias("column"),
         type_of_classes("_c", date_format, empty_as).alias("type"),
+        "widest",
     )
 
 
+def record_schema_rows(df: DataFrame, rec: str = "rec", date_format: str | None = None,
+                       header_mode: str = "union") -> list[tuple[str, str]]:
+    """``(name, type)`` of the header in order, from one grouped pass over the
+    records: all keys sorted (``union``) or the widest record's keys
+    (``widest``), typed by every record's values."""
+    rows = _record_key_table(df, rec, date_format, "string").collect()  # schema width
+    types = {r["column"]: r["type"] for r in rows}
+    if header_mode == "union":
+        return [(r["column"], r["type"]) for r in sorted(rows, key=lambda r: r["position"])]
+    if header_mode == "widest":
+        if not rows:
+            return []
+        # The pair is (key count, sorted keys); read by position.
+        best = max((r["widest"] for r in rows), key=lambda w: (w[0], list(w[1])))
+        return [(k, types[k]) for k in best[1]]
+    raise ValueError("header_mode must be 'union' or 'widest'")
+
+
 def infer_schema(
     df: DataFrame,
     columns=None,

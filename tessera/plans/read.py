@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tessera.functions.typenames import spark_type
-from tessera.operators.infer import infer_record_types, infer_schema
+from tessera.operators.infer import infer_schema, record_schema_rows
 from tessera.sources.records import field_text, header_names, rows_from_records, string_schema
 
 
@@ -29,12 +29,10 @@ def choose_schema(
 ) -> T.StructType:
     if schema is not None:
         return schema
-    if infer and header_mode == "union" and sample_size is None:
+    if infer and sample_size is None:
         # Header and types from one grouped pass over the exploded records.
-        rows = infer_record_types(df, rec, date_format).orderBy("position").collect()
-        return T.StructType(
-            [T.StructField(r["column"], spark_type(r["type"], timestamp_ntz), True) for r in rows]
-        )
+        pairs = record_schema_rows(df, rec, date_format, header_mode)
+        return T.StructType([T.StructField(n, spark_type(t, timestamp_ntz), True) for n, t in pairs])
     names = header_names(df, rec, header_mode)
     if not names:
         return T.StructType([])

@@ -96,3 +96,10 @@ def test_merge_types_precedence(spark):
 def test_header_discovery_distributed(spark):
     df = records(spark, [{"k%d" % (i % 5): "v"} for i in range(50)]).repartition(7)
     assert [r["name"] for r in discover_header(df).orderBy("position").collect()] == ["k0", "k1", "k2", "k3", "k4"]
+
+
+def test_widest_read_matches_header(spark):
+    df = records(spark, [{"a": "1", "b": "x"}, {"a": "2", "c": "2017-08-04 16:45:30"}, {}, {"c": "2017-8-4 6:5:3"}])
+    out = read_records(df, infer=True, header_mode="widest")
+    assert out.columns == header_names(df, mode="widest") == ["a", "c"]
+    assert {f.name: f.dataType for f in out.schema.fields} == {"a": T.IntegerType(), "c": T.TimestampNTZType()}
