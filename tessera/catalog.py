@@ -4,7 +4,8 @@ the given tables, with the DuckDB SQL that computes the same answer.
 The test tables stand in for remote objects: ``customer`` for accounts,
 ``orders`` for opportunities (``o_orderstatus = 'F'`` marks deleted rows),
 ``events`` for the event dataset, ``documents`` / ``conversations`` for long
-text fields, ``nation`` / ``region`` for dataset names.
+text fields; saved scripts are built per account and load nation names (the
+registry).  Every query's input grows with the scale factor.
 """
 
 from __future__ import annotations
@@ -118,14 +119,14 @@ STATUS_SQL = """case o_orderpriority when '1-URGENT' then 'Completed'
 
 
 def saved_queries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Scripts that load a nation, its region and the nation again, and a
-    registry that knows nation names only."""
+    """One saved script per account: it loads the account's nation, its market
+    segment and the nation again; the registry knows nation names only."""
     n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
-    q = n.join(r, n.n_regionkey == r.r_regionkey).select(
-        F.col("n_nationkey").cast("long").alias("query_id"),
+    cu = table(spark, sf_dir, "customer")
+    q = cu.join(n, cu.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("query_id"),
         F.concat(
-            F.lit('q = load "'), F.col("n_name"), F.lit('"; r = load "'), F.col("r_name"),
+            F.lit('q = load "'), F.col("n_name"), F.lit('"; r = load "'), F.col("c_mktsegment"),
             F.lit('"; s = load "'), F.col("n_name"),
             F.lit("\"; q = group q by all; q = foreach q generate count() as 'count';"),
         ).alias("query"),
@@ -140,10 +141,10 @@ def saved_queries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 SAVED_QUERIES_SQL = """
 q as (
-  select cast(n_nationkey as bigint) as query_id,
-         'q = load "' || n_name || '"; r = load "' || r_name || '"; s = load "' || n_name ||
+  select c_custkey as query_id,
+         'q = load "' || n_name || '"; r = load "' || c_mktsegment || '"; s = load "' || n_name ||
          '"; q = group q by all; q = foreach q generate count() as ''count'';' as query
-  from nation join region on n_regionkey = r_regionkey
+  from customer join nation on c_nationkey = n_nationkey
 ),
 reg as (
   select n_name as name,
@@ -464,15 +465,15 @@ def q_write_outcomes(spark, d):
 
 def q_publish_overwrite(spark, d):
     path = scratch_path(spark, "publish")
-    pub.publish(table(spark, d, "nation"), path, mode="overwrite")
+    pub.publish(table(spark, d, "part"), path, mode="overwrite")
     return pub.read_dataset(spark, path)
 
 
 def q_publish_append(spark, d):
     path = scratch_path(spark, "publish")
-    n = table(spark, d, "nation")
-    pub.publish(n, path, mode="overwrite")
-    pub.publish(n, path, mode="append")
+    s = table(spark, d, "supplier")
+    pub.publish(s, path, mode="overwrite")
+    pub.publish(s, path, mode="append")
     return pub.read_dataset(spark, path)
 
 
@@ -525,8 +526,8 @@ def q_job_outcomes(spark, d):
 
 
 def q_csv_source(spark, d):
-    path = scratch_path(spark, "csv-region")
-    table(spark, d, "region").write.option("header", "true").csv(path)
+    path = scratch_path(spark, "csv-part")
+    table(spark, d, "part").write.option("header", "true").csv(path)
     return scan.csv_source(spark, path)
 
 

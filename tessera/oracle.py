@@ -265,8 +265,8 @@ ORACLE: dict[str, str] = {
     "write_outcomes": f"""with {ACCOUNT_CHANGES_SQL}
         select case when c_custkey in (select c_custkey from customer) then 'updated' else 'not_found' end as outcome,
                count(*) as rows from changes group by 1""",
-    "publish_overwrite": "select * from nation",
-    "publish_append": "select * from nation union all select * from nation",
+    "publish_overwrite": "select * from part",
+    "publish_append": "select * from supplier union all select * from supplier",
     "publish_upsert": f"""with {ACCOUNT_CHANGES_SQL}
         select * from customer where c_custkey not in (select c_custkey from changes)
         union all
@@ -294,7 +294,8 @@ ORACLE: dict[str, str] = {
         j as (select coalesce(s.status, 'missing') as status from w left join s using (job_id))
         select case when status = 'Failed' then 'failure' when status in ('New', 'Queued', 'InProgress') then 'pending'
                     else 'success' end as outcome, status, count(*) as jobs from j group by all""",
-    "csv_source": "select cast(r_regionkey as varchar) as r_regionkey, r_name from region",
+    "csv_source": """select cast(p_partkey as varchar) as p_partkey, p_name, p_brand, p_type,
+        cast(p_size as varchar) as p_size, cast(p_retailprice as varchar) as p_retailprice from part""",
     "example_rows": """select cast(o_orderkey as varchar) as c1, cast(o_orderkey + 1 as varchar) as c2,
         cast(o_orderkey + 2 as varchar) as c3, cast(o_orderkey + 3 as varchar) as c4 from orders""",
 }
