@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tessera.functions.casting import cast_value
 
@@ -44,9 +45,7 @@ def discover_header(df: DataFrame, rec: str = "rec", mode: str = "union") -> Dat
     if mode == "union":
         keys = df.select(F.explode(F.map_keys(F.col(rec))).alias("name")).distinct()
         # The header is bounded by the schema width, so one small sort is fine.
-        return keys.select(
-            (F.row_number().over(_by_name()) - 1).cast("int").alias("position"), "name"
-        )
+        return keys.select((F.row_number().over(Window.orderBy("name")) - 1).cast("int").alias("position"), "name")
     if mode == "widest":
         # The largest (key count, sorted keys) pair: one key sort per record.
         pair = F.struct(F.size(F.col(rec)).alias("n"), F.array_sort(F.map_keys(F.col(rec))).alias("k"))
@@ -57,12 +56,6 @@ def discover_header(df: DataFrame, rec: str = "rec", mode: str = "union") -> Dat
     raise ValueError("mode must be 'union' or 'widest'")
 
 
-def _by_name():
-    from pyspark.sql.window import Window
-
-    return Window.orderBy("name")
-
-
 def header_names(df: DataFrame, rec: str = "rec", mode: str = "union") -> list[str]:
     """The discovered header on the driver (bounded by the schema width)."""
     rows = discover_header(df, rec, mode).orderBy("position").collect()
