@@ -1,10 +1,11 @@
 """Size-bounded output: encoded size, partition count, numbered parts.
 
-A part is at most about ``max_bytes`` of CSV text.  Size is measured exactly
-(UTF-8 bytes of every encoded line plus its newline) in one aggregate pass.
-Part numbers come from the distributed rank, so a given row always lands in
-the same part, and each part's payload is assembled from at most
-``max_bytes`` of lines.
+The part count is ``floor(bytes / max_bytes) + 1`` of the exact encoded size
+(UTF-8 bytes of every encoded line plus its newline, summed in the rank's own
+aggregate or one aggregate pass).  Exact split: part numbers come from the
+distributed rank, so a given row always lands in the same part and every part
+holds an equal share of the rows (about, not at most, ``max_bytes``).  Range
+split: parts are Spark's sampled key ranges, one shuffle fewer.
 """
 
 from __future__ import annotations
