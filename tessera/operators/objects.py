@@ -1,11 +1,13 @@
 """Keyed writes on an object table: insert, update, upsert.
 
-Plans are joins Catalyst and AQE can re-plan: the change set (``src``) is
-always the build side, so a small change set is broadcast once AQE has
-measured it (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and a large
-one falls back to a sort-merge join; the target is never broadcast.  Rows with
-a null key never match, so they are split off before any join instead of
-being hashed into one reducer.
+Plans are joins Catalyst and AQE can re-plan.  ``build_source``: the change
+set (``src``) is the build side of every join, so a small change set is
+broadcast once AQE has measured it (``spark.sql.adaptive.autoBroadcastJoinThreshold``)
+and the target is never shuffled or broadcast.  ``full_outer``: one full outer
+join, one shuffle per side, for a large change set.  ``auto`` (the upsert
+default) picks one from the change set's estimated size.  Rows with a null
+key never match, so they are split off before any join instead of being
+hashed into one reducer.
 
 Blank handling: ``blanks="keep"`` leaves the target value where the source
 value is null or ``""`` (empty fields are ignored on update);
