@@ -3,7 +3,8 @@
 Plans are joins Catalyst and AQE can re-plan.  ``build_source``: the change
 set (``src``) is the build side of every join, so a small change set is
 broadcast once AQE has measured it (``spark.sql.adaptive.autoBroadcastJoinThreshold``)
-and the target is never shuffled or broadcast.  ``full_outer``: one full outer
+and the target is then not shuffled (a larger one falls back to sort-merge);
+the target is never broadcast.  ``full_outer``: one full outer
 join, one shuffle per side, for a large change set.  ``auto`` (the upsert
 default) picks one from the change set's estimated size.  Rows with a null
 key never match, so they are split off before any join instead of being
