@@ -63,3 +63,22 @@ def test_streaming_publish_many_epochs(spark):
     back = read_dataset(spark, path)
     assert back.exceptAll(nation).count() == 0 and nation.exceptAll(back).count() == 0
     assert read_manifest(spark, path).count() >= 5  # one commit per micro-batch
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_RUNS="1", BENCH_CPUS="2",
+               BENCH_QUERIES="group_count,csv_lines")
+    out = subprocess.run([sys.executable, str(root / "bench.py")], cwd=root, env=env, capture_output=True,
+                         text=True, timeout=600)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout
+    d = json.loads(lines[0])
+    assert d["unit"] == "sec" and set(d["queries"]) == {"group_count", "csv_lines"} and not d["errors"]
+    assert d["value"] == round(sum(d["queries"].values()), 3) and d["sf"] == 0.001
