@@ -66,3 +66,10 @@ def test_bulk_read_uses_dynamic_pruning(spark):
     manifest = write_batches(docs, path, ["doc_id"], max_bytes=500_000)
     text = plan_text(read_batches(spark, path, manifest, schema=docs.schema, max_chars=-1))
     assert "dynamicpruningexpression" in text.lower()
+
+
+def test_small_change_set_upsert_does_not_shuffle_the_target(spark):
+    df = C.QUERIES["upsert"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
