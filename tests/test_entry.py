@@ -1,6 +1,7 @@
 import importlib
 
 from tests.conftest import SF
+from tessera.catalog import QUERIES
 
 
 def test_entry_and_registry(spark):
@@ -9,7 +10,8 @@ def test_entry_and_registry(spark):
     assert out.columns == ["event_type", "user_id", "count"] and out.count() > 0
     qs, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(qs)
-    assert set(qs) - set(oracles) == {"exact_sample"}
+    own = set(QUERIES)
+    assert own <= set(qs) and own - set(oracles) == {"exact_sample"}
 
 
 def test_streaming_publish(spark):
