@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,7 +158,7 @@ def find(index: DataFrame, q: Queries, slop: int = 0) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 terms = batch.column("terms")[k].values
-                local = np.asarray(pa.compute.index_in(wanted, terms).fill_null(-1)).astype(np.int64) if len(terms) else np.full(len(wanted), -1)
+                local = np.asarray(pc.index_in(wanted, terms).fill_null(-1)).astype(np.int64) if len(terms) else np.full(len(wanted), -1)
                 starts = np.frombuffer(batch.column("term_starts")[k].as_buffer(), "<i4").astype(np.int64)
                 postings = np.frombuffer(batch.column("postings")[k].as_buffer(), "<i4")
                 ends = np.cumsum(np.array(batch.column("doc_words")[k].as_py(), np.int64))
@@ -176,8 +177,6 @@ def find(index: DataFrame, q: Queries, slop: int = 0) -> DataFrame:
                     pa.ListArray.from_arrays(offsets, pa.array(start, pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(q.length[window], pa.int32())),
                 ], names=["block", "place", "item", "starts", "lengths"])
 
-    import pyarrow.compute  # noqa: F401  used in the tasks
-
     return index.mapInArrow(run, MATCH_SCHEMA)
 
 

@@ -67,4 +67,44 @@ SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op10_quality_rules": OP10}
+OP7 = f"""
+WITH {_ROWS},
+d AS (SELECT doc_id, {_SPLIT_WORDS} AS words FROM rows),
+win AS (
+  SELECT doc_id, i, array_to_string(list_slice(words, i, i + 19), ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) >= 20)
+),
+placed AS (SELECT doc_id, i, min({{'d': doc_id, 'i': i}}) OVER (PARTITION BY win) AS first FROM win),
+gone AS (
+  SELECT DISTINCT doc_id, p FROM (
+    SELECT doc_id, unnest(range(i, i + 20)) AS p FROM placed WHERE first.d < doc_id OR (first.d = doc_id AND first.i < i)
+  )
+),
+w AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d),
+kept AS (
+  SELECT w.doc_id, count(*) AS n_words, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY w.p) FILTER (gone.p IS NULL) AS kept
+  FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.p = gone.p GROUP BY w.doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _escaped(x: str) -> str:
+    return f"replace(replace(replace({x}, '\\', '\\\\'), '### ', '\\h'), '</turn>', '\\t')"
+
+
+OP8 = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(14 + length(replace({_escaped('role')}, ':', '\c')) + length({_escaped('text')})) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op7_phrase_dedup": OP7, "op8_chat_format": OP8, "op10_quality_rules": OP10}

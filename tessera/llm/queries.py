@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, line_dedup, packing, quality_rules, simhash, simple8b
+from tessera.llm import chat, decontaminate, html_extract, licenses, line_dedup, packing, phrase_dedup, quality_rules, simhash, simple8b
 from tessera.llm.common import c, scratch_path, ship_code
 from tessera.llm.tokens import default_tokenizer
 
@@ -20,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "simple8b")
     simple8b.write_ids(table(spark, sf_dir, "documents"), path, default_tokenizer(), END_ID)
@@ -48,6 +52,28 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", c(names["n_lines"]).alias("n_lines"), c(names["n_dropped"]).alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = phrase_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: Fixed value: the text of both turns of conversation -7.
+MARKED_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED_TEXT).alias("text"))
+    return chat.read_back(chat.format_conversations(turns.unionByName(marked)))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    best = F.reduce("matches", F.lit(0.0), lambda a, m: F.greatest(a, m["dice"]))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    return out.select("doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"), best.alias("best_dice"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, names = quality_rules.apply_rules(table(spark, sf_dir, "documents"), features=quality_rules.BASE)
     base = {x: c(names[x]) for x in quality_rules.BASE}
@@ -56,5 +82,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simple8b_ids, op3_decontaminate, op4_simhash_dedup, op5_bm25_packing, op6_line_dedup, op10_quality_rules)
+    f.__name__: f for f in (
+        op1_html_text, op2_simple8b_ids, op3_decontaminate, op4_simhash_dedup, op5_bm25_packing, op6_line_dedup, op7_phrase_dedup, op8_chat_format,
+        op9_license_scan, op10_quality_rules,
+    )
 }
