@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import c, written
+from tessera.llm.common import c, fresh, written
 from tessera.llm.words import ALNUM, blocks, ranges, split_words
 
 WINDOW = 13
@@ -218,5 +218,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
     Of rows that share a doc_id, all go when one is contaminated (null is one id).
     """
-    bad = contamination(docs, benchmark, id_col, text, item_col, item_text).where("contaminated").select(F.col("doc_id").alias("_llm_bad")).distinct()
-    return docs.join(bad, c(id_col).cast("long").eqNullSafe(F.col("_llm_bad")), "left_anti")
+    bad = contamination(docs, benchmark, id_col, text, item_col, item_text).where("contaminated")
+    bad_id = fresh(docs, "bad_id")
+    bad = bad.select(F.col("doc_id").alias(bad_id)).distinct()
+    return docs.join(bad, c(id_col).cast("long").eqNullSafe(c(bad_id)), "left_anti")

@@ -152,7 +152,7 @@ def scan_block(texts: pa.Array, t: Templates, least: float) -> list[tuple[int, s
         n_units = int(unit[-1]) + 1
         hits = np.bincount(unit[1:][hit & inside], minlength=n_units)
         # A match of score ``least`` shares least / (2 - least) of the smallest template at least.
-        open_units = hits >= t.sizes.min() / factor
+        open_units = hits >= t.sizes.min() / factor - 1e-9
         pick = np.flatnonzero(inside & open_units[unit[1:]])
         if not len(pick):
             continue

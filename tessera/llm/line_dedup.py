@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import c, fresh, text_hash
+from tessera.llm.common import c, fresh, text_hash, written
 
 #: Fixed value: the ASCII white space stripped from both ends of a line.
 SPACES = " \t\n\x0b\f\r"
@@ -68,7 +68,8 @@ def drop_frequent_lines(
     and ``n_dropped``.  A text of which nothing is dropped stays as it was, a
     null text becomes the empty text.
     """
-    frequent = frequent_lines(docs, text, min_chars, min_docs)
+    # Written, so that the join below is one of two plain exchanges, which Spark can split at hot keys.
+    frequent = written(frequent_lines(docs, text, min_chars, min_docs), "frequent-lines")
     lines = docs.select(c(id_col).alias("id"), text_hash(c(text)).alias("th"), F.posexplode(_lines(text)).alias("pos", "line"))
     lines = lines.withColumn("key", line_key(F.col("line"))).where(F.char_length("key") >= min_chars)
     dropped = (
@@ -78,11 +79,10 @@ def drop_frequent_lines(
         .agg(F.collect_set("pos").alias("drop"))
     )
     th, drop, n_lines, n_dropped = (fresh(docs, x) for x in ("th", "drop", "n_lines", "n_dropped"))
-    dropped = dropped.select(F.col("id").alias("_llm_right_id"), F.col("th").alias("_llm_right_th"), F.col("drop").alias(drop))
     left = docs.withColumn(th, text_hash(c(text)))
-    joined = left.join(
-        dropped, left[f"`{id_col}`"].eqNullSafe(dropped["_llm_right_id"]) & (left[th] == dropped["_llm_right_th"]), "left"
-    )
+    other_id, other_th = fresh(left, "other_id"), fresh(left, "other_th")
+    dropped = dropped.select(F.col("id").alias(other_id), F.col("th").alias(other_th), F.col("drop").alias(drop))
+    joined = left.join(dropped, c(id_col).eqNullSafe(c(other_id)) & (c(th) == c(other_th)), "left")
     count = F.size(_lines(text))
     stay = F.array_except(F.sequence(F.lit(0), count - 1), c(drop))
     parts = fresh(docs, "parts")

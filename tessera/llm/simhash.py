@@ -135,9 +135,11 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     before = None
     for _ in range(rounds):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # Written, so that Spark can split the joins at the nodes that many hang on.
+        least = written(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large, "large-stars")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         small = large.join(low, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
         edges = written(small.distinct(), "stars")
@@ -171,8 +173,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     Of fully equal rows one stays.
     """
     near = near_duplicates(docs, id_col, text, shingle, max_bits)
-    best = near.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k")).select(F.col("k.doc_id").alias("_llm_id"), F.col("k.th").alias("_llm_th"))
+    best = near.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k"))
     th = fresh(docs, "th")
     left = docs.withColumn(th, text_hash(c(text)))
-    out = left.join(best, c(id_col).cast("long").eqNullSafe(F.col("_llm_id")) & (c(th) == F.col("_llm_th")), "left_semi")
+    best_id, best_th = fresh(left, "best_id"), fresh(left, "best_th")
+    best = best.select(F.col("k.doc_id").alias(best_id), F.col("k.th").alias(best_th))
+    out = left.join(best, c(id_col).cast("long").eqNullSafe(c(best_id)) & (c(th) == c(best_th)), "left_semi")
     return out.dropDuplicates([id_col, th]).select(*[c(x) for x in docs.columns])
