@@ -128,7 +128,7 @@ def saved_queries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         F.concat(
             F.lit('q = load "'), F.col("n_name"), F.lit('"; r = load "'), F.col("c_mktsegment"),
             F.lit('"; s = load "'), F.col("n_name"),
-            F.lit("\"; q = group q by all; q = foreach q generate count() as 'count';"),
+            F.lit("\"; q = limit q 50; r = order r by 'name' desc;"),
         ).alias("query"),
     )
     reg = n.select(
@@ -143,7 +143,7 @@ SAVED_QUERIES_SQL = """
 q as (
   select c_custkey as query_id,
          'q = load "' || n_name || '"; r = load "' || c_mktsegment || '"; s = load "' || n_name ||
-         '"; q = group q by all; q = foreach q generate count() as ''count'';' as query
+         '"; q = limit q 50; r = order r by ''name'' desc;' as query
   from customer join nation on c_nationkey = n_nationkey
 ),
 reg as (
@@ -367,7 +367,7 @@ def q_name_resolution(spark, d):
 def _documents_batches(spark, d, name="documents", order_by=("doc_id",)):
     src = table(spark, d, name)
     path = scratch_path(spark, f"bulk-{name}")
-    manifest = bulk.write_batches(src, path, list(order_by), max_bytes=500_000)
+    manifest = bulk.write_batches(src, path, list(order_by), max_bytes=500_000, split="exact")
     return src, path, manifest
 
 
@@ -387,17 +387,15 @@ def q_bulk_read_range(spark, d):
 def q_stream_batches(spark, d):
     """Batch result files consumed as a stream (completed batches only) into
     an epoch-partitioned table, read back whole."""
-    from tessera.streaming.sink import append_stream
     from tessera.streaming.source import stream_batches
 
-    src, path, manifest = _documents_batches(spark, d)
+    src, path, _ = _documents_batches(spark, d)
     out = scratch_path(spark, "stream-out")
-    q = append_stream(stream_batches(spark, path, src.schema, manifest, max_chars=-1, max_files_per_trigger=16),
-                      out, scratch_path(spark, "stream-ckpt"), trigger={"availableNow": True})
+    q = stream_batches(spark, path, src.schema, out, scratch_path(spark, "stream-ckpt"), max_chars=-1, trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out).drop("epoch")
+    return spark.read.parquet(out).drop("stream", "epoch")
 
 
 def q_bulk_newlines(spark, d):
@@ -405,6 +403,25 @@ def q_bulk_newlines(spark, d):
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
 
 
+def q_bulk_column_order(spark, d):
+    """Batches whose headers list the columns in different orders: matched by name."""
+    src = table(spark, d, "documents")
+    path = scratch_path(spark, "bulk-order")
+    odd = F.col("doc_id") % 2 == 1
+    bulk.write_batches(src.where(~odd), path, ["doc_id"], max_bytes=500_000)
+    manifest = bulk.write_batches(src.where(odd), path, ["doc_id"], max_bytes=500_000, columns=src.columns[::-1], first_batch=1_000_001)
+    return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
+
+
+def q_bulk_completed(spark, d):
+    """Only Completed batches are read: of the odd ones one state is InProgress, of every fifth one Failed."""
+    src = table(spark, d, "conversations")
+    path = scratch_path(spark, "bulk-states")
+    manifest = bulk.write_batches(src, path, ["conv_id", "turn"], max_bytes=20_000, split="exact")
+    state = F.when(F.col("batch_id") % 5 == 0, F.lit("Failed")).when(F.col("batch_id") % 2 == 1, F.lit("InProgress"))
+    return bulk.read_batches(spark, path, manifest.withColumn("state", F.coalesce(state, F.col("state"))), schema=src.schema, max_chars=-1)
+
+
 def q_bulk_infer(spark, d):
     """Batches read with the CSV reader's own type inference."""
     _, path, manifest = _documents_batches(spark, d, "conversations", ("conv_id", "turn"))
@@ -415,7 +432,7 @@ def q_bulk_last(spark, d):
     """Each batch split over two result files; only the last result is read."""
     src = table(spark, d, "conversations")
     path = scratch_path(spark, "bulk-last")
-    manifest = bulk.write_batches(src, path, ["conv_id", "turn"], max_bytes=500_000, results_per_batch=2)
+    manifest = bulk.write_batches(src, path, ["conv_id", "turn"], max_bytes=500_000, results_per_batch=2, split="exact")
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1, results="last")
 
 
@@ -433,6 +450,20 @@ def q_size_partitions(spark, d):
     return parts.size_plan(table(spark, d, "documents"), max_bytes=500_000)
 
 
+def q_size_repartition(spark, d):
+    """Rows after the size-derived repartition, and its partitions."""
+    out = parts.size_partitions(table(spark, d, "documents"), max_bytes=500_000)
+    per = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("rows"))
+    return per.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"), (F.max("rows") - F.min("rows") <= F.count(F.lit(1))).alias("even"))
+
+
+def q_parts_acknowledged(spark, d):
+    """Parts written, acknowledged from the files, and the AND over them."""
+    manifest = parts.write_parts(table(spark, d, "orders"), scratch_path(spark, "parts"), ["o_orderkey"], max_bytes=100_000)
+    totals = manifest.agg(F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("rows"), F.sum("landed").alias("bytes"))
+    return totals.crossJoin(parts.parts_ok(manifest))
+
+
 def q_part_manifest(spark, d):
     return parts.part_manifest(table(spark, d, "orders"), ["o_orderkey"], max_bytes=100_000)
 
@@ -458,6 +489,57 @@ def q_upsert_full_outer(spark, d):
     return objects.upsert(table(spark, d, "customer"), account_changes(spark, d), "c_custkey", plan="full_outer")
 
 
+def line_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order lines unique by (l_orderkey, l_linenumber), and changes to them by that key."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_partkey").alias("partkey"), F.max("l_quantity").alias("quantity"))
+    changed = li.where(F.col("l_linenumber") % 2 == 0).select("l_orderkey", "l_linenumber", (F.col("quantity") + 1).alias("quantity"))
+    fresh = table(spark, sf_dir, "orders").select((-F.col("o_orderkey") - 1).alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(0.5).alias("quantity"))
+    return li, changed.unionByName(fresh.withColumn("l_linenumber", F.col("l_linenumber").cast(li.schema["l_linenumber"].dataType)))
+
+
+def q_upsert_two_keys(spark, d):
+    target, changes = line_changes(spark, d)
+    return objects.upsert(target, changes, ["l_orderkey", "l_linenumber"])
+
+
+def q_publish_upsert_two_keys(spark, d):
+    path = scratch_path(spark, "publish")
+    target, changes = line_changes(spark, d)
+    whole = changes.join(target.select("l_orderkey", "l_linenumber", "partkey"), ["l_orderkey", "l_linenumber"], "left")
+    label = F.lit("line").alias("kind")  # a dataset needs a Text column
+    pub.publish(target.select("*", label), path, upsert=True, unique_ids=["l_orderkey", "l_linenumber"])
+    pub.publish(whole.select("l_orderkey", "l_linenumber", "partkey", "quantity", label), path, upsert=True, unique_ids=["l_orderkey", "l_linenumber"])
+    return pub.read_dataset(spark, path)
+
+
+def q_publish_new_schema(spark, d):
+    """An overwrite brings its own columns."""
+    path = scratch_path(spark, "publish")
+    pub.publish(table(spark, d, "part"), path, mode="overwrite")
+    pub.publish(table(spark, d, "supplier"), path, mode="overwrite")
+    return pub.read_dataset(spark, path)
+
+
+def q_publish_append_wider(spark, d):
+    """An append with a new column: null in the rows before it."""
+    path = scratch_path(spark, "publish")
+    s = table(spark, d, "supplier")
+    pub.publish(s.select("s_suppkey", "s_name"), path, mode="overwrite")
+    pub.publish(s.select("s_suppkey", "s_name", "s_acctbal"), path, mode="append")
+    return pub.read_dataset(spark, path)
+
+
+def q_publish_commits(spark, d):
+    """The commit rows that three publishes return (without folder, schema and time)."""
+    path = scratch_path(spark, "publish")
+    cu = table(spark, d, "customer")
+    first = pub.publish(cu, path, mode="overwrite")
+    second = pub.publish(cu.where("c_custkey % 3 = 0"), path, mode="append")
+    third = pub.publish(cu.where("c_custkey % 2 = 0"), path, upsert=True, unique_ids=["c_custkey"])
+    return first.unionAll(second).unionAll(third).select("version", "operation", "state", "rows")
+
+
 def q_write_outcomes(spark, d):
     out = objects.write_outcomes(table(spark, d, "customer"), account_changes(spark, d), "c_custkey", "update")
     return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
@@ -498,14 +580,27 @@ def q_field_profile(spark, d):
 
 
 TYPE_MAP_OVERRIDE = {
-    "timestamp": {"dataset_type": "Date", "format": "yyyy/MM/dd'T'HH:mm:ss"},
-    "mydataType": {"dataset_type": "Date", "format": "yy-MM-dd"},
+    "timestamp": {"dataset_type": "Date", "format": "dd.MM.yyyy HH:mm"},
+    "string": {"dataset_type": "Text", "canTruncateValue": "true"},
+    "interval": {"dataset_type": "Text"},
 }
 
 
 def q_type_map_override(spark, d):
     prof = profile.field_profile(table(spark, d, "orders"), "orders", TYPE_MAP_OVERRIDE)
-    return prof.select("column", "spark_type", "dataset_type", "precision", "scale", "format")
+    return prof.select("column", "spark_type", "dataset_type", "precision", "scale", "format", "can_truncate")
+
+
+def q_text_columns(spark, d):
+    """The one-Text-column rule per table: how many Text columns it declares and whether it may be published."""
+    out = None
+    for name in ("orders", "lineitem", "customer"):
+        df = table(spark, d, name)
+        fields = profile.declared_fields(df.drop("o_orderstatus", "o_orderpriority"), name)
+        n = fields.agg(F.count_if(F.col("dataset_type") == "Text").alias("texts")).crossJoin(df.agg(F.count(F.lit(1)).alias("rows")))
+        n = n.select(F.lit(name).alias("dataset"), "rows", "texts", (F.col("texts") > 0).alias("ok"))
+        out = n if out is None else out.unionAll(n)
+    return out
 
 
 def q_metadata_table(spark, d):
@@ -525,6 +620,35 @@ def q_job_outcomes(spark, d):
     return jobs.outcome_rollup(jobs.job_outcomes(job_statuses(spark, d), wanted))
 
 
+def q_all_succeeded(spark, d):
+    """The AND of the acknowledgements, for the finished orders' jobs and for all."""
+    wanted = table(spark, d, "orders").select(F.col("o_orderkey").alias("job_id"), "o_orderpriority")
+    statuses = job_statuses(spark, d)
+    done = jobs.all_succeeded(jobs.job_outcomes(statuses, wanted.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))))
+    every = jobs.all_succeeded(jobs.job_outcomes(statuses, wanted))
+    return done.select(F.lit("finished").alias("jobs"), "ok").unionAll(every.select(F.lit("all"), "ok"))
+
+
+def q_not_null_fields(spark, d):
+    """Not-null filter over a field with nulls, deleted rows included."""
+    o = table(spark, d, "orders").withColumn("closed", F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")))
+    return scan.object_scan(o, ["o_orderkey", "closed"], not_null=["closed"], query_all=True)
+
+
+def q_limit_groups(spark, d):
+    """A limit below the number of groups."""
+    rows = read_records(event_records(spark, d), infer=True)
+    return query.dataset_query(rows, by=["event_type", "user_id"], limit=20, order_by=["event_type", "user_id"])
+
+
+def q_page_union(spark, d):
+    """All pages of a result, read one after another: the result again."""
+    paged = paging.assign_pages(table(spark, d, "orders"), ["o_orderkey"], page_size=1000)
+    last = paged.agg(F.max("page")).first()[0]
+    odd, even = (paged.where(F.col("page") % 2 == k) for k in (1, 0))
+    return paging.concat_pages([odd, even.where(F.col("page") < last), paging.page(paged, last)] if last % 2 == 0 else [even, odd]).drop("page")
+
+
 def q_csv_source(spark, d):
     path = scratch_path(spark, "csv-part")
     table(spark, d, "part").write.option("header", "true").csv(path)
@@ -596,4 +720,18 @@ QUERIES: dict[str, Query] = {
     "csv_source": q_csv_source,
     "example_rows": q_example_rows,
     "exact_sample": q_exact_sample,
+    "text_columns": q_text_columns,
+    "bulk_column_order": q_bulk_column_order,
+    "bulk_completed": q_bulk_completed,
+    "size_repartition": q_size_repartition,
+    "parts_acknowledged": q_parts_acknowledged,
+    "upsert_two_keys": q_upsert_two_keys,
+    "publish_upsert_two_keys": q_publish_upsert_two_keys,
+    "publish_new_schema": q_publish_new_schema,
+    "publish_append_wider": q_publish_append_wider,
+    "publish_commits": q_publish_commits,
+    "all_succeeded": q_all_succeeded,
+    "not_null_fields": q_not_null_fields,
+    "limit_groups": q_limit_groups,
+    "page_union": q_page_union,
 }

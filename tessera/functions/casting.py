@@ -61,7 +61,10 @@ def parses_as(v: Column | str, dtype: T.DataType, date_format: str | None = None
     if isinstance(dtype, T.BooleanType):
         return F.lower(v).isin(*BOOLEAN_WORDS)
     if isinstance(dtype, T.DecimalType):
-        return F.regexp_replace(v, ",", "").rlike(DECIMAL_TEXT)
+        plain = F.regexp_replace(v, ",", "")
+        # A number with more whole digits than the type holds does not parse;
+        # digits after its scale are rounded half up.
+        return plain.rlike(DECIMAL_TEXT) & plain.try_cast(dtype).isNotNull()
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         if date_format:
             return F.try_to_timestamp(v, F.lit(date_format)).isNotNull()

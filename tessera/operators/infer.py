@@ -25,6 +25,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.casting import INT_TEXT, parses_as
 from tessera.functions.typenames import CANDIDATES, NUMERIC_PRECEDENCE, spark_type
+from tessera.sources.records import header_names
 
 _NONE = len(CANDIDATES)
 
@@ -67,13 +68,21 @@ def value_class(v: Column, date_format: str | None = None) -> Column:
     )
 
 
-def class_aggs(v: Column, prefix: str, date_format: str | None = None) -> list[Column]:
-    cls = value_class(v, date_format)
-    aggs = [F.min(cls).alias(f"{prefix}_lo"), F.max(cls).alias(f"{prefix}_hi")]
+def class_cols(v: Column, prefix: str, date_format: str | None = None) -> list[Column]:
+    """The class of each value as a column of its own, so that ``min`` and
+    ``max`` read a number instead of running the tests twice."""
+    cols = [value_class(v, date_format).alias(f"{prefix}_cls")]
     if date_format:
         # A pattern may also accept numeric texts, so "all timestamps" is its own test.
         ts = parses_as(v, spark_type("timestamp"), date_format)
-        aggs.append(F.bool_and(F.when(v.isNotNull() & (v != F.lit("")), ts)).alias(f"{prefix}_ts"))
+        cols.append(F.when(v.isNotNull() & (v != F.lit("")), ts).alias(f"{prefix}_is_ts"))
+    return cols
+
+
+def class_aggs(prefix: str, date_format: str | None = None) -> list[Column]:
+    aggs = [F.min(f"{prefix}_cls").alias(f"{prefix}_lo"), F.max(f"{prefix}_cls").alias(f"{prefix}_hi")]
+    if date_format:
+        aggs.append(F.bool_and(f"{prefix}_is_ts").alias(f"{prefix}_ts"))
     return aggs
 
 
@@ -111,9 +120,11 @@ def infer_types(
     # Each value is computed once in a projection, then classified.
     keep = [F.col(b) for b in (by or [])]
     values = src.select(*keep, *[c.alias(f"_v{i}") for i, (_, c) in enumerate(cols)])
-    aggs = []
+    classes, aggs = [], []
     for i in range(len(cols)):
-        aggs += class_aggs(F.col(f"_v{i}"), f"_c{i}", date_format)
+        classes += class_cols(F.col(f"_v{i}"), f"_c{i}", date_format)
+        aggs += class_aggs(f"_c{i}", date_format)
+    values = values.select(*keep, *classes)
     grouped = values.groupBy(*by).agg(*aggs) if by else values.agg(*aggs)
     entries = [
         F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"),
@@ -131,41 +142,28 @@ def infer_record_types(df: DataFrame, rec: str = "rec", date_format: str | None
     The records are exploded to (key, value) and grouped by key with partial
     aggregation, so each map task sends one row per key; a key absent from
     a record counts as blank there."""
-    return _record_key_table(df, rec, date_format, empty_as).drop("widest")
-
-
-def _record_key_table(df: DataFrame, rec: str, date_format: str | None, empty_as: str | None) -> DataFrame:
-    """Per key: position, type, and the widest record holding the key as the
-    pair (key count, sorted keys); the largest pair over all keys is the
-    widest record overall."""
-    pair = F.struct(F.size(F.col(rec)).alias("n"), F.array_sort(F.map_keys(F.col(rec))).alias("k"))
-    kv = df.select(F.explode(F.col(rec)).alias("k", "v"), pair.alias("_w"))
-    per_key = kv.groupBy("k").agg(*class_aggs(F.col("v"), "_c", date_format), F.max("_w").alias("widest"))
+    kv = df.select(F.explode(F.col(rec)).alias("k", "v")).select("k", *class_cols(F.col("v"), "_c", date_format))
+    per_key = kv.groupBy("k").agg(*class_aggs("_c", date_format))
     # One row per distinct key: bounded by the schema width.
     return per_key.select(
         (F.row_number().over(Window.orderBy("k")) - 1).cast("int").alias("position"),
         F.col("k").alias("column"),
         type_of_classes("_c", date_format, empty_as).alias("type"),
-        "widest",
     )
 
 
 def record_schema_rows(df: DataFrame, rec: str = "rec", date_format: str | None = None,
                        header_mode: str = "union") -> list[tuple[str, str]]:
-    """``(name, type)`` of the header in order, from one grouped pass over the
-    records: all keys sorted (``union``) or the widest record's keys
-    (``widest``), typed by every record's values."""
-    rows = _record_key_table(df, rec, date_format, "string").collect()  # schema width
+    """``(name, type)`` of the header in order: all keys sorted (``union``), or
+    the widest record's keys (``widest``, one more pass that looks at each
+    record's keys once), typed by every record's values."""
+    if header_mode not in ("union", "widest"):
+        raise ValueError("header_mode must be 'union' or 'widest'")
+    rows = infer_record_types(df, rec, date_format).collect()  # schema width
     types = {r["column"]: r["type"] for r in rows}
     if header_mode == "union":
         return [(r["column"], r["type"]) for r in sorted(rows, key=lambda r: r["position"])]
-    if header_mode == "widest":
-        if not rows:
-            return []
-        # The pair is (key count, sorted keys); read by position.
-        best = max((r["widest"] for r in rows), key=lambda w: (w[0], list(w[1])))
-        return [(k, types[k]) for k in best[1]]
-    raise ValueError("header_mode must be 'union' or 'widest'")
+    return [(k, types[k]) for k in header_names(df, rec, "widest")]
 
 
 def infer_schema(

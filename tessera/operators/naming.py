@@ -8,21 +8,27 @@ literal (no regex built from the name).
 Plan: split each text on ``"`` (odd segments are inside quotes) and mark the
 segments that follow ``load``; explode only those and join them to the
 registry (AQE picks broadcast or sort-merge and splits a hot name); collect
-each text's substitutions with ``collect_set`` grouped by (key, text), so a
+each text's substitutions with ``collect_set`` grouped by (key, hashes), so a
 group holds the loads of one text and identical copies are combined
 map-side; join the substitutions back and rewrite each text with a
-``transform`` over its own segments.  Nothing assumes the key is unique.
+``transform`` over its own segments.  Nothing assumes the key is unique: a text
+is known by its key and two 64-bit hashes with different seeds, so no text is
+shuffled but the rewritten ones, once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the text before a quoted dataset target.
 LOAD_BEFORE = r"(^|[^A-Za-z0-9_])load\s*$"
 
 
+def _text_id(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")
+
+
 def resolve_dataset_names(
     queries: DataFrame,
     registry: DataFrame,
@@ -41,18 +47,19 @@ def resolve_dataset_names(
         return F.struct(i.alias("pos"), seg.alias("seg"), target.alias("is_target"))
 
     targets = queries.select(
-        F.col(key), F.col(text), F.explode(F.filter(F.transform(parts, mark), lambda m: m["is_target"])).alias("t")
-    ).select(key, text, "t.pos", "t.seg")
+        F.col(key), *_text_id(F.col(text)), F.explode(F.filter(F.transform(parts, mark), lambda m: m["is_target"])).alias("t")
+    ).select(key, "_h1", "_h2", "t.pos", "t.seg")
     # A name listed twice resolves to its smallest id, so the answer is stable.
     reg = registry.groupBy(F.col(name).alias("seg")).agg(F.min(dataset_id).alias("_id"))
     subs = (
         targets.join(reg, "seg")
-        .groupBy(key, text)
+        .groupBy(key, "_h1", "_h2")
         .agg(F.map_from_entries(F.collect_set(F.struct(F.col("pos"), F.col("_id")))).alias("_subs"))
     )
     q, s = queries.alias("_q"), subs.alias("_s")
     # Null-safe on the key: a text without a key is rewritten too.
-    cond = F.col(f"_q.{key}").eqNullSafe(F.col(f"_s.{key}")) & (F.col(f"_q.{text}") == F.col(f"_s.{text}"))
+    h1, h2 = _text_id(F.col(f"_q.{text}"))
+    cond = F.col(f"_q.{key}").eqNullSafe(F.col(f"_s.{key}")) & (h1 == F.col("_s._h1")) & (h2 == F.col("_s._h2"))
     joined = q.join(s, cond, "left")
     q_parts = F.split(F.col(f"_q.{text}"), '"', -1)
     rewritten = F.when(F.col("_s._subs").isNull(), F.col(f"_q.{text}")).otherwise(

@@ -3,20 +3,18 @@ pages of a result, primary-key chunks, numbered parts.
 
 Rank plan (one range shuffle, no global window over the rows):
 
-1. Inside each input partition, sort by the ranking key and give each row a
-   copy number (``monotonically_increasing_id``).  The local sort makes the
-   number depend only on the partition's contents, so a recomputed task
-   numbers its rows the same way.
-2. Range-partition on (order keys, every other orderable column, copy
-   number).  The tie breakers split a hot key value, and the copy number
-   splits a group of identical copies, across ranges; Spark samples the
-   bounds.
+1. Inside each input partition, sort by (order keys, hash of the other columns)
+   and give each row a copy number (``monotonically_increasing_id``).
+2. Range-partition on (order keys, that hash, copy number).  The hash splits a
+   hot key value and the copy number a group of identical copies across ranges.
+   Only these enter the bounds that Spark samples, never whole rows.
 3. Sort within each range; the row's position in its range is
    ``monotonically_increasing_id - (partition << 33)``.
-4. Count rows per range (a tiny aggregate over the reused exchange), turn the
-   counts into offsets with a window over ``ranges`` rows only, and
-   broadcast them: the broadcast holds exactly ``ranges`` rows (by default at
-   most ``MAX_DEFAULT_RANGES``).
+4. Write the placed rows once, then count them per range and turn the counts
+   into offsets with a window over one row a range.  Positions and counts come
+   from the same written rows, so the rank is right whatever Spark reuses or
+   recomputes.  The offsets are joined without a hint: a written table has a
+   known size, so Spark broadcasts it while it is small.
 """
 
 from __future__ import annotations
@@ -26,54 +24,60 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tessera.session import materialize
+
 _COPY = "_tessera_copy"
 _PART = "_tessera_range"
 _POS = "_tessera_pos"
-_OFF = "_tessera_offset"
-_TOTAL = "_tessera_total"
-
+_HASH = "_tessera_hash"
 
-def _orderable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _orderable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
-    return True
 
+def _hashed(f: T.StructField) -> Column:
+    """A column as ``xxhash64`` takes it: maps and variants by their JSON text."""
+    return F.to_json(F.struct(F.col(f"`{f.name}`"))) if _holds_map(f.dataType) else F.col(f"`{f.name}`")
 
-# Fixed value: most ranges chosen by default.  The offsets broadcast holds one
-# row (about 24 bytes) per range, so it stays under ~5 MB at any input size.
-MAX_DEFAULT_RANGES = 200_000
 
-
-def _default_ranges(df: DataFrame) -> int:
-    """One range per input partition (the input splits are already sized from
-    the data by ``spark.sql.files.maxPartitionBytes``), capped so the offsets
-    broadcast keeps a fixed bound."""
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): use the shuffle width
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(n, MAX_DEFAULT_RANGES))
+def _holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def place_in_ranges(df: DataFrame, order_by: list[str | Column], ranges: int,
+def place_in_ranges(df: DataFrame, order_by: list[str | Column], ranges: int | None = None,
                     range_col: str = "range_id", pos_col: str = "pos_in_range") -> DataFrame:
-    """Range-partition ``df`` into ``ranges`` ordered partitions (steps 1-3
-    above): ``range_col`` is the partition (0-based, in order) and
-    ``pos_col`` the row's 0-based position inside it.  A hot key value and a
-    group of identical copies are split over ranges."""
+    """Range-partition ``df`` into ordered partitions (steps 1-3 above; by
+    default as many as the session's shuffle partitions) and write them:
+    ``range_col`` is the partition (0-based, in order) and ``pos_col`` the
+    row's 0-based position inside it."""
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = {c for c in order_by if isinstance(c, str)}
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ties = [F.col(f.name) for f in df.schema.fields if f.name not in named and _orderable(f.dataType)]
-    keys = order + ties
-    numbered = df.sortWithinPartitions(*keys).withColumn(_COPY, F.monotonically_increasing_id())
+    rest = [_hashed(f) for f in df.schema.fields if f.name not in named]
+    keys = [*order, F.col(_HASH)]
+    hashed = df.withColumn(_HASH, F.xxhash64(*rest) if rest else F.lit(0).cast("long"))
+    numbered = hashed.sortWithinPartitions(*keys).withColumn(_COPY, F.monotonically_increasing_id())
     ranged = numbered.repartitionByRange(ranges, *keys, F.col(_COPY)).sortWithinPartitions(*keys, F.col(_COPY))
-    return ranged.withColumn(range_col, F.spark_partition_id()).withColumn(
+    placed = ranged.withColumn(range_col, F.spark_partition_id()).withColumn(
         pos_col, F.monotonically_increasing_id() - F.shiftleft(F.col(range_col).cast("long"), 33)
-    ).drop(_COPY)
+    ).drop(_COPY, _HASH)
+    return materialize(placed, "ranges")
+
+
+def range_offsets(placed: DataFrame, range_col: str, measures: dict[str, Column]) -> DataFrame:
+    """Per range, for each measure: its sum over all earlier ranges
+    (``<name>_before``) and over all rows (``<name>_all``)."""
+    sums = placed.groupBy(range_col).agg(*[F.sum(e).alias(k) for k, e in measures.items()])
+    # Windows over one row per range.
+    before = Window.orderBy(range_col).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    out = sums.select(
+        range_col,
+        *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"{k}_before") for k in measures],
+        *[F.sum(k).over(every).alias(f"{k}_all") for k in measures],
+    )
+    return materialize(out, "offsets")
 
 
 def rank_rows(
@@ -82,31 +86,16 @@ def rank_rows(
     rank_col: str = "rank",
     total_col: str | None = None,
     ranges: int | None = None,
-    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """``df`` plus a 0-based global rank by ``order_by`` (ties broken by the
-    other columns, so equal inputs give equal ranks as a bag).
-
-    ``total_col`` adds the row count; ``totals`` adds, per name, the sum of an
-    expression over all rows, computed in the same per-range aggregate."""
-    totals = totals or {}
-    placed = place_in_ranges(df, order_by, ranges or _default_ranges(df), _PART, _POS)
-    counts = placed.groupBy(_PART).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(e).alias(f"_m_{k}") for k, e in totals.items()]
-    )
-    # Windows over one row per range: the range count bounds their size.
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    offsets = counts.select(
-        _PART,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFF),
-        F.sum("_n").over(every).alias(_TOTAL),
-        *[F.sum(f"_m_{k}").over(every).alias(k) for k in totals],
-    )
-    out = placed.join(F.broadcast(offsets), _PART).withColumn(rank_col, (F.col(_OFF) + F.col(_POS)).cast("long"))
+    """``df`` plus a 0-based global rank by ``order_by`` (ties broken by a hash
+    of the other columns, so equal inputs give equal ranks as a bag);
+    ``total_col`` adds the row count."""
+    placed = place_in_ranges(df, order_by, ranges, _PART, _POS)
+    offsets = range_offsets(placed, _PART, {"_tessera_n": F.lit(1)})
+    out = placed.join(offsets, _PART).withColumn(rank_col, (F.col("_tessera_n_before") + F.col(_POS)).cast("long"))
     if total_col:
-        out = out.withColumn(total_col, F.col(_TOTAL).cast("long"))
-    return out.drop(_PART, _POS, _OFF, _TOTAL)
+        out = out.withColumn(total_col, F.col("_tessera_n_all").cast("long"))
+    return out.drop(_PART, _POS, "_tessera_n_before", "_tessera_n_all")
 
 
 def int_div(a: Column, b: int) -> Column:
@@ -167,6 +156,7 @@ def chunk_bounds(chunked: DataFrame, key: str, chunk_col: str = "chunk_id") -> D
 
 def exact_sample(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
     """A repeatable sample of exactly ``min(n, rows)`` rows without replacement:
-    the ``n`` smallest seeded hashes of the key (a bounded top-n)."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    return df.orderBy(h, *key).limit(n)
+    the ``n`` smallest md5 digests of the seed and the key's text (a bounded
+    top-n)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    return df.orderBy(F.md5(text), *key).limit(n)

@@ -1,11 +1,10 @@
 """Size-bounded output: encoded size, partition count, numbered parts.
 
-The part count is ``floor(bytes / max_bytes) + 1`` of the exact encoded size
-(UTF-8 bytes of every encoded line plus its newline, summed in the rank's own
-aggregate or one aggregate pass).  Exact split: part numbers come from the
-distributed rank, so a given row always lands in the same part and every part
-holds an equal share of the rows (about, not at most, ``max_bytes``).  Range
-split: parts are Spark's sampled key ranges, one shuffle fewer.
+The size is exact: UTF-8 bytes of every encoded line plus its newline.  Parts are
+cut on the running byte offset of the ordered lines: a line belongs to the part
+its first byte falls in, so no part is above ``max_bytes`` plus one line, whatever
+the rows' widths.  Exact split: the offset runs over all rows.  Range split: it
+starts anew in each sampled key range, so only one range is ever looked at.
 """
 
 from __future__ import annotations
@@ -13,9 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tessera.functions.encode import csv_header, csv_line, line_bytes
-from tessera.operators.paging import place_in_ranges, rank_rows
+from tessera.operators.paging import int_div, place_in_ranges, rank_rows, range_offsets
+from tessera.session import materialize
+
+_RANGE = "_tessera_range"
 
 # Payload target per part, and the row count the estimate samples.
 MAX_PART_BYTES = 10 * 1024 * 1024
@@ -44,7 +47,7 @@ def estimated_size(df: DataFrame, seed: int = 7) -> int:
         return int(df.agg(F.coalesce(F.sum(line_bytes(line)), F.lit(0))).first()[0])
     h = F.xxhash64(line, F.lit(seed))
     sample_bytes = df.select(line.alias("line")).orderBy(h).limit(SAMPLE_ROWS).agg(F.sum(line_bytes("line"))).first()[0]
-    return int(sample_bytes) * (rows // SAMPLE_ROWS)
+    return int(sample_bytes) * rows // SAMPLE_ROWS
 
 
 def size_plan(df: DataFrame, max_bytes: int = MAX_PART_BYTES, columns: list[str] | None = None) -> DataFrame:
@@ -52,19 +55,11 @@ def size_plan(df: DataFrame, max_bytes: int = MAX_PART_BYTES, columns: list[str]
     return encoded_size(df, columns).withColumn("parts", part_count(F.col("bytes"), max_bytes))
 
 
-def size_partitions(df: DataFrame, max_bytes: int = MAX_PART_BYTES) -> DataFrame:
-    """Repartition to the size-derived part count: ``coalesce`` to shrink (no
-    shuffle), ``repartition`` to grow."""
+def size_partitions(df: DataFrame, max_bytes: int = MAX_PART_BYTES, current: int | None = None) -> DataFrame:
+    """Repartition to the size-derived part count.  Tell the ``current`` number
+    of partitions, where it is known, to shrink without a shuffle."""
     n = int(size_plan(df, max_bytes).first()["parts"])
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session)
-        return df.repartition(n)
-    if n < current:
-        return df.coalesce(n)
-    if n > current:
-        return df.repartition(n)
-    return df
+    return df.coalesce(n) if current is not None and n < current else df.repartition(n)
 
 
 def share(pos: Column, pieces: Column, rows: Column) -> Column:
@@ -87,68 +82,57 @@ def number_parts(df: DataFrame, order_by: list[str], parts: int | Column, part_c
 
 
 def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                 columns: list[str] | None = None, subparts: int = 1, quote_cr: bool = False) -> DataFrame:
-    """``(part_number, pos, line)``: encoded lines with their part and their
-    global position, the part count derived from the exact encoded size.
-
-    With ``subparts > 1`` a ``subpart`` column (1..subparts) splits every part
-    into consecutive pieces: piece ``floor(pos * parts * k / rows)`` gives
-    the part (``div k``) and the subpart (``mod k``), since
-    ``floor(floor(y) / k) = floor(y / k)``."""
-    cols = columns or df.columns
-    line = csv_line(df, cols, quote_cr=quote_cr)
-    lines = df.select(*[F.col(k) for k in order_by], line.alias("line"))
-    # Row count and encoded bytes come out of the rank's own per-range
-    # aggregate, so the size costs no extra pass.
-    ranked = rank_rows(lines, order_by, "pos", total_col="_rows", totals={"_bytes": line_bytes("line")})
-    parts = part_count(F.col("_bytes"), max_bytes)
-    k = F.lit(subparts).cast("long")
-    pieces = parts * k
-    piece = share(F.col("pos"), pieces, F.col("_rows"))
-    # First row of its (sub)part: the piece index changes between pos-1 and pos.
-    first = (F.col("pos") == F.lit(0)) | (piece != share(F.col("pos") - F.lit(1), pieces, F.col("_rows")))
-    extra = []
-    if subparts > 1:
-        extra = [(F.pmod(piece, k) + F.lit(1)).cast("int").alias("subpart")]
-    part = ((piece - F.pmod(piece, k)) / k + F.lit(1)).cast("long")
-    return ranked.select(part.alias("part_number"), "pos", "line", *extra, first.alias("first"))
-
-
-def range_parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
-                       columns: list[str] | None = None, quote_cr: bool = False) -> DataFrame:
-    """``(part_number, pos, line)`` with parts taken as Spark's sampled key
-    ranges: one exact size pass (an aggregate, no shuffle) fixes the part
-    count, then one range shuffle places the rows; ``pos`` is the position
-    inside the part.  Parts are about, not exactly, equal; each part is one
-    task, in order."""
+                 columns: list[str] | None = None, subparts: int = 1, quote_cr: bool = False,
+                 split: str = "exact") -> DataFrame:
+    """``(part_number, subpart, pos, line, bytes)``: encoded lines in order with
+    their part.  Parts are numbered from 1 without gaps; ``pos`` is the line's
+    position in its key range (lines order by part, range, position).
+
+    ``subparts`` cuts every part into that many equal byte ranges (a part may
+    have no line in some)."""
+    if split not in ("exact", "range"):
+        raise ValueError("split must be 'exact' or 'range'")
     cols = columns or df.columns
     line = csv_line(df, cols, quote_cr=quote_cr)
-    size = df.agg(F.coalesce(F.sum(line_bytes(line)), F.lit(0)).alias("bytes"))
-    parts = int(size.select(part_count(F.col("bytes"), max_bytes)).first()[0])
-    lines = df.select(*[F.col(k) for k in order_by], line.alias("line"))
-    placed = place_in_ranges(lines, order_by, parts, "_range", "pos")
-    return placed.select((F.col("_range") + F.lit(1)).cast("long").alias("part_number"), "pos", "line")
+    lines = df.select(*[F.col(k) for k in order_by], line.alias("line")).withColumn("bytes", line_bytes("line").cast("long"))
+    placed = place_in_ranges(lines, order_by, None, _RANGE, "pos")
+    inside = Window.partitionBy(_RANGE).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("bytes").over(inside), F.lit(0))
+    if split == "exact":
+        placed = placed.join(range_offsets(placed, _RANGE, {"_b": F.col("bytes")}), _RANGE)
+        at = placed.withColumn("_start", start + F.col("_b_before")).withColumn("_of", F.lit(0))
+    else:
+        at = placed.withColumn("_start", start).withColumn("_of", F.col(_RANGE))
+    at = at.withColumn("_cut", int_div(F.col("_start"), max_bytes))
+    # One row a part; numbers skip the byte ranges inside a line longer than a part.
+    cuts = materialize(at.select("_of", "_cut").distinct(), "cuts")
+    numbers = cuts.select("_of", "_cut", F.row_number().over(Window.orderBy("_of", "_cut")).cast("long").alias("part_number"))
+    sub = int_div((F.col("_start") - F.col("_cut") * F.lit(max_bytes)) * F.lit(subparts), max_bytes) + F.lit(1)
+    return at.join(materialize(numbers, "part-numbers"), ["_of", "_cut"]).select(
+        "part_number", sub.cast("int").alias("subpart"), F.col(_RANGE).alias("range_id"), "pos", "line", "bytes"
+    )
 
 
 def part_manifest(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                   columns: list[str] | None = None) -> DataFrame:
     """Per part: rows and payload bytes (each line plus its newline)."""
-    lines = parted_lines(df, order_by, max_bytes, columns)
-    return lines.groupBy("part_number").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(line_bytes("line")).cast("long").alias("bytes")
-    )
+    return _manifest_of(parted_lines(df, order_by, max_bytes, columns))
+
+
+def _manifest_of(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("part_number").agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").cast("long").alias("bytes"))
 
 
 def part_payloads(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                   columns: list[str] | None = None, header: bool = False) -> DataFrame:
     """One payload per part: its lines in order joined by newlines, after the
-    header line when ``header`` (a batch).  Parts are sized from the encoded
-    bytes, so each collected group holds about ``max_bytes`` of text."""
+    header line when ``header`` (a batch).  A part has at most ``max_bytes``
+    plus one line, which bounds each collected group."""
     cols = columns or df.columns
     lines = parted_lines(df, order_by, max_bytes, cols)
     agg = lines.groupBy("part_number").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("_l"),
+        F.array_sort(F.collect_list(F.struct("range_id", "pos", "line"))).alias("_l"),
     )
     body = F.array_join(F.transform(F.col("_l"), lambda x: x["line"]), "\n")
     if header:
@@ -156,72 +140,45 @@ def part_payloads(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_
     return agg.select("part_number", "rows", body.alias("payload"))
 
 
+def landed_bytes(spark, path: str, by: list[str]) -> DataFrame:
+    """Bytes per part folder from the file listing (contents are not read)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return files.groupBy(*by).agg(F.sum("length").cast("long").alias("landed"))
+
+
 def write_parts(df: DataFrame, path: str, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                 columns: list[str] | None = None, split: str = "exact") -> DataFrame:
     """Write the encoded lines as one text folder per part (``part_number=k``)
-    and return the part manifest ``(part_number, rows, bytes)`` of what landed:
-    records as the CSV reader parses them back, bytes from the file listing.
-    Spark's output commit makes the write all-or-nothing.
-
-    ``split="exact"``: equal row shares by rank, then a hash shuffle by part.
-    ``split="range"``: parts are sampled key ranges; one range shuffle only."""
+    and return the acknowledged part manifest (see ``acknowledge``).
+    Spark's output commit makes the write all-or-nothing."""
     # Files this library parses back: a \r inside a value is quoted too.
-    if split == "exact":
-        lines = parted_lines(df, order_by, max_bytes, columns, quote_cr=True).repartition("part_number")
-    elif split == "range":
-        lines = range_parted_lines(df, order_by, max_bytes, columns, quote_cr=True)
-    else:
-        raise ValueError("split must be 'exact' or 'range'")
+    lines = materialize(parted_lines(df, order_by, max_bytes, columns, quote_cr=True, split=split), "lines")
     (
-        lines
+        lines.repartition("part_number")
         # Partition column first, so the writer keeps the line order.
-        .sortWithinPartitions("part_number", "pos")
+        .sortWithinPartitions("part_number", "range_id", "pos")
         .select("part_number", "line")
         .write.mode("overwrite")
         .partitionBy("part_number")
         .text(path)
     )
-    spark = df.sparkSession
-    records = (
-        spark.read.option("multiLine", "true").option("lineSep", "\n").option("escape", '"')
-        .option("maxCharsPerColumn", "-1").csv(path)
-        .groupBy("part_number").agg(F.count(F.lit(1)).alias("rows"))
-    )
-    sizes = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
-        .groupBy("part_number").agg(F.sum("length").cast("long").alias("bytes"))
-    )
-    manifest = records.join(sizes, "part_number").select(
-        F.col("part_number").cast("long"), F.col("rows").cast("long"), "bytes"
-    )
-    return acknowledge(manifest, max_bytes) if split == "exact" else manifest
-
-
-def _ceil_div(a: Column, b: Column) -> Column:
-    """``ceil(a / b)`` exactly for non-negative longs, via ``share``."""
-    return share(a + b - F.lit(1), F.lit(1), b)
-
+    return acknowledge(_manifest_of(lines), landed_bytes(df.sparkSession, path, ["part_number"]))
 
-def acknowledge(manifest: DataFrame, max_bytes: int = MAX_PART_BYTES) -> DataFrame:
-    """Check an exact-split part manifest against what the split promises.
 
-    With ``N`` rows and ``P`` parts (from the total bytes), part ``p`` holds
-    ``ceil(p N / P) - ceil((p - 1) N / P)`` rows.  Adds ``expected_rows`` and
-    ``ok``; the totals are one tiny aggregate over the manifest."""
-    totals = manifest.agg(F.sum("rows").alias("_n"), F.sum("bytes").alias("_b")).select(
-        "_n", part_count(F.col("_b"), max_bytes).alias("_p")
+def acknowledge(manifest: DataFrame, landed: DataFrame) -> DataFrame:
+    """The planned parts with what landed of them: ``ok`` when all bytes of a
+    part are in its files."""
+    arrived = F.coalesce(F.col("landed"), F.lit(0))
+    sizes = landed.select(F.col("part_number").cast("long"), "landed")
+    return manifest.join(sizes, "part_number", "left").select(
+        "part_number", "rows", "bytes", arrived.alias("landed"), (arrived == F.col("bytes")).alias("ok")
     )
-    m = manifest.crossJoin(F.broadcast(totals))  # one totals row
-    n, p, k = F.col("_n"), F.col("_p"), F.col("part_number")
-    expected = _ceil_div(k * n, p) - _ceil_div((k - F.lit(1)) * n, p)
-    return m.select("part_number", "rows", "bytes", expected.alias("expected_rows"),
-                    ((F.col("rows") == expected) & (k <= p)).alias("ok"))
 
 
-def parts_ok(acknowledged: DataFrame, max_bytes: int = MAX_PART_BYTES) -> DataFrame:
-    """One row: every part landed whole, and no part is missing."""
+def parts_ok(acknowledged: DataFrame) -> DataFrame:
+    """One row: every part landed whole, and no part number is missing."""
+    n = F.count(F.lit(1))
     return acknowledged.agg(
-        (F.coalesce(F.bool_and("ok"), F.lit(False))
-         & (F.count(F.lit(1)) == part_count(F.sum("bytes"), max_bytes))
-         & (F.count(F.lit(1)) == F.max("part_number"))).alias("ok")
+        (F.coalesce(F.bool_and("ok"), F.lit(True)) & (n == F.coalesce(F.max("part_number"), F.lit(0)))
+         & (n == F.count_distinct("part_number"))).alias("ok")
     )

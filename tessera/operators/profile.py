@@ -31,6 +31,9 @@ DEFAULT_TYPE_MAP: dict[str, dict[str, str]] = {
 FALLBACK_TYPE = "Text"
 MAX_SCALE = 6
 
+# What a type-map entry may say.
+ENTRY_KEYS = {"dataset_type", "precision", "scale", "format", "defaultValue", "canTruncateValue"}
+
 _MAP_SCHEMA = T.StructType(
     [
         T.StructField("type_name", T.StringType(), False),
@@ -45,12 +48,15 @@ _MAP_SCHEMA = T.StructType(
 
 
 def merged_type_map(user: str | dict | None = None) -> dict[str, dict[str, str]]:
-    """Default map with the user's entries; a user entry replaces a whole type."""
-    out = dict(DEFAULT_TYPE_MAP)
-    if user:
-        extra = json.loads(user) if isinstance(user, str) else user
-        out.update(extra)
-    return out
+    """Default map with the user's entries; a user entry replaces a whole type.
+    An entry needs its ``dataset_type`` and may only have the known keys."""
+    extra = json.loads(user) if isinstance(user, str) else dict(user or {})
+    for name, entry in extra.items():
+        if not isinstance(entry, dict) or not entry.get("dataset_type"):
+            raise ValueError(f"type map: {name!r} has no dataset_type")
+        if unknown := sorted(set(entry) - ENTRY_KEYS):
+            raise ValueError(f"type map: {name!r} has unknown keys {unknown}")
+    return {**DEFAULT_TYPE_MAP, **extra}
 
 
 def type_map_table(spark: SparkSession, user: str | dict | None = None) -> DataFrame:
@@ -177,10 +183,13 @@ def check_declared(schema: T.StructType, type_map: str | dict | None = None) ->
     """The same checks as ``check_profile`` from the schema and type map alone
     (metadata only, no Spark job)."""
     entries = declared_entries(schema, type_map)
-    for e in entries:
-        if e["scale"] is not None and e["scale"] > MAX_SCALE:
-            raise ValueError(f"scale beyond {MAX_SCALE} is not supported; re-run with scale <= {MAX_SCALE}")
-    if not any(e["dataset_type"] == FALLBACK_TYPE for e in entries):
+    _refuse(sum((e["scale"] or 0) > MAX_SCALE for e in entries), sum(e["dataset_type"] == FALLBACK_TYPE for e in entries))
+
+
+def _refuse(wide: int, texts: int) -> None:
+    if wide:
+        raise ValueError(f"{wide} numeric columns declare a scale of more than {MAX_SCALE} digits")
+    if not texts:
         raise ValueError("a dataset needs at least one Text column")
 
 
@@ -190,10 +199,7 @@ def check_profile(profile: DataFrame) -> None:
         F.count_if(F.col("scale") > F.lit(MAX_SCALE)).alias("bad_scale"),
         F.count_if(F.col("dataset_type") == F.lit("Text")).alias("texts"),
     ).first()
-    if row["bad_scale"]:
-        raise ValueError(f"scale beyond {MAX_SCALE} is not supported; re-run with scale <= {MAX_SCALE}")
-    if not row["texts"]:
-        raise ValueError("a dataset needs at least one Text column")
+    _refuse(row["bad_scale"], row["texts"])
 
 
 def metadata_document(profile: DataFrame, dataset: str, unique_ids: list[str] | None = None) -> DataFrame:

@@ -104,6 +104,22 @@ from ranked group by "column"
 DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
+
+
+def _cut(table: str, cols: list[str], order: list[str], max_bytes: int) -> str:
+    """CTEs that number parts cut on the running byte offset of the encoded lines."""
+    by = ", ".join(order)
+    return f"""l as (select *, {_line(cols)} as line from {table}),
+        sized as (select *, strlen(line) + 1 as b from l),
+        placed as (select *, sum(b) over (order by {by} rows unbounded preceding) - b as start from sized),
+        cuts as (select *, start // {max_bytes} as cut from placed),
+        numbered as (select *, dense_rank() over (order by cut) as part_number from cuts)"""
+
+
+_LINES_SQL = """t as (select l_orderkey, l_linenumber, max(l_partkey) as partkey, max(l_quantity) as quantity from lineitem group by all),
+        c as (select l_orderkey, l_linenumber, quantity + 1 as quantity from t where l_linenumber % 2 = 0
+              union all select -o_orderkey - 1, 1, 0.5 from orders)"""
+
 # Spark type name, dataset type, precision, scale, format per DuckDB column type.
 _TYPE_MAP_SQL = """
 tm as (
@@ -213,14 +229,11 @@ ORACLE: dict[str, str] = {
     "bulk_newlines": f"select conv_id, turn, {_newlines('role')} as role, {_newlines('text')} as text from conversations",
     "bulk_infer": f"""select cast(conv_id as integer) as conv_id, cast(turn as integer) as turn, {_newlines('role')} as role,
         {_newlines('text')} as text from conversations""",
-    "bulk_last": f"""with l as (select *, row_number() over (order by conv_id, turn) - 1 as rn,
-            count(*) over () as n from conversations),
-        sz as (select sum(strlen({_line(["conv_id", "turn", "role", "text"])}) + 1) as bytes from conversations),
-        p as (select case when bytes <= 500000 then 1 else bytes // 500000 + 1 end as parts from sz),
-        b as (select l.*, (rn * parts) // n + 1 as batch_id, ((rn * parts * 2) // n) % 2 + 1 as result from l, p),
-        last as (select batch_id, max(result) as result from b group by batch_id)
+    "bulk_last": f"""with {_cut("conversations", ["conv_id", "turn", "role", "text"], ["conv_id", "turn"], 500000)},
+        b as (select *, cast((start - cut * 500000) * 2 // 500000 + 1 as integer) as result from numbered),
+        last as (select part_number, max(result) as result from b group by part_number)
         select conv_id, turn, {_newlines('role')} as role, {_newlines('text')} as text
-        from b join last using (batch_id, result)""",
+        from b join last using (part_number, result)""",
     "bulk_guard": """select doc_id, 'text' as "column", cast(length(text) as bigint) as length from documents
         where length(text) > 4096""",
     "encoded_size": f"""select count(*) as rows, cast(coalesce(sum(strlen(line) + 1), 0) as bigint) as bytes
@@ -229,19 +242,44 @@ ORACLE: dict[str, str] = {
         cast(case when bytes <= 500000 then 1 else bytes // 500000 + 1 end as bigint) as parts
         from (select count(*) as rows, cast(coalesce(sum(strlen(line) + 1), 0) as bigint) as bytes
               from (select {_line(DOC_COLS)} as line from documents))""",
-    "part_manifest": f"""with l as (select o_orderkey, {_line(ORDER_COLS)} as line from orders),
-        tot as (select sum(strlen(line) + 1) as bytes, count(*) as n from l),
-        p as (select case when bytes <= 100000 then 1 else bytes // 100000 + 1 end as parts, n from tot),
-        r as (select line, row_number() over (order by o_orderkey) - 1 as rn from l)
-        select cast((rn * parts) // n + 1 as bigint) as part_number, count(*) as rows,
-               cast(sum(strlen(line) + 1) as bigint) as bytes from r, p group by all""",
-    "batch_payloads": f"""with l as (select o_orderkey, {_line(ORDER_COLS)} as line from orders),
-        tot as (select sum(strlen(line) + 1) as bytes, count(*) as n from l),
-        p as (select case when bytes <= 100000 then 1 else bytes // 100000 + 1 end as parts, n from tot),
-        r as (select o_orderkey, line, row_number() over (order by o_orderkey) - 1 as rn from l)
-        select cast((rn * parts) // n + 1 as bigint) as part_number, count(*) as rows,
+    "part_manifest": f"""with {_cut("orders", ORDER_COLS, ["o_orderkey"], 100000)}
+        select part_number, count(*) as rows, cast(sum(b) as bigint) as bytes from numbered group by 1""",
+    "batch_payloads": f"""with {_cut("orders", ORDER_COLS, ["o_orderkey"], 100000)}
+        select part_number, count(*) as rows,
                '{",".join(ORDER_COLS)}' || chr(10) || string_agg(line, chr(10) order by o_orderkey) as payload
-        from r, p group by all""",
+        from numbered group by 1""",
+    "parts_acknowledged": f"""with {_cut("orders", ORDER_COLS, ["o_orderkey"], 100000)}
+        select count(distinct part_number) as parts, cast(count(*) as bigint) as rows, cast(sum(b) as bigint) as bytes, true as ok from numbered""",
+    "bulk_completed": f"""with {_cut("conversations", ["conv_id", "turn", "role", "text"], ["conv_id", "turn"], 20000)}
+        select conv_id, turn, {_newlines('role')} as role, {_newlines('text')} as text from numbered
+        where part_number % 5 <> 0 and part_number % 2 <> 1""",
+    "size_repartition": f"""with s as (select cast(coalesce(sum(strlen({_line(DOC_COLS)}) + 1), 0) as bigint) as bytes, count(*) as n from documents)
+        select cast(case when bytes <= 500000 then 1 else bytes // 500000 + 1 end as bigint) as partitions, cast(n as bigint) as rows, true as even from s""",
+    "text_columns": """select 'orders' as dataset, (select count(*) from orders) as rows, cast(0 as bigint) as texts, false as ok
+        union all select 'lineitem', (select count(*) from lineitem), cast(count(*) as bigint), count(*) > 0 from (describe lineitem) where column_type = 'VARCHAR'
+        union all select 'customer', (select count(*) from customer), cast(count(*) as bigint), count(*) > 0 from (describe customer) where column_type = 'VARCHAR'""",
+    "upsert_two_keys": f"""with {_LINES_SQL}
+        select t.l_orderkey, t.l_linenumber, t.partkey, case when c.l_orderkey is not null then c.quantity else t.quantity end as quantity
+        from t left join c using (l_orderkey, l_linenumber)
+        union all select l_orderkey, l_linenumber, cast(null as bigint), quantity from c anti join t using (l_orderkey, l_linenumber)""",
+    "publish_upsert_two_keys": f"""with {_LINES_SQL}
+        select t.l_orderkey, t.l_linenumber, t.partkey, case when c.l_orderkey is not null then c.quantity else t.quantity end as quantity, 'line' as kind
+        from t left join c using (l_orderkey, l_linenumber)
+        union all select l_orderkey, l_linenumber, cast(null as bigint), quantity, 'line' from c anti join t using (l_orderkey, l_linenumber)""",
+    "publish_new_schema": "select * from supplier",
+    "publish_append_wider": """select s_suppkey, s_name, cast(null as double) as s_acctbal from supplier
+        union all select s_suppkey, s_name, s_acctbal from supplier""",
+    "publish_commits": """select cast(1 as bigint) as version, 'Overwrite' as operation, 'Completed' as state, count(*) as rows from customer
+        union all select 2, 'Append', 'Completed', count(*) from customer where c_custkey % 3 = 0
+        union all select 3, 'Upsert', 'Completed', (select count(*) from customer) + (select count(*) from customer where c_custkey % 3 = 0)""",
+    "all_succeeded": f"""with s as (select o_orderpriority as p, {STATUS_SQL} as status from orders)
+        select 'finished' as jobs, bool_and(status not in ('Failed', 'New', 'Queued', 'InProgress')) as ok from s where p in ('1-URGENT', '2-HIGH')
+        union all select 'all', bool_and(status not in ('Failed', 'New', 'Queued', 'InProgress')) from s""",
+    "not_null_fields": "select o_orderkey, o_orderdate as closed from orders where o_orderstatus = 'F'",
+    "limit_groups": """select event_type, cast(user_id as integer) as user_id, count(*) as count from events
+        group by all order by event_type, user_id limit 20""",
+    "page_union": "select * from orders",
+    "exact_sample": """select * from orders order by md5('7|' || cast(o_orderkey as varchar)), o_orderkey limit 100""",
     "insert": f"""with {ACCOUNT_CHANGES_SQL}
         select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer
         union all select c_custkey, c_name, cast(null as integer), c_acctbal, cast(null as varchar) from changes""",
@@ -278,7 +316,8 @@ ORACLE: dict[str, str] = {
         select column_name as "column", tm.spark_type, coalesce(tm.dataset_type, 'Text') as dataset_type,
                cast(tm."precision" as integer) as "precision",
                cast(case when tm."precision" is not null then coalesce(tm.scale, 0) end as integer) as scale,
-               case when tm.spark_type = 'timestamp' then 'yyyy/MM/dd''T''HH:mm:ss' else tm.format end as format
+               case when tm.spark_type = 'timestamp' then 'dd.MM.yyyy HH:mm' else tm.format end as format,
+               case when tm.spark_type = 'string' then 'true' end as can_truncate
         from cols left join tm using (column_type)""",
     "metadata_table": f"""with {_TYPE_MAP_SQL},
         cols as (select column_name, column_type, row_number() over () - 1 as pos from (describe lineitem))
@@ -302,7 +341,7 @@ ORACLE: dict[str, str] = {
 
 ORACLE["upsert_full_outer"] = ORACLE["upsert"]
 ORACLE["bulk_read_range"] = ORACLE["bulk_read"]
-ORACLE["stream_batches"] = ORACLE["bulk_read"]
+ORACLE["stream_batches"] = ORACLE["bulk_column_order"] = ORACLE["bulk_read"]
 
 _JAVA_TS = ("(strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || "
             "coalesce(nullif(rtrim(strftime(ts, '%f'), '0'), ''), '0'))")

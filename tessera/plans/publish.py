@@ -1,28 +1,38 @@
-"""Publish a DataFrame as a dataset: metadata, sized parts, commit.
-
-A dataset folder holds versions ``data/version=<v>/`` (Parquet, the number of
-files taken from the CSV-encoded size) and a commit log ``_manifest/`` with
-one row per commit.  A version becomes visible only when its manifest row
-is written after all its files (Spark's output commit makes each file set
-all-or-nothing), so readers never see a half-written version.
-
-Operations: ``Overwrite`` starts a new base version; ``Append`` adds a
-version that readers union with the ones since the last base; ``Upsert``
-(which wins over the save mode and needs the unique-id fields) merges the
-rows into the current content by key and writes a new base.
+"""Publish a DataFrame as a dataset: metadata, data files, commit.
+
+A dataset folder holds data folders ``data/<id>/`` (Parquet, a new id for every
+publish) and a commit log ``_manifest/`` with one row per commit: version, data
+folder, schema.  Nothing is visible before its log row is written, after all its
+files (Spark's output commit makes each file set all-or-nothing).  Readers read
+the visible folders by path, each with the schema recorded for it; no history is
+listed.
+
+Operations: ``Overwrite`` starts a new base version, with its own columns;
+``Append`` adds a version that readers union with the ones since the last base
+(a column that only some versions have is null in the others; a column of another
+type is refused); ``Upsert`` (which wins over the save mode and needs the
+unique-id fields) merges the rows into the current content by key and writes a
+new base.
+
+Writers do not share a version: the commit claims it by creating
+``_claims/version=<v>``, which only one writer can.  An Append or Overwrite that
+loses takes the next version; an Upsert merges again, since the content it
+merged into is no longer the last.  The claim is as exclusive as the file
+system's create-if-absent (HDFS and object stores that offer it).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.objects import upsert as keyed_upsert
-from tessera.operators.parts import MAX_PART_BYTES, size_plan
+from tessera.operators.objects import check_keys, upsert as keyed_upsert
 from tessera.operators.profile import check_declared, metadata_json, read_metadata
 
 MANIFEST = T.StructType(
@@ -31,12 +41,15 @@ MANIFEST = T.StructType(
         T.StructField("operation", T.StringType(), False),
         T.StructField("state", T.StringType(), False),
         T.StructField("rows", T.LongType(), True),
-        T.StructField("parts", T.LongType(), True),
-        T.StructField("bytes", T.LongType(), True),
+        T.StructField("data", T.StringType(), True),
+        T.StructField("schema", T.StringType(), True),
+        T.StructField("stream", T.StringType(), True),
         T.StructField("epoch", T.LongType(), True),
         T.StructField("committed_at", T.StringType(), True),
     ]
 )
+# Fixed value: times an upsert merges again because others committed meanwhile.
+MERGE_ATTEMPTS = 5
 
 
 def dataset_operation(mode: str | None, upsert: bool = False) -> str:
@@ -58,32 +71,18 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _log_state(spark: SparkSession, path: str, epoch: int | None = None):
-    """What a publish or a read needs from the commit log, as one tiny
-    aggregate (the log is never collected whole, so it may grow with every
-    micro-batch of a stream):
-
-    ``last`` the newest committed version, ``base`` the newest Overwrite /
-    Upsert (readers start there), ``held`` the bytes of the visible versions,
-    ``epoch_done`` whether ``epoch`` is already committed.  Log rows are
-    written only after their data, so versions ``base..last`` are exactly the
-    visible ones; a failed attempt leaves at most version ``last + 1``, which
-    the next publish overwrites."""
+def _log_state(spark: SparkSession, path: str) -> dict | None:
+    """``last`` committed version, ``base`` (the newest Overwrite / Upsert:
+    readers start there) and the log, as one small aggregate."""
     manifest = read_manifest(spark, path)
     if manifest is None:
         return None
     done = manifest.where(F.col("state") == F.lit("Completed"))
     base = F.max(F.when(F.col("operation").isin("Overwrite", "Upsert"), F.col("version")))
-    first = done.agg(
-        F.max("version").alias("last"),
-        F.coalesce(base, F.lit(0)).alias("base"),
-        F.coalesce(F.max(F.when(F.col("epoch") == F.lit(epoch), F.lit(True))), F.lit(False)).alias("epoch_done"),
-    ).first()
+    first = done.agg(F.max("version").alias("last"), F.coalesce(base, F.lit(0)).alias("base")).first()
     if first["last"] is None:
         return None
-    held = done.where(F.col("version") >= F.lit(first["base"])).agg(F.sum("bytes")).first()[0] or 0
-    return {"last": int(first["last"]), "base": int(first["base"]), "held": int(held),
-            "epoch_done": bool(first["epoch_done"]), "manifest": manifest}
+    return {"last": int(first["last"]), "base": int(first["base"]), "manifest": done}
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
@@ -91,7 +90,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     state = _log_state(spark, path)
     if state is None:
         raise FileNotFoundError(f"no committed dataset at {path}")
-    return _read_versions(spark, path, state["base"], state["last"])
+    return _read_visible(spark, path, state)
 
 
 def read_dataset_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -99,14 +98,48 @@ def read_dataset_metadata(spark: SparkSession, path: str) -> DataFrame:
     state = _log_state(spark, path)
     if state is None:
         raise FileNotFoundError(f"no committed dataset at {path}")
-    return read_metadata(spark, f"{path}/_metadata/version={state['last']}")
+    row = state["manifest"].where(F.col("version") == F.lit(state["last"])).first()
+    return read_metadata(spark, f"{path}/_metadata/{row['data']}")
+
+
+def _visible_schemas(state: dict) -> list[T.StructType]:
+    rows = state["manifest"].where(F.col("version") >= F.lit(state["base"])).groupBy("schema").agg(F.min("version").alias("v"))
+    return [T.StructType.fromJson(json.loads(r["schema"])) for r in rows.orderBy("v").collect()]  # one row per schema
+
+
+def _read_visible(spark: SparkSession, path: str, state: dict) -> DataFrame:
+    """The folders of the versions from the base on, read by path: one scan per
+    distinct schema, missing columns null."""
+    rows = state["manifest"].where(F.col("version") >= F.lit(state["base"])).select("version", "data", "schema")
+    groups: dict[str, list[str]] = {}
+    for r in rows.orderBy("version").collect():  # one short row per commit since the base
+        groups.setdefault(r["schema"], []).append(f"{path}/data/{r['data']}")
+    out = None
+    for schema, folders in groups.items():
+        part = spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*folders)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def _read_versions(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
-    # A range on the partition column: only these version folders are listed and read.
-    data = spark.read.parquet(f"{path}/data")
-    v = F.col("version")
-    return data.where((v >= F.lit(first)) & (v <= F.lit(last))).drop("version")
+def _check_types(schema: T.StructType, state: dict | None) -> None:
+    for other in _visible_schemas(state) if state else []:
+        have = {f.name: f.dataType for f in other.fields}
+        for f in schema.fields:
+            if f.name in have and have[f.name] != f.dataType:
+                raise ValueError(f"column {f.name!r} is {have[f.name].simpleString()} in the dataset, not {f.dataType.simpleString()}")
+
+
+def _claim(spark: SparkSession, path: str, version: int) -> bool:
+    """Create the version's claim file; False if another writer has it."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(f"{path}/_claims/version={version}")
+    fs = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(file.getParent())
+    return bool(fs.createNewFile(file))
 
 
 def publish(
@@ -118,13 +151,13 @@ def publish(
     dataset: str | None = None,
     type_map: str | dict | None = None,
     metadata_path: str | None = None,
-    max_bytes: int = MAX_PART_BYTES,
     epoch: int | None = None,
+    stream: str | None = None,
 ) -> DataFrame:
     """Write ``df`` to the dataset at ``path`` and commit; returns the commit row.
 
-    ``epoch`` makes a publish idempotent: an epoch already committed is not
-    written again (used by the streaming sink)."""
+    ``stream`` and ``epoch`` make a publish idempotent: an epoch that this
+    stream already committed is not written again (used by the streaming sink)."""
     spark = df.sparkSession
     operation = dataset_operation(mode, upsert)
     if operation == "Upsert" and not unique_ids:
@@ -134,47 +167,50 @@ def publish(
         read_metadata(spark, metadata_path).first()  # fails early on a bad document
     else:
         check_declared(df.schema, type_map)
-    state = _log_state(spark, path, epoch)
-    if state is not None and epoch is not None and state["epoch_done"]:
-        return state["manifest"].where(F.col("epoch") == F.lit(epoch))
-    version = (state["last"] if state else 0) + 1
-    # Metadata first: the supplied document as given, else the one derived
-    # from the schema and the type map (one small JSON file per version).
-    if metadata_path:
-        doc = spark.read.text(metadata_path, wholetext=True)
-    else:
-        doc = spark.createDataFrame([(metadata_json(df.schema, name, type_map, unique_ids),)], "value string")
-    doc.coalesce(1).write.mode("overwrite").text(f"{path}/_metadata/version={version}")
-
-    data = df
-    if operation == "Upsert" and state is not None:
-        current = _read_versions(spark, path, state["base"], state["last"])
-        data = keyed_upsert(current, df, unique_ids[0], blanks="overwrite")
-        # Size bound without running the merge twice: what the visible
-        # versions held (from the commit log) plus the change set.
-        size = state["held"] + int(size_plan(df, max_bytes).first()["bytes"])
-        rows = None
-    else:
-        plan = size_plan(data, max_bytes).first()
-        size, rows = int(plan["bytes"]), int(plan["rows"])
-    parts = 1 if size <= max_bytes else size // max_bytes + 1
-    # A retried publish rewrites only its own version folder: files left by a
-    # failed attempt are replaced, never added to.
-    (
-        data.repartition(parts)
-        .withColumn("version", F.lit(version).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("version")
-        .parquet(f"{path}/data")
-    )
-    if rows is None:
-        # Rows of a merge are known once written (a count from Parquet footers).
-        rows = spark.read.parquet(f"{path}/data").where(F.col("version") == F.lit(version)).count()
-    commit = spark.createDataFrame(
-        [(version, operation, "Completed", int(rows), parts, size, epoch,
-          _dt.datetime.now(_dt.timezone.utc).isoformat())],
-        MANIFEST,
-    )
-    commit.coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
-    return commit
+    state = _log_state(spark, path)
+    if epoch is not None and state is not None:
+        same = state["manifest"].where((F.col("epoch") == F.lit(epoch)) & F.col("stream").eqNullSafe(F.lit(stream)))
+        if not same.isEmpty():
+            return same
+    if operation == "Upsert":
+        # Also before the first version, which later upserts merge into by these keys.
+        check_keys(df, unique_ids, allow_null=True)
+    for _ in range(MERGE_ATTEMPTS):
+        data = df
+        if operation == "Append":
+            _check_types(_nullable(df.schema), state)
+        if operation == "Upsert" and state is not None:
+            data = keyed_upsert(_read_visible(spark, path, state), df, unique_ids, blanks="overwrite", validate=False)
+        folder = uuid.uuid4().hex
+        # Metadata first: the supplied document as given, else the one derived
+        # from the schema and the type map (one small JSON file per version).
+        if metadata_path:
+            doc = spark.read.text(metadata_path, wholetext=True)
+        else:
+            doc = spark.createDataFrame([(metadata_json(data.schema, name, type_map, unique_ids),)], "value string")
+        doc.coalesce(1).write.text(f"{path}/_metadata/{folder}")
+        # One evaluation: the rows are counted while they are written, and
+        # files are as large as Spark's advisory partition size makes them.
+        seen = Observation()
+        data.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/data/{folder}")
+        version = (state["last"] if state else 0) + 1
+        if operation == "Upsert":
+            if not _claim(spark, path, version):
+                latest = _log_state(spark, path)
+                if latest is not None and latest["last"] >= version:
+                    state = latest
+                    continue  # merged into content that is no longer the last
+                # Claimed, but never committed: a writer that failed.
+                while not _claim(spark, path, version):
+                    version += 1
+        else:
+            while not _claim(spark, path, version):
+                version += 1
+        commit = spark.createDataFrame(
+            [(version, operation, "Completed", int(seen.get["rows"]), folder, json.dumps(_nullable(data.schema).jsonValue()),
+              stream, epoch, _dt.datetime.now(_dt.timezone.utc).isoformat())],
+            MANIFEST,
+        )
+        commit.coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
+        return commit
+    raise RuntimeError(f"{path}: other writers committed during each of {MERGE_ATTEMPTS} merges")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -32,8 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    folder is created and registered.
+    Read from the session; only when it is unset in a local session (tests) a
+    fresh folder is created and registered.  On a cluster an unset folder is an
+    error: each executor would write to its own disk.
     """
     try:
         sc = spark.sparkContext
@@ -43,6 +44,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             # Only a local session without the setting (tests) gets its own folder.
             root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         if sc is not None:
@@ -55,3 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tessera-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the scratch folder and read back.
+
+    For rows that several later steps must see alike: a shuffle that Spark ran
+    twice could place them differently.  Lost executors cost nothing that was
+    written."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

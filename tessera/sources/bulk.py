@@ -2,7 +2,7 @@
 completed batches back as one table.
 
 Batches live under ``<path>/batch_id=<k>/result=<r>/`` with a manifest table
-``<path>/_manifest``.  Reading keeps only batches whose state is
+``<path>/_manifest``, a log: a batch may have rows of several states.  Reading keeps only batches whose state is
 ``Completed`` (a semi join on the partition column, so Spark prunes the
 other batch folders), parses with Spark's CSV reader (quotes doubled,
 newlines inside quoted fields) and then applies the newline rule.
@@ -10,100 +10,79 @@ newlines inside quoted fields) and then applies the newline rule.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tessera.functions.encode import csv_header
-from tessera.operators.parts import MAX_PART_BYTES, parted_lines, range_parted_lines
+from tessera.operators.parts import MAX_PART_BYTES, landed_bytes, parted_lines
+from tessera.session import materialize
 
 # Fixed value: default longest field the bulk parser accepts.
 DEFAULT_MAX_CHARS = 4096
 
-MANIFEST_SCHEMA = "job_id string, batch_id long, result int, state string, rows long, bytes long"
+MANIFEST = T.StructType(
+    [
+        T.StructField("job_id", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("result", T.IntegerType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("header", T.StringType()),
+    ]
+)
 
 
 def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                   columns: list[str] | None = None, job_id: str = "job", results_per_batch: int = 1,
-                  split: str = "exact") -> DataFrame:
-    """Write ``df`` as CSV batches of about ``max_bytes`` each, every result
-    file led by the header line, plus the manifest; returns the manifest.
-    A batch's rows may be split over ``results_per_batch`` result files.
-
-    ``split="exact"``: batch ``k`` holds exactly the ``k``-th equal share of
-    the rows in key order (a rank, then one hash shuffle by batch).
-    ``split="range"``: the batches are Spark's sampled key ranges (one exact
-    size pass without a shuffle, then one range shuffle; each range is one
-    batch file), so batch sizes are only about equal."""
+                  split: str = "range", first_batch: int = 1) -> DataFrame:
+    """Add ``df`` to ``path`` as CSV batches of at most ``max_bytes`` plus one
+    line, every result file led by the header line, and their manifest rows;
+    returns the manifest of all batches there.
+
+    A batch's rows may be split over ``results_per_batch`` result files (equal
+    byte ranges).  ``split`` as for ``parted_lines``.  Batches are numbered from
+    ``first_batch``; a batch number that is there already is replaced."""
     cols = columns or df.columns
-    if split == "range":
-        _write_range_batches(df, path, order_by, max_bytes, cols)
-        return _manifest(df.sparkSession, path, job_id)
-    if split != "exact":
-        raise ValueError("split must be 'exact' or 'range'")
+    header = csv_header(cols)
     # Batch files are parsed back by a CSV reader: a \r inside a value is quoted too.
-    lines = parted_lines(df, order_by, max_bytes, cols, subparts=results_per_batch, quote_cr=True).withColumnRenamed(
-        "part_number", "batch_id"
-    )
-    if results_per_batch > 1:
-        lines = lines.withColumnRenamed("subpart", "result")
-    else:
-        lines = lines.withColumn("result", F.lit(1))
-    # The header leads the first line of every result file (no second pass
-    # over the data to list the batches).
-    led = lines.withColumn(
-        "line", F.when(F.col("first"), F.concat(F.lit(csv_header(cols) + "\n"), F.col("line"))).otherwise(F.col("line"))
-    )
+    lines = parted_lines(df, order_by, max_bytes, cols, subparts=results_per_batch, quote_cr=True, split=split)
+    lines = materialize(lines.select((F.col("part_number") + F.lit(first_batch - 1)).alias("batch_id"),
+                                     F.col("subpart").alias("result"), "range_id", "pos", "line", "bytes"), "batch-lines")
+    place = Window.partitionBy("batch_id", "result").orderBy("range_id", "pos")
+    first = F.row_number().over(place) == F.lit(1)
+    led = F.when(first, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
     (
-        led.repartition("batch_id")
-        # The writer needs rows ordered by its partition columns; keeping them
-        # as the sort prefix stops it from re-sorting away the line order.
-        .sortWithinPartitions("batch_id", "result", "pos")
+        lines.withColumn("line", led)
+        # The order the window left: the writer asks for no other one.
+        .sortWithinPartitions("batch_id", "result", "range_id", "pos")
         .select("batch_id", "result", "line")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id", "result")
         .text(path)
     )
-    return _manifest(df.sparkSession, path, job_id)
-
-
-def _write_range_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int, cols: list[str]) -> None:
-    placed = range_parted_lines(df, order_by, max_bytes, cols, quote_cr=True)
-    led = placed.select(
-        F.col("part_number").alias("batch_id"),
-        F.lit(1).alias("result"),
-        "pos",
-        F.when(F.col("pos") == F.lit(0), F.concat(F.lit(csv_header(cols) + "\n"), F.col("line")))
-        .otherwise(F.col("line")).alias("line"),
-    )
-    # Each range is already one task holding one batch in order: no further
-    # shuffle.  The explicit local sort (on rows already in that order) is
-    # the ordering the partitioned writer asks for, so it adds none of its own.
-    (
-        led.sortWithinPartitions("batch_id", "result", "pos")
-        .select("batch_id", "result", "line")
-        .write.mode("overwrite")
-        .partitionBy("batch_id", "result")
-        .text(path)
+    # Planned rows and bytes, Completed where all bytes are in the files.
+    planned = lines.groupBy("batch_id", "result").agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"))
+    landed = landed_bytes(df.sparkSession, path, ["batch_id", "result"]).select(
+        F.col("batch_id").cast("long"), F.col("result").cast("int"), "landed")
+    size = F.col("bytes") + F.lit(len(header.encode()) + 1)
+    manifest = planned.join(landed, ["batch_id", "result"], "left").select(
+        F.lit(job_id).alias("job_id"), "batch_id", "result",
+        F.when(F.col("landed") == size, F.lit("Completed")).otherwise(F.lit("Failed")).alias("state"),
+        "rows", size.cast("long").alias("bytes"), F.lit(header).alias("header"),
     )
+    return log_batches(manifest, path)
 
 
-def _manifest(spark: SparkSession, path: str, job_id: str) -> DataFrame:
-    # The acknowledgement is what landed: CSV records per batch as parsed
-    # back, and the bytes of the batch files.
-    records = _csv_reader(spark, -1).csv(path).groupBy("batch_id", "result").agg(F.count(F.lit(1)).alias("rows"))
-    # File sizes from the listing (the binary-file source skips the content
-    # when it is not selected).
-    sizes = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
-        .groupBy("batch_id", "result").agg(F.sum("length").cast("long").alias("bytes"))
-    )
-    manifest = records.join(sizes, ["batch_id", "result"]).select(
-        F.lit(job_id).alias("job_id"), F.col("batch_id").cast("long"), F.col("result").cast("int"),
-        F.lit("Completed").alias("state"), F.col("rows").cast("long"), "bytes",
-    )
-    manifest.write.mode("overwrite").parquet(f"{path}/_manifest")
-    return spark.read.parquet(f"{path}/_manifest")
+def log_batches(manifest: DataFrame, path: str) -> DataFrame:
+    """Append manifest rows (new batches, or new states of known ones)."""
+    manifest.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields]).write.mode("append").parquet(f"{path}/_manifest")
+    return read_manifest(manifest.sparkSession, path)
 
 
 # Fixed value: the record separator the writers use.  Set on the reader, it
@@ -112,19 +91,15 @@ def _manifest(spark: SparkSession, path: str, job_id: str) -> DataFrame:
 RECORD_SEP = "\n"
 
 
-def _csv_reader(spark: SparkSession, max_chars: int):
-    return (
-        spark.read.option("header", "true")
-        .option("multiLine", "true")
-        .option("lineSep", RECORD_SEP)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("maxCharsPerColumn", str(max_chars))
-    )
+def csv_options(max_chars: int) -> dict[str, str]:
+    """``enforceSchema`` off: Spark then compares a file's header with the
+    schema and fails on another order, instead of filling fields by position."""
+    return {"header": "true", "multiLine": "true", "lineSep": RECORD_SEP, "quote": '"', "escape": '"',
+            "enforceSchema": "false", "maxCharsPerColumn": str(max_chars)}
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/_manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{path}/_manifest")
 
 
 def completed_batches(manifest: DataFrame, results: str = "all") -> DataFrame:
@@ -138,6 +113,22 @@ def completed_batches(manifest: DataFrame, results: str = "all") -> DataFrame:
     return done.select("batch_id", "result").distinct()
 
 
+def header_schemas(manifest: DataFrame, schema: T.StructType) -> dict[str | None, T.StructType]:
+    """Per distinct header of the completed batches, ``schema`` in that header's
+    order (None: batches without a recorded header, in the schema's order)."""
+    done = manifest.where(F.col("state") == F.lit("Completed"))
+    out: dict[str | None, T.StructType] = {}
+    for row in done.select("header").distinct().collect():  # one row per column order
+        if row["header"] is None:
+            out[None] = schema
+            continue
+        names = next(csv.reader([row["header"]]))
+        if sorted(names) != sorted(schema.names):
+            raise ValueError(f"batch columns {names} are not those of the schema, {schema.names}")
+        out[row["header"]] = T.StructType([schema[n] for n in names])
+    return out
+
+
 def normalize_newlines(df: DataFrame, replacement: str | None = " ", columns: list[str] | None = None) -> DataFrame:
     """``\\r\\n``, ``\\r`` and ``\\n`` inside string fields each become ``replacement``."""
     if replacement is None:
@@ -162,16 +153,27 @@ def read_batches(
     results: str = "all",
     keep_batch: bool = False,
 ) -> DataFrame:
-    """One table from the completed batches.  A field longer than
+    """One table from the completed batches.  With a ``schema``, a batch's
+    columns are matched by the names in its header.  A field longer than
     ``max_chars`` fails the parse (``-1`` for no limit)."""
-    reader = _csv_reader(spark, max_chars).option("inferSchema", str(bool(infer and schema is None)).lower())
-    if schema is not None:
-        reader = reader.schema(
-            T.StructType(schema.fields + [T.StructField("batch_id", T.LongType()), T.StructField("result", T.IntegerType())])
-        )
-    rows = reader.csv(path)
-    wanted = completed_batches(manifest if manifest is not None else read_manifest(spark, path), results)
-    rows = rows.join(wanted, ["batch_id", "result"], "left_semi")
+    manifest = manifest if manifest is not None else read_manifest(spark, path)
+    wanted = completed_batches(manifest, results)
+    reader = spark.read.options(**csv_options(max_chars))
+    if schema is None:
+        rows = reader.option("enforceSchema", "true").option("inferSchema", str(bool(infer)).lower()).csv(path)
+        rows = rows.join(wanted, ["batch_id", "result"], "left_semi")
+    else:
+        keys = [T.StructField("batch_id", T.LongType()), T.StructField("result", T.IntegerType())]
+        reads = []
+        for header, fields in header_schemas(manifest, schema).items():
+            with_header = manifest.where(F.col("header").eqNullSafe(F.lit(header))).select("batch_id", "result").distinct()
+            these = wanted.join(with_header, ["batch_id", "result"], "left_semi")
+            part = reader.schema(T.StructType(fields.fields + keys)).csv(path)
+            part = part.join(these, ["batch_id", "result"], "left_semi")
+            reads.append(part.select(*schema.names, "batch_id", "result"))
+        rows = spark.createDataFrame([], T.StructType(schema.fields + keys)) if not reads else reads[0]
+        for part in reads[1:]:
+            rows = rows.unionAll(part)
     if not keep_batch:
         rows = rows.drop("batch_id", "result")
     return normalize_newlines(rows, newline)

@@ -1,42 +1,47 @@
-"""Bulk batch results as a stream: result files are read as they land.
+"""Bulk batches as a stream that the manifest drives.
 
-The file stream uses the same CSV options as the batch reader (header,
-quoted newlines, doubled quotes); rows are kept only for batches the
-manifest marks ``Completed`` (a stream-static semi join, re-read each
-micro-batch), and the newline rule is applied to string fields.
+The stream reads the manifest log, not the result files: a batch is read when its
+``Completed`` row arrives, however long its files have been there, so a batch
+that completes late is not lost.  A batch listed Completed twice is read once
+(the stream's state holds one key per batch).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from tessera.sources.bulk import DEFAULT_MAX_CHARS, RECORD_SEP, completed_batches, normalize_newlines, read_manifest
+from tessera.sources.bulk import DEFAULT_MAX_CHARS, MANIFEST, read_batches
+from tessera.streaming.sink import write_epoch
 
 
 def stream_batches(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    manifest: DataFrame | None = None,
+    out: str,
+    checkpoint: str,
     max_chars: int = DEFAULT_MAX_CHARS,
     newline: str | None = " ",
     max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """A streaming DataFrame of the rows of completed batches under ``path``."""
-    full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType()), T.StructField("result", T.IntegerType())])
-    reader = (
-        spark.readStream.schema(full)
-        .option("header", "true")
-        .option("multiLine", "true")
-        .option("lineSep", RECORD_SEP)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("maxCharsPerColumn", str(max_chars))
-    )
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append the rows of every batch under ``path`` that is or becomes
+    Completed to the Parquet table ``out`` (see ``append_stream`` for its
+    folders).  ``max_files_per_trigger`` counts manifest files."""
+    log = spark.readStream.schema(MANIFEST)
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = reader.csv(path)
-    done = completed_batches(manifest if manifest is not None else read_manifest(spark, path))
-    kept = rows.join(done, ["batch_id", "result"], "left_semi").drop("batch_id", "result")
-    return normalize_newlines(kept, newline)
+        log = log.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    done = log.parquet(f"{path}/_manifest").where(F.col("state") == F.lit("Completed"))
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        # The rows of this micro-batch's manifest name the batches to read.
+        rows = read_batches(batch.sparkSession, path, batch, schema, max_chars=max_chars, newline=newline)
+        write_epoch(rows, out, checkpoint, epoch)
+
+    writer = done.dropDuplicates(["batch_id", "result"]).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
