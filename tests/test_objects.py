@@ -78,10 +78,17 @@ def test_upsert_plans_agree(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_auto_plan_choice(spark):
-    from tessera.operators.objects import choose_plan
-
-    src = spark.createDataFrame([(1, "a")], "id long, name string")
-    assert choose_plan(src, 10) == "build_source"
-    assert choose_plan(src, 10**9) == "full_outer"
-    assert choose_plan(src, None) == "build_source"
+@pytest.mark.parametrize("plan", ["build_source", "full_outer"])
+def test_two_key_columns(spark, plan):
+    target = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 1, "n"), (1, None, "m")], "k1 long, k2 long, v string")
+    src = spark.createDataFrame([(1, 2, "B"), (3, 1, "D"), (None, 1, "N")], "k1 long, k2 long, v string")
+    got = sorted(map(tuple, upsert(target, src, ["k1", "k2"], plan=plan).collect()), key=repr)
+    assert got == sorted([(1, 1, "a"), (1, 2, "B"), (2, 1, "c"), (3, 1, "D"), (None, 1, "n"), (1, None, "m"), (None, 1, "N")], key=repr)
+    assert sorted(map(tuple, update(target, src.where("k1 is not null"), ["k1", "k2"]).collect()), key=repr) == sorted(
+        [(1, 1, "a"), (1, 2, "B"), (2, 1, "c"), (None, 1, "n"), (1, None, "m")], key=repr)
+
+
+def test_outcomes_of_repeated_keys(spark):
+    t, s = frames(spark, [(2, "B"), (2, "BB"), (9, "Z"), (None, "N")])
+    got = sorted((r["name"], r["outcome"]) for r in write_outcomes(t, s, "id", "upsert").collect())
+    assert got == [("B", "duplicate_key"), ("BB", "duplicate_key"), ("N", "inserted"), ("Z", "inserted")]

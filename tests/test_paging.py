@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tests.conftest import SF
-from tessera.operators.paging import assign_pages, chunk_bounds, exact_sample, pk_chunks, rank_rows
+from tessera.operators.paging import assign_pages, chunk_bounds, exact_sample, pk_chunks, place_in_ranges, rank_rows
 
 
 def test_rank_equals_row_number(spark):
@@ -21,7 +21,8 @@ def test_rank_with_hot_key_and_identical_copies(spark):
     ranked = rank_rows(df, ["k"], "r", ranges=6)
     stats = ranked.agg(F.min("r"), F.max("r"), F.countDistinct("r"), F.count("*")).first()
     assert tuple(stats) == (0, 8999, 9000, 9000)
-    spread = ranked.where((F.col("k") == 7) & (F.col("v") == "same")).select(F.spark_partition_id()).distinct().count()
+    placed = place_in_ranges(df, ["k"], 6)
+    spread = placed.where((F.col("k") == 7) & (F.col("v") == "same")).select("range_id").distinct().count()
     assert spread > 1
 
 
@@ -47,3 +48,24 @@ def test_exact_sample_repeatable(spark):
     a = [r["o_orderkey"] for r in exact_sample(o, 50, ["o_orderkey"]).collect()]
     b = [r["o_orderkey"] for r in exact_sample(o.repartition(7), 50, ["o_orderkey"]).collect()]
     assert len(a) == 50 and sorted(a) == sorted(b)
+
+
+def whole(ranked, n):
+    got = ranked.agg(F.min("r"), F.max("r"), F.countDistinct("r"), F.count("*")).first()
+    return tuple(got) == (0, n - 1, n, n)
+
+
+def test_rank_of_many_rows_with_a_map_column(spark):
+    # The map stays in the result: no branch of the plan can prune it away.
+    df = spark.range(2_000_000).select((F.col("id") % 1000).alias("k"), F.create_map(F.lit("id"), F.col("id").cast("string")).alias("m"))
+    ranked = rank_rows(df, ["k"], "r", ranges=8)
+    assert whole(ranked, 2_000_000) and "m" in ranked.columns
+
+
+def test_rank_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(200_000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+        assert whole(rank_rows(df, ["k"], "r", ranges=8), 200_000)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -1,17 +1,20 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
-from tessera.operators.parts import (estimated_size, part_manifest, part_payloads, size_partitions, size_plan,
-                                     write_parts)
+from tessera.operators.parts import (estimated_size, part_manifest, part_payloads, parted_lines, size_partitions,
+                                     size_plan, write_parts)
 from tessera.session import scratch_path
 
 
-def memory_rows(spark, n):
-    return spark.range(n).select(*[(F.col("id") + i).cast("string").alias(f"c{i + 1}") for i in range(4)])
+def wide_rows(spark, n):
+    """Rows of different widths, from the events table."""
+    ev = spark.read.parquet(f"{SF}/events.parquet").orderBy("event_id").limit(n)
+    return ev.select("event_id", F.repeat(F.col("event_type"), (F.col("user_id") % 5 + 1).cast("int")).alias("label"), "props")
 
 
 def test_small_frames_give_one_partition(spark):
-    assert size_partitions(memory_rows(spark, 2001).repartition(4)).rdd.getNumPartitions() == 1
+    assert size_partitions(wide_rows(spark, 1500).repartition(4)).rdd.getNumPartitions() == 1
+    assert size_partitions(wide_rows(spark, 1500).repartition(4), current=4).rdd.getNumPartitions() == 1
 
 
 def test_size_grows_partitions(spark):
@@ -22,11 +25,11 @@ def test_size_grows_partitions(spark):
 
 
 def test_estimate_close_to_exact(spark):
-    df = memory_rows(spark, 2001)
+    df = wide_rows(spark, 1234)
     exact = size_plan(df).first()["bytes"]
     est = estimated_size(df)
     assert 0.5 * exact < est < 1.5 * exact
-    small = memory_rows(spark, 5)
+    small = wide_rows(spark, 5)
     assert estimated_size(small) == size_plan(small).first()["bytes"]
 
 
@@ -38,7 +41,7 @@ def test_payloads_hold_every_row_once(spark):
     first = pay.orderBy("part_number").first()["payload"].split("\n")
     assert first[0] == ",".join(o.columns) and first[1].startswith("0,")
     man = part_manifest(o, ["o_orderkey"], max_bytes=200_000)
-    assert man.agg(F.max("bytes")).first()[0] <= 200_000 * 1.1
+    assert man.agg(F.max("bytes")).first()[0] <= 200_000 + 200  # a part ends with the line that passes the limit
 
 
 def test_write_parts_round_trip(spark):
@@ -78,20 +81,33 @@ def test_share_is_exact_at_scale(spark):
 
 
 def test_write_parts_acknowledged(spark):
-    from tessera.operators.parts import acknowledge, parts_ok
+    from tessera.operators.parts import acknowledge, landed_bytes, parts_ok
 
     o = spark.read.parquet(f"{SF}/orders.parquet")
     path = scratch_path(spark, "parts-ack")
     man = write_parts(o, path, ["o_orderkey"], max_bytes=150_000)
     rows = man.collect()
-    assert all(r["ok"] for r in rows) and sum(r["expected_rows"] for r in rows) == 15000
-    assert parts_ok(man, 150_000).first()["ok"] is True
-    # A part that lost a row, or a missing part, fails the check.
-    broken = man.select("part_number", F.when(F.col("part_number") == 1, F.col("rows") - 1)
-                        .otherwise(F.col("rows")).alias("rows"), "bytes")
-    assert parts_ok(acknowledge(broken, 150_000), 150_000).first()["ok"] is False
-    missing = man.where("part_number <> 2").select("part_number", "rows", "bytes")
-    assert parts_ok(acknowledge(missing, 150_000), 150_000).first()["ok"] is False
+    assert all(r["ok"] for r in rows) and sum(r["rows"] for r in rows) == 15000
+    assert parts_ok(man).first()["ok"] is True
+    # A part that lost bytes, or a missing part, fails the check.
+    plan, landed = man.select("part_number", "rows", "bytes"), landed_bytes(spark, path, ["part_number"])
+    short = landed.withColumn("landed", F.when(F.col("part_number") == 1, F.col("landed") - 1).otherwise(F.col("landed")))
+    assert parts_ok(acknowledge(plan, short)).first()["ok"] is False
+    assert parts_ok(acknowledge(plan, landed.where("part_number <> 2"))).first()["ok"] is False
+    assert parts_ok(man.where("part_number <> 2")).first()["ok"] is False
+
+
+def test_parts_are_bounded_by_bytes_not_rows(spark):
+    # One row in twenty is 100 KB; a part is at most the limit plus one line.
+    df = spark.range(1000).select("id", F.when(F.col("id") % 20 == 7, F.repeat(F.lit("x"), 100_000)).otherwise(F.lit("y")).alias("v"))
+    for split in ("exact", "range"):
+        lines = parted_lines(df, ["id"], max_bytes=500_000, split=split)
+        sizes = lines.groupBy("part_number").agg(F.sum("bytes").alias("b"), F.max("bytes").alias("line")).collect()
+        assert all(r["b"] < 500_000 + r["line"] for r in sizes)
+        assert sorted(r["part_number"] for r in sizes) == list(range(1, len(sizes) + 1))
+    # Lines longer than a part: one each, numbered without gaps.
+    sizes = part_manifest(df.where("id % 20 = 7"), ["id"], max_bytes=30_000).collect()
+    assert sorted(r["part_number"] for r in sizes) == list(range(1, 51)) and {r["rows"] for r in sizes} == {1}
 
 
 def test_default_target_gives_two_partitions_for_10_to_20_mb(spark):

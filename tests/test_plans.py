@@ -7,12 +7,11 @@ import pytest
 
 from tests.conftest import SF
 from tessera import catalog as C
-from tessera.operators.paging import rank_rows
 
 # Queries whose construction writes nothing (the others write scratch data first).
 PURE = ["group_count", "dataset_scan", "header_union", "infer_types", "merge_types", "cast_numeric", "cast_decimal",
         "cast_boolean", "cast_timestamp", "blank_to_null", "url_encode", "csv_lines", "pages", "pk_chunks",
-        "object_query", "name_resolution", "encoded_size", "part_manifest", "batch_payloads", "insert", "update",
+        "object_query", "name_resolution", "upsert_two_keys", "not_null_fields", "text_columns", "encoded_size", "part_manifest", "batch_payloads", "insert", "update",
         "upsert", "upsert_full_outer", "write_outcomes", "field_profile", "job_outcomes", "exact_sample"]
 
 
@@ -36,25 +35,36 @@ def test_object_query_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderpriority:string>" in text
 
 
-def test_rank_has_one_range_shuffle(spark):
-    ranked = rank_rows(C.table(spark, SF, "orders"), ["o_orderkey"], ranges=4)
-    ranked.collect()
-    # The adaptive plan as it ran (its text also lists the initial plan; keep the final part).
-    final = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("+- Exchange rangepartitioning") == 1  # the reused one is printed as ReusedExchange
-    assert "ReusedExchange" in final
+def test_no_text_column_is_a_range_key(spark, monkeypatch):
+    from tessera.operators import paging
 
+    seen = []
+    monkeypatch.setattr(paging, "materialize", lambda df, name: seen.append(df) or df)
+    paging.place_in_ranges(C.table(spark, SF, "documents"), ["doc_id"], 4)
+    text = plan_text(seen[0], "extended").split("== Physical Plan ==")[1]
+    assert text.count("rangepartitioning(") == 1
+    keys = text.split("rangepartitioning(")[1].split(", 4)")[0]
+    assert "doc_id" in keys and not any(c in keys for c in ("text", "lang", "source"))
 
-def test_dataset_read_prunes_versions(spark):
-    from tessera.plans.publish import publish, read_dataset
+
+def test_inference_has_no_sort_aggregate(spark):
+    from tessera.operators.infer import infer_record_types
+
+    for df in (infer_record_types(C.event_records(spark, SF)), C.QUERIES["infer_types"](spark, SF)):
+        assert "SortAggregate" not in plan_text(df)
+
+
+def test_dataset_read_names_only_visible_folders(spark):
+    from tessera.plans.publish import publish, read_dataset, read_manifest
     from tessera.session import scratch_path
 
     n = C.table(spark, SF, "nation")
     path = scratch_path(spark, "plan-pub")
     publish(n, path, mode="overwrite")
     publish(n, path, mode="overwrite")  # version 1 is no longer visible
+    old, new = [r["data"] for r in read_manifest(spark, path).orderBy("version").collect()]
     text = plan_text(read_dataset(spark, path))
-    assert "PartitionFilters: [isnotnull(version" in text and "version#" in text and ">= 2)" in text
+    assert new in text and old not in text
 
 
 def test_bulk_read_uses_dynamic_pruning(spark):

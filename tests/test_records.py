@@ -1,48 +1,55 @@
-import datetime as dt
-
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tests.conftest import SF
+
 from tessera.operators.infer import infer_schema, infer_types, merge_types
 from tessera.operators.paging import concat_pages
 from tessera.plans.read import read_records
-from tessera.sources.records import discover_header, header_names
+from tessera.sources.records import discover_header, header_names, to_records
 
 REC = "rec map<string,string>"
 
 
+PATTERN = "dd/MM/yyyy HH:mm"
+
+
 def records(spark, maps):
     return spark.createDataFrame([(m,) for m in maps], REC)
 
 
+def event_maps(spark, n=50):
+    """String-map records made from events, their time in a pattern of its own."""
+    ev = spark.read.parquet(f"{SF}/events.parquet").orderBy("event_id").limit(n)
+    return to_records(ev.select("user_id", "event_type", F.date_format("ts", PATTERN).alias("seen")), rec="rec"), ev
+
+
 def test_read_without_schema_all_strings(spark):
-    df = records(spark, [{"count": "12", "device_type": "Android", "created_date": "2017-08-04T16:45:30"}])
+    df, ev = event_maps(spark)
     out = read_records(df)
     assert all(isinstance(f.dataType, T.StringType) for f in out.schema.fields)
-    row = out.first()
-    assert row["count"] + row["device_type"] == "12Android"
+    want = sorted((str(r["user_id"]), r["event_type"]) for r in ev.collect())
+    assert sorted((r["user_id"], r["event_type"]) for r in out.collect()) == want
 
 
 def test_read_with_user_schema_and_pattern(spark):
-    df = records(spark, [{"count": "12", "device_type": "Android", "created_date": "2017-08-04T16:45:30"}])
-    schema = T.StructType([T.StructField("count", T.IntegerType()), T.StructField("device_type", T.StringType()),
-                           T.StructField("created_date", T.TimestampType())])
-    row = read_records(df, schema=schema, date_format="yyyy-MM-dd'T'HH:mm:ss").first()
-    assert row["count"] == 12 and row["device_type"] == "Android"
-    assert row["created_date"] == dt.datetime(2017, 8, 4, 16, 45, 30)
+    df, ev = event_maps(spark)
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("seen", T.TimestampType())])
+    got = sorted(map(tuple, read_records(df, schema=schema, date_format=PATTERN).collect()))
+    assert got == sorted((r["user_id"], r["ts"].replace(second=0, microsecond=0)) for r in ev.collect())
 
 
 def test_inference_int_string_timestamp(spark):
-    df = records(spark, [{"count": "12", "device_type": "Android", "created_date": "2017-08-04T16:45:30"}])
-    out = read_records(df, infer=True, date_format="yyyy-MM-dd'T'HH:mm:ss")
+    out = read_records(event_maps(spark)[0], infer=True, date_format=PATTERN)
     types = {f.name: f.dataType for f in out.schema.fields}
-    assert types == {"count": T.IntegerType(), "created_date": T.TimestampNTZType(), "device_type": T.StringType()}
+    assert types == {"event_type": T.StringType(), "seen": T.TimestampNTZType(), "user_id": T.IntegerType()}
     assert all(f.nullable for f in out.schema.fields)
 
 
 def test_pages_concatenate(spark):
-    page1 = records(spark, [{"count": "12", "device_type": "Android"}, {"count": "15", "device_type": "iOS"}])
-    page2 = records(spark, [{"count": "12", "device_type": "Android"}])
-    assert read_records(concat_pages([page1, page2])).count() == 3
+    first, _ = event_maps(spark, 30)
+    second, _ = event_maps(spark, 7)
+    assert read_records(concat_pages([first, second])).count() == 37
 
 
 def test_ragged_headers(spark):
@@ -76,8 +83,8 @@ def test_inference_is_partition_independent(spark):
 
 def test_inference_candidates(spark):
     df = spark.createDataFrame(
-        [("1", "1.5", "2017-08-04 16:45:30", "true", "", "1", "x")] * 3
-        + [("2", "7", "2017-8-4 6:5:3", "FALSE", None, "2017-08-04 16:45:30", "y")],
+        [("1", "1.5", "2021-11-30 08:15:00", "true", "", "1", "x")] * 3
+        + [("2", "7", "2021-3-9 7:1:2", "FALSE", None, "2021-11-30 08:15:00", "y")],
         "i string, d string, ts string, b string, e string, mixed string, s string",
     )
     got = {r["column"]: r["type"] for r in infer_types(df).collect()}
@@ -99,7 +106,7 @@ def test_header_discovery_distributed(spark):
 
 
 def test_widest_read_matches_header(spark):
-    df = records(spark, [{"a": "1", "b": "x"}, {"a": "2", "c": "2017-08-04 16:45:30"}, {}, {"c": "2017-8-4 6:5:3"}])
+    df = records(spark, [{"a": "1", "b": "x"}, {"a": "2", "c": "2021-11-30 08:15:00"}, {}, {"c": "2021-3-9 7:1:2"}])
     out = read_records(df, infer=True, header_mode="widest")
     assert out.columns == header_names(df, mode="widest") == ["a", "c"]
     assert {f.name: f.dataType for f in out.schema.fields} == {"a": T.IntegerType(), "c": T.TimestampNTZType()}

@@ -12,33 +12,34 @@ from tessera.plans.publish import dataset_operation, publish, read_dataset
 from tessera.session import scratch_path
 from tessera.sources.bulk import length_violations, normalize_newlines, read_batches, write_batches
 
-ACCOUNT = "0FbB00000000KybKAE/0FcB0000000DGKeKAO"
-PRODUCTS = "0FbB00000000Uf3KAE/0FcB0000000FHWdKAO"
+PARTS = "ds-parts/v7"
+NATIONS = "ds-nations/v2"
 
 
 def test_type_map_merge():
-    assert len(merged_type_map()) == 8
-    custom = '{"timestamp":{"dataset_type":"Date","format":"yyyy/MM/dd\'T\'HH:mm:ss"}}'
-    m = merged_type_map(custom)
-    assert len(m) == 8 and m["timestamp"]["format"] == "yyyy/MM/dd'T'HH:mm:ss"
-    assert len(merged_type_map('{"mydataType":{"dataset_type":"Date","format":"yy-MM-dd"}}')) == 9
+    base = len(merged_type_map())
+    m = merged_type_map('{"date": {"dataset_type": "Text"}, "decimal": {"dataset_type": "Numeric", "precision": "12", "scale": "2"}}')
+    assert len(m) == base + 1 and m["date"] == {"dataset_type": "Text"} and m["long"] == merged_type_map()["long"]
+    with pytest.raises(ValueError, match="dataset_type"):
+        merged_type_map({"date": {"format": "yy"}})
+    with pytest.raises(ValueError, match="unknown"):
+        merged_type_map({"date": {"dataset_type": "Date", "fmt": "yy"}})
 
 
 def test_metadata_fields(spark):
-    df = spark.createDataFrame([], "intCol int, longCol long, floatCol float, dateCol date, timestampCol timestamp, "
-                                    "stringCol string, someTypeCol boolean")
-    user = {"integer": {"dataset_type": "Numeric", "precision": "10", "scale": "0", "defaultValue": "100"},
-            "date": {"dataset_type": "Date", "format": "yyyy/MM/dd"}}
-    prof = {r["column"]: r for r in field_profile(df, "dataset", user).collect()}
-    assert prof["intCol"]["default_value"] == "100" and prof["intCol"]["precision"] == 10
-    assert prof["dateCol"]["format"] == "yyyy/MM/dd"
-    assert prof["someTypeCol"]["dataset_type"] == "Text"
-    assert prof["floatCol"]["scale"] == 4 and prof["longCol"]["precision"] == 18
-    doc = json.loads(metadata_document(field_profile(df, "dataset", user), "dataset").first()["json"])
-    assert doc["objects"][0]["fields"][0]["fullyQualifiedName"] == "dataset.intCol"
+    df = spark.read.parquet(f"{SF}/orders.parquet").withColumn("open", F.col("o_orderstatus") == "O")
+    user = {"long": {"dataset_type": "Numeric", "precision": "12", "scale": "0", "defaultValue": "-1"},
+            "timestamp": {"dataset_type": "Date", "format": "dd.MM.yyyy"},
+            "string": {"dataset_type": "Text", "canTruncateValue": "true"}}
+    prof = {r["column"]: r for r in field_profile(df, "sales", user).collect()}
+    assert (prof["o_orderkey"]["precision"], prof["o_orderkey"]["default_value"]) == (12, "-1")
+    assert prof["o_orderdate"]["format"] == "dd.MM.yyyy" and prof["open"]["dataset_type"] == "Text"
+    assert prof["o_orderstatus"]["can_truncate"] == "true" and prof["o_totalprice"]["scale"] == 4
+    doc = json.loads(metadata_document(field_profile(df, "sales", user), "sales").first()["json"])
+    assert [f["fullyQualifiedName"] for f in doc["objects"][0]["fields"]] == [f"sales.{c}" for c in df.columns]
     path = scratch_path(spark, "meta-test")
-    write_metadata(field_profile(df, "dataset", user), "dataset", path)
-    assert [r["name"] for r in read_metadata(spark, path).orderBy("position").collect()][:2] == ["intCol", "longCol"]
+    write_metadata(field_profile(df, "sales", user), "sales", path)
+    assert [r["name"] for r in read_metadata(spark, path).orderBy("position").collect()] == df.columns
 
 
 def test_scale_limit_and_text_needed(spark):
@@ -72,12 +73,68 @@ def test_publish_modes(spark):
     assert back.count() == 25 and back.where(F.col("n_name") == F.lower("n_name")).count() == changed.count()
 
 
-def test_publish_epoch_is_idempotent(spark):
+def test_publish_epochs_belong_to_a_stream(spark):
     n = spark.read.parquet(f"{SF}/nation.parquet")
     path = scratch_path(spark, "pub-epoch")
-    publish(n, path, mode="append", epoch=0)
-    publish(n, path, mode="append", epoch=0)
+    publish(n, path, mode="append", epoch=0, stream="a")
+    publish(n, path, mode="append", epoch=0, stream="a")  # a replay
     assert read_dataset(spark, path).count() == 25
+    publish(n, path, mode="append", epoch=0, stream="b")  # another stream's first epoch
+    assert read_dataset(spark, path).count() == 50
+
+
+def test_overwrite_and_append_with_other_columns(spark):
+    n, r = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("nation", "region"))
+    path = scratch_path(spark, "pub-schema")
+    publish(n, path, mode="overwrite")
+    publish(r, path, mode="overwrite")
+    back = read_dataset(spark, path)
+    assert back.columns == r.columns and back.exceptAll(r).count() == 0 and back.count() == 5
+    publish(r.withColumn("note", F.lit("x")), path, mode="append")
+    back = read_dataset(spark, path)
+    assert back.columns == [*r.columns, "note"] and back.where("note is null").count() == 5 == back.where("note = 'x'").count()
+    with pytest.raises(ValueError, match="r_regionkey"):
+        publish(r.withColumn("r_regionkey", F.col("r_regionkey").cast("string")), path, mode="append")
+
+
+def test_two_writers_never_share_a_version(spark, monkeypatch):
+    from tessera.plans import publish as pub
+
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    path = scratch_path(spark, "pub-race")
+    publish(n, path, mode="overwrite")
+    claim, raced = pub._claim, []
+
+    def late(s, p, version):
+        if not raced:  # another writer commits between this one's write and its claim
+            raced.append(version)
+            publish(n.withColumn("n_nationkey", F.col("n_nationkey") + 100), path, mode="append")
+        return claim(s, p, version)
+
+    monkeypatch.setattr(pub, "_claim", late)
+    publish(n.withColumn("n_nationkey", F.col("n_nationkey") + 200), path, mode="append")
+    back = read_dataset(spark, path)
+    assert back.count() == 75 and back.select("n_nationkey").distinct().count() == 75
+    raced.clear()
+    publish(n.where("n_nationkey = 3").withColumn("n_name", F.lit("three")), path, upsert=True, unique_ids=["n_nationkey"])
+    back = read_dataset(spark, path)  # the append that came first is merged into, not lost
+    assert back.count() == 100 and back.where("n_name = 'three'").count() == 1
+    versions = [r["version"] for r in pub.read_manifest(spark, path).collect()]
+    assert len(versions) == len(set(versions))
+
+
+def test_first_upsert_checks_its_keys(spark):
+    twice = spark.createDataFrame([(1, 1, "a"), (1, 1, "b")], "k1 long, k2 long, v string")
+    with pytest.raises(ValueError, match="repeat"):
+        publish(twice, scratch_path(spark, "pub-dups"), upsert=True, unique_ids=["k1", "k2"])
+
+
+def test_upsert_by_two_ids(spark):
+    path = scratch_path(spark, "pub-two")
+    schema = "k1 long, k2 long, v string"
+    publish(spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], schema), path, upsert=True, unique_ids=["k1", "k2"])
+    publish(spark.createDataFrame([(1, 2, "B")], schema), path, upsert=True, unique_ids=["k1", "k2"])
+    assert sorted(map(tuple, read_dataset(spark, path).collect())) == [(1, 1, "a"), (1, 2, "B"), (2, 1, "c")]
 
 
 def test_job_states(spark):
@@ -91,19 +148,19 @@ def test_job_states(spark):
 
 
 def test_name_resolution_cases(spark):
-    registry = spark.createDataFrame([("Account", ACCOUNT), ("Products", PRODUCTS)], "name string, dataset_id string")
+    registry = spark.createDataFrame([("Parts", PARTS), ("Nations", NATIONS)], "name string, dataset_id string")
     texts = [
-        (1, 'q = load "Account"; q = group q by all;'),
-        (2, 'q = load "Account"; p = load "Products"; r = cogroup q by \'Id\', p by \'Id\';'),
-        (3, 'q = load "Account"; p = load "Account";'),
-        (4, 'q = load "xyz"; q = foreach q generate \'Account\' as \'Account\';'),
-        (5, 'no loads at all'),
+        (1, 'a = load "Parts"; a = limit a 5;'),
+        (2, 'a = load "Nations"; b = load "Parts"; c = union a, b;'),
+        (3, 'a = load  "Parts";\nb = load "Parts";'),
+        (4, 'a = load "Unknown"; a = filter a by name == "Parts"; preload "x"'),
+        (5, 'a = limit b 1;'),
     ]
     q = spark.createDataFrame(texts, "query_id long, query string")
     got = {r["query_id"]: r["query"] for r in resolve_dataset_names(q, registry).collect()}
-    assert got[1] == f'q = load "{ACCOUNT}"; q = group q by all;'
-    assert got[2] == f'q = load "{ACCOUNT}"; p = load "{PRODUCTS}"; r = cogroup q by \'Id\', p by \'Id\';'
-    assert got[3] == f'q = load "{ACCOUNT}"; p = load "{ACCOUNT}";'
+    assert got[1] == f'a = load "{PARTS}"; a = limit a 5;'
+    assert got[2] == f'a = load "{NATIONS}"; b = load "{PARTS}"; c = union a, b;'
+    assert got[3] == f'a = load  "{PARTS}";\nb = load "{PARTS}";'
     assert got[4] == texts[3][1] and got[5] == texts[4][1]
 
 
@@ -144,7 +201,7 @@ def test_bulk_batches_range_split(spark):
     path = scratch_path(spark, "bulk-range")
     manifest = write_batches(docs, path, ["doc_id"], max_bytes=400_000, split="range")
     rows = manifest.agg(F.sum("rows"), F.count(F.lit(1)), F.max("bytes")).first()
-    assert rows[0] == 1000 and rows[1] >= 5 and rows[2] < 3 * 400_000
+    assert rows[0] == 1000 and rows[1] >= 5 and rows[2] < 400_000 + 100_000  # the longest line is shorter than that
     back = read_batches(spark, path, manifest, schema=docs.schema, max_chars=-1, newline=None)
     assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
 
@@ -222,11 +279,41 @@ def test_metadata_json_matches_document(spark):
 
 
 def test_name_resolution_without_unique_keys(spark):
-    registry = spark.createDataFrame([("Account", ACCOUNT)], "name string, dataset_id string")
-    rows = [(1, 'q = load "Account";'), (1, 'r = load "Other";'), (None, 'q = load "Account";')] + \
-        [(7, 'q = load "Account"; q = load "Account";')] * 50
+    registry = spark.createDataFrame([("Parts", PARTS)], "name string, dataset_id string")
+    rows = [(1, 'a = load "Parts";'), (1, 'b = load "Other";'), (None, 'a = load "Parts";')] + \
+        [(7, 'a = load "Parts"; b = load "Parts";')] * 50
     q = spark.createDataFrame(rows, "query_id long, query string")
     got = sorted(((r["query_id"], r["query"]) for r in resolve_dataset_names(q, registry).collect()), key=repr)
-    want = sorted([(1, f'q = load "{ACCOUNT}";'), (1, 'r = load "Other";'), (None, f'q = load "{ACCOUNT}";')]
-                  + [(7, f'q = load "{ACCOUNT}"; q = load "{ACCOUNT}";')] * 50, key=repr)
+    want = sorted(((i, t.replace('"Parts"', f'"{PARTS}"')) for i, t in rows), key=repr)
     assert got == want
+
+
+def test_batches_with_columns_in_another_order(spark):
+    df = spark.createDataFrame([(1, "Kim", "Lee"), (2, "Bo", "Ito")], "i long, first string, last string")
+    path = scratch_path(spark, "bulk-order")
+    write_batches(df, path, ["i"])
+    manifest = write_batches(df.withColumn("i", F.col("i") + 10), path, ["i"], columns=["last", "i", "first"], first_batch=50)
+    back = sorted(map(tuple, read_batches(spark, path, manifest, schema=df.schema).collect()))
+    assert back == [(1, "Kim", "Lee"), (2, "Bo", "Ito"), (11, "Kim", "Lee"), (12, "Bo", "Ito")]
+    with pytest.raises(ValueError, match="columns"):
+        read_batches(spark, path, manifest, schema=df.select("i", "first").schema)
+    # Without a recorded header Spark compares the file's own and refuses.
+    with pytest.raises(Exception, match="(?i)header"):
+        read_batches(spark, path, manifest.withColumn("header", F.lit(None).cast("string")), schema=df.schema).collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from tessera import session
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
