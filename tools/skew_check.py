@@ -12,7 +12,7 @@ import sys
 sys.path.insert(0, ".")
 from pyspark.sql import functions as F  # noqa: E402
 
-from tessera.operators.paging import rank_rows  # noqa: E402
+from tessera.operators.paging import place_in_ranges, rank_rows  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
 
@@ -31,8 +31,8 @@ def main() -> None:
     }
     for name, df in cases.items():
         ranked = rank_rows(df, ["l_orderkey"], "r", ranges=ranges)
-        sizes = [r["n"] for r in ranked.groupBy(F.spark_partition_id().alias("p"))
-                 .agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()]
+        placed = place_in_ranges(df, ["l_orderkey"], ranges)
+        sizes = [r["n"] for r in placed.groupBy("range_id").agg(F.count(F.lit(1)).alias("n")).collect()]
         stats = ranked.agg(F.countDistinct("r"), F.min("r"), F.max("r"), F.count(F.lit(1))).first()
         print(f"{name}: rows {stats[3]}, distinct ranks {stats[0]} ({stats[1]}..{stats[2]}), "
               f"largest range {max(sizes)}, mean {sum(sizes) // len(sizes)}")
