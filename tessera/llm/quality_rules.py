@@ -198,7 +198,11 @@ def apply_rules(
         b.add("rejected_by", hit if alive is None else F.coalesce(b.col("rejected_by"), hit))
     if not order:
         b.add("rejected_by", F.lit(None).cast("string"))
-    return b.df, b.names
+    # A filter on the verdict stops at this generator of one row.  Pushed further
+    # down, it would hold a copy of each feature's expression at each use.
+    verdict = fresh(b.df, "verdict")
+    out = b.df.select("*", F.explode(F.array(b.col("rejected_by"))).alias(verdict)).drop(b.names["rejected_by"])
+    return out, {**b.names, "rejected_by": verdict}
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
