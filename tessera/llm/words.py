@@ -63,14 +63,18 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def split_words(texts: pa.Array, word_bytes: np.ndarray = NOT_SPACE, lower: bool = False) -> Words:
+def split_words(texts: pa.Array, word_bytes: np.ndarray = NOT_SPACE, lower: bool = False, cuts=None) -> Words:
+    """Words of each text; ``cuts(data)`` marks bytes that begin a word inside a run of word bytes."""
     data, rows = flat(texts)
     if lower:
         data = np.frombuffer(data.tobytes().translate(LOWER), np.uint8)
     w = word_bytes[data]
     first, last = w.copy(), w.copy()
-    first[1:] &= ~w[:-1]
-    last[:-1] &= ~w[1:]
+    apart = ~w[:-1] | ~w[1:]  # two neighbours that are not in one word
+    if cuts is not None:
+        apart |= cuts(data)[1:]
+    first[1:] &= apart
+    last[:-1] &= apart
     full = rows[:-1] < rows[1:]
     at = rows[:-1][full]
     first[at] = w[at]
@@ -95,9 +99,10 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, size: int = BLOCK_BYTES
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of each range, one range after the other."""
-    ends = np.cumsum(lengths)
+    ends = np.cumsum(lengths, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+    kind = np.int32 if total < 1 << 31 and (not len(starts) or int(starts.max()) < (1 << 31) - total) else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((starts - (ends - lengths)).astype(kind), lengths)
 
 
 def join_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
