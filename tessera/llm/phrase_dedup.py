@@ -49,18 +49,42 @@ from tessera.llm.common import c, scratch_path, text_hash, written
 from tessera.llm.words import Words, blocks, join_words, ranges, split_words
 
 WINDOW, SEED = 20, 6
-#: Distinct segments in a shard (about 8 phrases of 20 words each).
-SHARD_SEGMENTS = 4000
+#: Distinct segments in a shard (up to 15 windows of 20 words each).
+SHARD_SEGMENTS = 3000
+#: Bytes from which a word is hashed by itself.
+LONG_WORD = 64
+#: Text looked at together; numpy takes about 20 times as much.
+BLOCK_BYTES = 2 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Stands for a null doc_id: before all ids.
 NULL_ID = -(2**63)
 
 
 def _word_hashes(words: Words) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, byte place by byte place for all words.
+
+    Equal words have equal hashes; unequal ones that collide only make text a
+    candidate that the automata then refuse.
+    """
     import xxhash
 
-    codes, vocabulary = words.codes()
-    return np.array([xxhash.xxh64_intdigest(w) for w in vocabulary.cast(pa.large_binary()).to_pylist()], np.uint64)[codes]
+    length = words.end - words.start
+    short = np.minimum(length, LONG_WORD).astype(np.uint8)
+    order = np.argsort(~short, kind="stable")  # longest first
+    start, h = words.start[order], np.full(len(order), 0x9E3779B97F4A7C15, np.uint64)
+    longer = np.cumsum(np.bincount(short, minlength=LONG_WORD + 1)[::-1])[::-1]
+    for k in range(LONG_WORD):
+        m = int(longer[k + 1])
+        if not m:
+            break
+        h[:m] = h[:m] * np.uint64(0x100000001B3) + words.data[start[:m] + k] + np.uint64(1)
+    for i in range(int(longer[LONG_WORD])):
+        h[i] = xxhash.xxh64_intdigest(words.data[start[i] : words.end[order[i]]].tobytes())
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    out = np.empty(len(h), np.uint64)
+    out[order] = h ^ (h >> np.uint64(32))
+    return out
 
 
 def _sliding(x: np.ndarray, n: int, op) -> np.ndarray:
@@ -113,7 +137,7 @@ def _seed_rows(rows: DataFrame) -> DataFrame:
     """(rk, seed, n) of the seeds of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", BLOCK_BYTES):
             words = split_words(batch.column("text"))
             _, at, value = window_seeds(words)
             row = words.row_of()[at]
@@ -144,7 +168,7 @@ def _segments(seeded: DataFrame) -> DataFrame:
     """Runs of windows with one recurring seed: place, seed and words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", BLOCK_BYTES):
             words = split_words(batch.column("text"))
             seeds, _, _ = window_seeds(words)
             row = words.row_of()
@@ -187,38 +211,55 @@ def _split_hot(segments: DataFrame, shard_segments: int) -> DataFrame:
     return routed.join(hot, "seed", "left_anti").unionByName(cut)
 
 
-def find_phrases(pieces: list[str], counts: list[int], firsts: list[tuple[int, int]]) -> list[list[tuple[int, int] | None]]:
+def _may_repeat_itself(words: tuple[int, ...]) -> bool:
+    """False if no window of the segment can occur in it twice.
+
+    Windows that are equal ``d`` words apart have at most ``d`` different words
+    between them, so the segment has ``len - WINDOW`` at most.
+    """
+    return len(words) > 2 * WINDOW - SEED or len(set(words)) <= len(words) - WINDOW
+
+
+def find_phrases(seeds: list[int], pieces: list[str], counts: list[int], firsts: list[tuple[int, int]]) -> list[list[tuple[int, int] | None]]:
     """Per segment and window: the first place of a recurring window's words, or None.
 
-    The segments are those of one shard: all segments that may share a window.
+    The segments are those of one shard: all that may share a window.  Windows
+    are shared only between segments of one seed, so the only segment of a seed
+    recurs as a whole or not at all: it is one phrase.  Otherwise each recurring
+    window is a phrase.
     """
     import ahocorasick
 
     numbers: dict[str, int] = {}
     coded = [tuple(numbers.setdefault(w, len(numbers)) for w in p.split(" ")) for p in pieces]
-    found: dict[tuple[int, ...], list] = {}
-    for words, n, (doc, at) in zip(coded, counts, firsts, strict=True):
-        for k in range(len(words) - WINDOW + 1):
-            window = words[k : k + WINDOW]
-            have = found.get(window)
-            if have is None:
-                found[window] = [n, (doc, at + k)]
-            else:
-                have[0] += n
-                if (doc, at + k) < have[1]:
-                    have[1] = (doc, at + k)
+    of: dict[int, list[int]] = {}
+    for i, seed in enumerate(seeds):
+        of.setdefault(seed, []).append(i)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    phrases = 0
-    for window, (n, first) in found.items():
-        if n > 1:
-            automaton.add_word(window, first)
-            phrases += 1
+    for members in of.values():
+        i = members[0]
+        if len(members) == 1 and not _may_repeat_itself(coded[i]):
+            if counts[i] > 1:
+                automaton.add_word(coded[i], (len(coded[i]), *firsts[i]))
+            continue
+        found: dict[tuple[int, ...], list] = {}
+        for i in members:
+            words, (doc, at) = coded[i], firsts[i]
+            for k in range(len(words) - WINDOW + 1):
+                have = found.setdefault(words[k : k + WINDOW], [0, (doc, at + k)])
+                have[0] += counts[i]
+                have[1] = min(have[1], (doc, at + k))
+        for window, (n, first) in found.items():
+            if n > 1:
+                automaton.add_word(window, (WINDOW, *first))
     out: list[list[tuple[int, int] | None]] = [[None] * (len(words) - WINDOW + 1) for words in coded]
-    if phrases:
+    if len(automaton):
         automaton.make_automaton()
         for words, places in zip(coded, out, strict=True):
-            for end, first in automaton.iter(words):
-                places[end - WINDOW + 1] = first
+            for end, (size, doc, at) in automaton.iter(words):
+                begin = end - size + 1
+                for k in range(size - WINDOW + 1):
+                    places[begin + k] = (doc, at + k)
     return out
 
 
@@ -231,7 +272,7 @@ def _verdicts(distinct: DataFrame, shard_segments: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         firsts = table.column("first").to_pylist()
-        places = find_phrases(table.column("piece").to_pylist(), table.column("n").to_pylist(), [(f["id"], f["at"]) for f in firsts])
+        places = find_phrases(table.column("seed").to_pylist(), table.column("piece").to_pylist(), table.column("n").to_pylist(), [(f["id"], f["at"]) for f in firsts])
         ids = [[p and p[0] for p in x] for x in places]
         ats = [[p and p[1] for p in x] for x in places]
         kind = pa.list_(pa.int64())
@@ -245,7 +286,7 @@ def _cut(rows: DataFrame) -> DataFrame:
     """(id, th, n_words, n_removed, kept) of texts with the places of their removed windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", BLOCK_BYTES):
             words = split_words(batch.column("text"))
             n = np.diff(words.rows)
             cuts = batch.column("cuts")
