@@ -123,6 +123,15 @@ def test_two_writers_never_share_a_version(spark, monkeypatch):
     assert len(versions) == len(set(versions))
 
 
+def test_publish_of_no_rows(spark):
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    path = scratch_path(spark, "pub-none")
+    assert publish(n.where("false"), path, mode="overwrite").first()["rows"] == 0
+    assert read_dataset(spark, path).count() == 0 and read_dataset(spark, path).columns == n.columns
+    publish(n, path, mode="append")
+    assert read_dataset(spark, path).count() == 25
+
+
 def test_first_upsert_checks_its_keys(spark):
     twice = spark.createDataFrame([(1, 1, "a"), (1, 1, "b")], "k1 long, k2 long, v string")
     with pytest.raises(ValueError, match="repeat"):
