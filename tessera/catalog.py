@@ -364,15 +364,16 @@ def q_name_resolution(spark, d):
     return resolve_dataset_names(q, reg)
 
 
-def _documents_batches(spark, d, name="documents", order_by=("doc_id",)):
+def _documents_batches(spark, d, name="documents", order_by=("doc_id",), split="range"):
     src = table(spark, d, name)
     path = scratch_path(spark, f"bulk-{name}")
-    manifest = bulk.write_batches(src, path, list(order_by), max_bytes=500_000, split="exact")
+    manifest = bulk.write_batches(src, path, list(order_by), max_bytes=500_000, split=split)
     return src, path, manifest
 
 
 def q_bulk_read(spark, d):
-    src, path, manifest = _documents_batches(spark, d)
+    """Batches cut on the running byte offset of all rows, read back whole."""
+    src, path, manifest = _documents_batches(spark, d, split="exact")
     return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
 
 

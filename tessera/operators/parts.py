@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.encode import csv_header, csv_line, line_bytes
-from tessera.operators.paging import int_div, place_in_ranges, rank_rows, range_offsets
+from tessera.operators.paging import int_div, place_in_ranges, rank_rows
 from tessera.session import materialize
 
 _RANGE = "_tessera_range"
@@ -81,35 +81,67 @@ def number_parts(df: DataFrame, order_by: list[str], parts: int | Column, part_c
     ).drop("_tessera_rank", "_tessera_rows")
 
 
+def _range_stats(placed: DataFrame, max_bytes: int) -> DataFrame:
+    """Per range: bytes before it, parts before it when each range is cut by
+    itself, the last line's bytes of the range before, and the widest line of all."""
+    per = placed.groupBy(_RANGE).agg(F.sum("bytes").alias("_b"), F.max("bytes").alias("_w"), F.max_by("bytes", "pos").alias("_l"))
+    # The last line begins at bytes - last; a range is never empty here.
+    per = per.withColumn("_p", int_div(F.col("_b") - F.col("_l"), max_bytes) + F.lit(1))
+    in_order = Window.orderBy(_RANGE)  # one row per range
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(per.select(
+        _RANGE,
+        F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b_before"),
+        F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p_before"),
+        F.lag("_l").over(in_order).alias("_l_before"),
+        F.max("_w").over(Window.partitionBy()).alias("_widest"),
+    ), "range-stats")
+
+
 def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                  columns: list[str] | None = None, subparts: int = 1, quote_cr: bool = False,
                  split: str = "exact") -> DataFrame:
-    """``(part_number, subpart, pos, line, bytes)``: encoded lines in order with
-    their part.  Parts are numbered from 1 without gaps; ``pos`` is the line's
-    position in its key range (lines order by part, range, position).
+    """``(part_number, subpart, range_id, pos, line, bytes, first)``: encoded
+    lines with their part.  Parts are numbered from 1 without gaps; lines order by
+    (range, position); ``first`` marks the first line of a (part, subpart).
 
     ``subparts`` cuts every part into that many equal byte ranges (a part may
-    have no line in some)."""
+    have no line in some).  All columns but the line follow from a written
+    placement, so reading some of them again gives the same answer."""
     if split not in ("exact", "range"):
         raise ValueError("split must be 'exact' or 'range'")
     cols = columns or df.columns
     line = csv_line(df, cols, quote_cr=quote_cr)
     lines = df.select(*[F.col(k) for k in order_by], line.alias("line")).withColumn("bytes", line_bytes("line").cast("long"))
-    placed = place_in_ranges(lines, order_by, None, _RANGE, "pos")
-    inside = Window.partitionBy(_RANGE).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("bytes").over(inside), F.lit(0))
+    placed = place_in_ranges(lines.select(*order_by, "line", "bytes"), order_by, None, _RANGE, "pos")
+    stats = _range_stats(placed, max_bytes)
+    row = stats.select("_widest").first()
+    in_range = Window.partitionBy(_RANGE).orderBy("pos")
+    running = F.coalesce(F.sum("bytes").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = placed.withColumn("_start", running).withColumn("_prev", F.lag("bytes").over(in_range)).join(stats, _RANGE)
     if split == "exact":
-        placed = placed.join(range_offsets(placed, _RANGE, {"_b": F.col("bytes")}), _RANGE)
-        at = placed.withColumn("_start", start + F.col("_b_before")).withColumn("_of", F.lit(0))
+        at = at.withColumn("_start", F.col("_start") + F.col("_b_before")).withColumn("_prev", F.coalesce("_prev", "_l_before"))
+        at = at.withColumn("_of", F.lit(0))
     else:
-        at = placed.withColumn("_start", start).withColumn("_of", F.col(_RANGE))
-    at = at.withColumn("_cut", int_div(F.col("_start"), max_bytes))
-    # One row a part; numbers skip the byte ranges inside a line longer than a part.
-    cuts = materialize(at.select("_of", "_cut").distinct(), "cuts")
-    numbers = cuts.select("_of", "_cut", F.row_number().over(Window.orderBy("_of", "_cut")).cast("long").alias("part_number"))
-    sub = int_div((F.col("_start") - F.col("_cut") * F.lit(max_bytes)) * F.lit(subparts), max_bytes) + F.lit(1)
-    return at.join(materialize(numbers, "part-numbers"), ["_of", "_cut"]).select(
-        "part_number", sub.cast("int").alias("subpart"), F.col(_RANGE).alias("range_id"), "pos", "line", "bytes"
+        at = at.withColumn("_of", F.col(_RANGE))
+
+    def piece(start: Column) -> Column:
+        cut = int_div(start, max_bytes)
+        return F.struct(cut.alias("cut"), (int_div((start - cut * F.lit(max_bytes)) * F.lit(subparts), max_bytes) + F.lit(1)).alias("sub"))
+
+    at = at.withColumn("_piece", piece(F.col("_start")))
+    # The line before it, in its own range or at the end of the one before, is in another piece.
+    first = F.col("_prev").isNull() | (F.col("_piece") != piece(F.col("_start") - F.col("_prev")))
+    number = F.col("_piece.cut") + F.lit(1) + (F.lit(0) if split == "exact" else F.col("_p_before"))
+    if row is not None and row["_widest"] > max_bytes:
+        # A line longer than a part skips numbers: number the cuts that have lines (one row a part).
+        cuts = at.select("_of", F.col("_piece.cut").alias("_cut")).distinct()
+        numbers = cuts.select("_of", "_cut", F.row_number().over(Window.orderBy("_of", "_cut")).cast("long").alias("_number"))
+        at = at.withColumn("_cut", F.col("_piece.cut")).join(materialize(numbers, "part-numbers"), ["_of", "_cut"])
+        number = F.col("_number")
+    return at.select(
+        number.cast("long").alias("part_number"), F.col("_piece.sub").cast("int").alias("subpart"), F.col(_RANGE).alias("range_id"),
+        "pos", "line", "bytes", first.alias("first"),
     )
 
 
@@ -140,6 +172,12 @@ def part_payloads(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_
     return agg.select("part_number", "rows", body.alias("payload"))
 
 
+def gathered(lines: DataFrame, part: str, split: str) -> DataFrame:
+    """Each part's lines in one task; a part of the range split lies in one
+    range, whose lines are in one task already."""
+    return lines.repartition(part) if split == "exact" else lines
+
+
 def landed_bytes(spark, path: str, by: list[str]) -> DataFrame:
     """Bytes per part folder from the file listing (contents are not read)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
@@ -152,9 +190,9 @@ def write_parts(df: DataFrame, path: str, order_by: list[str], max_bytes: int =
     and return the acknowledged part manifest (see ``acknowledge``).
     Spark's output commit makes the write all-or-nothing."""
     # Files this library parses back: a \r inside a value is quoted too.
-    lines = materialize(parted_lines(df, order_by, max_bytes, columns, quote_cr=True, split=split), "lines")
+    lines = parted_lines(df, order_by, max_bytes, columns, quote_cr=True, split=split)
     (
-        lines.repartition("part_number")
+        gathered(lines, "part_number", split)
         # Partition column first, so the writer keeps the line order.
         .sortWithinPartitions("part_number", "range_id", "pos")
         .select("part_number", "line")

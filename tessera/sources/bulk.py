@@ -15,11 +15,9 @@ import csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tessera.functions.encode import csv_header
-from tessera.operators.parts import MAX_PART_BYTES, landed_bytes, parted_lines
-from tessera.session import materialize
+from tessera.operators.parts import MAX_PART_BYTES, gathered, landed_bytes, parted_lines
 
 # Fixed value: default longest field the bulk parser accepts.
 DEFAULT_MAX_CHARS = 4096
@@ -51,14 +49,13 @@ def write_batches(df: DataFrame, path: str, order_by: list[str], max_bytes: int
     header = csv_header(cols)
     # Batch files are parsed back by a CSV reader: a \r inside a value is quoted too.
     lines = parted_lines(df, order_by, max_bytes, cols, subparts=results_per_batch, quote_cr=True, split=split)
-    lines = materialize(lines.select((F.col("part_number") + F.lit(first_batch - 1)).alias("batch_id"),
-                                     F.col("subpart").alias("result"), "range_id", "pos", "line", "bytes"), "batch-lines")
-    place = Window.partitionBy("batch_id", "result").orderBy("range_id", "pos")
-    first = F.row_number().over(place) == F.lit(1)
-    led = F.when(first, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
+    lines = lines.withColumn("batch_id", F.col("part_number") + F.lit(first_batch - 1)).withColumnRenamed("subpart", "result")
+    led = F.when(F.col("first"), F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
     (
-        lines.withColumn("line", led)
-        # The order the window left: the writer asks for no other one.
+        gathered(lines, "batch_id", split)
+        .withColumn("line", led)
+        # The writer needs rows ordered by its partition columns; keeping them
+        # as the sort prefix stops it from re-sorting away the line order.
         .sortWithinPartitions("batch_id", "result", "range_id", "pos")
         .select("batch_id", "result", "line")
         .write.mode("overwrite")
