@@ -38,8 +38,8 @@ from tessera.llm.common import c, fresh, written
 from tessera.llm.words import ALNUM, blocks, ranges, split_words
 
 WINDOW = 13
-#: Bytes of benchmark text answered in one job.
-QUERY_BYTES = 16 << 20
+#: Bytes of benchmark text answered in one job (its windows are about ten times as large).
+QUERY_BYTES = 1 << 20
 
 INDEX_SCHEMA = "block string, doc_ids array<long>, doc_words array<long>, terms array<string>, term_starts binary, postings binary"
 _COLUMNS = [x.split()[0] for x in INDEX_SCHEMA.split(", ")]
@@ -80,7 +80,7 @@ class Queries:
         first = ranges(words.rows[:-1], count)
         at = first[:, None] + np.arange(window)[None, :]
         inside = np.arange(window)[None, :] < self.length[:, None]
-        self.terms = np.where(inside, codes[np.where(inside, at, 0)] if len(codes) else 0, -1)
+        self.terms = np.where(inside, codes[np.where(inside, at, 0)] if len(codes) else 0, -1).astype(np.int32)
 
 
 def query_blocks(benchmark: DataFrame, id_col: str, text: str, window: int = WINDOW) -> Iterator[Queries]:
@@ -106,7 +106,7 @@ def intersect(q: Queries, local: np.ndarray, starts: np.ndarray, postings: np.nd
     """
     none = np.zeros(0, np.int64)
     held = q.terms >= 0
-    term = np.where(held, local[q.terms], -1)
+    term = np.where(held, local[q.terms], -1)  # 64-bit, as the keys below
     possible = np.flatnonzero(((term >= 0) | ~held).all(axis=1) & (q.length > 0))
     if not len(possible):
         return none, none
