@@ -152,13 +152,19 @@ def _seed_rows(rows: DataFrame) -> DataFrame:
 
 
 def _bucketed(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` as a table bucketed by ``key``: joins on it read it without a shuffle."""
+    """``rows`` as a table bucketed by ``key``: joins on it read it without a shuffle.
+
+    The catalog entry goes at once; the frame has resolved it, and the files of
+    a table with a path of its own stay.
+    """
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"tessera_{uuid.uuid4().hex}"
     writer = rows.repartition(n, key).write.bucketBy(n, key).option("compression", "zstd")
     writer.option("path", scratch_path(spark, "bucketed")).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 SEGMENT_SCHEMA = "id long, th long, at long, seed long, piece string"
