@@ -95,6 +95,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, size: int = BLOCK_BYTES
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, side="right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+        del batch, ends  # before the next one is read
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
