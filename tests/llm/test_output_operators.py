@@ -232,3 +232,18 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path, case):
         assert out.dtypes == docs.dtypes
         docs = spark.createDataFrame(out.collect(), out.schema)
     corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count()
+
+
+def test_scores_use_all_terms_of_the_seed():
+    n = np.array([101, 51, 50])
+    ids = np.concatenate([np.arange(101), np.arange(50, 101), np.arange(200, 250)])
+    idf = np.linspace(2, 1, 300)  # the first document's rarest terms are in no other
+    score = packing.Bm25(ids, n, idf, 60.0).scores(ids[:101])
+    assert score[1] > 0 and score[2] == 0
+
+
+def test_windows_ask_again_with_the_last_document():
+    docs = [np.arange(0, 10), np.arange(50, 60), np.r_[5:10, 20:25], np.r_[20:30]]  # 0 - 2 - 3 share terms, 1 shares none
+    ids, n = np.concatenate(docs), np.full(4, 10)
+    windows = packing.fill_windows(ids, n, packing.Bm25(ids, n, np.ones(60), 10.0), 30)
+    assert [d for d, *_ in windows[0]] == [0, 2, 3]
