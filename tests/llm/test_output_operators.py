@@ -234,6 +234,18 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path, case):
     corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count()
 
 
+def test_packing_finds_neighbours_of_other_shards(spark, tokenizer):
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(60)) for _ in range(12)]
+    rows = [(k, t, "en", "s", 1) for k, t in enumerate(texts)]
+    copies = [(100, texts[0], "en", "s", 1)]
+    window = 1 << (2 * max(len(plain_ids(tokenizer, t)) for t in texts) - 1).bit_length()
+    docs = H.frame(spark, rows).coalesce(1).unionAll(H.frame(spark, copies).coalesce(1))  # a partition starts a shard
+    pieces = packing.pack(docs, default_tokenizer(), END, window=window).collect()
+    first = [p["sequence_id"] for p in pieces if p["doc_id"] == 0]
+    assert {100} <= {p["doc_id"] for p in pieces if p["sequence_id"] in first}
+
+
 def test_scores_use_all_terms_of_the_seed():
     n = np.array([101, 51, 50])
     ids = np.concatenate([np.arange(101), np.arange(50, 101), np.arange(200, 250)])
