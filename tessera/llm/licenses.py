@@ -6,6 +6,13 @@ punctuation; the score against a template is 2 |A and B| / (|A| + |B|) over the
 sets of word bigrams.  A score of ``least`` or more needs sizes within a factor of
 (2 - least) / least, so other templates are pruned by size before any score.
 
+Licences that are no unit (a notice inside a line, a text of several paragraphs)
+are found as spans: of each template that shares enough bigrams with a text, the
+best run of words from each shared bigram, line ends ignored.  Of spans that
+overlap the best stays, and a span goes when it overlaps a unit that scores as
+much.  A template that differs from another licence's only in its end ("Licensed
+under the ...") counts in a span only with the bigram that tells them apart.
+
 Scale: no shuffle; a task reads blocks of about 4 MB of text.  Words are coded
 once a block and only bigrams of template words are looked up.  The templates are
 a parameter of fixed size, sent with the task.
@@ -108,6 +115,7 @@ class Templates:
     starts: np.ndarray  # per bigram its templates ``holders[starts[k]:starts[k + 1]]``
     holders: np.ndarray
     sizes: np.ndarray  # bigrams per template
+    telling: np.ndarray  # per template the place in ``codes`` a span must have, or -1
 
     @classmethod
     def of(cls, templates: list[tuple[str, str]]) -> Templates:
@@ -117,7 +125,20 @@ class Templates:
         pair = np.flatnonzero(row[1:] == row[:-1])
         held = np.unique(np.stack([codes[pair].astype(np.int64) * len(vocabulary) + codes[pair + 1], row[pair]], axis=1), axis=0)
         bigrams, starts = np.unique(held[:, 0], return_index=True)
-        return cls([k for k, _ in templates], vocabulary, bigrams, np.append(starts, len(held)), held[:, 1], np.bincount(held[:, 1], minlength=len(templates)))
+        names = [k for k, _ in templates]
+        telling = np.full(len(names), -1)
+        texts = [codes[a:b].tolist() for a, b in zip(words.rows[:-1], words.rows[1:], strict=True)]
+        order = sorted(range(len(names)), key=lambda x: texts[x])
+        for i, x in enumerate(order):
+            # The longest common beginning with another licence's template is a neighbour's.
+            common = 0
+            for others in (reversed(order[:i]), order[i + 1 :]):
+                other = next((y for y in others if names[y] != names[x]), None)
+                if other is not None:
+                    common = max(common, next((k for k, (a, b) in enumerate(zip(texts[x], texts[other], strict=False)) if a != b), min(len(texts[x]), len(texts[other]))))
+            if 0 < common < len(texts[x]) <= 2 * common:
+                telling[x] = np.searchsorted(bigrams, texts[x][common - 1] * len(vocabulary) + texts[x][common])
+        return cls(names, vocabulary, bigrams, np.append(starts, len(held)), held[:, 1], np.bincount(held[:, 1], minlength=len(templates)), telling)
 
 
 def _units(start: np.ndarray, row: np.ndarray, newlines: np.ndarray) -> list[tuple[str, np.ndarray]]:
@@ -132,8 +153,68 @@ def _units(start: np.ndarray, row: np.ndarray, newlines: np.ndarray) -> list[tup
     ]
 
 
+def _best_end(own: list[int], a: int, places: dict[int, int], size: int, telling: int, least: float) -> tuple[float, int] | None:
+    """Score and last bigram of the best span from bigram ``a``; ``places`` are the bigrams of the template."""
+    best, seen, shared, told = None, set(), 0, telling < 0
+    for p in range(a, len(own)):
+        code = places.get(p)
+        if own[p] not in seen:
+            seen.add(own[p])
+            if len(seen) > size * (2 - least) / least + 1e-9:
+                break
+            shared += code is not None
+        if code is not None:
+            told = told or code == telling
+            score = 2 * shared / (len(seen) + size)
+            if told and score >= least and (best is None or score > best[0]):
+                best = score, p
+    return best
+
+
+def _spans(t: Templates, least: float, own: np.ndarray, at: np.ndarray, row: np.ndarray, rows: np.ndarray, units: list[tuple]) -> list[tuple[int, str, int, int, int, float]]:
+    """Runs of words that match a template better than the units they overlap."""
+    place = np.flatnonzero((at >= 0) & (row[1:] == row[:-1]))
+    k = at[place]
+    n = t.starts[k + 1] - t.starts[k]
+    template = t.holders[np.repeat(t.starts[k] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    key, place = np.repeat(row[place], n) * len(t.names) + template, np.repeat(place, n)
+    # A span shares least / (2 - least) of its template, so its text does.
+    pairs = np.unique(np.stack([key, at[place]], axis=1), axis=0)
+    keys, shared = np.unique(pairs[:, 0], return_counts=True)
+    keys = keys[shared >= t.sizes[keys % len(t.names)] * least / (2 - least) - 1e-9]
+    chosen = np.isin(key, keys)
+    key, place = key[chosen], place[chosen]
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    found: dict[int, list[tuple]] = {}
+    bigrams: dict[int, list[int]] = {}
+    for x, a, b in zip(keys.tolist(), np.searchsorted(key, keys).tolist(), np.searchsorted(key, keys, side="right").tolist(), strict=True):
+        r, j = divmod(x, len(t.names))
+        first = int(rows[r])
+        if r not in bigrams:
+            bigrams[r] = own[first : int(rows[r + 1]) - 1].tolist()
+        places = dict(zip((place[a:b] - first).tolist(), at[place[a:b]].tolist(), strict=True))
+        for p in places:
+            best = _best_end(bigrams[r], p, places, int(t.sizes[j]), int(t.telling[j]), least)
+            if best:
+                found.setdefault(r, []).append((-best[0], p - best[1], p, j))
+    taken: dict[int, list[tuple]] = {}
+    for r, _, a, n_words, _, score in units:
+        taken.setdefault(r, []).append((a, a + n_words, score))
+    out = []
+    for r, options in found.items():
+        kept = taken.get(r, [])
+        own_spans: list[tuple] = []
+        for score, minus, a, j in sorted(options):
+            b = a - minus + 2  # the word after the last bigram
+            if not any(a < d and c_ < b for c_, d in own_spans) and not any(a < d and c_ < b and have >= -score - 1e-12 for c_, d, have in kept):
+                own_spans.append((a, b))
+                out.append((r, "span", a, b - a, j, -score))
+    return out
+
+
 def scan_block(texts: pa.Array, t: Templates, least: float) -> list[tuple[int, str, int, int, int, float]]:
-    """(row, kind, first word in the row, words, template, score) of each matching unit's best template."""
+    """(row, kind, first word in the row, words, template, score) of each matching unit's best template, and of spans."""
     words = split_words(texts, ALNUM, lower=True)
     if not len(words.start):
         return []
@@ -178,26 +259,27 @@ def scan_block(texts: pa.Array, t: Templates, least: float) -> list[tuple[int, s
                 seen.add((a, b))
                 r = int(row[a])
                 out.append((r, kind, a - int(words.rows[r]), b - a, int(template[i]), float(dice[i])))
-    return sorted(out)
+    return sorted(out + _spans(t, least, own, np.where(hit, at, -1), row, words.rows, out))
 
 
-SCHEMA = "doc_id long, n_words long, matches array<struct<unit:string,first_word:long,n_words:long,license:string,dice:double>>"
+SCHEMA = "doc_id long, n_words long, matches array<struct<unit:string,first_word:long,n_words:long,license:string,dice:double>>, spans array<struct<unit:string,first_word:long,n_words:long,license:string,dice:double>>"
 _MATCH = pa.struct([("unit", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("license", pa.string()), ("dice", pa.float64())])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] | None = None, least: float = LEAST) -> DataFrame:
-    """Per row: doc_id, n_words and the units that match a template, in text order."""
+    """Per row: doc_id, n_words, and the units and the spans that match a template, in text order."""
     chosen = sorted(default_templates() if templates is None else templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Templates.of(chosen)
         for batch in blocks(batches, "text"):
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for r, kind, first, n, template, dice in scan_block(batch.column("text"), t, least):
-                found[r].append({"unit": kind, "first_word": first, "n_words": n, "license": t.names[template], "dice": dice})
-            for x in found:
+                (spans if kind == "span" else found)[r].append({"unit": kind, "first_word": first, "n_words": n, "license": t.names[template], "dice": dice})
+            for x in found + spans:
                 x.sort(key=lambda m: (m["first_word"], m["n_words"]))
             n_words = np.diff(split_words(batch.column("text"), ALNUM, lower=True).rows)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n_words, pa.int64()), pa.array(found, pa.list_(_MATCH))], names=["doc_id", "n_words", "matches"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n_words, pa.int64()), pa.array(found, pa.list_(_MATCH)), pa.array(spans, pa.list_(_MATCH))], names=["doc_id", "n_words", "matches", "spans"])
 
     return docs.select(c(id_col).cast("long").alias("id"), c(text).alias("text")).mapInArrow(run, SCHEMA)

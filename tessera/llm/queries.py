@@ -68,7 +68,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = licenses.scan(table(spark, sf_dir, "documents"))
+    out = licenses.scan(table(spark, sf_dir, "documents")).withColumn("matches", F.concat("matches", "spans"))
     best = F.reduce("matches", F.lit(0.0), lambda a, m: F.greatest(a, m["dice"]))
     names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
     return out.select("doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"), best.alias("best_dice"))

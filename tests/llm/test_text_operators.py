@@ -201,3 +201,39 @@ def test_license_scan_finds_the_stock_texts(spark):
     rows = [(i, f"/* some code */\n\n{text}\n\nint main", None, None, None) for i, (_, text) in enumerate(sorted(licenses.TEXTS.items()))]
     out = licenses.scan(H.frame(spark, rows)).orderBy("doc_id").collect()
     assert [sorted({m["license"] for m in r["matches"]}) for r in out] == [[k] for k in sorted(licenses.TEXTS)]
+
+
+MIT_LAYOUT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+
+def licences_of(spark, texts):
+    out = licenses.scan(H.frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    return [sorted({m["license"] for m in [*r["matches"], *r["spans"]]}) for r in out]
+
+
+def test_license_scan_finds_licences_that_are_no_unit(spark):
+    rng = random.Random(8)
+    texts = [
+        f"{H.prose(rng, 300)}\n\nMIT License\n\nCopyright (c) 2020 Jane Doe\n\n{MIT_LAYOUT}\n\n{H.prose(rng, 300)}",
+        "Copyright (c) 2020 Jane Doe. Licensed under the MIT License.",
+        "The code below is released under the MIT License, so feel free to use it.",
+        "This project is licensed under the terms of the Jane Doe agreement, so ask first.",
+        "It is released under the MIT License. The data is licensed under CC BY 4.0, as said above.",
+    ]
+    assert licences_of(spark, texts) == [["MIT"], ["MIT"], ["MIT"], [], ["CC-BY-4.0", "MIT"]]
