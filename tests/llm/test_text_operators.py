@@ -237,3 +237,13 @@ def test_license_scan_finds_licences_that_are_no_unit(spark):
         "It is released under the MIT License. The data is licensed under CC BY 4.0, as said above.",
     ]
     assert licences_of(spark, texts) == [["MIT"], ["MIT"], ["MIT"], [], ["CC-BY-4.0", "MIT"]]
+
+
+def test_license_scan_knows_each_licence(spark):
+    assert {k for k, _ in (*licenses.TEXTS.items(), *licenses.OPENINGS)} == licenses.NAMES.keys()
+    rng = random.Random(4)
+    published = sorted({*licenses.TEXTS.items(), *licenses.OPENINGS})
+    lines = [(k, H.prose(rng, 40) + "\n\n" + t.replace(". ", ".\n\n") + "\n\n" + H.prose(rng, 40)) for k, t in published]
+    lines += [("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0-or-later"), ("MIT", "// SPDX-License-Identifier: MIT"), (None, "// SPDX-License-Identifier: LicenseRef-Own")]
+    lines += [("Unlicense", "This is free and unencumbered software released into the public domain.")]
+    assert list(zip([t for _, t in lines], licences_of(spark, [t for _, t in lines]), strict=True)) == [(t, [k] if k else []) for k, t in lines]
