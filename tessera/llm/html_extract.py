@@ -3,7 +3,9 @@
 Method: the page becomes a tree; paragraphs give points for their length and
 commas to their ancestors, less with each level; a container's points are
 discounted by its link density; the best container and those of its siblings that
-score well, or read like prose, are kept.  Elements that are never article text
+score well, or read like prose, are kept, whatever their tag, with headings and
+short paragraphs.  When sections, articles or large divs beside one of its
+ancestors carry on the article, that ancestor's siblings are kept likewise.  Elements that are never article text
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
 comments) are left out before, link lists after.
 
@@ -225,25 +227,41 @@ def _density(node: Node) -> float:
 
 
 def main_nodes(root: Node) -> list[Node]:
-    """The best container and the siblings to keep, in page order."""
+    """The best container or the ancestor it shares with the article's other parts; what is not kept of that is dropped."""
     scored = score(root)
     if not scored:
         return []
     best = max(scored, key=lambda x: x.score * (1 - _density(x)))
     if best.parent is None:
         return [best]
+    path = [best]
+    while path[-1].parent is not None:
+        path.append(path[-1].parent)
+    # The common ancestor of an article that is spread over siblings, at any level.
+    level = 1
+    for k in range(1, len(path)):
+        branch = path[k - 1]
+        if branch.tag in ("article", "main") or any(_like(x, branch) for x in path[k].items):
+            level = k
     least = max(10.0, 0.2 * best.score * (1 - _density(best)))
-    out, passed = [], False
-    for x in best.parent.items:
-        if x is best:
-            out.append(x)
-            passed = True
-        elif isinstance(x, Node) and not x.drop:
-            heading = not passed and x.tag in ("h1", "h2", "h3") and not x.link
-            prose = x.tag in (*PARAGRAPHS, "div") and _density(x) < 0.25 and (x.length > 80 or x.commas > 0)
-            if x.score * (1 - _density(x)) >= least or prose or heading:
-                out.append(x)
-    return out
+    for k in range(1, level + 1):
+        inline = [x for x in path[k].items if isinstance(x, Node) and x.tag not in BLOCK and not x.drop]
+        bare = sum(len(x.strip()) for x in path[k].items if isinstance(x, str)) > sum(x.link for x in inline)
+        for x in path[k].items:
+            if isinstance(x, Node) and x is not path[k - 1] and x.score * (1 - _density(x)) < least and not (bare if x.tag not in BLOCK and x.link else _prose(x)):
+                x.drop = True
+    return [path[level]]
+
+
+def _prose(x: Node) -> bool:
+    return _density(x) < 0.25 and (x.length > 80 or x.commas > 0 or x.score > 0 or x.tag in PARAGRAPHS or x.tag not in BLOCK)
+
+
+def _like(x: Node | str, branch: Node) -> bool:
+    """A sibling that carries on the article of ``branch``."""
+    if not isinstance(x, Node) or x is branch or x.drop or x.tag != branch.tag or x.tag not in ("section", "article", "div"):
+        return False
+    return _density(x) < 0.25 and x.score > 0 and (x.tag != "div" or x.score >= 10)
 
 
 def _link_list(node: Node) -> bool:

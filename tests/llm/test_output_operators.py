@@ -259,3 +259,18 @@ def test_windows_ask_again_with_the_last_document():
     ids, n = np.concatenate(docs), np.full(4, 10)
     windows = packing.fill_windows(ids, n, packing.Bm25(ids, n, np.ones(60), 10.0), 30)
     assert [d for d, *_ in windows[0]] == [0, 2, 3]
+
+
+LONG = "This paragraph, of a section, is long enough to be prose and goes on for a while."
+SPREAD = {
+    "short second section": (f"<main><section>{ARTICLE}{ARTICLE}</section><section><h2>Next</h2><p>{LONG}</p></section></main>", [*LINES, *LINES, "Next", LONG]),
+    "sections of divs": (f"<main><section><div>{ARTICLE}{ARTICLE}</div></section><section><div><p>{LONG}</p></div></section></main>", [*LINES, *LINES, LONG]),
+    "list, short paragraph and heading after": (f"<body><nav><a href=/>Home</a></nav><div>{ARTICLE}</div><h3>Then</h3><ul><li>Item one of it</li><li>Item two</li></ul><p>The end.</p><ul><li><a href=1>Other page</a></li></ul></body>", [*LINES, "Then", "Item one of it", "Item two", "The end."]),
+    "figure and table": (f"<article><div>{ARTICLE}</div><figure><figcaption>A view</figcaption></figure><table><tr><td>Height</td><td>12 m</td></tr></table></article>", [*LINES, "A view", "Height", "12 m"]),
+}
+
+
+@pytest.mark.parametrize("name", SPREAD)
+def test_main_text_of_articles_spread_over_siblings(name):
+    page, lines = SPREAD[name]
+    assert html_extract.main_text(page) == "\n".join(lines)
