@@ -7,7 +7,9 @@ score well, or read like prose, are kept, whatever their tag, with headings and
 short paragraphs.  When sections, articles or large divs beside one of its
 ancestors carry on the article, that ancestor's siblings are kept likewise.  Elements that are never article text
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments) are left out before, link lists after.
+comments) are left out before, lists of nothing but links after.  A name alone
+leaves out no ``main``, no ``article`` named as one, and no element that holds most of the page's prose
+and has a word of an article's container, or that holds all there is.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one line feed in page order; empty blocks
@@ -61,6 +63,8 @@ ALWAYS = frozenset(
 #: and words that do, unless the name also has a word of an article's container.
 USUALLY = frozenset("footer header masthead menu nav navbar navigation sidebar side aside widget widgets topbar".split())
 CONTAINER = frozenset("article body col column container content entry has layout main page post story text with wrapper wrap".split())
+#: Share of link text beyond which a list holds nothing but links; references have authors and years beside theirs.
+LINK_LIST = 0.9
 PARAGRAPHS = frozenset("p pre td blockquote li dd figcaption h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open element of the second list, up to an element of the third.
 _ENDS = {
@@ -77,33 +81,68 @@ _ENDS = {
 
 
 class Node:
-    __slots__ = ("commas", "drop", "items", "length", "link", "parent", "score", "tag")
+    __slots__ = ("commas", "drop", "items", "length", "link", "named", "parent", "score", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, named: str = ""):
+        self.tag, self.parent, self.drop, self.named = tag, parent, drop, named
         self.items: list[Node | str] = []
         self.score, self.length, self.link, self.commas = 0.0, 0, 0, 0
 
 
-def _dropped(tag: str, attributes: str) -> bool:
+def _dropped(tag: str, attributes: str) -> tuple[bool, str]:
+    """Whether an element is left out for sure, and what its names say: "" (nothing), "other" or "container" (words of both kinds)."""
     if tag in LEFT_OUT:
-        return True
+        return True, ""
     if not attributes or tag in ("body", "html"):
-        return False
+        return False, ""
+    named, container = False, False
     for name, *values in ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "")
         name = name.lower()
         if name in ("class", "id"):
             words = {w.lower() for w in WORD.findall(value)}
-            if words & ALWAYS or (words & USUALLY and not words & CONTAINER):
-                return True
+            named |= bool(words & ALWAYS or (words & USUALLY and not words & CONTAINER))
+            container |= bool(words & CONTAINER)
         elif name == "role" and value.lower() in ROLES:
-            return True
+            return True, ""
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, ""
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return True, ""
+    return False, "" if not named or tag == "main" or (tag == "article" and container) else "container" if container or tag == "article" else "other"
+
+
+def _prose_lengths(root: Node) -> dict[int, int]:
+    """Characters outside links of all nodes that are not left out."""
+    out: dict[int, int] = {}
+    for node, ending in _walk(root):
+        if ending:
+            own = sum(len(" ".join(x.split())) if isinstance(x, str) else out.get(id(x), 0) for x in node.items)
+            out[id(node)] = 0 if node.tag == "a" else own
+    return out
+
+
+def drop_named(root: Node) -> None:
+    """Leave out the elements that their names mark, but not those that hold most of the page's prose.
+
+    Names without a word of an article's container spare an element only when no
+    prose is left without it.
+    """
+    named = [x for x, ending in _walk(root) if ending and x.named]
+    if not named:
+        return
+    whole = _prose_lengths(root)
+    others = [x for x in named if x.named == "other"]
+    for x in others:
+        x.drop = True
+    lengths = _prose_lengths(root)
+    if others and not lengths[id(root)]:
+        for x in others:
+            x.drop = 2 * whole[id(x)] <= whole[id(root)]
+        lengths = _prose_lengths(root)
+    for x in named:
+        if x.named == "container":
+            x.drop = 2 * lengths.get(id(x), 0) <= lengths[id(root)]
 
 
 def parse(page: str) -> Node:
@@ -152,12 +191,13 @@ def parse(page: str) -> Node:
                 now = node.parent
             elif node is not None and re.fullmatch("h[1-6]", node.tag) and re.fullmatch("h[1-6]", tag):
                 now = node.parent
-        child = Node(tag, now, _dropped(tag, m[3]))
+        child = Node(tag, now, *_dropped(tag, m[3]))
         now.items.append(child)
         if tag not in VOID and not m[3].endswith("/"):
             now = child
         elif tag not in VOID and tag not in ("svg", "math"):
             now = child  # a slash ends no HTML element
+    drop_named(root)
     return root
 
 
@@ -265,7 +305,7 @@ def _like(x: Node | str, branch: Node) -> bool:
 
 
 def _link_list(node: Node) -> bool:
-    return node.tag in ("ul", "ol", "dl", "table", "div", "section") and node.length > 0 and _density(node) > 0.5
+    return node.tag in ("ul", "ol", "dl", "table", "div", "section") and node.length > 0 and _density(node) > LINK_LIST
 
 
 def blocks_of(nodes: list[Node]) -> list[str]:

@@ -274,3 +274,21 @@ SPREAD = {
 def test_main_text_of_articles_spread_over_siblings(name):
     page, lines = SPREAD[name]
     assert html_extract.main_text(page) == "\n".join(lines)
+
+
+COMMENTS = f"<div class='comments'>{'<p>I liked this post, a lot, really, it was so very good to read.</p>' * 30}</div>"
+REFERENCES = "<ol>" + "".join(f"<li>Smith, J. (20{k}): <a href={k}>A long enough title of the cited paper</a></li>" for k in range(10, 13)) + "</ol>"
+NAMED = {
+    "article with comments": (f"<body><article class='post has-comments'>{ARTICLE}</article>{COMMENTS}</body>", LINES),
+    "id and class": (f"<body><div id='content' class='ad-free'>{ARTICLE}</div>{COMMENTS}</body>", LINES),
+    "category": (f"<body><div class='post category-social'>{ARTICLE}</div><div class='ad content'><p>Buy it, now, here, and save a lot.</p></div></body>", LINES),
+    "main without sidebar": (f"<body><main class='no-sidebar'>{ARTICLE}</main><div class=sidebar><p>Buy it, now, here, and save a lot.</p></div></body>", LINES),
+    "no other word": (f"<body><div class='social'>{ARTICLE}</div></body>", LINES),
+    "references": (f"<article>{ARTICLE}{REFERENCES}</article>", [*LINES, *(f"Smith, J. (20{k}): A long enough title of the cited paper" for k in range(10, 13))]),
+}
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_main_text_of_containers_with_names(name):
+    page, lines = NAMED[name]
+    assert html_extract.main_text(page) == "\n".join(lines)
