@@ -24,6 +24,7 @@ component_id.  An empty table gives an empty result.  Extra columns are not read
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,13 +117,16 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataF
 
 
 def _links_by_shared_words(members: DataFrame, max_bits: int) -> DataFrame:
-    """Each member linked to the smallest one it shares a word within ``max_bits / 2`` bits with."""
-    if max_bits != 2:
-        raise ValueError("crowded anchors are compared for a threshold of two bits")
-    flips = F.concat(F.array(F.lit(0).cast("long")), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)))
-    shared = members.select("fp", F.explode(F.transform(flips, lambda x: F.col("fp").bitwiseXOR(x))).alias("word"))
-    least = shared.groupBy("word").agg(F.min("fp").alias("v"))
-    return shared.join(least, "word").where("fp > v").select(F.col("fp").alias("u"), "v")
+    """Each member linked to the smallest one that has a word within half of ``max_bits`` which the member has within the rest."""
+    inner = max_bits // 2
+    outer = max_bits - inner
+    near, far = ([sum(1 << b for b in x) for r in sizes for x in itertools.combinations(range(64), r)] for sizes in (range(inner + 1), range(inner + 1, outer + 1)))
+    signed = lambda masks: F.lit([m - (1 << 64) if m >> 63 else m for m in masks])
+    words = lambda masks: members.select("fp", F.explode(F.transform(signed(masks), lambda x: F.col("fp").bitwiseXOR(x))).alias("word"))
+    inside = words(near)
+    least = inside.groupBy("word").agg(F.min("fp").alias("v"))
+    shared = inside.unionAll(words(far)) if far else inside
+    return shared.join(least, "word").where("fp != v").select(F.greatest("fp", "v").alias("u"), F.least("fp", "v").alias("v"))
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:

@@ -247,3 +247,28 @@ def test_license_scan_knows_each_licence(spark):
     lines += [("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0-or-later"), ("MIT", "// SPDX-License-Identifier: MIT"), (None, "// SPDX-License-Identifier: LicenseRef-Own")]
     lines += [("Unlicense", "This is free and unencumbered software released into the public domain.")]
     assert list(zip([t for _, t in lines], licences_of(spark, [t for _, t in lines]), strict=True)) == [(t, [k] if k else []) for k, t in lines]
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3])
+def test_crowded_anchors_at_any_threshold(spark, bits):
+    rng = random.Random(bits)
+    fps = {rng.getrandbits(63) for _ in range(3)}
+    fps |= {f ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for f in list(fps) for _ in range(12)}
+    fps |= {f ^ (1 << rng.randrange(63)) for f in list(fps)}
+    df = spark.createDataFrame([(f,) for f in sorted(fps)], "fp long")
+    want = {f: f for f in fps}
+    for f in sorted(fps):  # a component's smallest fingerprint
+        todo = [f] if want[f] == f else []
+        while todo:
+            x = todo.pop()
+            near = [y for y in fps if (x ^ y).bit_count() <= bits and want[y] > f]
+            want |= dict.fromkeys(near, f)
+            todo += near
+    out = simhash.links(df, bits, crowd=1).collect()
+    assert all(u > v and (u ^ v).bit_count() <= bits for u, v in out)
+    root = {f: f for f in fps}
+    find = lambda f: f if root[f] == f else find(root[f])
+    for u, v in out:
+        a, b = sorted((find(u), find(v)))
+        root[b] = a
+    assert {f: find(f) for f in fps} == want
