@@ -17,8 +17,10 @@ Method:
 3. Automata.  The distinct segments of a set of seeds form a shard of bounded
    size.  A task confirms the shard's recurring windows (equal words, not equal
    hashes), compiles them into an Aho-Corasick automaton over word numbers, and
-   streams the segments of all documents through it: every occurrence comes out
-   with the phrase's first place.
+   streams the shard's distinct segments through it: every window of them comes out
+   with the phrase's first place.  The texts themselves are not streamed: each
+   occurrence in them is found by a join on the hash of its segment, since equal
+   segments have equal windows and one answer serves all of them.
 4. Cut.  Occurrences after the first mark their words; each text is read a last
    time and its kept words are joined by one space.
 
