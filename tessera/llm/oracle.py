@@ -107,4 +107,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM turns GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op7_phrase_dedup": OP7, "op8_chat_format": OP8, "op10_quality_rules": OP10}
+OP11 = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM d GROUP BY source),
+w AS (SELECT *, CAST(CASE k % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight, CAST(2 * source_size AS DOUBLE) AS cap FROM s),
+o AS (
+  SELECT *, sum(cap) OVER o - cap AS full_before, sum(weight) OVER () - sum(weight) OVER o + weight AS open, CAST(1.5 AS DOUBLE) * sum(source_size) OVER () AS total,
+         row_number() OVER o AS i
+  FROM w WINDOW o AS (ORDER BY cap / weight, k ROWS UNBOUNDED PRECEDING)
+),
+level AS (SELECT arg_min((total - full_before) / open, i) AS level FROM o WHERE (total - full_before) / open * weight <= cap),
+t AS (SELECT source, source_size, least(cap, level * weight) AS target FROM w, level),
+u AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS words FROM t),
+v AS (
+  SELECT d.*, u.source_size, u.target, coalesce(words // nullif(u.source_size, 0), 0) AS epochs, words,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(concat_ws(':', '42', CAST(doc_id AS VARCHAR))), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source
+)
+SELECT doc_id, size, source, source_size, target, CAST(epochs * size + greatest(0, least(size, words - epochs * source_size - start)) AS BIGINT) AS taken FROM v
+"""
+
+ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op7_phrase_dedup": OP7, "op8_chat_format": OP8, "op10_quality_rules": OP10, "op11_source_mixing": OP11}
