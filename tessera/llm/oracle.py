@@ -127,4 +127,25 @@ v AS (
 SELECT doc_id, size, source, source_size, target, CAST(epochs * size + greatest(0, least(size, words - epochs * source_size - start)) AS BIGINT) AS taken FROM v
 """
 
-ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op7_phrase_dedup": OP7, "op8_chat_format": OP8, "op10_quality_rules": OP10, "op11_source_mixing": OP11}
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op7_phrase_dedup": OP7, "op8_chat_format": OP8, "op10_quality_rules": OP10, "op11_source_mixing": OP11, "op12_hard_negatives": OP12}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontaminate, html_extract, licenses, line_dedup, mixing, packing, phrase_dedup, quality_rules, simhash, simple8b, trie
+from tessera.llm import chat, decontaminate, hard_negatives, html_extract, licenses, line_dedup, mixing, packing, phrase_dedup, quality_rules, simhash, simple8b, trie
 from tessera.llm.common import c, scratch_path, ship_code
 from tessera.llm.tokens import default_tokenizer
 
@@ -85,6 +85,13 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.whole_rows(table(spark, sf_dir, "embeddings"), new_label=shifted)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(trie.rebuilt(table(spark, sf_dir, "conversations")))
 
@@ -92,6 +99,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_text, op2_simple8b_ids, op3_decontaminate, op4_simhash_dedup, op5_bm25_packing, op6_line_dedup, op7_phrase_dedup, op8_chat_format,
-        op9_license_scan, op10_quality_rules, op11_source_mixing, op13_prefix_trie,
+        op9_license_scan, op10_quality_rules, op11_source_mixing, op12_hard_negatives,
+        op13_prefix_trie,
     )
 }

@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,7 +132,7 @@ def _joined(ids: np.ndarray) -> bytes:
 
 def shard_nodes(shard: int, conv: np.ndarray, path: pa.Array, size: pa.Array) -> Iterator[pa.RecordBatch]:
     """The nodes of the paths of one shard; those that touch its first or last row are open to that side."""
-    lens = np.asarray(pa.compute.binary_length(path), np.int64) // ID_BYTES
+    lens = np.asarray(pc.binary_length(path), np.int64) // ID_BYTES
     starts = np.cumsum(lens) - lens
     ids = np.frombuffer(b"".join(path.to_pylist()), ">u8").astype(np.uint64).reshape(-1, 2)
     total = np.concatenate([[0], np.cumsum(np.asarray(size.flatten(), np.int64))])
