@@ -85,8 +85,8 @@ def step_of(n: int) -> int:
 
 
 def times_mod(i: Column, g: int, n: int) -> Column:
-    """``i * g mod n`` without overflow for n below 2^42."""
-    low = 1 << 20
+    """``i * g mod n`` without overflow for n up to 2^41."""
+    low = 1 << 21
     return F.pmod(div(i, F.lit(low)) * F.lit(g * low % n) % n + F.pmod(i, F.lit(low)) * F.lit(g), F.lit(n))
 
 

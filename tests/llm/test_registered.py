@@ -24,6 +24,6 @@ def test_query_matches_sql(spark, name):
 
 def test_registry():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x[:2] == "op" and x[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x[:2] == "op" and x[2].isdigit()}
     assert "pipeline" in names and set(ORACLE) <= set(entry.oracle_sql())
     assert len(corpus_pipeline.STAGES) == 5
