@@ -18,13 +18,14 @@ from pyspark.sql import types as T
 
 from tessera.functions.casting import cast_columns, cast_value, url_encode_fields
 from tessera.functions.encode import csv_lines
+from tessera.functions.lenient import Lenient
 from tessera.operators import jobs, objects, paging, parts, profile, query
 from tessera.operators.infer import infer_types, merge_types
 from tessera.operators.naming import resolve_dataset_names
 from tessera.plans import publish as pub
 from tessera.plans.read import read_records
 from tessera.session import scratch_path
-from tessera.sources import bulk, scan
+from tessera.sources import bulk, csvranges, scan
 from tessera.sources.records import discover_header, rows_from_records, to_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -664,6 +665,75 @@ def q_exact_sample(spark, d):
     return paging.exact_sample(table(spark, d, "orders"), 100, ["o_orderkey"], seed=7)
 
 
+def q_sample_replacement(spark, d):
+    """As many draws as a tenth of the orders, with replacement."""
+    o = table(spark, d, "orders")
+    return paging.sample_with_replacement(o, o.count() // 10, ["o_orderkey"], seed=7)
+
+
+def q_cast_timestamp_lenient(spark, d):
+    """Dates out of the calendar, hours out of the day and text after the last field."""
+    ev = table(spark, d, "events")
+    k = F.col("event_id")
+    pattern = Lenient("yyyy-MM-dd HH:mm:ss")
+    text = F.concat(
+        F.date_format("ts", "yyyy"), F.lit("-"), (k % 17).cast("string"), F.lit("- "), (k % 70).cast("string"), F.lit(" "), (k % 100).cast("string"),
+        F.lit(":"), (k % 200).cast("string"), F.lit(":"), F.lpad((k % 90).cast("string"), 2, "0"), F.when(k % 3 == 0, F.lit(".75 and more")).otherwise(F.lit("")),
+    )
+    return ev.select("event_id", cast_value(F.when(k % 11 != 0, text).otherwise(F.lit("")), T.TimestampNTZType(), date_format=pattern, name="ts").alias("ts"))
+
+
+def q_bulk_replaced(spark, d):
+    """All batches written again with other rows, one result file for two, the columns the other way round."""
+    src = table(spark, d, "conversations")
+    path = scratch_path(spark, "bulk-replaced")
+    bulk.write_batches(src.withColumn("role", F.concat("role", F.lit(" (old)"))), path, ["conv_id", "turn"], max_bytes=400_000, results_per_batch=2, split="exact")
+    manifest = bulk.write_batches(src, path, ["conv_id", "turn"], max_bytes=100_000, columns=src.columns[::-1], split="exact")
+    return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
+
+
+def q_bulk_states(spark, d):
+    """Every third batch is logged Failed after Completed; every sixth is Completed again."""
+    src = table(spark, d, "conversations")
+    path = scratch_path(spark, "bulk-logged")
+    manifest = bulk.write_batches(src, path, ["conv_id", "turn"], max_bytes=20_000, split="exact")
+    third = bulk.read_manifest(spark, path).where(F.col("batch_id") % 3 == 0)
+    bulk.log_batches(third.withColumn("state", F.lit("Failed")), path)
+    manifest = bulk.log_batches(third.where((F.col("batch_id") % 6 == 0) & (F.col("state") == "Completed")).dropDuplicates(["batch_id", "result"]), path)
+    return bulk.read_batches(spark, path, manifest, schema=src.schema, max_chars=-1)
+
+
+def q_bulk_header_infer(spark, d):
+    """Batches with different column orders, read by name with inferred types."""
+    src = table(spark, d, "conversations")
+    path = scratch_path(spark, "bulk-header")
+    odd = F.col("conv_id") % 2 == 1
+    bulk.write_batches(src.where(~odd), path, ["conv_id", "turn"], max_bytes=500_000)
+    manifest = bulk.write_batches(src.where(odd), path, ["conv_id", "turn"], max_bytes=500_000, columns=src.columns[::-1], first_batch=1_000_001)
+    return bulk.read_batches(spark, path, manifest, infer=True, max_chars=-1)
+
+
+def q_csv_multiline(spark, d):
+    """Documents as CSV with newlines inside quotes, each file read by byte ranges."""
+    src = table(spark, d, "documents")
+    path = scratch_path(spark, "csv-multiline")
+    src.write.options(header="true", quote='"', escape='"').csv(path)
+    return csvranges.read_multiline(spark, path, src.schema)
+
+
+def q_publish_upsert_range(spark, d):
+    """Orders in key ranges, and an upsert of about one percent of them, next to each other, with a new column."""
+    path = scratch_path(spark, "publish")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    top = o.agg(F.max("o_orderkey")).first()[0]
+    pub.publish(o, path, mode="overwrite", unique_ids=["o_orderkey"])
+    near = o.where((F.col("o_orderkey") >= top // 2) & (F.col("o_orderkey") < top // 2 + top // 100))
+    changes = near.select("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"), F.lit("changed").alias("note"))
+    fresh = near.select((F.col("o_orderkey") + top).alias("o_orderkey"), "o_custkey", F.lit("new").alias("note"))
+    pub.publish(changes.unionAll(fresh), path, upsert=True, unique_ids=["o_orderkey"])
+    return pub.read_dataset(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "group_count": q_group_count,
     "group_all": q_group_all,
@@ -735,4 +805,11 @@ QUERIES: dict[str, Query] = {
     "not_null_fields": q_not_null_fields,
     "limit_groups": q_limit_groups,
     "page_union": q_page_union,
+    "sample_replacement": q_sample_replacement,
+    "cast_timestamp_lenient": q_cast_timestamp_lenient,
+    "bulk_replaced": q_bulk_replaced,
+    "bulk_states": q_bulk_states,
+    "bulk_header_infer": q_bulk_header_infer,
+    "publish_upsert_range": q_publish_upsert_range,
+    "csv_multiline": q_csv_multiline,
 }

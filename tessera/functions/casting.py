@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.lenient import Lenient, lenient_matches, lenient_timestamp
+
 # Text shapes the JVM parsers accept.
 INT_TEXT = r"^[+-]?[0-9]+$"
 DECIMAL_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -66,6 +68,8 @@ def parses_as(v: Column | str, dtype: T.DataType, date_format: str | None = None
         # digits after its scale are rounded half up.
         return plain.rlike(DECIMAL_TEXT) & plain.try_cast(dtype).isNotNull()
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        if isinstance(date_format, Lenient):
+            return lenient_matches(v, date_format)
         if date_format:
             return F.try_to_timestamp(v, F.lit(date_format)).isNotNull()
         return v.rlike(TIMESTAMP_TEXT) & v.try_cast(T.TimestampNTZType()).isNotNull()
@@ -85,6 +89,8 @@ def convert(v: Column | str, dtype: T.DataType, date_format: str | None = None)
         # Thousands separators are dropped before the decimal is read.
         return F.regexp_replace(v, ",", "").try_cast(dtype)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        if isinstance(date_format, Lenient):
+            return lenient_timestamp(v, date_format).cast(dtype)
         if date_format:
             return F.try_to_timestamp(v, F.lit(date_format)).cast(dtype)
         return v.try_cast(dtype)
@@ -107,7 +113,7 @@ def cast_value(
     ``""`` in a nullable non-string column is null; null stays null; a text
     the JVM parser would refuse raises (``on_error="raise"``) or gives null
     (``on_error="null"``).  String columns pass through, URL-encoded when
-    ``encode`` is set.
+    ``encode`` is set.  A ``date_format`` is strict, a ``Lenient`` one rolls over.
     """
     if on_error not in ("raise", "null"):
         raise ValueError("on_error must be 'raise' or 'null'")

@@ -21,11 +21,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tessera.functions.casting import INT_TEXT, parses_as
 from tessera.functions.typenames import CANDIDATES, NUMERIC_PRECEDENCE, spark_type
-from tessera.sources.records import header_names
+from tessera.sources.records import MAX_NAMES, bounded_names, header_names
 
 _NONE = len(CANDIDATES)
 
@@ -135,18 +134,17 @@ def infer_types(
 
 
 def infer_record_types(df: DataFrame, rec: str = "rec", date_format: str | None = None,
-                       empty_as: str | None = "string") -> DataFrame:
+                       empty_as: str | None = "string", max_names: int = MAX_NAMES) -> DataFrame:
     """Header and types of string-map records in one pass:
     ``(position, column, type)`` for every key seen, keys in sorted order.
 
     The records are exploded to (key, value) and grouped by key with partial
     aggregation, so each map task sends one row per key; a key absent from
-    a record counts as blank there."""
+    a record counts as blank there.  More than ``max_names`` keys raise."""
     kv = df.select(F.explode(F.col(rec)).alias("k", "v")).select("k", *class_cols(F.col("v"), "_c", date_format))
     per_key = kv.groupBy("k").agg(*class_aggs("_c", date_format))
-    # One row per distinct key: bounded by the schema width.
-    return per_key.select(
-        (F.row_number().over(Window.orderBy("k")) - 1).cast("int").alias("position"),
+    return bounded_names(per_key, "k", max_names).select(
+        "position",
         F.col("k").alias("column"),
         type_of_classes("_c", date_format, empty_as).alias("type"),
     )

@@ -160,3 +160,24 @@ def exact_sample(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataF
     top-n)."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
     return df.orderBy(F.md5(text), *key).limit(n)
+
+
+def sample_with_replacement(df: DataFrame, n: int, key: list[str], seed: int = 42, draw_col: str = "draw") -> DataFrame:
+    """Exactly ``n`` draws with replacement (none from an empty ``df``): the drawn
+    rows, each with its draw number from 0.
+
+    Draw ``i`` takes the row at position ``h(seed, i) mod rows`` of the rows ordered
+    by ``key``, with ``h`` the first 60 bits of an md5 digest; so the sample repeats
+    and does not depend on partitioning.  The rows are ranked by range (no global
+    sort), and the ``n`` draws are joined by rank: a small sample is broadcast by
+    AQE, a large one is shuffled."""
+    if n < 0:
+        raise ValueError("n must not be negative")
+    ranked = rank_rows(df, list(key), "_tessera_rank", total_col="_tessera_rows")
+    rows = ranked.agg(F.max("_tessera_rows")).first()[0]  # one number, from the written placement
+    if not rows:
+        return df.where(F.lit(False)).withColumn(draw_col, F.lit(0).cast("long"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(draw_col).cast("string")))
+    at = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % F.lit(rows)
+    draws = df.sparkSession.range(n).withColumnRenamed("id", draw_col).withColumn("_tessera_rank", at)
+    return ranked.join(draws, "_tessera_rank").select(*df.columns, draw_col)

@@ -340,6 +340,26 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["upsert_full_outer"] = ORACLE["upsert"]
+ORACLE |= {
+    "csv_multiline": "select * from documents",
+    "sample_replacement": """with r as (select *, row_number() over (order by o_orderkey) - 1 as k, count(*) over () as n from orders),
+        d as (select i as draw, cast('0x' || substr(md5('7:' || cast(i as varchar)), 1, 15) as bigint) % (select count(*) from orders) as k
+              from range((select count(*) // 10 from orders)) t(i))
+        select r.* exclude (k, n), d.draw from d join r on d.k = r.k""",
+    "cast_timestamp_lenient": """select event_id, case when event_id % 11 = 0 then null else
+        cast(make_date(cast(year(ts) as bigint), 1, 1) as timestamp) + to_months(cast(event_id % 17 - 1 as integer)) + to_days(cast(event_id % 70 - 1 as integer))
+        + to_hours(event_id % 100) + to_minutes(event_id % 200) + to_seconds(event_id % 90) end as ts from events""",
+    "bulk_states": f"""with {_cut("conversations", ["conv_id", "turn", "role", "text"], ["conv_id", "turn"], 20000)}
+        select conv_id, turn, {_newlines('role')} as role, {_newlines('text')} as text from numbered
+        where part_number % 3 <> 0 or part_number % 6 = 0""",
+    "publish_upsert_range": """with t as (select max(o_orderkey) as top from orders),
+        n as (select o.* from orders o, t where o_orderkey >= top // 2 and o_orderkey < top // 2 + top // 100)
+        select o.o_orderkey, case when n.o_orderkey is null then o.o_custkey else o.o_custkey + 1 end as o_custkey, o.o_totalprice, o.o_orderstatus,
+               case when n.o_orderkey is not null then 'changed' end as note
+        from orders o left join n on o.o_orderkey = n.o_orderkey
+        union all select o_orderkey + top, o_custkey, null, null, 'new' from n, t""",
+}
+ORACLE["bulk_replaced"], ORACLE["bulk_header_infer"] = ORACLE["bulk_newlines"], ORACLE["bulk_infer"]
 ORACLE["bulk_read_range"] = ORACLE["bulk_read"]
 ORACLE["stream_batches"] = ORACLE["bulk_column_order"] = ORACLE["bulk_read"]
 

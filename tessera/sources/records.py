@@ -34,8 +34,24 @@ def to_records(df: DataFrame, columns: list[str] | None = None, rec: str = "rec"
     return df.select(*[F.col(k) for k in (keep or [])], m.alias(rec))
 
 
-def discover_header(df: DataFrame, rec: str = "rec", mode: str = "union") -> DataFrame:
-    """Field names of the records as rows ``(position, name)``.
+# Most distinct field names of a header.
+MAX_NAMES = 100_000
+
+
+def bounded_names(keys: DataFrame, name: str, max_names: int = MAX_NAMES) -> DataFrame:
+    """``keys`` with the 0-based ``position`` of each by name.
+
+    Names that are data (ids as keys) would make the header as long as the table:
+    one name more than ``max_names`` raises, and no more than that reach the task
+    that sorts them."""
+    many = F.raise_error(F.lit(f"more than {max_names} distinct field names: keys that are data make no header"))
+    row = F.row_number().over(Window.orderBy(name)) - 1
+    return keys.limit(max_names + 1).withColumn("position", F.when(row >= max_names, many.cast("int")).otherwise(row).cast("int"))
+
+
+def discover_header(df: DataFrame, rec: str = "rec", mode: str = "union", max_names: int = MAX_NAMES) -> DataFrame:
+    """Field names of the records as rows ``(position, name)``; more than
+    ``max_names`` raise.
 
     ``union``: every key seen in any record, sorted (a distinct aggregate with
     map-side combine).  ``widest``: the key set of the record with the most
@@ -44,21 +60,22 @@ def discover_header(df: DataFrame, rec: str = "rec", mode: str = "union") -> Dat
     """
     if mode == "union":
         keys = df.select(F.explode(F.map_keys(F.col(rec))).alias("name")).distinct()
-        # The header is bounded by the schema width, so one small sort is fine.
-        return keys.select((F.row_number().over(Window.orderBy("name")) - 1).cast("int").alias("position"), "name")
+        return bounded_names(keys, "name", max_names).select("position", "name")
     if mode == "widest":
         # The largest (key count, sorted keys) pair: one key sort per record.
         pair = F.struct(F.size(F.col(rec)).alias("n"), F.array_sort(F.map_keys(F.col(rec))).alias("k"))
         best = df.agg(F.max(pair).alias("best")).select(F.col("best.k").alias("k"))
+        many = F.raise_error(F.lit(f"more than {max_names} field names in one record"))
+        best = best.select(F.when(F.size("k") > max_names, many.cast("array<string>")).otherwise(F.col("k")).alias("k"))
         return best.select(F.posexplode("k").alias("position", "name")).select(
             F.col("position").cast("int"), "name"
         )
     raise ValueError("mode must be 'union' or 'widest'")
 
 
-def header_names(df: DataFrame, rec: str = "rec", mode: str = "union") -> list[str]:
-    """The discovered header on the driver (bounded by the schema width)."""
-    rows = discover_header(df, rec, mode).orderBy("position").collect()
+def header_names(df: DataFrame, rec: str = "rec", mode: str = "union", max_names: int = MAX_NAMES) -> list[str]:
+    """The discovered header on the driver (``max_names`` at most)."""
+    rows = discover_header(df, rec, mode, max_names).orderBy("position").collect()
     return [r["name"] for r in rows]
 
 
