@@ -713,6 +713,13 @@ def q_bulk_header_infer(spark, d):
     return bulk.read_batches(spark, path, manifest, infer=True, max_chars=-1)
 
 
+def q_key_ranges(spark, d):
+    """Each chunk of the orders read by its own key range, one after the other."""
+    o = table(spark, d, "orders")
+    chunks = [r.of(o, "o_orderkey").select(F.lit(r.rows <= 2000).alias("fits"), "o_orderkey", "o_custkey") for r in paging.key_ranges(o, "o_orderkey", 2000)]
+    return paging.concat_pages(chunks)
+
+
 def q_csv_multiline(spark, d):
     """Documents as CSV with newlines inside quotes, each file read by byte ranges."""
     src = table(spark, d, "documents")
@@ -812,4 +819,5 @@ QUERIES: dict[str, Query] = {
     "bulk_header_infer": q_bulk_header_infer,
     "publish_upsert_range": q_publish_upsert_range,
     "csv_multiline": q_csv_multiline,
+    "key_ranges": q_key_ranges,
 }

@@ -19,6 +19,8 @@ Rank plan (one range shuffle, no global window over the rows):
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,6 +156,91 @@ def chunk_bounds(chunked: DataFrame, key: str, chunk_col: str = "chunk_id") -> D
     )
 
 
+# Fixed value: most values a quantile sketch keeps per level; its rank error is then about 0.1 %.
+SKETCH_SIZE = 4000
+
+
+@dataclass(frozen=True)
+class KeyRange:
+    """The rows with ``low <= key`` (all, where ``low`` is None) and ``key < high`` (all, where it is None)."""
+
+    chunk_id: int
+    low: int | float | None
+    high: int | float | None
+    rows: int
+
+    def of(self, df: DataFrame, key: str) -> DataFrame:
+        """This chunk of ``df``: plain comparisons, which reach the file reader and
+        skip row groups by their statistics.  Null keys are in the first chunk."""
+        k, out = F.col(key), None
+        for cond in ([k >= F.lit(self.low)] if self.low is not None else []) + ([k < F.lit(self.high)] if self.high is not None else []):
+            out = cond if out is None else out & cond
+        if out is None:
+            return df
+        return df.where(out if self.low is not None else k.isNull() | out)
+
+
+def _sketched(df: DataFrame, key: str, pieces: int) -> list:
+    """``pieces - 1`` ascending key values that cut the rows into about equal parts: one mergeable sketch."""
+    ranks = F.array(*[F.lit((i + 1) / pieces) for i in range(pieces - 1)])
+    whole = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if whole:
+        got = df.agg(F.kll_sketch_agg_bigint(F.col(key).cast("long"), F.lit(SKETCH_SIZE)).alias("s")).select(F.kll_sketch_get_quantile_bigint("s", ranks).alias("q"))
+    else:
+        got = df.agg(F.kll_sketch_agg_double(F.col(key).cast("double"), F.lit(SKETCH_SIZE)).alias("s")).select(F.kll_sketch_get_quantile_double("s", ranks).alias("q"))
+    return sorted(set(got.first()["q"]))
+
+
+def _cuts_below(cuts: list, key: Column) -> Column:
+    """How many of the ascending ``cuts`` are at or below the key (0 for null): a binary search per row."""
+    bounds = F.array(*[F.lit(q) for q in cuts])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+    return F.reduce(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at))
+
+
+def key_ranges(df: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE) -> list[KeyRange]:
+    """Ranges of a numeric key that cut ``df`` into chunks of at most ``chunk_size``
+    rows each, without ranking or moving rows.
+
+    One pass over the key column builds a quantile sketch (partial sketches merge), one
+    counts the rows between its cuts exactly (a row a cut and task is shuffled); only
+    chunks that came out too large are sketched and cut again.  A single key value with
+    more rows than ``chunk_size`` is a chunk of its own.  Each chunk can then be read
+    alone by pushed-down comparisons (``KeyRange.of``).  The driver holds one row per
+    chunk."""
+    if not 0 < chunk_size <= MAX_CHUNK_SIZE:
+        raise ValueError(f"chunk_size must be in 1..{MAX_CHUNK_SIZE}")
+    keys = df.select(key)
+    total = keys.count()
+    todo, done = [KeyRange(0, None, None, total)] if total else [], []
+    while todo:
+        piece = todo.pop()
+        if piece.rows <= chunk_size:
+            done.append(piece)
+            continue
+        rows = piece.of(keys, key)
+        values = rows.where(F.col(key).isNotNull())
+        # A little more pieces than needed, so that the sketch's error rarely makes one too large.
+        want = min(10_000, -(-piece.rows * 51 // (50 * chunk_size)) + 1)
+        cuts = [q for q in _sketched(values, key, want) if (piece.low is None or q > piece.low) and (piece.high is None or q < piece.high)] if not values.isEmpty() else []
+        if not cuts:  # all rows have one key value, or lie at the range's ends
+            ends = values.agg(F.min(key), F.max(key)).first()
+            if ends[0] is None or ends[0] == ends[1]:
+                done.append(piece)
+                continue
+            cuts = [ends[1]]
+        counts = {r["at"]: r["n"] for r in rows.groupBy(_cuts_below(cuts, F.col(key)).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        edges = [piece.low, *cuts, piece.high]
+        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            part = KeyRange(0, a, b, counts.get(i, 0))  # an empty one stays: the ranges cover all keys
+            if part.rows == piece.rows:  # no progress: one value holds the chunk
+                done.append(part)
+            else:
+                todo.append(part)
+    done.sort(key=lambda r: (r.low is not None, r.low if r.low is not None else 0))
+    return [KeyRange(i, r.low, r.high, r.rows) for i, r in enumerate(done)]
+
+
 def exact_sample(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
     """A repeatable sample of exactly ``min(n, rows)`` rows without replacement:
     the ``n`` smallest md5 digests of the seed and the key's text (a bounded

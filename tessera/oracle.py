@@ -341,6 +341,7 @@ ORACLE: dict[str, str] = {
 
 ORACLE["upsert_full_outer"] = ORACLE["upsert"]
 ORACLE |= {
+    "key_ranges": "select true as fits, o_orderkey, o_custkey from orders",
     "csv_multiline": "select * from documents",
     "sample_replacement": """with r as (select *, row_number() over (order by o_orderkey) - 1 as k, count(*) over () as n from orders),
         d as (select i as draw, cast('0x' || substr(md5('7:' || cast(i as varchar)), 1, 15) as bigint) % (select count(*) from orders) as k

@@ -2,7 +2,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tests.conftest import SF
-from tessera.operators.paging import assign_pages, chunk_bounds, exact_sample, pk_chunks, place_in_ranges, rank_rows
+from tessera.session import scratch_path
+from tessera.operators.paging import assign_pages, chunk_bounds, exact_sample, key_ranges, pk_chunks, place_in_ranges, rank_rows
 
 
 def test_rank_equals_row_number(spark):
@@ -69,3 +70,45 @@ def test_rank_without_exchange_reuse(spark):
         assert whole(rank_rows(df, ["k"], "r", ranges=8), 200_000)
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def check_ranges(df, key, size):
+    ranges = key_ranges(df, key, size)
+    assert [r.chunk_id for r in ranges] == list(range(len(ranges)))
+    if ranges:
+        assert ranges[0].low is None and ranges[-1].high is None
+        assert all(a.high == b.low for a, b in zip(ranges, ranges[1:], strict=False))
+    assert sum(r.rows for r in ranges) == df.count()
+    assert all(r.of(df, key).count() == r.rows for r in ranges)
+    return ranges
+
+
+def test_key_ranges_cover_each_row_once(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    ranges = check_ranges(o, "o_orderkey", 1000)
+    assert max(r.rows for r in ranges) <= 1000 and len(ranges) <= 20
+    hot = spark.range(3000).select(F.lit(7).alias("k")).unionAll(spark.range(900).select((F.col("id") % 300).cast("int").alias("k"))).unionAll(spark.range(40).select(F.lit(None).cast("int").alias("k")))
+    ranges = check_ranges(hot, "k", 100)
+    assert [r.rows for r in ranges if r.rows > 100] == [3003]  # one value cannot be cut
+    assert check_ranges(hot.where("k is null"), "k", 100)[0].rows == 40 and check_ranges(hot.where("false"), "k", 100) == []
+    doubles = spark.range(2000).select((F.col("id") % 500 / 7).alias("x"))
+    assert max(r.rows for r in check_ranges(doubles, "x", 150)) <= 150
+    assert len(check_ranges(spark.range(5000).select((F.col("id") * F.col("id") * 1000).alias("k")), "k", 300)) <= 25
+
+
+def test_a_key_range_reads_few_row_groups(spark):
+    """The range reaches the Parquet reader, which skips row groups by their bounds."""
+    path = scratch_path(spark, "ranges")
+    spark.range(200_000).repartitionByRange(1, "id").sortWithinPartitions("id").write.option("parquet.block.size", "65536").parquet(path)
+    df = spark.read.parquet(path)
+    r = key_ranges(df, "id", 10_000)[5]
+    part = r.of(df, "id")
+    text = part._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id" in text and "LessThan(id" in text
+    plan = part._jdf.queryExecution().executedPlan()
+    assert part.agg(F.count("*")).first()[0] == r.rows
+    scan = part.select("id")
+    rows = scan._jdf.queryExecution().executedPlan()
+    scan._jdf.queryExecution().toRdd().count()
+    metrics = rows.collectLeaves().apply(0).metrics()
+    assert metrics.apply("numOutputRows").value() < 100_000 and plan is not None
