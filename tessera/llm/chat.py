@@ -11,8 +11,11 @@ one preallocated Arrow buffer.  The loss mask is the byte range of each assistan
 text.
 
 Scale: one shuffle by conversation; a task streams its sorted turns in blocks, so
-a conversation of any length is never held whole: it comes out as consecutive
-chunks of whole turns.
+a conversation of any length is never held whole: it comes out as numbered chunks of
+whole turns.  Chunks can be stored and read in any order and number of tasks; the way
+back shuffles them by conversation and sorts them by number.  A conversation's turns
+pass through one task each way, since chunk numbers and digests follow their order; it
+streams them.
 
 Defined cases: null text, role: empty.  Turns with one number are ordered by role,
 then text; null turns come first; repeated rows are turns of their own.  Rows
@@ -64,7 +67,7 @@ def assemble(columns: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
-FORMAT_SCHEMA = "conv_id long, n_turns long, formatted string, mask_starts array<long>, mask_lengths array<long>"
+FORMAT_SCHEMA = "conv_id long, chunk long, first_turn long, n_turns long, formatted string, mask_starts array<long>, mask_lengths array<long>"
 
 
 def format_conversations(
@@ -72,13 +75,14 @@ def format_conversations(
 ) -> DataFrame:
     """Chunks of formatted conversations, each chunk's whole turns in order.
 
-    The chunks of a conversation are consecutive rows of one partition.  The
-    mask is in bytes of ``formatted`` and covers the texts of role ``learn``.
+    ``chunk`` numbers the chunks of a conversation from 0, ``first_turn`` is the
+    number of turns before a chunk.  The mask is in bytes of ``formatted`` and covers the texts of role ``learn``.
     """
     rows = turns.select(c(conv).cast("long").alias("conv"), c(turn).alias("turn"), F.coalesce(c(role), F.lit("")).alias("role"), F.coalesce(c(text), F.lit("")).alias("text"))
     ordered = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple | None = None  # the conversation of the last chunk, the chunk's number, the turns up to its end
         for batch in blocks(batches, "text"):
             roles, n = batch.column("role"), batch.num_rows
             cells = [pa.array([OPEN] * n), escape(roles, ROLE_ESCAPES), pa.array([MIDDLE] * n), escape(batch.column("text")), pa.array([END] * n)]
@@ -93,8 +97,13 @@ def format_conversations(
             chunk = np.searchsorted(first, learned, side="right") - 1
             at = pa.array(np.searchsorted(learned, bounds), pa.int32())
             a, b = offsets[5 * learned + 3], offsets[5 * learned + 4]
+            turns_of, names = np.diff(bounds), who.take(pa.array(first))
+            chunks, before = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+            if now is not None and now[0] == names[0].as_py():
+                chunks[0], before[0] = now[1] + 1, now[2]
+            now = (names[-1].as_py(), int(chunks[-1]), int(before[-1] + turns_of[-1]))
             yield pa.RecordBatch.from_arrays([
-                who.take(pa.array(first)), pa.array(np.diff(bounds), pa.int64()),
+                names, pa.array(chunks), pa.array(before), pa.array(turns_of, pa.int64()),
                 pa.StringArray.from_buffers(len(first), pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(out)),
                 pa.ListArray.from_arrays(at, pa.array(a - starts[chunk], pa.int64())), pa.ListArray.from_arrays(at, pa.array(b - a, pa.int64())),
             ], names=[x.split()[0] for x in FORMAT_SCHEMA.split(", ")])
@@ -115,7 +124,8 @@ DIGEST_SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars lon
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Per conversation, from the formatted chunks alone: counts and digests of turns and loss texts."""
+    """Per conversation, from the formatted chunks alone, in whatever order they are read: counts and digests of turns and loss texts."""
+    ordered = formatted.select("conv_id", "chunk", "formatted", "mask_starts", "mask_lengths").repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in DIGEST_SCHEMA.split(", ")]
@@ -145,4 +155,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if state is not None:
             yield pa.RecordBatch.from_pylist([dict(zip(names, done(state), strict=True))])
 
-    return formatted.mapInArrow(run, DIGEST_SCHEMA)
+    return ordered.mapInArrow(run, DIGEST_SCHEMA)

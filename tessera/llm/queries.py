@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import chat, decontaminate, hard_negatives, html_extract, licenses, line_dedup, mixing, packing, phrase_dedup, quality_rules, simhash, simple8b, trie
-from tessera.llm.common import c, scratch_path, ship_code
+from tessera.llm.common import c, scratch_path, ship_code, written
 from tessera.llm.tokens import default_tokenizer
 
 #: Fixed value: the id that ends each document.
@@ -64,7 +64,7 @@ MARKED_TEXT = "\\### Assistant: </turn> ok"
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marked = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED_TEXT).alias("text"))
-    return chat.read_back(chat.format_conversations(turns.unionByName(marked)))
+    return chat.read_back(written(chat.format_conversations(turns.unionByName(marked)), "chat"))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

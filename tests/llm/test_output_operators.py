@@ -154,6 +154,20 @@ def test_chat_format(spark):
     assert chat.read_back(chat.format_conversations(spark.createDataFrame([], TURNS))).count() == 0
 
 
+def test_stored_chunks_are_read_in_any_order(spark):
+    rows = [(1, k, "assistant" if k % 2 else "user", f"turn {k}\n") for k in range(30_000)] + [(2, 0, "user", "x"), (None, 0, "user", "y"), (3, 0, "assistant", "é" * 3_000_000), (3, 1, "user", "z" * 5_000_000), (3, 2, "assistant", "end")]
+    path = scratch_path(spark, "chat-stored")
+    chat.format_conversations(spark.createDataFrame(rows, TURNS)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    long = sorted(map(tuple, stored.where("conv_id = 1").select("chunk", "first_turn", "n_turns").collect()))
+    assert len(long) >= 3 and [x[0] for x in long] == list(range(len(long)))
+    assert [x[1] for x in long] == [sum(y[2] for y in long[:k]) for k in range(len(long))]
+    got = {r["conv_id"]: r for r in chat.read_back(stored.repartition(7, F.rand(3))).collect()}
+    assert len(got) == 4 and got[1]["n_turns"] == 30_000
+    assert got[1]["turns_sha256"] == H.sha("".join(f"{r}\n{t}\n" for i, _, r, t in rows if i == 1))
+    assert got[3]["loss_sha256"] == H.sha("é" * 3_000_000 + "end") and got[3]["n_turns"] == 3
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.sampled_from(list("#\\ht c:</turn>\n")), max_size=20), min_size=1, max_size=4))
 def test_chat_escapes_are_reversible(texts):
