@@ -7,9 +7,11 @@ score well, or read like prose, are kept, whatever their tag, with headings and
 short paragraphs.  When sections, articles or large divs beside one of its
 ancestors carry on the article, that ancestor's siblings are kept likewise.  Elements that are never article text
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments) are left out before, lists of nothing but links after.  A name alone
-leaves out no ``main``, no ``article`` named as one, and no element that holds most of the page's prose
-and has a word of an article's container, or that holds all there is.
+comments) are left out before, lists of nothing but short links after.  Names count
+by their parts, written apart or together.  A name alone leaves out no ``main``, and no
+element that holds most of the page's prose and is an ``article`` or has another name
+of an article's container, nor one that holds all there is.  A button inside a
+sentence is text.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one line feed in page order; empty blocks
@@ -29,17 +31,17 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.llm.common import c
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[A-Za-z](?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*\Z",
-    re.S,
-)
-ATTRIBUTE = re.compile(r"([A-Za-z][\w-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: What may stand in a tag after its name: a quote opens a value only after "=".
+_REST = r"(?>[^>=]+|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)?)*+"
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)({_REST})>|</?[A-Za-z]{_REST}\Z", re.S)
+ATTRIBUTE = re.compile(r"([A-Za-z][\w-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 RAW = frozenset("script style title textarea iframe noscript noembed noframes xmp template".split())
@@ -54,39 +56,46 @@ LEFT_OUT = frozenset(
     " menu svg math canvas object embed applet audio video map input label fieldset".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form status".split())
-#: Words of class and id names that mark such an element,
-ALWAYS = frozenset(
-    "ad ads advert advertisement adverts advertising adsense banner breadcrumb breadcrumbs comment comments disqus respond cookie cookies consent gdpr"
-    " login modal newsletter notice pager pagination paywall popup promo promotion recommended related share sharing signup skip social sponsor sponsored"
-    " subscribe subscription toolbar".split()
+#: Parts of class and id names, written apart or together, that mark such an element: adverts, notices, comments and the like,
+ALWAYS = re.compile(
+    r"ads?|ad(box|slot|unit|block|space|sense)s?|advert\w*|banners?|breadcrumbs?|(user)?comments?(list|form|box|area|section|thread|body|wrap|wrapper|count)?|disqus\w*"
+    r"|respond|responses?|repl(y|ies)|discussions?|cookies?(bar|box|notice|banner|consent)?|consent|gdpr|login|modal|newsletter\w*|notices?|alerts?|pager|pagination|paywall"
+    r"|popups?|promos?|promot(ion|ions|ed)|promobox|recommend\w*|related(posts|links|articles|stories|content)?|share(d|bar|links|buttons|box|icons)?|sharing|signup|skip"
+    r"|social(bar|links|icons|media|share)?|sponsor(s|ed|ship|box)?|subscri(be|ption|bers?)\w*|toolbars?"
+)
+#: and parts of the page's frame.
+FRAME = re.compile(
+    r"(left|right|main|top|bottom|sub|site|page|global|primary|secondary)?(footer|header|sidebar|navbar|nav|navigation|menu)s?|mastheads?|side(bar|nav|col|column)?\w*|aside"
+    r"|widgets?(area|box|wrap)?|topbar|foot(er)?(links|nav|bar|wrap|menu|er)|nav(bar|igation|links|menu|list)\w*"
 )
-#: and words that do, unless the name also has a word of an article's container.
-USUALLY = frozenset("footer header masthead menu nav navbar navigation sidebar side aside widget widgets topbar".split())
-CONTAINER = frozenset("article body col column container content entry has layout main page post story text with wrapper wrap".split())
+CONTAINER = frozenset("article body col column container content entry layout main page post story text wrapper wrap".split())
+#: Parts that say something about the page, not what the element is ("no-sidebar", "ad-free", "category-social"),
+ABOUT = frozenset("no not has have with without free category cat tag type format topic".split())
+#: and parts with which a header is an article's own.
+OF_ARTICLE = frozenset("article entry post story content".split())
 #: Share of link text beyond which a list holds nothing but links; references have authors and years beside theirs.
 LINK_LIST = 0.9
+#: Average text of a link in a list of sources, at least; menus and related stories are shorter, and are no numbered lists.
+SOURCE_TEXT = 30
 PARAGRAPHS = frozenset("p pre td blockquote li dd figcaption h1 h2 h3 h4 h5 h6".split())
-#: Start tags that end an open element of the second list, up to an element of the third.
+#: Start tags that end open elements, if nothing but divs, paragraphs and inline elements lie between.
 _ENDS = {
-    "li": (("li",), ("ul", "ol", "menu", "dir")),
-    "dt": (("dt", "dd"), ("dl",)),
-    "dd": (("dt", "dd"), ("dl",)),
-    "tr": (("tr", "td", "th"), ("table",)),
-    "td": (("td", "th"), ("table", "tr")),
-    "th": (("td", "th"), ("table", "tr")),
-    "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
-    "tfoot": (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
-    "option": (("option",), ("select", "datalist")),
-}
+    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
+    "tbody": ("thead", "tbody", "tfoot", "tr", "td", "th"), "tfoot": ("thead", "tbody", "tfoot", "tr", "td", "th"), "option": ("option",),
+}
 
 
 class Node:
-    __slots__ = ("commas", "drop", "items", "length", "link", "named", "parent", "score", "tag")
+    __slots__ = ("block", "commas", "drop", "inner", "items", "length", "link", "links", "named", "parent", "score", "special", "tag")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool = False, named: str = ""):
         self.tag, self.parent, self.drop, self.named = tag, parent, drop, named
         self.items: list[Node | str] = []
-        self.score, self.length, self.link, self.commas = 0.0, 0, 0, 0
+        self.score, self.length, self.link, self.commas, self.links = 0.0, 0, 0, 0, 0
+        # The block around (or this one) with its open inline elements, and the nearest element that ends implied ends.
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.inner: dict[str, int] = {}
+        self.special = self if parent is None or tag == "option" or (tag in BLOCK and tag not in ("address", "div", "p")) else parent.special
 
 
 def _dropped(tag: str, attributes: str) -> tuple[bool, str]:
@@ -95,21 +104,35 @@ def _dropped(tag: str, attributes: str) -> tuple[bool, str]:
         return True, ""
     if not attributes or tag in ("body", "html"):
         return False, ""
-    named, container = False, False
+    named, container = False, tag == "article"
     for name, *values in ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "")
         name = name.lower()
         if name in ("class", "id"):
-            words = {w.lower() for w in WORD.findall(value)}
-            named |= bool(words & ALWAYS or (words & USUALLY and not words & CONTAINER))
-            container |= bool(words & CONTAINER)
+            for token in value.split():
+                bad, around = _name(token, tag)
+                named, container = named or bad, container or around
         elif name == "role" and value.lower() in ROLES:
             return True, ""
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True, ""
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True, ""
-    return False, "" if not named or tag == "main" or (tag == "article" and container) else "container" if container or tag == "article" else "other"
+    return False, "" if not named or tag == "main" else "container" if container else "other"
+
+
+@lru_cache(maxsize=50_000)
+def _name(token: str, tag: str) -> tuple[bool, bool]:
+    """Whether one class or id marks an element that is left out, and whether it names an article's container."""
+    parts = [w.lower() for w in WORD.findall(token)]
+    if not parts or ABOUT.intersection(parts):
+        return False, bool(CONTAINER.intersection(parts))
+    bad = [p for p in parts if ALWAYS.fullmatch(p) or FRAME.fullmatch(p)]
+    if bad in (["header"], ["headers"]) and OF_ARTICLE.intersection(parts):
+        bad = []  # an article's own header
+    if tag == "section" and bad in (["discussion"], ["discussions"]):
+        bad = []  # a section of a paper
+    return bool(bad), not bad and bool(CONTAINER.intersection(parts))
 
 
 def _prose_lengths(root: Node) -> dict[int, int]:
@@ -122,6 +145,16 @@ def _prose_lengths(root: Node) -> dict[int, int]:
     return out
 
 
+def _keep_buttons(root: Node) -> None:
+    """A button inside a sentence is a word of it."""
+    for node, ending in _walk(root):
+        if not ending:
+            for x in node.items:
+                if isinstance(x, Node) and x.tag == "button" and x.drop:
+                    text = sum(len(y.strip()) for y in node.items if isinstance(y, str))
+                    x.drop = node.block.tag not in PARAGRAPHS or text < 25 or any(isinstance(y, Node) for y in x.items)
+
+
 def drop_named(root: Node) -> None:
     """Leave out the elements that their names mark, but not those that hold most of the page's prose.
 
@@ -148,6 +181,18 @@ def drop_named(root: Node) -> None:
 def parse(page: str) -> Node:
     root = Node("html", None)
     now, at, size = root, 0, len(page)
+    blocks_open: dict[str, int] = {}  # open block elements by tag
+
+    def close(node: Node) -> Node:
+        """End ``node`` and all that is open in it; returns what is around."""
+        x = now
+        while True:
+            held = blocks_open if x.block is x else x.block.inner
+            held[x.tag] -= 1
+            if x is node:
+                return node.parent
+            x = x.parent
+
     while at < size:
         m = TOKEN.search(page, at)
         if m is None:
@@ -160,13 +205,12 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            node = now
-            inline = tag not in BLOCK
-            while node is not None and node.tag != tag:
-                # The end of an inline element does not end the blocks around.
-                node = None if inline and node.tag in BLOCK else node.parent
-            if node is not None and node.parent is not None:
-                now = node.parent
+            # The end of an inline element does not end the blocks around.
+            if (blocks_open if tag in BLOCK else now.block.inner).get(tag, 0):
+                node = now
+                while node.tag != tag:
+                    node = node.parent
+                now = close(node)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
@@ -175,32 +219,31 @@ def parse(page: str) -> Node:
         if tag in ("html", "body"):
             continue
         if tag in _ENDS:
-            ends, stops = _ENDS[tag]
-            node, last = now, None
-            while node is not None and node.tag not in stops:
-                if node.tag in ends:
-                    last = node
-                node = node.parent
+            node, last = now.special, None
+            while node.parent is not None and node.tag in _ENDS[tag]:
+                node, last = node.parent.special, node
             if last is not None:
-                now = last.parent
+                now = close(last)
         elif tag in BLOCK:
-            node = now
-            while node is not None and node.tag not in BLOCK:
-                node = node.parent
-            if node is not None and node.tag == "p":
-                now = node.parent
-            elif node is not None and re.fullmatch("h[1-6]", node.tag) and re.fullmatch("h[1-6]", tag):
-                now = node.parent
+            node = now.block
+            if node.tag == "p" or (_HEADING.fullmatch(node.tag) and _HEADING.fullmatch(tag)):
+                now = close(node)
         child = Node(tag, now, *_dropped(tag, m[3]))
         now.items.append(child)
-        if tag not in VOID and not m[3].endswith("/"):
+        if tag not in VOID:  # a slash ends no HTML element, but drawings' ones
+            if m[3].endswith("/") and tag in ("svg", "math"):
+                continue
             now = child
-        elif tag not in VOID and tag not in ("svg", "math"):
-            now = child  # a slash ends no HTML element
+            held = blocks_open if child.block is child else child.block.inner
+            held[tag] = held.get(tag, 0) + 1
+    _keep_buttons(root)
     drop_named(root)
     return root
 
 
+_HEADING = re.compile("h[1-6]")
+
+
 def _walk(root: Node) -> Iterator[tuple[Node, bool]]:
     """(node, whether it ends here) of all nodes that are not left out, in page order."""
     stack: list[tuple[Node, bool]] = [(root, False)]
@@ -234,6 +277,7 @@ def score(root: Node) -> list[Node]:
             if isinstance(x, Node) and not x.drop:
                 node.length += x.length
                 node.link += x.link
+                node.links += x.links
                 node.commas += x.commas
                 if x.tag not in BLOCK:
                     inline += own[id(x)][0]
@@ -241,7 +285,7 @@ def score(root: Node) -> list[Node]:
         node.length += length
         node.commas += commas
         if node.tag == "a":
-            node.link = node.length
+            node.link, node.links = node.length, 1
         own[id(node)] = (inline, inline_commas)
         if node.tag not in BLOCK and node.parent is not None:
             continue
@@ -305,7 +349,10 @@ def _like(x: Node | str, branch: Node) -> bool:
 
 
 def _link_list(node: Node) -> bool:
-    return node.tag in ("ul", "ol", "dl", "table", "div", "section") and node.length > 0 and _density(node) > LINK_LIST
+    """A menu or a list of other pages: short links and nothing beside them.  Sources have long texts or numbers, and one link is no list."""
+    if node.tag not in ("ul", "ol", "dl", "table", "div", "section") or not node.length or _density(node) <= LINK_LIST:
+        return False
+    return node.links > 1 and node.tag != "ol" and node.length < SOURCE_TEXT * node.links or (node.links == 1 and node.length < SOURCE_TEXT)
 
 
 def blocks_of(nodes: list[Node]) -> list[str]:
