@@ -11,8 +11,8 @@ their places (proximity).
 
 Scale: the index is partitioned by document, so no posting is shuffled and a
 word that all texts hold is no hot key.  The query set travels in blocks of
-``QUERY_BYTES``, each a job over the index, so its size has no bound on the
-driver or in a task but that.  Only the matches of the documents with hits are
+``QUERY_BYTES``, each a job over the index whose matches are written before the
+next block is taken, so the driver and a task hold one block.  Only the matches of the documents with hits are
 grouped.
 
 Defined cases: null and empty texts have no words and no hits.  Null ids are
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import c, fresh, written
+from tessera.llm.common import c, fresh, scratch_path, written
 from tessera.llm.words import ALNUM, blocks, ranges, split_words
 
 WINDOW = 13
@@ -181,14 +181,27 @@ def find(index: DataFrame, q: Queries, slop: int = 0) -> DataFrame:
 
 
 def search(index: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text: str = "text", window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """Exact phrase matches (``slop`` 0) or proximity matches of all benchmark windows."""
-    parts = [find(index, q, slop) for q in query_blocks(benchmark, id_col, text, window)]
-    if not parts:
-        return index.sparkSession.createDataFrame([], MATCH_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
+    """Exact phrase matches (``slop`` 0) or proximity matches of all benchmark windows.
+
+    Each block of queries is one job over the index; with more than one block its
+    matches are written before the next block is taken, so the driver and a task
+    hold one block of ``QUERY_BYTES`` at any size of the benchmark."""
+    spark, paths, held = index.sparkSession, [], None
+
+    def put(q: Queries) -> None:
+        paths.append(scratch_path(spark, "matches"))
+        find(index, q, slop).write.parquet(paths[-1])
+
+    for q in query_blocks(benchmark, id_col, text, window):
+        if held is not None:
+            put(held)
+        held = q
+    if held is None:
+        return spark.createDataFrame([], MATCH_SCHEMA)
+    if not paths:
+        return find(index, held, slop)
+    put(held)
+    return spark.read.schema(MATCH_SCHEMA).parquet(*paths)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", share: int = 20) -> DataFrame:

@@ -123,6 +123,30 @@ def test_query_blocks_give_the_same_matches(spark, monkeypatch):
     assert rows_of(decontaminate.contamination(docs, bench), "doc_id", "n_hit", "items") == whole
 
 
+def test_one_query_block_is_held_at_a_time(spark, monkeypatch):
+    import gc
+    import weakref
+
+    docs = H.frame(spark, [(1, "one two three", None, None, 0), (2, "alpha beta", None, None, 0)]).coalesce(1)
+    items = [(k, f"word{k} other{k}" if k % 2 else "two three") for k in range(60)]
+    monkeypatch.setattr(decontaminate, "QUERY_BYTES", 1)
+    alive, most, seen, make = [], 0, 0, decontaminate.Queries
+
+    def counted(*a):
+        nonlocal most, seen
+        gc.collect()
+        q = make(*a)
+        alive.append(weakref.ref(q))
+        seen += 1
+        most = max(most, sum(x() is not None for x in alive))
+        return q
+
+    monkeypatch.setattr(decontaminate, "Queries", counted)
+    out = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert seen == 60 and most <= 3  # the block in use, the one before and the next
+    assert {r["doc_id"]: len(r["items"]) for r in out} == {1: 30, 2: 0}
+
+
 def test_proximity_matches(spark):
     docs = H.frame(spark, [(1, "red big fox jumps", None, None, 0), (2, "red fox jumps", None, None, 0), (3, "red a b c fox jumps", None, None, 0), (4, "fox jumps", None, None, 0)])
     index = decontaminate.build_index(docs)
