@@ -21,6 +21,7 @@ from tessera.functions.encode import csv_lines
 from tessera.functions.lenient import Lenient
 from tessera.operators import jobs, objects, paging, parts, profile, query
 from tessera.operators.infer import infer_types, merge_types
+from tessera.operators.infer_files import infer_added_files
 from tessera.operators.naming import resolve_dataset_names
 from tessera.plans import publish as pub
 from tessera.plans.read import read_records
@@ -720,6 +721,26 @@ def q_key_ranges(spark, d):
     return paging.concat_pages(chunks)
 
 
+def q_job_states(spark, d):
+    """Order lines as the log of their order's job: the last one wins, old pending jobs have timed out."""
+    li = table(spark, d, "lineitem")
+    flag = F.col("l_returnflag")
+    status = F.when(flag == "R", F.lit("Failed")).when(flag == "A", F.lit("InProgress")).when(F.col("l_linestatus") == "O", F.lit("Queued")).otherwise(F.lit("Completed"))
+    log = li.select(F.col("l_orderkey").alias("job_id"), status.alias("status"), F.col("l_shipdate").alias("at"), F.col("l_linenumber").alias("line"))
+    return jobs.job_states(log, F.lit("1999-01-01 00:00:00"), "90 days", order_by=["line"])
+
+
+def q_infer_incremental(spark, d):
+    """Types of the orders' CSV files, kept up while files are added: in three steps of about a third each."""
+    o = table(spark, d, "orders")
+    path, states = scratch_path(spark, "infer-files"), scratch_path(spark, "infer-states")
+    cols = [F.col(c).cast("string").alias(c) for c in o.columns]
+    for k in range(3):
+        o.where(F.col("o_orderkey") % 3 == k).select(*cols).write.mode("append").option("header", "true").csv(path)
+        out, _ = infer_added_files(spark, path, states, o.columns, header="true")
+    return out
+
+
 def q_csv_multiline(spark, d):
     """Documents as CSV with newlines inside quotes, each file read by byte ranges."""
     src = table(spark, d, "documents")
@@ -820,4 +841,6 @@ QUERIES: dict[str, Query] = {
     "publish_upsert_range": q_publish_upsert_range,
     "csv_multiline": q_csv_multiline,
     "key_ranges": q_key_ranges,
+    "job_states": q_job_states,
+    "infer_incremental": q_infer_incremental,
 }

@@ -85,6 +85,14 @@ def _infer_pattern_sql() -> str:
     return src + " union all ".join(parts)
 
 
+def _infer_orders_sql() -> str:
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    src = f"with t as (select {', '.join(f'cast({c} as varchar) as {c}' for c in cols)} from orders) "
+    return src + " union all ".join(
+        f"select cast({i} as integer) as \"position\", '{c}' as \"column\", {_type_case(c, chr(39) + 'string' + chr(39))} as type from t" for i, c in enumerate(cols)
+    )
+
+
 def _merge_sql() -> str:
     per = " union all ".join(
         f"select event_type, '{c}' as \"column\", {_type_case(c, 'null')} as type from s group by event_type"
@@ -341,6 +349,13 @@ ORACLE: dict[str, str] = {
 
 ORACLE["upsert_full_outer"] = ORACLE["upsert"]
 ORACLE |= {
+    "infer_incremental": _infer_orders_sql(),
+    "job_states": """with log as (select l_orderkey as job_id, l_shipdate as moment, l_linenumber as line, case when l_returnflag = 'R' then 'Failed' when l_returnflag = 'A' then 'InProgress'
+          when l_linestatus = 'O' then 'Queued' else 'Completed' end as status from lineitem),
+        r as (select *, row_number() over (partition by job_id order by moment desc, line desc, status desc) as k, min(moment) over (partition by job_id) as since,
+              max(moment) over (partition by job_id) as last_at from log)
+        select job_id, status, since, last_at, case when status = 'Failed' then 'failure' when status = 'Completed' then 'success'
+          when since + interval 90 days < timestamp '1999-01-01' then 'timed_out' else 'pending' end as outcome from r where k = 1""",
     "key_ranges": "select true as fits, o_orderkey, o_custkey from orders",
     "csv_multiline": "select * from documents",
     "sample_replacement": """with r as (select *, row_number() over (order by o_orderkey) - 1 as k, count(*) over () as n from orders),
