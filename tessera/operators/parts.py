@@ -100,9 +100,10 @@ def _range_stats(placed: DataFrame, max_bytes: int) -> DataFrame:
 
 def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                  columns: list[str] | None = None, subparts: int = 1, quote_cr: bool = False,
-                 split: str = "exact") -> DataFrame:
+                 split: str = "exact", with_line: bool = True) -> DataFrame:
     """``(part_number, subpart, range_id, pos, line, bytes, first)``: encoded
-    lines with their part.  Parts are numbered from 1 without gaps; lines order by
+    lines with their part (without ``line``, if only sizes are asked for: then the
+    texts are neither shuffled nor written, and the parts are the same).  Parts are numbered from 1 without gaps; lines order by
     (range, position); ``first`` marks the first line of a (part, subpart).
 
     ``subparts`` cuts every part into that many equal byte ranges (a part may
@@ -113,7 +114,8 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
     cols = columns or df.columns
     line = csv_line(df, cols, quote_cr=quote_cr)
     lines = df.select(*[F.col(k) for k in order_by], line.alias("line")).withColumn("bytes", line_bytes("line").cast("long"))
-    placed = place_in_ranges(lines.select(*order_by, "line", "bytes"), order_by, None, _RANGE, "pos")
+    lines = lines.withColumn("_tie", F.xxhash64("line"))  # rows of one key: an order that needs no text
+    placed = place_in_ranges(lines.select(*order_by, "_tie", "bytes", *(["line"] if with_line else [])), [*order_by, "_tie"], None, _RANGE, "pos")
     stats = _range_stats(placed, max_bytes)
     row = stats.select("_widest").first()
     in_range = Window.partitionBy(_RANGE).orderBy("pos")
@@ -141,14 +143,14 @@ def parted_lines(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_B
         number = F.col("_number")
     return at.select(
         number.cast("long").alias("part_number"), F.col("_piece.sub").cast("int").alias("subpart"), F.col(_RANGE).alias("range_id"),
-        "pos", "line", "bytes", first.alias("first"),
+        "pos", *(["line"] if with_line else []), "bytes", first.alias("first"),
     )
 
 
 def part_manifest(df: DataFrame, order_by: list[str], max_bytes: int = MAX_PART_BYTES,
                   columns: list[str] | None = None) -> DataFrame:
     """Per part: rows and payload bytes (each line plus its newline)."""
-    return _manifest_of(parted_lines(df, order_by, max_bytes, columns))
+    return _manifest_of(parted_lines(df, order_by, max_bytes, columns, with_line=False))
 
 
 def _manifest_of(lines: DataFrame) -> DataFrame:

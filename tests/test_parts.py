@@ -117,3 +117,15 @@ def test_default_target_gives_two_partitions_for_10_to_20_mb(spark):
     assert 10 * 1024 * 1024 < plan["bytes"] < 20 * 1024 * 1024 and plan["parts"] == 2
     assert size_partitions(twice).rdd.getNumPartitions() == 2
     assert size_partitions(o).rdd.getNumPartitions() == 1
+
+
+def test_a_manifest_moves_no_text_and_has_the_parts_of_the_lines(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("k", F.col("doc_id") % 7)  # many rows of one key
+    for split in ("exact", "range"):
+        light = parted_lines(docs, ["k"], 50_000, split=split, with_line=False)
+        whole = parted_lines(docs, ["k"], 50_000, split=split)
+        assert "line" not in light.columns and "line" not in light._jdf.queryExecution().analyzed().toString()
+        sizes = lambda x: sorted(map(tuple, x.groupBy("part_number").agg(F.count("*"), F.sum("bytes")).collect()))
+        if split == "exact":
+            assert sizes(light) == sizes(whole)
+        assert light.count() == whole.count() == 1000
