@@ -148,4 +148,37 @@ n AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op7_phrase_dedup": OP7, "op8_chat_format": OP8, "op10_quality_rules": OP10, "op11_source_mixing": OP11, "op12_hard_negatives": OP12}
+_CRC32 = """xor(list_reduce(
+  list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda s, z: CASE WHEN s % 2 = 1 THEN xor(s // 2, CAST(3988292384 AS BIGINT)) ELSE s // 2 END)
+), CAST(4294967295 AS BIGINT))"""
+OP13 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT *, md5(length(role) || ':' || role || text) AS id FROM t),
+n AS (SELECT conv_id, id, strlen(text) AS bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) AS pos FROM i),
+m AS (SELECT conv_id, count(*) AS many FROM n GROUP BY conv_id),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h FROM m),
+b AS (
+  SELECT c.conv_id, n.pos AS depth, id, bytes FROM c JOIN n ON n.conv_id = c.base AND n.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, n.pos - c.h + least(c.h, coalesce(m.many, 0)), id, bytes FROM c JOIN n ON n.conv_id = c.conv_id AND n.pos > c.h LEFT JOIN m ON m.conv_id = c.base
+),
+s AS (
+  SELECT c.conv_id, coalesce(string_agg(id, '' ORDER BY depth), '') AS path, list(bytes ORDER BY depth) AS bytes, count(id) AS size FROM c LEFT JOIN b ON b.conv_id = c.conv_id GROUP BY c.conv_id
+),
+cells AS (SELECT conv_id, d AS depth, substr(path, 1, 32 * d) AS path, size, CASE WHEN d > 0 THEN bytes[d] ELSE 0 END AS bytes FROM (SELECT *, unnest(range(0, size + 1)) AS d FROM s)),
+nodes AS (
+  SELECT depth, path, substr(path, 1, 32 * (depth - 1)) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth) AS ends
+  FROM cells GROUP BY depth, path
+),
+kids AS (SELECT depth - 1 AS depth, up AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY depth, up),
+own AS (SELECT x.depth, x.path, (n_convs - 1) * bytes AS saved, CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf FROM nodes x LEFT JOIN kids k ON k.depth = x.depth AND k.path = x.path),
+sub AS (SELECT d AS depth, substr(path, 1, 32 * d) AS path, sum(saved) AS saved, sum(leaf) AS leaves FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM own) GROUP BY 1, 2)
+SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(sub.leaves AS BIGINT) AS n_leaves,
+       CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM nodes x JOIN sub ON sub.depth = x.depth AND sub.path = x.path LEFT JOIN kids k ON k.depth = x.depth AND k.path = x.path
+LEFT JOIN nodes p ON p.depth = x.depth - 1 AND p.path = x.up
+"""
+
+ORACLE: dict[str, str] = {"op3_decontaminate": OP3, "op6_line_dedup": OP6, "op7_phrase_dedup": OP7, "op8_chat_format": OP8, "op10_quality_rules": OP10, "op11_source_mixing": OP11, "op12_hard_negatives": OP12, "op13_prefix_trie": OP13}
