@@ -13,6 +13,7 @@ per text; a worker keeps the ids of words it has met.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 from collections.abc import Iterator
@@ -39,6 +40,20 @@ _MARK[0x21:0x30] = _MARK[0x3A:0x41] = _MARK[0x5B:0x61] = _MARK[0x7B:0x7F] = True
 _MARK[0x27] = False
 
 
+def give_back() -> None:
+    """Return freed memory to the system, which the allocators of a worker that is used again would keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def forget() -> None:
+    """Free the tokenizers and the ids of words that this worker keeps, for a step that needs neither."""
+    _load.cache_clear()
+    give_back()
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 

@@ -1,8 +1,10 @@
 """HTML text, token ids, packing, chat formatting and the pipeline."""
 
+import math
 import random
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -275,6 +277,76 @@ def test_windows_ask_again_with_the_last_document():
     assert [d for d, *_ in windows[0]] == [0, 2, 3]
 
 
+def plain_fill(docs, idf, mean, window):
+    """Windows of a shard's documents (lists of ids), by dictionaries and a plain BM25; the order of the documents."""
+    counts = [Counter(x) for x in docs]
+
+    def weight(d, t):
+        tf = counts[d][t]
+        return tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean)) * idf[t]
+
+    order, at = [], 0
+    while len(order) < len(docs):
+        query = next(d for d in range(len(docs)) if d not in order)
+        order.append(query)
+        at += len(docs[query])
+        while at % window and len(order) < len(docs):
+            score = {d: sum(weight(d, t) for t in counts[query] if t in counts[d]) for d in range(len(docs)) if d not in order}
+            near = sorted((d for d in score if score[d] > 0), key=lambda d: (-score[d], d))
+            crossed = False
+            for d in near:
+                before, at = at // window, at + len(docs[d])
+                order.append(d)
+                if at // window != before:
+                    query, crossed = d, True
+                    break
+            if not crossed:
+                if query == order[-1]:
+                    break
+                query = order[-1]
+    return order
+
+
+def test_packing_is_that_of_a_plain_filler(spark, tokenizer):
+    """Several shards, each with several windows and seeds, against plain BM25 over each shard."""
+    rng = random.Random(8)
+    rows = [(k, H.prose(rng, rng.randrange(1, 120), rng.choice([40, 400])), "en", "s", 1) for k in range(150)] + [(500, None, "en", "s", 1), (501, "", "en", "s", 1), (502, "w1 w2", "en", "s", 1)]
+    docs, window, shard_tokens = H.frame(spark, rows).coalesce(1), 256, 5000
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        pieces = packing.pack(docs, default_tokenizer(), END, window=window, shard_tokens=shard_tokens).collect()
+        stored = packing.store(docs, default_tokenizer(), END, "doc_id", "text").where("row IS NOT NULL").orderBy("key", "row").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    texts = {i: plain_ids(tokenizer, t) for i, t, *_ in rows}
+    assert all(np.frombuffer(r["ids"], "<u2").tolist() == texts[r["doc_id"]] for r in stored)
+    df, mean = Counter(t for x in texts.values() for t in set(x)), sum(map(len, texts.values())) / len(texts)
+    idf = {t: math.log1p((len(texts) - n + 0.5) / (n + 0.5)) if t != END else 0.0 for t, n in df.items()}
+    shards, held = [[]], 0
+    for r in stored:
+        if shards[-1] and held + len(texts[r["doc_id"]]) > shard_tokens:
+            shards.append([])
+            held = 0
+        shards[-1].append(r["doc_id"])
+        held += len(texts[r["doc_id"]])
+    assert len(shards) >= 3
+    for number, names in enumerate(shards):
+        want = [names[d] for d in plain_fill([texts[x] for x in names], idf, mean, window)]
+        got = [p["doc_id"] for p in sorted((p for p in pieces if p["shard"] == number), key=lambda p: (p["sequence_id"], p["offset"])) if p["start"] == 0]
+        assert got == want
+
+
+def test_copies_meet_in_a_shard_wherever_they_stand(spark, tokenizer):
+    rng = random.Random(4)
+    texts = [H.prose(rng, 60) for _ in range(60)]
+    rows = [(k, t, "en", "s", 1) for k, t in enumerate(texts)] + [(1000 + k, t, "en", "s", 1) for k, t in enumerate(texts)]
+    pieces = packing.pack(H.frame(spark, rows).repartition(6), default_tokenizer(), END, window=256, shard_tokens=2000).collect()
+    shard = {p["doc_id"]: p["shard"] for p in pieces}
+    assert len(set(shard.values())) > 10
+    assert sum(shard[k] == shard[1000 + k] for k in range(60)) > 50  # but where a shard ends between them
+
+
 LONG = "This paragraph, of a section, is long enough to be prose and goes on for a while."
 SPREAD = {
     "short second section": (f"<main><section>{ARTICLE}{ARTICLE}</section><section><h2>Next</h2><p>{LONG}</p></section></main>", [*LINES, *LINES, "Next", LONG]),
