@@ -1,4 +1,4 @@
-from pyspark.sql import types as T
+from conftest import SF
 
 from tessera.functions.encode import csv_header, csv_lines
 from tessera.operators.parts import encoded_size
@@ -24,11 +24,10 @@ def test_java_timestamp_style(spark):
     assert csv_lines(df, timestamp_style="java").first()["line"] == "2020-01-01 00:00:00.0,2020-01-01 00:00:00.1795"
 
 
-def test_header_of_schema():
-    schema = T.StructType([T.StructField(n, t) for n, t in
-                           [("c1", T.IntegerType()), ("c2", T.LongType()), ("c3", T.FloatType()),
-                            ("c4", T.DateType()), ("c5", T.StringType())]])
-    assert csv_header(schema.names) == "c1,c2,c3,c4,c5"
+def test_header_of_schema(spark):
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    assert csv_header(nation.schema.names) == ",".join(nation.columns)
+    assert csv_header(["plain", "with,comma", 'with"quote']) == 'plain,"with,comma","with""quote"'
 
 
 def test_encoded_size_counts_utf8_and_newlines(spark):
