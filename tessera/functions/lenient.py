@@ -63,15 +63,19 @@ def lenient_matches(v: Column, pattern: Lenient) -> Column:
 
 
 def lenient_timestamp(v: Column, pattern: Lenient) -> Column:
-    """The local timestamp of a text that matches, else null."""
-
-    def field(letter: str, missing: int) -> Column:
-        if letter not in pattern.order:
-            return F.lit(missing).cast("int")
-        return F.nullif(F.regexp_extract(v, pattern.regex, pattern.order.index(letter) + 1), F.lit("")).cast("int")
-
-    months = field("y", 1970) * 12 + field("M", 1) - 1
-    month = F.pmod(months, F.lit(12))
-    first = F.make_date(((months - month) / 12).cast("int"), month + 1, F.lit(1)).cast("timestamp_ntz")
-    seconds = (field("s", 0) + field("S", 0).cast("decimal(12,3)") / 1000).cast("decimal(18,6)")
-    return F.when(lenient_matches(v, pattern), first + F.make_dt_interval(field("d", 1) - 1, field("H", 0), field("m", 0), seconds))
+    """The local timestamp of a text that matches, else null.
+
+    One replacement takes all fields out of the text, so the pattern is matched once."""
+    fields = F.split(F.regexp_replace(v, f"(?s){pattern.regex}.*$", ",".join(f"${i + 1}" for i in range(len(pattern.order)))), ",")
+
+    def value(of: Column) -> Column:
+        def field(letter: str, missing: int) -> Column:
+            return F.get(of, pattern.order.index(letter)).cast("int") if letter in pattern.order else F.lit(missing)
+
+        months = field("y", 1970) * 12 + field("M", 1) - 1
+        month = F.pmod(months, F.lit(12))
+        first = F.make_date(((months - month) / 12).cast("int"), month + 1, F.lit(1)).cast("timestamp_ntz")
+        seconds = (field("s", 0) + field("S", 0).cast("decimal(12,3)") / 1000).cast("decimal(18,6)")
+        return first + F.make_dt_interval(field("d", 1) - 1, field("H", 0), field("m", 0), seconds)
+
+    return F.when(lenient_matches(v, pattern), F.get(F.transform(F.array(fields), value), F.lit(0)))
