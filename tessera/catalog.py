@@ -715,10 +715,10 @@ def q_bulk_header_infer(spark, d):
 
 
 def q_key_ranges(spark, d):
-    """Each chunk of the orders read by its own key range, one after the other."""
+    """Each chunk of the orders read by its own key range, one after the other; many chunks in a few scans."""
     o = table(spark, d, "orders")
-    chunks = [r.of(o, "o_orderkey").select(F.lit(r.rows <= 2000).alias("fits"), "o_orderkey", "o_custkey") for r in paging.key_ranges(o, "o_orderkey", 2000)]
-    return paging.concat_pages(chunks)
+    read = [s.of(o, "o_orderkey") for s in paging.spans(paging.key_ranges(o, "o_orderkey", 2000))]
+    return paging.concat_pages([rows.select((F.col("n_rows") <= 2000).alias("fits"), "o_orderkey", "o_custkey") for rows in read])
 
 
 def q_job_states(spark, d):

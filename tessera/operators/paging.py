@@ -156,8 +156,8 @@ def chunk_bounds(chunked: DataFrame, key: str, chunk_col: str = "chunk_id") -> D
     )
 
 
-# Fixed value: most values a quantile sketch keeps per level; its rank error is then about 0.1 %.
-SKETCH_SIZE = 4000
+# Fixed value: scans in which neighbouring key ranges are read together.
+SPANS = 16
 
 
 @dataclass(frozen=True)
@@ -180,65 +180,75 @@ class KeyRange:
         return df.where(out if self.low is not None else k.isNull() | out)
 
 
-def _sketched(df: DataFrame, key: str, pieces: int) -> list:
-    """``pieces - 1`` ascending key values that cut the rows into about equal parts: one mergeable sketch."""
-    ranks = F.array(*[F.lit((i + 1) / pieces) for i in range(pieces - 1)])
-    whole = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    if whole:
-        got = df.agg(F.kll_sketch_agg_bigint(F.col(key).cast("long"), F.lit(SKETCH_SIZE)).alias("s")).select(F.kll_sketch_get_quantile_bigint("s", ranks).alias("q"))
-    else:
-        got = df.agg(F.kll_sketch_agg_double(F.col(key).cast("double"), F.lit(SKETCH_SIZE)).alias("s")).select(F.kll_sketch_get_quantile_double("s", ranks).alias("q"))
-    return sorted(set(got.first()["q"]))
+def _values(values: list, dtype: str) -> Column:
+    """A constant array, as one text: a literal a value would be slow to build for many."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{dtype}>")
 
 
 def _cuts_below(cuts: list, key: Column) -> Column:
     """How many of the ascending ``cuts`` are at or below the key (0 for null): a binary search per row."""
-    bounds = F.array(*[F.lit(q) for q in cuts])
+    if not cuts:
+        return F.lit(0)
+    bounds = _values(cuts, "bigint" if isinstance(cuts[0], int) else "double")
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
     return F.reduce(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at))
 
 
+@dataclass(frozen=True)
+class Span:
+    """Neighbouring key ranges that one scan reads."""
+
+    ranges: list[KeyRange]
+
+    def of(self, df: DataFrame, key: str, chunk_col: str = "chunk_id", rows_col: str = "n_rows") -> DataFrame:
+        """The rows of these chunks, read by the whole span's range (``KeyRange.of``),
+        each with the number and the rows of the chunk whose range holds its key."""
+        first, last = self.ranges[0], self.ranges[-1]
+        rows = KeyRange(first.chunk_id, first.low, last.high, 0).of(df, key)
+        numbered = rows.withColumn(chunk_col, _cuts_below([r.low for r in self.ranges[1:]], F.col(key)))
+        sizes = F.get(_values([r.rows for r in self.ranges], "bigint"), F.col(chunk_col))
+        return numbered.withColumn(rows_col, sizes).withColumn(chunk_col, F.col(chunk_col) + F.lit(first.chunk_id))
+
+
+def spans(ranges: list[KeyRange], most: int = SPANS) -> list[Span]:
+    """At most ``most`` runs of neighbouring ranges (one empty run, if there are no
+    ranges): up to ``most`` chunks are scanned one by one, more of them in that
+    many scans, so that plans and reads do not grow with the number of chunks."""
+    ranges = ranges or [KeyRange(0, None, None, 0)]
+    n = min(most, len(ranges))
+    ends = [len(ranges) * i // n for i in range(n + 1)]
+    return [Span(ranges[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def key_ranges(df: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE) -> list[KeyRange]:
     """Ranges of a numeric key that cut ``df`` into chunks of at most ``chunk_size``
-    rows each, without ranking or moving rows.
-
-    One pass over the key column builds a quantile sketch (partial sketches merge), one
-    counts the rows between its cuts exactly (a row a cut and task is shuffled); only
-    chunks that came out too large are sketched and cut again.  A single key value with
-    more rows than ``chunk_size`` is a chunk of its own.  Each chunk can then be read
-    alone by pushed-down comparisons (``KeyRange.of``).  The driver holds one row per
+    rows each, by exact counts and without moving rows.
+
+    The rows are counted per key value (a hot value is combined map-side), and the
+    values with their counts are placed in ranges of the key; running counts cut
+    each range at multiples of ``chunk_size``, and a value across such a cut is a
+    chunk of its own.  Neighbours that fit one chunk become one.  A single key value
+    with more rows than ``chunk_size`` is a chunk of its own.  Each chunk can then be
+    read alone by pushed-down comparisons (``KeyRange.of``), or many in a few scans
+    (``spans``).  The jobs are as many for any table; the driver holds one row per
     chunk."""
     if not 0 < chunk_size <= MAX_CHUNK_SIZE:
         raise ValueError(f"chunk_size must be in 1..{MAX_CHUNK_SIZE}")
-    keys = df.select(key)
-    total = keys.count()
-    todo, done = [KeyRange(0, None, None, total)] if total else [], []
-    while todo:
-        piece = todo.pop()
-        if piece.rows <= chunk_size:
-            done.append(piece)
-            continue
-        rows = piece.of(keys, key)
-        values = rows.where(F.col(key).isNotNull())
-        # A little more pieces than needed, so that the sketch's error rarely makes one too large.
-        want = min(10_000, -(-piece.rows * 51 // (50 * chunk_size)) + 1)
-        cuts = [q for q in _sketched(values, key, want) if (piece.low is None or q > piece.low) and (piece.high is None or q < piece.high)] if not values.isEmpty() else []
-        if not cuts:  # all rows have one key value, or lie at the range's ends
-            ends = values.agg(F.min(key), F.max(key)).first()
-            if ends[0] is None or ends[0] == ends[1]:
-                done.append(piece)
-                continue
-            cuts = [ends[1]]
-        counts = {r["at"]: r["n"] for r in rows.groupBy(_cuts_below(cuts, F.col(key)).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        edges = [piece.low, *cuts, piece.high]
-        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-            part = KeyRange(0, a, b, counts.get(i, 0))  # an empty one stays: the ranges cover all keys
-            if part.rows == piece.rows:  # no progress: one value holds the chunk
-                done.append(part)
-            else:
-                todo.append(part)
-    done.sort(key=lambda r: (r.low is not None, r.low if r.low is not None else 0))
-    return [KeyRange(i, r.low, r.high, r.rows) for i, r in enumerate(done)]
+    whole = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    counted = df.groupBy(F.col(key).cast("long" if whole else "double").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    placed = place_in_ranges(counted, ["k"])
+    before = Window.partitionBy("range_id").orderBy("pos_in_range").rowsBetween(Window.unboundedPreceding, -1)
+    started = placed.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    cut = started.withColumn("at", int_div(F.col("start"), chunk_size)).withColumn("across", int_div(F.col("start") + F.col("n") - 1, chunk_size) > F.col("at"))
+    found = cut.groupBy("range_id", "at", "across").agg(F.min("k").alias("low"), F.sum("n").alias("rows"))
+    pieces: list[list] = []  # [first key, rows]
+    for r in sorted(found.collect(), key=lambda r: (r["range_id"], r["at"], r["across"])):
+        if pieces and pieces[-1][1] + r["rows"] <= chunk_size:
+            pieces[-1][1] += r["rows"]
+        else:
+            pieces.append([r["low"], r["rows"]])
+    lows = [None, *[low for low, _ in pieces[1:]]]
+    return [KeyRange(i, low, high, rows) for i, (low, high, (_, rows)) in enumerate(zip(lows, [*lows[1:], None], pieces, strict=False))]
 
 
 def exact_sample(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:

@@ -3,7 +3,7 @@ from pyspark.sql.window import Window
 
 from tests.conftest import SF
 from tessera.session import scratch_path
-from tessera.operators.paging import assign_pages, chunk_bounds, exact_sample, key_ranges, pk_chunks, place_in_ranges, rank_rows
+from tessera.operators.paging import assign_pages, chunk_bounds, exact_sample, key_ranges, pk_chunks, place_in_ranges, rank_rows, spans
 
 
 def test_rank_equals_row_number(spark):
@@ -96,6 +96,41 @@ def test_key_ranges_cover_each_row_once(spark):
     assert len(check_ranges(spark.range(5000).select((F.col("id") * F.col("id") * 1000).alias("k")), "k", 300)) <= 25
 
 
+def test_key_ranges_of_many_chunks_take_few_jobs_and_scans(spark):
+    """Three thousand chunks, some of one hot value: as many jobs as for a few chunks, and few scans."""
+    even = spark.range(300_000).select((F.col("id") * 7919 % 300_007).alias("k"))
+    df = even.unionAll(spark.range(900).select((F.col("id") % 3 * 100_000).alias("k"))).unionAll(spark.range(50).select(F.lit(None).cast("long").alias("k")))
+    group = "many-chunks"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        ranges = key_ranges(df, "k", 100)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 20 and 3000 <= len(ranges) <= 3100
+    assert [r.rows for r in ranges if r.rows > 100] == [df.where(f"k = {k}").count() for k in (0, 100_000, 200_000)]
+    read = spans(ranges)
+    assert len(read) == 16 and [r for s in read for r in s.ranges] == ranges
+    got = read[0].of(df, "k")
+    for s in read[1:]:
+        got = got.unionAll(s.of(df, "k"))
+    got = got.groupBy("chunk_id").agg(F.min("n_rows").alias("a"), F.max("n_rows").alias("b"), F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("last")).orderBy("chunk_id").collect()
+    assert [(r["chunk_id"], r["a"], r["b"], r["n"]) for r in got] == [(r.chunk_id, r.rows, r.rows, r.rows) for r in ranges]
+    assert all(r.low in (None, g["low"]) and (None in (r.high, g["last"]) or g["last"] < r.high) for r, g in zip(ranges, got, strict=True))
+
+
+def test_key_ranges_of_awkward_keys(spark):
+    odd = spark.createDataFrame([(x,) for x in [float("nan")] * 30 + [float("inf")] * 5 + [-0.0, 0.0] * 4 + [None] * 12 + [0.1 * k for k in range(40)]], "x double")
+    ranges = key_ranges(odd, "x", 10)
+    assert [r.rows for r in ranges if r.rows > 10] == [12, 30] and all(r.of(odd, "x").count() == r.rows for r in ranges)
+    # The least value is hot: what lies above it is cut as well.
+    low = spark.range(500).select(F.lit(0).alias("k")).unionAll(spark.range(50).select((F.col("id") + 1).cast("int").alias("k")))
+    assert [r.rows for r in check_ranges(low, "k", 100)] == [500, 50]
+    assert spans([])[0].of(low.where("false"), "k").collect() == []
+    parts = spans(ranges, 2)
+    assert sum(s.of(odd, "x").count() for s in parts) == odd.count()
+
+
 def test_a_key_range_reads_few_row_groups(spark):
     """The range reaches the Parquet reader, which skips row groups by their bounds."""
     path = scratch_path(spark, "ranges")
