@@ -41,6 +41,7 @@ from tessera.operators.objects import check_keys, upsert as keyed_upsert, whole_
 from tessera.operators.profile import check_declared, metadata_json, read_metadata
 from tessera.plans import commitlog
 from tessera.plans.commitlog import MANIFEST, State, claim as _claim
+from tessera.session import materialize
 
 __all__ = ["MANIFEST", "dataset_operation", "publish", "read_dataset", "read_dataset_metadata", "read_manifest"]
 
@@ -107,7 +108,7 @@ def _files(spark: SparkSession, path: str, folder: str, of: dict) -> list[str]:
 def _read_files(spark: SparkSession, path: str, state: State, only: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """The visible files (or ``only`` these) by path: one scan per distinct schema, missing columns null.
 
-    ``columns`` prunes, and adds ``_tessera_file``: folder and name of the row's file."""
+    ``columns`` prunes, and adds ``_tessera_file``: a hash of the folder and name of the row's file."""
     groups: dict[str, list[str]] = {}
     for folder, of in state.live.items():
         if only is not None:
@@ -123,7 +124,7 @@ def _read_files(spark: SparkSession, path: str, state: State, only: list[str] |
         if columns is not None:
             if not paths or not set(columns) <= set(rows.columns):
                 continue
-            rows = rows.select(*columns, F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1).alias("_tessera_file"))
+            rows = rows.select(*columns, F.xxhash64(F.substring_index("_metadata.file_path", "/", -2)).alias("_tessera_file"))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 
@@ -180,7 +181,8 @@ def _holding(spark: SparkSession, path: str, state: State, files: list[str], cha
     if held is None:
         return []
     hit = held.where(whole_key(keys)).join(changes.where(whole_key(keys)).select(*keys), keys, "left_semi")
-    return sorted(r[0] for r in hit.select("_tessera_file").distinct().collect())  # a name per file to rewrite
+    named = spark.createDataFrame([(f,) for f in files], "name string").withColumn("_tessera_file", F.xxhash64("name"))
+    return sorted(r["name"] for r in named.join(hit.select("_tessera_file").distinct(), "_tessera_file", "left_semi").collect())  # a name per file to rewrite
 
 
 def _touched(spark: SparkSession, path: str, state: State, changes: DataFrame, keys: list[str]) -> list[str]:
@@ -235,6 +237,8 @@ def publish(
         if not same.isEmpty():
             return same
     if operation == "Upsert":
+        # Checked, searched for and merged: its plan runs once, the rest reads what it wrote.
+        df = materialize(df, "changes")
         # Also before the first version, which later upserts merge into by these keys.
         check_keys(df, unique_ids, allow_null=True)
     folder = None
@@ -248,7 +252,8 @@ def publish(
                 if _type_conflicts(_nullable(df.schema), state):  # the merge settles the types, so all files take part
                     removed = [f for folder_, of in state.live.items() for f in _files(spark, path, folder_, of)]
                 if removed:
-                    data = keyed_upsert(_read_files(spark, path, state, only=removed), df, unique_ids, blanks="overwrite", validate=False)
+                    # Joined once: the bounds of the key ranges below are found by a pass of their own.
+                    data = materialize(keyed_upsert(_read_files(spark, path, state, only=removed), df, unique_ids, blanks="overwrite", validate=False), "merged")
             folder = uuid.uuid4().hex
             # Metadata first: the supplied document as given, else the one derived
             # from the schema and the type map (one small JSON file per version).

@@ -137,6 +137,23 @@ def test_an_upsert_of_one_percent_rewrites_few_files(spark, many_files, keys):
     assert read_dataset(spark, path).count() == before + fresh.count()
 
 
+def test_an_upsert_evaluates_its_rows_once(spark, many_files):
+    """The change set is checked, searched for and merged, but its plan runs once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def status(k):
+        seen.add(1)
+        return f"new {k}"
+
+    path = scratch_path(spark, "log-once")
+    rows = spark.range(3000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    publish(rows, path, mode="overwrite", unique_ids=["k"])
+    changes = spark.range(0, 6000, 3).select(F.col("id").alias("k"), F.udf(status)("id").alias("v"))
+    commit = publish(changes, path, upsert=True, unique_ids=["k"]).first()
+    assert seen.value == 2000 and len(commit["removed"]) > 8
+    assert bag(read_dataset(spark, path)) == sorted([(k, "old" if k % 3 else f"new {k}") for k in range(3000)] + [(k, f"new {k}") for k in range(3000, 6000, 3)], key=repr)
+
+
 def test_an_upsert_of_scattered_keys_finds_their_files(spark, many_files):
     orders = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
     path = scratch_path(spark, "log-scattered")
