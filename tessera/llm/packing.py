@@ -1,8 +1,9 @@
 """Packing: windows of neighbours found by a sharded BM25 inverted index.
 
-Method: documents are tokenised once and stored with a content key, the closest of
-``SEEDS`` sampled documents in order of BM25 score, and a digest, so that copies are
-neighbours.  Documents in key order are cut
+Method: documents are tokenised once; their tokens, with document frequencies, count and
+mean length of the whole corpus, give each a content key: the closest of ``DIRECTIONS``
+fixed random directions in order of the BM25 weights' projection, and a digest, so that
+copies are neighbours.  Nothing is estimated from a sample.  Documents in key order are cut
 into shards of about ``SHARD_TOKENS`` tokens, so alike documents meet in one shard
 wherever they stood in the input.  Each shard gets an inverted index of BM25 weights
 (document frequencies, count and mean length are those of the whole corpus).  The
@@ -13,15 +14,15 @@ query without further neighbours gives way to the last document, then to the nex
 unused one.  So every window is full, and only a shard's last tokens are short of one:
 they become sequences whose lengths are powers of two, which need no padding.
 
-What the index may miss: a neighbour whose nearest seeds differ from the query's is in
+What the index may miss: a neighbour whose nearest directions differ from the query's is in
 another shard.  The README has the measured share of corpus-wide best neighbours that
 a shard holds.  ``shard_tokens=None`` puts all documents into one shard, which is the
 exact search, for tables that fit a task.
 
-Scale: linear in the corpus.  Texts are read twice (a sample, then all) and tokenised
-once; tokens are written once and shuffled once, by range of (key, row), so a group of
-copies of any size spreads over shards.  A task holds one shard; the driver holds the
-sample's terms and one number per token id.  No document is known to the driver.
+Scale: linear in the corpus.  Texts are read and tokenised once; tokens are written
+twice (without and with their keys) and shuffled once, by range of (key, row), so a group
+of copies of any size spreads over shards.  A task holds one shard; the driver holds one
+number per token id.  No document is known to the driver.
 
 Defined cases: a null or empty text is its end id.  Each row is packed, also with
 a null or repeated doc_id.  A document longer than a window fills whole windows
@@ -35,6 +36,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,18 +50,20 @@ from tessera.llm.words import blocks, ranges
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-#: Sampled documents, those of them that are seeds, and the closest seeds in a key.
-SAMPLE, SEEDS, KEY = 1024, 64, 8
-#: Postings that are scored against the seeds at once.
-POSTINGS = 1 << 11
+#: Random directions, and the closest of them in a key.
+DIRECTIONS, KEY = 16, 8
+#: Postings that are projected at once, and tokens that are counted at once.
+POSTINGS, TOKENS = 1 << 13, 1 << 20
 #: Entries of a shard's whole (term, document) table up to which it is kept as one.
 TABLE = 1 << 23
 #: Rows of an Arrow batch; whole documents lie in it.
 BATCH_ROWS = 1000
 K1, B = 1.2, 0.75
 
-STORE_SCHEMA = "key binary, row long, doc_id long, n long, ids binary, terms array<int>, doc_counts array<int>"
-_STORE = pa.schema([("key", pa.binary()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("terms", pa.list_(pa.int32())), ("doc_counts", pa.list_(pa.int32()))])
+TOKENS_SCHEMA = "row long, doc_id long, n long, ids binary, terms array<int>, doc_counts array<int>"
+_TOKENS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("terms", pa.list_(pa.int32())), ("doc_counts", pa.list_(pa.int32()))])
+STORE_SCHEMA = "key binary, row long, doc_id long, n long, ids binary"
+_STORE = [x.split()[0] for x in STORE_SCHEMA.split(", ")]
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, shard long"
 _PIECE = [x.split()[0] for x in PIECE_SCHEMA.split(", ")]
 
@@ -199,92 +203,121 @@ def fill_windows(ids: np.ndarray, n: np.ndarray, index: Bm25, window: int) -> li
     return list(out.values())
 
 
-def _sampled(rows: DataFrame, tokenizer: str, end_id: int, size: int) -> tuple[np.ndarray, list[np.ndarray], float]:
-    """From about ``SAMPLE`` documents: idf, the seeds' terms, the mean length."""
+class Corpus(NamedTuple):
+    """Counts over all documents."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text", 1 << 20):
-            ids, at = encode_texts(batch.column("text"), tokenizer, end_id)
-            first, terms, _ = term_counts(ids, np.diff(at))
-            parts = np.split(terms.astype("<u4"), first[1:])
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in parts], pa.binary()), pa.array(np.diff(at))], names=["terms", "n"])
+    docs: int
+    tokens: int
+    idf: np.ndarray
+    mean: float
 
-    share = min(1.0, SAMPLE / max(rows.count(), 1))
-    got = rows.sample(False, share, 42).select("text").mapInArrow(run, "terms binary, n long").collect()
-    df = np.zeros(size)
-    for r in got:
-        df[np.frombuffer(r["terms"], "<u4")] += 1
-    distinct = sorted({bytes(r["terms"]) for r in got}, key=zlib.crc32)[:SEEDS]
-    return inverse(df, len(got), end_id), [np.frombuffer(x, "<u4") for x in distinct], sum(r["n"] for r in got) / max(len(got), 1) or 1.0
 
+def directions(idf: np.ndarray) -> np.ndarray:
+    """Per token id its idf with a fixed random sign in each direction; a column per direction."""
+    signs = np.random.default_rng(42).integers(0, 2, (len(idf), DIRECTIONS)).astype(np.float32) * 2 - 1
+    return signs * idf[:, None].astype(np.float32)
 
-def _keys(first: np.ndarray, terms: np.ndarray, weight: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Per document the closest seeds, best first, as bytes; ``seeds`` has a column per seed."""
+
+def _keys(first: np.ndarray, terms: np.ndarray, weight: np.ndarray, towards: np.ndarray) -> np.ndarray:
+    """Per document the closest directions, best first, as bytes."""
     out = np.zeros((len(first), KEY), np.uint8)
     ends, k = np.append(first[1:], len(terms)), 0
     while k < len(first):
         to = max(k + 1, int(np.searchsorted(ends, first[k] + POSTINGS, side="right")))
         part = slice(first[k], ends[to - 1])
-        score = np.add.reduceat(seeds[terms[part]] * weight[part, None], first[k:to] - first[k], axis=0)
-        best = np.argsort(-score, axis=1, kind="stable")[:, :KEY]
-        out[k:to, : best.shape[1]] = best
+        score = np.add.reduceat(towards[terms[part]] * weight[part, None], first[k:to] - first[k], axis=0)
+        out[k:to] = np.argsort(-score, axis=1, kind="stable")[:, :KEY]
         k = to
     return out
 
 
-def store(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text: str) -> DataFrame:
-    """The tokens of all texts with their keys, a row a document; and a row a task of documents per token id."""
+def tokenised(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text: str) -> DataFrame:
+    """The tokens of all texts, a row a document; and a row a task of documents per token id."""
     if not splits_at_space(tokenizer):
         raise ValueError(f"{tokenizer}: this tokenizer does not drop white space")
-    size = max(vocabulary_size(tokenizer), end_id + 1)
-    kind = "<u2" if size <= 1 << 16 else "<u4"
+    size, kind = _ids(tokenizer, end_id)
     rows = docs.select(c(id_col).cast("long").alias("id"), c(text).alias("text"))
-    idf, chosen, mean = _sampled(rows, tokenizer, end_id, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, holders = TaskContext.get().partitionId() << 33, np.zeros(size, np.int32)
-        seeds = np.zeros((size, max(len(chosen), 1)), np.float32)
-        for k, x in enumerate(chosen):
-            seeds[x, k] = idf[x] / (np.sqrt((idf[x] ** 2).sum()) or 1)
         for batch in blocks(batches, "text", 4 << 20):
             ids, at = encode_texts(batch.column("text"), tokenizer, end_id)
             n = np.diff(at)
-            first, terms, counts = term_counts(ids, n)
-            holders += np.bincount(terms, minlength=size).astype(np.int32)
-            weight = weights(counts, np.repeat(n, np.diff(np.append(first, len(terms)))), mean) * idf[terms]
-            keys = _keys(first, terms, weight.astype(np.float32), seeds)
+            holders += np.bincount(term_counts(ids, n)[1], minlength=size).astype(np.int32)
             raw, width = ids.astype(kind), np.dtype(kind).itemsize
             body = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer((at * width).astype(np.int64)), pa.py_buffer(raw)]).cast(pa.binary())
-            bytes_, ends = memoryview(raw).cast("B"), (at * width).tolist()
-            digest = np.array([zlib.crc32(bytes_[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], ">u4").view(np.uint8).reshape(-1, 4)
-            key = pa.Array.from_buffers(pa.binary(KEY + 4), len(n), [None, pa.py_buffer(np.hstack([keys, digest]))]).cast(pa.binary())
             none = pa.nulls(len(n), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([key, pa.array(np.arange(row, row + len(n))), batch.column("id"), pa.array(n), body, none, none], schema=_STORE)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(n))), batch.column("id"), pa.array(n), body, none, none], schema=_TOKENS)
             row += len(n)
         seen = np.flatnonzero(holders)
         if len(seen):
-            yield pa.RecordBatch.from_pylist([dict.fromkeys(_STORE.names) | {"terms": seen, "doc_counts": holders[seen]}], _STORE)
+            yield pa.RecordBatch.from_pylist([dict.fromkeys(_TOKENS.names) | {"terms": seen, "doc_counts": holders[seen]}], _TOKENS)
         give_back()
 
     with small_batches(docs.sparkSession):
-        return written(rows.mapInArrow(run, STORE_SCHEMA), "token-docs")
+        return written(rows.mapInArrow(run, TOKENS_SCHEMA), "tokens")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, shard_tokens: int | None = SHARD_TOKENS) -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length, shard."""
-    stored = store(docs, tokenizer, end_id, id_col, text)
-    spark = stored.sparkSession
-    size = max(vocabulary_size(tokenizer), end_id + 1)
-    kind = "<u2" if size <= 1 << 16 else "<u4"
-    sums = stored.agg(F.count("row").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+def counted(tokens: DataFrame, size: int, end_id: int) -> Corpus:
+    """Document frequencies, count and mean length of all documents."""
+    sums = tokens.agg(F.count("row").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
     df = np.zeros(size)
-    holders = stored.where("terms IS NOT NULL").select(F.explode(F.arrays_zip("terms", "doc_counts")).alias("x"))
+    holders = tokens.where("terms IS NOT NULL").select(F.explode(F.arrays_zip("terms", "doc_counts")).alias("x"))
     for term, n in holders.groupBy("x.terms").agg(F.sum("x.doc_counts")).collect():  # one row a token id: the vocabulary's size at most
         df[term] = n
-    idf, mean = inverse(df, sums["docs"], end_id), sums["tokens"] / max(sums["docs"], 1) or 1.0
-    shards = 1 if shard_tokens is None else max(1, sums["tokens"] // shard_tokens)
+    return Corpus(sums["docs"], sums["tokens"], inverse(df, sums["docs"], end_id), sums["tokens"] / max(sums["docs"], 1) or 1.0)
+
+
+def keyed(tokens: DataFrame, corpus: Corpus, kind: str) -> DataFrame:
+    """The documents' tokens with their keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        towards, width = directions(corpus.idf), np.dtype(kind).itemsize
+        for batch in batches:
+            all_n, at = batch.column("n").to_numpy(), 0
+            ends = np.cumsum(all_n)
+            while at < len(all_n):
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] - all_n[at] + TOKENS, side="right")))
+                part, n, at = batch.slice(at, to - at), all_n[at:to], to
+                body = part.column("ids").cast(pa.large_binary())
+                offsets = np.frombuffer(body.buffers()[1], np.int64)[body.offset : body.offset + len(body) + 1]
+                raw = memoryview(body.buffers()[2])[offsets[0] : offsets[-1]]
+                first, terms, counts = term_counts(np.frombuffer(raw, kind), n)
+                weight = weights(counts, np.repeat(n, np.diff(np.append(first, len(terms)))), corpus.mean)
+                keys = _keys(first, terms, weight.astype(np.float32), towards)
+                cuts = np.concatenate([[0], np.cumsum(n) * width]).tolist()
+                digest = np.array([zlib.crc32(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], ">u4").view(np.uint8).reshape(-1, 4)
+                key = pa.Array.from_buffers(pa.binary(KEY + 4), len(n), [None, pa.py_buffer(np.hstack([keys, digest]))]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([key, *[part.column(x) for x in _STORE[1:]]], names=_STORE)
+
+    with small_batches(tokens.sparkSession):
+        return written(tokens.where("row IS NOT NULL").select(*_STORE[1:]).mapInArrow(run, STORE_SCHEMA), "token-docs")
+
+
+def _ids(tokenizer: str, end_id: int) -> tuple[int, str]:
+    """Number of token ids, and the type they are stored in."""
+    size = max(vocabulary_size(tokenizer), end_id + 1)
+    return size, "<u2" if size <= 1 << 16 else "<u4"
+
+
+def store(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text: str) -> DataFrame:
+    """The tokens of all texts with their keys, a row a document."""
+    size, kind = _ids(tokenizer, end_id)
+    tokens = tokenised(docs, tokenizer, end_id, id_col, text)
+    return keyed(tokens, counted(tokens, size, end_id), kind)
+
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, shard_tokens: int | None = SHARD_TOKENS) -> DataFrame:
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length, shard."""
+    size, kind = _ids(tokenizer, end_id)
+    tokens = tokenised(docs, tokenizer, end_id, id_col, text)
+    corpus = counted(tokens, size, end_id)
+    stored = keyed(tokens, corpus, kind)
+    spark, idf, mean = stored.sparkSession, corpus.idf, corpus.mean
+    shards = 1 if shard_tokens is None else max(1, corpus.tokens // shard_tokens)
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 8)))
-    placed = stored.where("row IS NOT NULL").select("key", "row", "doc_id", "ids").repartitionByRange(tasks, "key", "row").sortWithinPartitions("key", "row")
+    placed = stored.select("key", "row", "doc_id", "ids").repartitionByRange(tasks, "key", "row").sortWithinPartitions("key", "row")
 
     def filled(shard: int, names: list, parts: list[bytes]) -> pa.RecordBatch:
         ids = np.frombuffer(b"".join(parts), kind)

@@ -337,6 +337,26 @@ def test_packing_is_that_of_a_plain_filler(spark, tokenizer):
         assert got == want
 
 
+def test_content_keys_come_from_all_documents(spark, tokenizer, monkeypatch):
+    """Keys follow the frequencies and the mean length of every document; no table is sampled."""
+    monkeypatch.setattr(type(spark.range(1)), "sample", None)
+    rng = random.Random(3)
+    rows = [(k, H.prose(rng, rng.randrange(0, 9), 300), "en", "s", 1) for k in range(2500)] + [(9000, H.prose(rng, 900, 50), "en", "s", 1), (9001, None, "en", "s", 1)]
+    stored = packing.store(H.frame(spark, rows).repartition(5), default_tokenizer(), END, "doc_id", "text").collect()
+    texts = {i: plain_ids(tokenizer, t) for i, t, *_ in rows}
+    df, mean = Counter(t for x in texts.values() for t in set(x)), sum(map(len, texts.values())) / len(texts)
+    idf = np.zeros(1 << 16)
+    for t, n in df.items():
+        idf[t] = math.log1p((len(texts) - n + 0.5) / (n + 0.5)) if t != END else 0.0
+    towards = packing.directions(idf[: packing.vocabulary_size(default_tokenizer())])
+    assert sorted(r["doc_id"] for r in stored) == sorted(texts)
+    for r in stored:
+        ids, key = texts[r["doc_id"]], list(r["key"][: packing.KEY])
+        score = sum(n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(ids) / mean)) * towards[t].astype(float) for t, n in Counter(ids).items())
+        best = np.sort(score)[::-1][: packing.KEY]
+        assert len(set(key)) == packing.KEY and np.allclose(score[key], best, atol=1e-3)
+
+
 def test_copies_meet_in_a_shard_wherever_they_stand(spark, tokenizer):
     rng = random.Random(4)
     texts = [H.prose(rng, 60) for _ in range(60)]
